@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curvelake.operators import gold
 from curvelake.sources import tables as T
@@ -49,3 +50,124 @@ def _q(spark, d):
 @register("filings_summary")
 def _q(spark, d):
     return gold.filings_summary(T.filings(spark, d), T.companies(spark, d))
+
+
+# --- 2.F windows (all series; series=['DGS10'] gives the single-series form)
+
+from curvelake.operators import series as W  # noqa: E402
+
+for _name, _fn in {
+    "lag_change": W.lag_change,
+    "running_total": W.running_total,
+    "moving_avg_full": W.moving_avg_full,
+    "moving_avg_partial": W.moving_avg_partial,
+    "below_moving_avg": W.below_moving_avg,
+    "moving_stddev": W.moving_stddev,
+    "running_count": W.running_count,
+    "quartile": W.quartile,
+    "second_highest": W.second_highest,
+    "third_highest": W.third_highest,
+    "rising_flag": W.rising_flag,
+    "next_value": W.next_value,
+    "year_over_year": W.year_over_year,
+    "date_gaps": W.date_gaps,
+    "repeated_values": W.repeated_values,
+    "percent_rank": W.percent_rank,
+    "number_rows": W.number_rows,
+    "join_rownum_series": W.number_rows,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, d: fn(T.observations(spark, d)))(_fn)
+
+
+@register("top_n_per_series")
+def _q(spark, d):
+    return W.top_n_per_series(T.observations(spark, d), 3)
+
+
+# --- 2.E aggregates ---------------------------------------------------------
+
+from curvelake.operators import aggregates as A  # noqa: E402
+
+for _name, _fn in {
+    "series_stats": A.series_stats,
+    "count_per_series": A.count_per_series,
+    "global_avg": A.global_avg,
+    "pct_of_total": A.pct_of_total,
+    "join_grand_total": A.pct_of_total,
+    "avg_by_year": A.avg_by_month,
+    "best_month": A.best_month,
+    "first_last": A.first_last,
+    "array_agg_ordered": A.array_agg_ordered,
+    "distinct_above": A.distinct_above,
+    "grouping_sets": A.grouping_sets,
+    "rollup": A.rollup,
+    "cube": A.cube,
+    "rank_by_avg": A.rank_by_avg,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, d: fn(T.observations(spark, d)))(_fn)
+
+
+# --- 2.C / 2.D / 2.G / 2.H relational --------------------------------------
+
+from curvelake.operators import relational as R  # noqa: E402
+
+from curvelake.plans.oracle import IN_LIST_TICKERS  # noqa: E402
+
+for _name, _fn in {
+    "scan_silver": lambda o: o,
+    "project_staging": R.project_staging,
+    "filter_series_eq": R.filter_series_eq,
+    "filter_like_prefix": R.filter_like_prefix,
+    "filter_gt_const": R.filter_gt_const,
+    "join_scalar_avg": R.join_scalar_avg,
+    "join_date_max": R.join_date_max,
+    "above_global_avg": R.above_global_avg,
+    "topk_latest": R.topk_latest,
+    "date_series": R.series_calendar,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, d: fn(T.observations(spark, d)))(_fn)
+
+
+@register("filter_in_list")
+def _q(spark, d):
+    return R.filter_in_list(T.companies(spark, d), "ticker", IN_LIST_TICKERS)
+
+
+@register("filter_flag")
+def _q(spark, d):
+    return R.filter_flag(T.companies(spark, d))
+
+
+@register("join_filings_companies")
+def _q(spark, d):
+    return R.join_filings_companies(T.filings(spark, d), T.companies(spark, d))
+
+
+@register("join_curve_stress")
+def _q(spark, d):
+    return gold.daily_snapshot_composed(T.observations(spark, d))
+
+
+@register("limit_view")
+def _q(spark, d):
+    return R.limit_view(gold.yield_curve(T.observations(spark, d)), 10)
+
+
+@register("table_row_counts")
+def _q(spark, d):
+    return R.table_row_counts({"treasury_yields": T.observations(spark, d),
+                               "sec_filings": T.filings(spark, d)})
+
+
+@register("case_label")
+def _q(spark, d):
+    """Label coverage of the snapshot: rows per (curve_status, stress_level)."""
+    s = gold.daily_snapshot(T.observations(spark, d))
+    return s.groupBy("curve_status", "stress_level").agg(F.count(F.lit(1)).alias("days"))
+
+
+@register("case_flag")
+def _q(spark, d):
+    """Rising days per series (the 1/0 CASE flag, summed)."""
+    r = W.rising_flag(T.observations(spark, d))
+    return r.groupBy("series_id").agg(F.sum("flag").cast("bigint").alias("rising_days"))
