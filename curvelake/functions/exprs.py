@@ -40,7 +40,7 @@ def to_value(c: str | Column) -> Column:
 
 def to_iso_date(c: str | Column) -> Column:
     """ISO ``yyyy-MM-dd`` string -> DATE, NULL when malformed."""
-    return F.try_to_date(col(c), F.lit("yyyy-MM-dd")) if hasattr(F, "try_to_date") \
+    return F.try_to_date(col(c), "yyyy-MM-dd") if hasattr(F, "try_to_date") \
         else col(c).try_cast("date")
 
 

@@ -171,3 +171,204 @@ def _q(spark, d):
     """Rising days per series (the 1/0 CASE flag, summed)."""
     r = W.rising_flag(T.observations(spark, d))
     return r.groupBy("series_id").agg(F.sum("flag").cast("bigint").alias("rising_days"))
+
+
+# --- 2.A / 2.B / 2.J bronze -> silver (documents held in memory) -----------
+#
+# Documents are rendered from the bound tables and parsed back; edge cases are
+# injected by data rules, identical in the oracle SQL:
+#   day 15                 -> value "." (missing: dropped)
+#   29 February            -> value "n/a" (malformed: rejected)
+#   dates before CUTOFF    -> already in silver; the documents carry revised
+#                             values (+0.01) that must be ignored
+#   filing day 13          -> the last form slot of the document is missing
+#                             (unequal arrays: that accession is rejected)
+#   documents of ERROR_YEAR (bronze_error_documents only) -> error payload
+
+import datetime as _dt  # noqa: E402
+from decimal import Decimal as _D  # noqa: E402
+
+from curvelake import schemas as S  # noqa: E402
+from curvelake.operators import merge as M  # noqa: E402
+from curvelake.operators import silver as SV  # noqa: E402
+from curvelake.sources import bronze as B  # noqa: E402
+
+CUTOFF = _dt.date(1998, 1, 1)
+ERROR_YEAR = "1999"
+DAY1, DAY2 = _dt.date(2026, 1, 27), _dt.date(2026, 1, 28)
+
+
+def _raw_observation_strings(obs: DataFrame, revise: bool = True) -> DataFrame:
+    d = F.col("observation_date")
+    value = F.col("value")
+    if revise:
+        value = F.when(d < F.lit(CUTOFF), value + F.lit(_D("0.0100"))).otherwise(value)
+    v = (F.when(F.dayofmonth(d) == 15, F.lit(S.MISSING_MARKER))
+         .when((F.month(d) == 2) & (F.dayofmonth(d) == 29), F.lit("n/a"))
+         .otherwise(value.cast("string")))
+    return obs.select("series_id", F.date_format(d, "yyyy-MM-dd").alias("date"), v.alias("value"))
+
+
+def _observation_docs(spark, d, revise=True, ingest=DAY1):
+    return B.render_observation_docs(_raw_observation_strings(T.observations(spark, d), revise),
+                                     F.lit(ingest))
+
+
+def _existing_silver(spark, d):
+    o = T.observations(spark, d)
+    return o.where(F.col("observation_date") < F.lit(CUTOFF))
+
+
+@register("src_bronze_observations")
+def _q(spark, d):
+    rows = B.observation_rows(B.parse_observation_docs(_observation_docs(spark, d)))
+    return rows.select("series_id", "date", "value")
+
+
+@register("filter_missing_marker")
+def _q(spark, d):
+    rows = B.observation_rows(B.parse_observation_docs(_observation_docs(spark, d)))
+    return SV.filter_missing_marker(rows).select("series_id", "date", "value")
+
+
+@register("silver_observations")
+def _q(spark, d):
+    silver = _existing_silver(spark, d)
+    load = SV.load_observations(B.parse_observation_docs(_observation_docs(spark, d)), silver)
+    return silver.unionByName(load.new_rows)
+
+
+@register("silver_observation_rejects")
+def _q(spark, d):
+    load = SV.load_observations(B.parse_observation_docs(_observation_docs(spark, d)),
+                                _existing_silver(spark, d))
+    return load.rejects.select("series_id", "raw_date", "raw_value", "reject_reason")
+
+
+@register("merge_new_observations")
+def _q(spark, d):
+    o = T.observations(spark, d)
+    revised = o.select("observation_date", "series_id",
+                       (F.col("value") + F.lit(_D("0.0100"))).cast(S.VALUE_TYPE).alias("value"))
+    return M.merge_insert_if_absent(_existing_silver(spark, d), revised, S.OBSERVATIONS_KEY)
+
+
+@register("bronze_error_documents")
+def _q(spark, d):
+    docs = _observation_docs(spark, d)
+    y = F.get_json_object("doc", "$.observations[0].date").substr(1, 4)
+    docs = docs.withColumn("doc", F.when(y == ERROR_YEAR, F.lit('{"error_code": 400, "error_message": "Bad Request"}'))
+                           .otherwise(F.col("doc")))
+    parsed = B.parse_observation_docs(docs)
+    payload = F.col("observations")
+    return parsed.agg(F.count(F.lit(1)).alias("documents"),
+                      F.count_if(payload.isNull()).alias("error_documents"),
+                      F.coalesce(F.sum(F.size(payload)), F.lit(0)).cast("bigint").alias("observation_rows"))
+
+
+@register("job_backfill")
+def _q(spark, d):
+    """Two ingest days over one date range, loaded in one job: first wins by ingest date."""
+    o = T.observations(spark, d)
+    day1 = B.render_observation_docs(
+        _raw_observation_strings(o.where(F.col("observation_date") < F.lit(CUTOFF)), revise=False), F.lit(DAY1))
+    day2 = B.render_observation_docs(_raw_observation_strings(o, revise=True), F.lit(DAY2))
+    docs = day1.unionByName(day2).where(F.col("ingest_date").between(F.lit(DAY1), F.lit(DAY2)))
+    empty = spark.createDataFrame([], S.OBSERVATIONS)
+    return SV.load_observations(B.parse_observation_docs(docs), empty).new_rows
+
+
+# filings
+
+def _filing_docs(spark, d):
+    fil = T.filings(spark, d)
+    return B.render_filing_docs(fil, F.lit(DAY1), short_form=F.dayofmonth("filing_date") == 13)
+
+
+def _existing_filings(spark, d):
+    return T.filings(spark, d).where(F.col("filing_date") < F.lit(CUTOFF))
+
+
+@register("src_bronze_filings")
+def _q(spark, d):
+    rows = B.filing_rows(B.parse_filing_docs(_filing_docs(spark, d)))
+    return rows.select("accession_number", "cik", "company_name", "form", "filing_date_str", "complete")
+
+
+@register("silver_filings")
+def _q(spark, d):
+    silver = _existing_filings(spark, d)
+    load = SV.load_filings(B.parse_filing_docs(_filing_docs(spark, d)), silver)
+    return silver.unionByName(load.new_rows)
+
+
+@register("merge_new_filings")
+def _q(spark, d):
+    fil = T.filings(spark, d)
+    revised = fil.withColumn("filing_type", F.lit("REVISED"))
+    return M.merge_insert_if_absent(_existing_filings(spark, d), revised, S.FILINGS_KEY)
+
+
+# companies
+
+def _directory_entries(spark, d) -> DataFrame:
+    c = T.table(spark, d, "customer")
+    first = c.select((F.col("c_custkey") * 2).alias("order"), F.col("c_custkey").alias("cik_str"),
+                     F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+                     F.col("c_name").alias("title"))
+    # a second share class listed later for one nation's companies: last one wins
+    second = c.where(F.col("c_nationkey") == 7).select(
+        (F.col("c_custkey") * 2 + 1).alias("order"), F.col("c_custkey").alias("cik_str"),
+        F.concat(F.lit("T"), F.col("c_custkey").cast("string"), F.lit("X")).alias("ticker"),
+        F.col("c_name").alias("title"))
+    return first.unionByName(second)
+
+
+def _directory_rows(spark, d):
+    docs = B.render_company_directory(_directory_entries(spark, d))
+    return B.ticker_rows(B.parse_company_directory(docs))
+
+
+@register("src_company_tickers")
+def _q(spark, d):
+    return _directory_rows(spark, d).select("cik", "ticker", "name")
+
+
+@register("upsert_companies")
+def _q(spark, d):
+    c = T.table(spark, d, "customer")
+    known = (T.companies(spark, d).join(c.select(F.col("c_custkey").cast("string").alias("cik"), "c_nationkey"), "cik")
+             .where(F.col("c_nationkey") < 20)
+             .select("cik", "ticker", F.upper("name").alias("name"), "is_active"))
+    return SV.upsert_companies(known, _directory_rows(spark, d))
+
+
+@register("scan_active_companies")
+def _q(spark, d):
+    return R.filter_flag(T.companies(spark, d)).select("cik")
+
+
+@register("scan_active_series")
+def _q(spark, d):
+    active = R.filter_flag(T.series(spark)).select("series_id")
+    return T.observations(spark, d).join(active, "series_id", "left_semi")
+
+
+@register("set_active_all")
+def _q(spark, d):
+    return M.set_flag(T.companies(spark, d), "is_active", False)
+
+
+@register("set_active_where_in")
+def _q(spark, d):
+    c = M.set_flag(T.companies(spark, d), "is_active", False)
+    return M.set_flag_where_in(c, "is_active", True, "ticker", IN_LIST_TICKERS)
+
+
+NEW_COMPANY = ("9999999999", "NEWCO", "New Company Inc.")
+
+
+@register("insert_config_row")
+def _q(spark, d):
+    row = spark.createDataFrame([NEW_COMPANY], "cik string, ticker string, name string")
+    return M.insert_rows(T.companies(spark, d), row, S.COMPANIES_KEY, {"is_active": F.lit(True)})
