@@ -372,3 +372,43 @@ NEW_COMPANY = ("9999999999", "NEWCO", "New Company Inc.")
 def _q(spark, d):
     row = spark.createDataFrame([NEW_COMPANY], "cik string, ticker string, name string")
     return M.insert_rows(T.companies(spark, d), row, S.COMPANIES_KEY, {"is_active": F.lit(True)})
+
+
+# --- 2.K data quality -------------------------------------------------------
+
+from curvelake.operators import quality as Q  # noqa: E402
+
+
+@register("run_suite")
+def _q(spark, d):
+    """The observation suite over the whole silver table (one pass)."""
+    return Q.run_suite(T.observations(spark, d), Q.observation_suite())
+
+
+@register("run_suite_bronze")
+def _q(spark, d):
+    """The same suite over the parsed bronze rows of the load (ids as delivered)."""
+    rows = B.observation_rows(B.parse_observation_docs(_observation_docs(spark, d)))
+    typed, _ = SV.typed_observations(rows)
+    return Q.run_suite(typed.select("observation_date", "series_id", "value"), Q.observation_suite())
+
+
+# --- 2.L arrival-driven load (Structured Streaming, availableNow) -----------
+
+from curvelake.jobs import Warehouse  # noqa: E402
+from curvelake.session import scratch_path  # noqa: E402
+from curvelake.sinks import writers as WR  # noqa: E402
+from curvelake.streaming.bronze_stream import stream_bronze_to_silver  # noqa: E402
+
+
+@register("stream_bronze_to_silver")
+def _q(spark, d):
+    """Land the documents as bronze files in a fresh folder of the shared
+    checkpoint area, stream them into silver, read silver back."""
+    base = scratch_path(spark, "stream-load")
+    bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
+    WR.write_bronze(_observation_docs(spark, d, revise=False), bronze, "fred", S.OBSERVATION_DOC)
+    WR.write_versioned(T.series(spark), wh.series)
+    q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(wh.observations).select("observation_date", "series_id", "value")

@@ -94,6 +94,7 @@ def _read_json(spark: SparkSession, root: str, source: str, schema: T.StructType
                ingest_dates: tuple | None = None) -> DataFrame:
     full = T.StructType(list(schema.fields) + [
         T.StructField(ENTITY, T.StringType()),
+        T.StructField("source", T.StringType()),
         T.StructField("ingest_date", T.DateType()),
     ])
     df = (spark.read.schema(full).option("basePath", root)
