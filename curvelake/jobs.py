@@ -20,7 +20,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curvelake import schemas as S
 from curvelake.functions.exprs import strip_leading_zeros
@@ -54,8 +54,8 @@ class Warehouse:
         return self.path("reference", "companies")
 
 
-SILVER_OBS = S.OBSERVATIONS.add("ingested_at", "timestamp")
-SILVER_FIL = S.FILINGS.add("ingested_at", "timestamp")
+SILVER_OBS = T.StructType(S.OBSERVATIONS.fields + [T.StructField("ingested_at", T.TimestampType())])
+SILVER_FIL = T.StructType(S.FILINGS.fields + [T.StructField("ingested_at", T.TimestampType())])
 
 
 def silver_observations(spark: SparkSession, wh: Warehouse) -> DataFrame:
