@@ -22,10 +22,19 @@ def _order(cols: list[str]) -> Column:
 
 
 def dedupe(df: DataFrame, key: list[str], order: list[str], keep: str = "first") -> DataFrame:
-    """One row per key: the first (or last) by ``order``."""
-    payload = [c for c in df.columns if c not in key]
+    """One row per key: the first (or last) by ``order``; order columns are
+    dropped from the result.
+
+    With one payload column and one order column this is ``min_by(col, ord)``
+    over fixed-width buffers, which Spark runs as a hash aggregate; otherwise
+    the payload travels as a struct (sort-based aggregate).
+    """
+    payload = [c for c in df.columns if c not in key and c not in order]
     pick = F.min_by if keep == "first" else F.max_by
-    g = df.groupBy(*key).agg(pick(F.struct(*payload), _order(order)).alias("_row"))
+    o = F.col(order[0]) if len(order) == 1 else _order(order)
+    if len(payload) == 1:
+        return df.groupBy(*key).agg(pick(F.col(payload[0]), o).alias(payload[0]))
+    g = df.groupBy(*key).agg(pick(F.struct(*payload), o).alias("_row"))
     return g.select(*key, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
 

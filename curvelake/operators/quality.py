@@ -4,10 +4,10 @@ Each expectation yields one result row::
 
     expectation, column, element_count, unexpected_count, unexpected_percent, success
 
-All row-level rules (not-null, regex, max length) are evaluated in a single
-aggregate over the table — one scan however many rules.  Column existence is
-read from the schema (no job).  Key uniqueness needs its own grouped
-aggregate (partial + final, so a hot key is combined map-side).
+All rules are evaluated in ONE scan however many there are: the row-level
+rules (not-null, regex, max length) are counted inside the grouped aggregate
+that key uniqueness needs anyway (partial + final, so a hot key is combined
+map-side), then summed.  Column existence is read from the schema (no job).
 The gate collects only the result rows (one per rule) and raises.
 """
 
@@ -73,29 +73,43 @@ def _row(e: Expectation, total: Column, unexpected: Column, denom: Column) -> Co
 
 
 def run_suite(df: DataFrame, rules: list[Expectation]) -> DataFrame:
-    """Evaluate ``rules`` over the whole of ``df``; one row per rule, in rule order."""
+    """Evaluate ``rules`` over the whole of ``df``; one row per rule, in rule order.
+
+    One scan: with a key-uniqueness rule, the row rules are counted per key
+    in the same grouped aggregate that counts key occurrences (partial
+    aggregation map-side), then summed; without one, a single global aggregate.
+    """
     cols = set(df.columns)
-    aggs: dict[str, Column] = {"_n": F.count(F.lit(1))}
+    row_aggs: dict[str, Column] = {}
     for i, e in enumerate(rules):
         c = F.col(e.column) if e.column in cols else None
         if c is None:
             continue
         if e.kind == "expect_column_values_to_not_be_null":
-            aggs[f"_u{i}"] = F.count_if(c.isNull())
+            row_aggs[f"_u{i}"] = F.count_if(c.isNull())
         elif e.kind == "expect_column_values_to_match_regex":
-            aggs[f"_u{i}"] = F.count_if(c.isNotNull() & ~c.rlike(e.params["regex"]))
-            aggs[f"_d{i}"] = F.count(c)
+            row_aggs[f"_u{i}"] = F.count_if(c.isNotNull() & ~c.rlike(e.params["regex"]))
+            row_aggs[f"_d{i}"] = F.count(c)
         elif e.kind == "expect_column_value_lengths_to_be_at_most":
-            aggs[f"_u{i}"] = F.count_if(F.length(c) > e.params["max"])
-            aggs[f"_d{i}"] = F.count(c)
-    one = df.agg(*[v.alias(k) for k, v in aggs.items()])
-
-    dup_rules = [(i, e) for i, e in enumerate(rules) if e.kind == "expect_compound_columns_to_be_unique"
+            row_aggs[f"_u{i}"] = F.count_if(F.length(c) > e.params["max"])
+            row_aggs[f"_d{i}"] = F.count(c)
+    key_rules = [(i, e) for i, e in enumerate(rules) if e.kind == "expect_compound_columns_to_be_unique"
                  and set(e.params["key"]) <= cols]
-    for i, e in dup_rules:
-        k = df.groupBy(*e.params["key"]).agg(F.count(F.lit(1)).alias("_c"))
-        dup = k.agg(F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)))
-        one = one.withColumn(f"_u{i}", dup.scalar())  # scalar subquery: one value
+
+    if key_rules:
+        i0, e0 = key_rules[0]
+        per_key = df.groupBy(*e0.params["key"]).agg(
+            F.count(F.lit(1)).alias("_c"), *[v.alias(k) for k, v in row_aggs.items()])
+        one = per_key.agg(
+            F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
+            F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias(f"_u{i0}"),
+            *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in row_aggs])
+        for i, e in key_rules[1:]:  # further keys: one grouped scalar subquery each
+            k = df.groupBy(*e.params["key"]).agg(F.count(F.lit(1)).alias("_c"))
+            one = one.withColumn(f"_u{i}", k.agg(
+                F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0))).scalar())
+    else:
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[v.alias(k) for k, v in row_aggs.items()])
 
     n = F.col("_n")
     rows = []
@@ -107,7 +121,7 @@ def run_suite(df: DataFrame, rules: list[Expectation]) -> DataFrame:
         elif not present:
             rows.append(_row(e, n, F.lit(None).cast("bigint"), n).withField("success", F.lit(False)))
         else:
-            denom = F.col(f"_d{i}") if f"_d{i}" in aggs else n
+            denom = F.col(f"_d{i}") if f"_d{i}" in row_aggs else n
             rows.append(_row(e, n, F.col(f"_u{i}"), denom))
     return one.select(F.inline(F.array(*rows)))
 

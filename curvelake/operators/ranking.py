@@ -9,6 +9,10 @@ into one task.  Instead:
 3. add, per partition, the row count and the number of distinct keys of all
    earlier partitions.  That offset table has one row per partition — its size
    is fixed by the partition count, not by the data — so it is broadcast.
+
+The locally ranked rows are used twice (offsets, then the final join), so they
+are checkpointed once into the shared checkpoint folder: reliable storage that
+survives executor loss, and the input is not computed twice.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from curvelake.session import shared_dir
+
 
 def global_rank(df: DataFrame, key: str, descending: bool = True,
                 rank_col: str = "rank", dense_col: str = "dense_rank",
@@ -25,8 +31,9 @@ def global_rank(df: DataFrame, key: str, descending: bool = True,
     order = F.col(key).desc_nulls_first() if descending else F.col(key).asc_nulls_last()
     ranged = df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid").orderBy(order)
+    shared_dir(spark)
     ranked = (ranged.withColumn("_r", F.rank().over(local))
-              .withColumn("_d", F.dense_rank().over(local)))
+              .withColumn("_d", F.dense_rank().over(local))).checkpoint(eager=True)
     per_part = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"), F.max("_d").alias("_keys"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(

@@ -63,7 +63,12 @@ def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def load_observations(parsed_docs: DataFrame, silver: DataFrame) -> Load:
     """Parsed observation documents + current silver -> rows to insert."""
     good, bad = typed_observations(B.observation_rows(parsed_docs))
-    new = M.insert_if_absent(good, silver, S.OBSERVATIONS_KEY, order=["ingest_date", "series_id", "pos"])
+    # first-wins order (ingest day, position in the document) as one bigint,
+    # so the de-duplication is a hash aggregate
+    ordkey = (F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32)
+              + F.col("pos").cast("bigint")).alias("_ord")
+    g = good.select("observation_date", "series_id", "value", ordkey)
+    new = M.insert_if_absent(g, silver, S.OBSERVATIONS_KEY, order=["_ord"])
     return Load(new.select("observation_date", "series_id", "value"), bad)
 
 
@@ -84,7 +89,8 @@ def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def load_filings(parsed_docs: DataFrame, silver: DataFrame) -> Load:
     good, bad = typed_filings(B.filing_rows(parsed_docs))
-    new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "cik", "pos"])
+    good = good.withColumn("_doc", F.col("cik"))  # order: ingest day, document, position
+    new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "_doc", "pos"])
     return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad)
 
 
@@ -96,7 +102,7 @@ def error_documents(parsed_docs: DataFrame, payload: str = "observations") -> Da
 def company_updates(directory_rows: DataFrame) -> DataFrame:
     """Directory rows -> one (cik, ticker, name) per cik, the last one written."""
     return M.dedupe(directory_rows.select("cik", "ticker", "name", "pos", "doc"),
-                    ["cik"], ["pos", "doc"], keep="last").select("cik", "ticker", "name")
+                    ["cik"], ["pos", "doc"], keep="last")
 
 
 def upsert_companies(companies: DataFrame, directory_rows: DataFrame) -> DataFrame:
