@@ -412,3 +412,15 @@ def _q(spark, d):
     q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint")
     q.awaitTermination()
     return spark.read.parquet(wh.observations).select("observation_date", "series_id", "value")
+
+
+# --- 2.B views: the SQL path -------------------------------------------------
+
+from curvelake.plans.views import register_views  # noqa: E402
+
+
+@register("ddl_views")
+def _q(spark, d):
+    """The daily snapshot through SQL over the registered views."""
+    register_views(spark, T.observations(spark, d), T.filings(spark, d), T.companies(spark, d))
+    return spark.sql("SELECT * FROM gold_daily_snapshot")
