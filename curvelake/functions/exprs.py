@@ -100,3 +100,17 @@ def year(c: str | Column = "observation_date") -> Column:
 
 def month(c: str | Column = "observation_date") -> Column:
     return F.month(col(c)).cast("bigint")
+
+
+def literal_rows(spark, rows: list[tuple], schema) -> "DataFrame":
+    """A small literal table built inside the JVM (``inline(array(struct…))``),
+    without shipping Python objects through Python workers."""
+    from pyspark.sql.types import DataType
+
+    if isinstance(schema, str):
+        schema = DataType.fromDDL(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from curvelake import schemas as S
-from curvelake.functions.exprs import strip_leading_zeros
+from curvelake.functions.exprs import literal_rows, strip_leading_zeros
 from curvelake.operators import quality as Q
 from curvelake.operators import silver as SV
 from curvelake.sinks import writers as W
@@ -58,6 +58,14 @@ SILVER_OBS = T.StructType(S.OBSERVATIONS.fields + [T.StructField("ingested_at",
 SILVER_FIL = T.StructType(S.FILINGS.fields + [T.StructField("ingested_at", T.TimestampType())])
 
 
+def create_tables(spark: SparkSession, wh: Warehouse) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` for the silver tables: an empty table
+    with the declared schema, written with save mode ``ignore`` (a no-op when
+    the table already exists)."""
+    for path, schema in ((wh.observations, SILVER_OBS), (wh.filings, SILVER_FIL)):
+        literal_rows(spark, [], schema).write.mode("ignore").parquet(path)
+
+
 def silver_observations(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return W.read_or_empty(spark, wh.observations, SILVER_OBS)
 
@@ -70,7 +78,7 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
     """Parsed observation docs -> silver; returns (entities, inserted rows)."""
     active = W.read_versioned(spark, wh.series, S.SERIES).where("is_active").select("series_id")
     docs = docs.join(active, "series_id", "left_semi")
-    load = SV.load_observations(docs, silver_observations(spark, wh))
+    load = SV.load_observations(docs, silver_observations(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.observations, ["series_id", "observation_date"])
     load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "observations"))
     return docs.select("series_id").distinct().count(), inserted
@@ -79,7 +87,7 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
 def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tuple[int, int]:
     active = W.read_versioned(spark, wh.companies, S.COMPANIES).where("is_active").select("cik")
     docs = docs.join(active, strip_leading_zeros(docs["cik"]) == active["cik"], "left_semi")
-    load = SV.load_filings(docs, silver_filings(spark, wh))
+    load = SV.load_filings(docs, silver_filings(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.filings, ["cik", "accession_number"])
     load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "filings"))
     return docs.select("cik").distinct().count(), inserted
@@ -96,15 +104,15 @@ def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.dat
     Same result as loading day by day: inserts are first-wins, and documents
     are ordered by ingest date inside the job.
     """
+    create_tables(spark, wh)
     rng = (start, end)
     obs_docs = B.read_observation_docs(spark, bronze_root, rng)
     fil_docs = B.read_filing_docs(spark, bronze_root, rng)
     n_series, n_obs = load_observation_docs(spark, obs_docs, wh)
     n_comp, n_fil = load_filing_docs(spark, fil_docs, wh)
     label = str(start) if start == end else f"{start}..{end}"
-    return spark.createDataFrame(
-        [(label, "fred", n_series, n_obs), (label, "sec", n_comp, n_fil)],
-        "date string, source string, entities bigint, silver_rows bigint")
+    return literal_rows(spark, [(label, "fred", n_series, n_obs), (label, "sec", n_comp, n_fil)],
+                        "date string, source string, entities bigint, silver_rows bigint")
 
 
 def validate(spark: SparkSession, wh: Warehouse, run_id: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from curvelake import schemas as S
 from curvelake.functions import exprs as X
 from curvelake.operators import merge as M
+from curvelake.session import shared_dir
 from curvelake.sources import bronze as B
 
 
@@ -41,7 +42,14 @@ def filter_missing_marker(rows: DataFrame) -> DataFrame:
     return rows.where(v.isNull() | (v != S.MISSING_MARKER))
 
 
-def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _materialized(df: DataFrame) -> DataFrame:
+    """Cut lineage: write once to the shared checkpoint folder (reliable
+    storage), so the expensive JSON parse is not repeated for each output."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def typed_observations(rows: DataFrame, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """String rows -> (typed rows, rejects).  Output typed columns:
     observation_date, series_id, value, plus ingest_date and pos for ordering."""
     r = filter_missing_marker(rows)
@@ -53,6 +61,8 @@ def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
               .when(F.col("observation_date").isNull(), F.lit("bad date"))
               .when(F.col("value").isNull(), F.lit("bad value")))
     t = t.withColumn("reject_reason", reason)
+    if materialize:
+        t = _materialized(t)
     good = t.where(F.col("reject_reason").isNull()).select(
         "observation_date", "series_id", "value", "ingest_date", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
@@ -60,9 +70,10 @@ def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def load_observations(parsed_docs: DataFrame, silver: DataFrame) -> Load:
-    """Parsed observation documents + current silver -> rows to insert."""
-    good, bad = typed_observations(B.observation_rows(parsed_docs))
+def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
+    """Parsed observation documents + current silver -> rows to insert.
+    ``materialize`` parses once for both outputs (jobs that write both)."""
+    good, bad = typed_observations(B.observation_rows(parsed_docs), materialize)
     # first-wins order (ingest day, position in the document) as one bigint,
     # so the de-duplication is a hash aggregate
     ordkey = (F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32)
@@ -72,7 +83,7 @@ def load_observations(parsed_docs: DataFrame, silver: DataFrame) -> Load:
     return Load(new.select("observation_date", "series_id", "value"), bad)
 
 
-def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def typed_filings(rows: DataFrame, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     t = rows.select("accession_number", "cik", "company_name",
                     F.col("form").alias("filing_type"),
                     X.to_iso_date("filing_date_str").alias("filing_date"),
@@ -80,6 +91,8 @@ def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     reason = (F.when(~F.col("complete"), F.lit("unequal arrays"))
               .when(F.col("filing_date_str").isNotNull() & F.col("filing_date").isNull(), F.lit("bad date")))
     t = t.withColumn("reject_reason", reason)
+    if materialize:
+        t = _materialized(t)
     good = t.where(F.col("reject_reason").isNull()).select(
         "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
@@ -87,8 +100,8 @@ def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def load_filings(parsed_docs: DataFrame, silver: DataFrame) -> Load:
-    good, bad = typed_filings(B.filing_rows(parsed_docs))
+def load_filings(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
+    good, bad = typed_filings(B.filing_rows(parsed_docs), materialize)
     good = good.withColumn("_doc", F.col("cik"))  # order: ingest day, document, position
     new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "_doc", "pos"])
     return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad)

@@ -189,6 +189,7 @@ import datetime as _dt  # noqa: E402
 from decimal import Decimal as _D  # noqa: E402
 
 from curvelake import schemas as S  # noqa: E402
+from curvelake.functions.exprs import literal_rows  # noqa: E402
 from curvelake.operators import merge as M  # noqa: E402
 from curvelake.operators import silver as SV  # noqa: E402
 from curvelake.sources import bronze as B  # noqa: E402
@@ -274,7 +275,7 @@ def _q(spark, d):
         _raw_observation_strings(o.where(F.col("observation_date") < F.lit(CUTOFF)), revise=False), F.lit(DAY1))
     day2 = B.render_observation_docs(_raw_observation_strings(o, revise=True), F.lit(DAY2))
     docs = day1.unionByName(day2).where(F.col("ingest_date").between(F.lit(DAY1), F.lit(DAY2)))
-    empty = spark.createDataFrame([], S.OBSERVATIONS)
+    empty = literal_rows(spark, [], S.OBSERVATIONS)
     return SV.load_observations(B.parse_observation_docs(docs), empty).new_rows
 
 
@@ -370,7 +371,7 @@ NEW_COMPANY = ("9999999999", "NEWCO", "New Company Inc.")
 
 @register("insert_config_row")
 def _q(spark, d):
-    row = spark.createDataFrame([NEW_COMPANY], "cik string, ticker string, name string")
+    row = literal_rows(spark, [NEW_COMPANY], "cik string, ticker string, name string")
     return M.insert_rows(T.companies(spark, d), row, S.COMPANIES_KEY, {"is_active": F.lit(True)})
 
 
@@ -424,3 +425,17 @@ def _q(spark, d):
     """The daily snapshot through SQL over the registered views."""
     register_views(spark, T.observations(spark, d), T.filings(spark, d), T.companies(spark, d))
     return spark.sql("SELECT * FROM gold_daily_snapshot")
+
+
+@register("job_daily")
+def _q(spark, d):
+    """One daily run over bronze files: both sources, one result row each."""
+    from curvelake.jobs import run_daily
+
+    base = scratch_path(spark, "daily-job")
+    bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
+    WR.write_bronze(_observation_docs(spark, d, revise=False, ingest=DAY2), bronze, "fred", S.OBSERVATION_DOC)
+    WR.write_bronze(B.render_filing_docs(T.filings(spark, d), F.lit(DAY2)), bronze, "sec", S.FILING_DOC)
+    WR.write_versioned(T.series(spark), wh.series)
+    WR.write_versioned(T.companies(spark, d), wh.companies)
+    return run_daily(spark, bronze, wh, DAY2)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curvelake.functions.exprs import literal_rows
 from curvelake.sources import bronze as B
 
 
@@ -30,7 +31,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], schema)
+            return literal_rows(spark, [], schema)
         raise
 
 
@@ -75,7 +76,7 @@ def current_version(spark: SparkSession, root: str) -> str | None:
 def read_versioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     v = current_version(spark, root)
     if v is None:
-        return spark.createDataFrame([], schema)
+        return literal_rows(spark, [], schema)
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{v}")
 
 
@@ -85,7 +86,7 @@ def write_versioned(df: DataFrame, root: str) -> str:
     spark = df.sparkSession
     v = "v" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:6]
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{v}")
-    spark.createDataFrame([(v,)], "v string").coalesce(1).write.mode("overwrite").text(_pointer(root))
+    literal_rows(spark, [(v,)], "v string").coalesce(1).write.mode("overwrite").text(_pointer(root))
     return v
 
 

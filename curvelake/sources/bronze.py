@@ -168,13 +168,19 @@ def render_observation_docs(rows: DataFrame, ingest_date: Column | None = None)
 
 
 def render_filing_docs(fil: DataFrame, ingest_date: Column | None = None,
-                       short_form: Column | None = None) -> DataFrame:
-    """Filings -> one submissions document per (cik, filing day).
+                       short_form: Column | None = None, chunk: Column | None = None) -> DataFrame:
+    """Filings -> submissions documents, one per (cik, filing day, chunk).
 
+    ``chunk`` splits a company-day into documents of bounded size; the
+    default is blocks of 1000 consecutive sequence numbers taken from the
+    accession number (unique), so no document ever holds more than 1000
+    filings, however many one company files in a day.
     ``short_form`` (a boolean column over the group) drops the last ``form``
     entry of that document, producing unequal arrays."""
+    if chunk is None:
+        chunk = F.floor(F.substring_index("accession_number", "-", -1).cast("bigint") / 1000)
     item = F.struct("accession_number", "filing_type", "filing_date")
-    g = (fil.groupBy("cik", "company_name", "filing_date")
+    g = (fil.groupBy("cik", "company_name", "filing_date", chunk.alias("_chunk"))
          .agg(F.array_sort(F.collect_list(item)).alias("_items")))
     forms = F.transform("_items", lambda x: x["filing_type"])
     if short_form is not None:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake import schemas as S
-from curvelake.functions.exprs import zfill
+from curvelake.functions.exprs import literal_rows, zfill
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -94,4 +94,4 @@ INACTIVE_SERIES = ["TEDRATE"]
 def series(spark: SparkSession) -> DataFrame:
     """The tracked-series configuration table (seed list)."""
     rows = [(sid, name, cat, sid not in INACTIVE_SERIES) for sid, name, cat in S.SERIES_SEED]
-    return spark.createDataFrame(rows, S.SERIES)
+    return literal_rows(spark, rows, S.SERIES)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from curvelake import schemas as S
-from curvelake.jobs import Warehouse, load_observation_docs
+from curvelake.jobs import Warehouse, create_tables, load_observation_docs
 from curvelake.sources import bronze as B
 
 
@@ -39,6 +39,7 @@ def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int
 def stream_bronze_to_silver(spark: SparkSession, bronze_root: str, wh: Warehouse, checkpoint: str,
                             available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
     """Start the load; each micro-batch is one ``load_observation_docs`` job."""
+    create_tables(spark, wh)
     docs = observation_doc_stream(spark, bronze_root, max_files)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
