@@ -439,3 +439,37 @@ def _q(spark, d):
     WR.write_versioned(T.series(spark), wh.series)
     WR.write_versioned(T.companies(spark, d), wh.companies)
     return run_daily(spark, bronze, wh, DAY2)
+
+
+# --- sinks as round trips (write to the shared folder, read back) -----------
+
+@register("sink_bronze")
+def _q(spark, d):
+    """Documents written as bronze files and read back as observation rows."""
+    bronze = f"{scratch_path(spark, 'sink-bronze')}/bronze"
+    WR.write_bronze(_observation_docs(spark, d), bronze, "fred", S.OBSERVATION_DOC)
+    return B.observation_rows(B.read_observation_docs(spark, bronze)).select("series_id", "date", "value")
+
+
+@register("layout_by_key")
+def _q(spark, d):
+    """Observations written range-partitioned and sorted by key, read back with
+    a series filter that the Parquet reader applies to row-group statistics."""
+    path = f"{scratch_path(spark, 'layout')}/silver"
+    WR.layout_by_key(T.observations(spark, d), ["series_id", "observation_date"]).write.parquet(path)
+    return R.filter_series_eq(spark.read.schema(S.OBSERVATIONS).parquet(path), "DGS10")
+
+
+@register("sink_validation_results")
+def _q(spark, d):
+    """Suite results appended to the results table and read back."""
+    path = f"{scratch_path(spark, 'results')}/quality"
+    WR.write_validation_results(Q.run_suite(T.observations(spark, d), Q.observation_suite()),
+                                path, "fred_data_suite", "run-1")
+    return spark.read.parquet(path).drop("validated_at", "suite", "run_id")
+
+
+@register("quality_gate")
+def _q(spark, d):
+    """The gate over the silver table: passes, returning the results."""
+    return Q.gate(Q.run_suite(T.observations(spark, d), Q.observation_suite()))
