@@ -81,7 +81,7 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
     load = SV.load_observations(docs, silver_observations(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.observations, ["series_id", "observation_date"])
     load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "observations"))
-    return docs.select("series_id").distinct().count(), inserted
+    return load.typed.select("series_id").distinct().count(), inserted
 
 
 def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tuple[int, int]:
@@ -90,7 +90,7 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tup
     load = SV.load_filings(docs, silver_filings(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.filings, ["cik", "accession_number"])
     load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "filings"))
-    return docs.select("cik").distinct().count(), inserted
+    return load.typed.select("cik").distinct().count(), inserted
 
 
 def run_daily(spark: SparkSession, bronze_root: str, wh: Warehouse, ingest_date: dt.date) -> DataFrame:

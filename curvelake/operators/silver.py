@@ -34,6 +34,7 @@ class Load:
 
     new_rows: DataFrame
     rejects: DataFrame
+    typed: DataFrame | None = None   # every parsed row with its reject reason
 
 
 def filter_missing_marker(rows: DataFrame) -> DataFrame:
@@ -49,20 +50,22 @@ def _materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def typed_observations(rows: DataFrame, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
-    """String rows -> (typed rows, rejects).  Output typed columns:
-    observation_date, series_id, value, plus ingest_date and pos for ordering."""
+def typing_observations(rows: DataFrame) -> DataFrame:
+    """String rows -> typed rows with a ``reject_reason`` (NULL when good)."""
     r = filter_missing_marker(rows)
     t = r.select("series_id", "ingest_date", "pos",
                  X.to_iso_date("date").alias("observation_date"),
                  X.to_value("value").alias("value"),
                  F.col("date").alias("raw_date"), F.col("value").alias("raw_value"))
-    reason = (F.when(F.col("series_id").isNull() | (F.col("series_id") == ""), F.lit("no series id"))
+    reason = (F.when(F.col("pos").isNull(), F.lit("no observations"))
+              .when(F.col("series_id").isNull() | (F.col("series_id") == ""), F.lit("no series id"))
               .when(F.col("observation_date").isNull(), F.lit("bad date"))
               .when(F.col("value").isNull(), F.lit("bad value")))
-    t = t.withColumn("reject_reason", reason)
-    if materialize:
-        t = _materialized(t)
+    return t.withColumn("reject_reason", reason)
+
+
+def split_typed_observations(t: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed rows -> (good rows, rejects)."""
     good = t.where(F.col("reject_reason").isNull()).select(
         "observation_date", "series_id", "value", "ingest_date", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
@@ -70,29 +73,44 @@ def typed_observations(rows: DataFrame, materialize: bool = False) -> tuple[Data
     return good, bad
 
 
+def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """String rows -> (typed rows, rejects).  Output typed columns:
+    observation_date, series_id, value, plus ingest_date and pos for ordering."""
+    return split_typed_observations(typing_observations(rows))
+
+
 def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
     """Parsed observation documents + current silver -> rows to insert.
-    ``materialize`` parses once for both outputs (jobs that write both)."""
-    good, bad = typed_observations(B.observation_rows(parsed_docs), materialize)
+
+    ``materialize`` (jobs that write several outputs) parses the documents
+    once, keeps payload-less documents as ``no observations`` rejects, and
+    checkpoints the typed rows for the new rows, the rejects and the counts."""
+    t = typing_observations(B.observation_rows(parsed_docs, keep_empty=materialize))
+    if materialize:
+        t = _materialized(t)
+    good, bad = split_typed_observations(t)
     # first-wins order (ingest day, position in the document) as one bigint,
     # so the de-duplication is a hash aggregate
     ordkey = (F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32)
               + F.col("pos").cast("bigint")).alias("_ord")
     g = good.select("observation_date", "series_id", "value", ordkey)
     new = M.insert_if_absent(g, silver, S.OBSERVATIONS_KEY, order=["_ord"])
-    return Load(new.select("observation_date", "series_id", "value"), bad)
+    return Load(new.select("observation_date", "series_id", "value"), bad, t)
 
 
-def typed_filings(rows: DataFrame, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+def typing_filings(rows: DataFrame) -> DataFrame:
+    """Filing rows -> typed rows with a ``reject_reason`` (NULL when good)."""
     t = rows.select("accession_number", "cik", "company_name",
                     F.col("form").alias("filing_type"),
                     X.to_iso_date("filing_date_str").alias("filing_date"),
                     "filing_date_str", "complete", "ingest_date", "pos")
-    reason = (F.when(~F.col("complete"), F.lit("unequal arrays"))
+    reason = (F.when(F.col("pos").isNull(), F.lit("no filings"))
+              .when(~F.col("complete"), F.lit("unequal arrays"))
               .when(F.col("filing_date_str").isNotNull() & F.col("filing_date").isNull(), F.lit("bad date")))
-    t = t.withColumn("reject_reason", reason)
-    if materialize:
-        t = _materialized(t)
+    return t.withColumn("reject_reason", reason)
+
+
+def split_typed_filings(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
         "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
@@ -100,11 +118,18 @@ def typed_filings(rows: DataFrame, materialize: bool = False) -> tuple[DataFrame
     return good, bad
 
 
+def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_typed_filings(typing_filings(rows))
+
+
 def load_filings(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
-    good, bad = typed_filings(B.filing_rows(parsed_docs), materialize)
+    t = typing_filings(B.filing_rows(parsed_docs, keep_empty=materialize))
+    if materialize:
+        t = _materialized(t)
+    good, bad = split_typed_filings(t)
     good = good.withColumn("_doc", F.col("cik"))  # order: ingest day, document, position
     new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "_doc", "pos"])
-    return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad)
+    return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad, t)
 
 
 def error_documents(parsed_docs: DataFrame, payload: str = "observations") -> DataFrame:

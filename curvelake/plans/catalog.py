@@ -408,7 +408,7 @@ def _q(spark, d):
     checkpoint area, stream them into silver, read silver back."""
     base = scratch_path(spark, "stream-load")
     bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
-    WR.write_bronze(_observation_docs(spark, d, revise=False), bronze, "fred", S.OBSERVATION_DOC)
+    WR.write_bronze(_observation_docs(spark, d, revise=False), bronze, "fred")
     WR.write_versioned(T.series(spark), wh.series)
     q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint")
     q.awaitTermination()
@@ -434,8 +434,8 @@ def _q(spark, d):
 
     base = scratch_path(spark, "daily-job")
     bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
-    WR.write_bronze(_observation_docs(spark, d, revise=False, ingest=DAY2), bronze, "fred", S.OBSERVATION_DOC)
-    WR.write_bronze(B.render_filing_docs(T.filings(spark, d), F.lit(DAY2)), bronze, "sec", S.FILING_DOC)
+    WR.write_bronze(_observation_docs(spark, d, revise=False, ingest=DAY2), bronze, "fred")
+    WR.write_bronze(B.render_filing_docs(T.filings(spark, d), F.lit(DAY2)), bronze, "sec")
     WR.write_versioned(T.series(spark), wh.series)
     WR.write_versioned(T.companies(spark, d), wh.companies)
     return run_daily(spark, bronze, wh, DAY2)
@@ -447,7 +447,7 @@ def _q(spark, d):
 def _q(spark, d):
     """Documents written as bronze files and read back as observation rows."""
     bronze = f"{scratch_path(spark, 'sink-bronze')}/bronze"
-    WR.write_bronze(_observation_docs(spark, d), bronze, "fred", S.OBSERVATION_DOC)
+    WR.write_bronze(_observation_docs(spark, d), bronze, "fred")
     return B.observation_rows(B.read_observation_docs(spark, bronze)).select("series_id", "date", "value")
 
 

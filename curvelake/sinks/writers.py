@@ -35,13 +35,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         raise
 
 
-def write_bronze(docs: DataFrame, root: str, source: str, doc_schema: T.StructType) -> None:
-    """(entity_id, ingest_date, doc JSON string) -> raw documents, one per line."""
-    d = docs.select(F.col(B.ENTITY), "ingest_date", F.lit(source).alias("source"),
-                    F.from_json("doc", doc_schema).alias("d"))
-    (d.select(B.ENTITY, "source", "ingest_date", "d.*")
+def write_bronze(docs: DataFrame, root: str, source: str) -> None:
+    """(entity_id, ingest_date, doc JSON string) -> raw documents, one per line.
+
+    The document text is written as is, with the entity id spliced in as its
+    first field (``{"entity_id":"X", ...doc fields...}``) — no parse and
+    re-serialisation of the payload."""
+    head = F.regexp_replace(F.to_json(F.struct(F.col(B.ENTITY))), r"\}$", "")   # {"entity_id":"X"
+    body = F.trim(F.col("doc"))
+    inner = F.trim(F.expr("substring(trim(doc), 2, length(trim(doc)) - 2)"))     # fields, no braces
+    line = F.when(inner == "", F.concat(head, F.lit("}"))) \
+        .otherwise(F.concat(head, F.lit(","), inner, F.lit("}")))
+    (docs.where(body.startswith("{") & F.col(B.ENTITY).isNotNull())
+     .select(line.alias("value"), F.lit(source).alias("source"), "ingest_date")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "ingest_date").json(root))
+     .partitionBy("source", "ingest_date").text(root))
 
 
 def layout_by_key(df: DataFrame, key: list[str]) -> DataFrame:

@@ -14,11 +14,13 @@ missing level (error documents, no ``filings``/``recent``) is simply NULL.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curvelake import schemas as S
+from curvelake.functions.exprs import literal_rows
 
 ENTITY = "entity_id"
 
@@ -37,27 +39,31 @@ def _date_from_path(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})/[^/]+$", 1), "yyyy-MM-dd")
 
 
-def observation_rows(docs: DataFrame) -> DataFrame:
+def observation_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Parsed observation documents -> one row per observation.
 
     Input columns: ``series_id``, ``ingest_date``, ``observations``.
     Output: (series_id, ingest_date, pos, date, value) with date/value still
     strings; ``pos`` is the position in the document (first-wins order).
-    A document without ``observations`` yields no rows.
+    A document without ``observations`` yields no rows, or with
+    ``keep_empty`` one row with NULL ``pos`` (so it can be reported).
     """
-    e = docs.select("series_id", "ingest_date", F.posexplode("observations").alias("pos", "o"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
+    e = docs.select("series_id", "ingest_date", explode("observations").alias("pos", "o"))
     return e.select("series_id", "ingest_date", "pos",
                     F.col("o.date").alias("date"), F.col("o.value").alias("value"))
 
 
-def filing_rows(docs: DataFrame) -> DataFrame:
+def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Parsed filing documents -> one row per accession number.
 
     The three used arrays are zipped; ``arrays_zip`` pads a shorter array with
     NULL, so a row whose form/date slot is missing is *kept* here with
     ``complete = false`` (the load routes it to rejects), while slots beyond the
-    accession list are dropped (the accession list drives the rows).
+    accession list are dropped (the accession list drives the rows).  With
+    ``keep_empty`` a document without filings gives one row with NULL ``pos``.
     """
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     r = F.col("filings.recent")
     n = F.size(r["accessionNumber"])
     z = F.arrays_zip(r["accessionNumber"].alias("a"), r["form"].alias("f"), r["filingDate"].alias("d"))
@@ -66,8 +72,8 @@ def filing_rows(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("name"), F.lit("")).alias("company_name"),
         "ingest_date",
         n.alias("_n"), F.size(r["form"]).alias("_nf"), F.size(r["filingDate"]).alias("_nd"),
-        F.posexplode(z).alias("pos", "z"))
-    return (e.where(F.col("pos") < F.col("_n"))
+        explode(z).alias("pos", "z"))
+    return (e.where(F.col("pos").isNull() | (F.col("pos") < F.col("_n")))
             .select("cik", "company_name", "ingest_date", "pos",
                     F.col("z.a").alias("accession_number"), F.col("z.f").alias("form"),
                     F.col("z.d").alias("filing_date_str"),
@@ -97,9 +103,13 @@ def _read_json(spark: SparkSession, root: str, source: str, schema: T.StructType
         T.StructField("source", T.StringType()),
         T.StructField("ingest_date", T.DateType()),
     ])
-    df = (spark.read.schema(full).option("basePath", root)
-          .option("recursiveFileLookup", "false")
-          .json(f"{root.rstrip('/')}/source={source}"))
+    try:
+        df = (spark.read.schema(full).option("basePath", root)
+              .json(f"{root.rstrip('/')}/source={source}"))
+    except AnalysisException as e:  # nothing landed for this source yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return literal_rows(spark, [], full)
     path = F.col("_metadata.file_path")
     df = (df.withColumn(ENTITY, F.coalesce(F.col(ENTITY), _entity_from_path(path)))
           .withColumn("ingest_date", F.coalesce(F.col("ingest_date"), _date_from_path(path))))

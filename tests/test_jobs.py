@@ -30,11 +30,11 @@ def landed(spark, scratch):
     o = T.observations(spark, SF_SMALL)
     early = o.where(F.col("observation_date") < F.lit(C.CUTOFF))
     WR.write_bronze(B.render_observation_docs(C._raw_observation_strings(early, revise=False), F.lit(DAY1)),
-                    bronze, "fred", S.OBSERVATION_DOC)
+                    bronze, "fred")
     WR.write_bronze(B.render_observation_docs(C._raw_observation_strings(o, revise=True), F.lit(DAY2)),
-                    bronze, "fred", S.OBSERVATION_DOC)
+                    bronze, "fred")
     fil = T.filings(spark, SF_SMALL)
-    WR.write_bronze(B.render_filing_docs(fil, F.lit(DAY1)), bronze, "sec", S.FILING_DOC)
+    WR.write_bronze(B.render_filing_docs(fil, F.lit(DAY1)), bronze, "sec")
     return bronze
 
 
@@ -93,7 +93,7 @@ def test_stream_equals_batch_and_replays_nothing(spark, scratch, landed):
 
 def test_bronze_day_overwrite_replaces_only_that_day(spark, scratch, landed):
     one = spark.createDataFrame([("DGS10", DAY2, '{"observations": []}')], "entity_id string, ingest_date date, doc string")
-    WR.write_bronze(one, landed, "fred", S.OBSERVATION_DOC)
+    WR.write_bronze(one, landed, "fred")
     docs = B.read_observation_docs(spark, landed)
     per_day = {r.ingest_date: r["count"] for r in docs.groupBy("ingest_date").count().collect()}
     assert per_day[DAY2] == 1 and per_day[DAY1] > 1
@@ -119,3 +119,16 @@ def test_company_directory_file(spark, scratch):
                           "value string").coalesce(1).write.text(path)
     rows = B.ticker_rows(B.read_company_directory(spark, path)).collect()
     assert sorted((r.cik, r.ticker) for r in rows) == [("320193", "AAPL"), ("789019", "MSFT")]
+
+
+def test_error_documents_are_reported_as_rejects(spark, scratch):
+    bronze, wh = f"{scratch}/bronze-err", warehouse(spark, f"{scratch}/wh-err")
+    docs = spark.createDataFrame([
+        ("DGS10", DAY1, '{"observations": [{"date": "2026-01-26", "value": "4.23"}]}'),
+        ("DGS2", DAY1, '{"error_code": 400, "error_message": "Bad Request"}'),
+    ], "entity_id string, ingest_date date, doc string")
+    WR.write_bronze(docs, bronze, "fred")
+    res = {r.source: (r.entities, r.silver_rows) for r in run_daily(spark, bronze, wh, DAY1).collect()}
+    assert res["fred"] == (2, 1)
+    rej = spark.read.parquet(wh.path("silver", "_rejects", "observations")).collect()
+    assert [(r.series_id, r.reject_reason) for r in rej] == [("DGS2", "no observations")]
