@@ -6,13 +6,30 @@ Every entry reads the given tables (through the bindings in
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
+from decimal import Decimal as _D
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curvelake import schemas as S
+from curvelake.functions.exprs import literal_rows
+from curvelake.jobs import Warehouse
+from curvelake.operators import aggregates as A
 from curvelake.operators import gold
+from curvelake.operators import merge as M
+from curvelake.operators import quality as Q
+from curvelake.operators import relational as R
+from curvelake.operators import series as W
+from curvelake.operators import silver as SV
+from curvelake.plans.oracle import IN_LIST_TICKERS
+from curvelake.plans.views import register_views
+from curvelake.session import scratch_path
+from curvelake.sinks import writers as WR
+from curvelake.sources import bronze as B
 from curvelake.sources import tables as T
+from curvelake.streaming.bronze_stream import stream_bronze_to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +71,6 @@ def _q(spark, d):
 
 # --- 2.F windows (all series; series=['DGS10'] gives the single-series form)
 
-from curvelake.operators import series as W  # noqa: E402
 
 for _name, _fn in {
     "lag_change": W.lag_change,
@@ -86,7 +102,6 @@ def _q(spark, d):
 
 # --- 2.E aggregates ---------------------------------------------------------
 
-from curvelake.operators import aggregates as A  # noqa: E402
 
 for _name, _fn in {
     "series_stats": A.series_stats,
@@ -109,9 +124,6 @@ for _name, _fn in {
 
 # --- 2.C / 2.D / 2.G / 2.H relational --------------------------------------
 
-from curvelake.operators import relational as R  # noqa: E402
-
-from curvelake.plans.oracle import IN_LIST_TICKERS  # noqa: E402
 
 for _name, _fn in {
     "scan_silver": lambda o: o,
@@ -185,14 +197,6 @@ def _q(spark, d):
 #                             (unequal arrays: that accession is rejected)
 #   documents of ERROR_YEAR (bronze_error_documents only) -> error payload
 
-import datetime as _dt  # noqa: E402
-from decimal import Decimal as _D  # noqa: E402
-
-from curvelake import schemas as S  # noqa: E402
-from curvelake.functions.exprs import literal_rows  # noqa: E402
-from curvelake.operators import merge as M  # noqa: E402
-from curvelake.operators import silver as SV  # noqa: E402
-from curvelake.sources import bronze as B  # noqa: E402
 
 CUTOFF = _dt.date(1998, 1, 1)
 ERROR_YEAR = "1999"
@@ -377,8 +381,6 @@ def _q(spark, d):
 
 # --- 2.K data quality -------------------------------------------------------
 
-from curvelake.operators import quality as Q  # noqa: E402
-
 
 @register("run_suite")
 def _q(spark, d):
@@ -396,11 +398,6 @@ def _q(spark, d):
 
 # --- 2.L arrival-driven load (Structured Streaming, availableNow) -----------
 
-from curvelake.jobs import Warehouse  # noqa: E402
-from curvelake.session import scratch_path  # noqa: E402
-from curvelake.sinks import writers as WR  # noqa: E402
-from curvelake.streaming.bronze_stream import stream_bronze_to_silver  # noqa: E402
-
 
 @register("stream_bronze_to_silver")
 def _q(spark, d):
@@ -417,8 +414,6 @@ def _q(spark, d):
 
 # --- 2.B views: the SQL path -------------------------------------------------
 
-from curvelake.plans.views import register_views  # noqa: E402
-
 
 @register("ddl_views")
 def _q(spark, d):
