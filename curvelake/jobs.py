@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from curvelake import schemas as S
 from curvelake.functions.exprs import literal_rows, strip_leading_zeros
+from curvelake.operators import merge as M
 from curvelake.operators import quality as Q
 from curvelake.operators import silver as SV
 from curvelake.sinks import writers as W
@@ -74,13 +75,22 @@ def silver_filings(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return W.read_or_empty(spark, wh.filings, SILVER_FIL)
 
 
+def append_rejects(spark: SparkSession, rejects: DataFrame, path: str, identity: list[str]) -> None:
+    """Append rejects not already logged (a re-run or a replayed micro-batch
+    logs nothing twice)."""
+    literal_rows(spark, [], rejects.schema).write.mode("ignore").parquet(path)   # create if absent
+    logged = spark.read.schema(rejects.schema).parquet(path)
+    M.insert_if_absent(rejects, logged, identity, null_safe=True).write.mode("append").parquet(path)
+
+
 def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tuple[int, int]:
     """Parsed observation docs -> silver; returns (entities, inserted rows)."""
     active = W.read_versioned(spark, wh.series, S.SERIES).where("is_active").select("series_id")
     docs = docs.join(active, "series_id", "left_semi")
     load = SV.load_observations(docs, silver_observations(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.observations, ["series_id", "observation_date"])
-    load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "observations"))
+    append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "observations"),
+                   ["series_id", "ingest_date", "pos"])
     return load.typed.select("series_id").distinct().count(), inserted
 
 
@@ -89,7 +99,8 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tup
     docs = docs.join(active, strip_leading_zeros(docs["cik"]) == active["cik"], "left_semi")
     load = SV.load_filings(docs, silver_filings(spark, wh), materialize=True)
     inserted = W.append_silver(load.new_rows, wh.filings, ["cik", "accession_number"])
-    load.rejects.write.mode("append").parquet(wh.path("silver", "_rejects", "filings"))
+    append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "filings"),
+                   ["cik", "ingest_date", "pos", "accession_number"])
     return load.typed.select("cik").distinct().count(), inserted
 
 

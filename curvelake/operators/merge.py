@@ -39,12 +39,21 @@ def dedupe(df: DataFrame, key: list[str], order: list[str], keep: str = "first")
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, key: list[str],
-                     order: list[str] | None = None) -> DataFrame:
+                     order: list[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is not yet in ``target`` (first one wins
     inside the batch when ``order`` is given).  Revised values for an existing
-    key are ignored, as with ``INSERT … ON CONFLICT DO NOTHING``."""
+    key are ignored, as with ``INSERT … ON CONFLICT DO NOTHING``.
+    ``null_safe`` matches NULL key parts to NULL (for logs whose identity may
+    contain NULLs)."""
     b = dedupe(batch, key, order) if order else batch
-    return b.join(target.select(*key), key, "left_anti")
+    if not null_safe:
+        return b.join(target.select(*key), key, "left_anti")
+    t = target.select(*[F.col(k).alias(f"_t_{k}") for k in key])
+    cond = None
+    for k in key:
+        c = b[k].eqNullSafe(t[f"_t_{k}"])
+        cond = c if cond is None else cond & c
+    return b.join(t, cond, "left_anti")
 
 
 def merge_insert_if_absent(target: DataFrame, batch: DataFrame, key: list[str],

@@ -35,6 +35,35 @@ _DEFAULTS = {
 }
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized from the input volume and the cluster shape.
+
+    * scan splits of ``target_partition_bytes`` (``maxPartitionBytes``);
+    * shuffle partitions: enough that a full-width shuffle of the input gives
+      partitions near the target size, and at least 3 waves of the cluster's
+      cores; AQE then coalesces small ones at run time (so the number only has
+      to be large enough, never exact);
+    * skew: a shuffle partition is split when it is 5x the median and above
+      4x the target size.
+
+    e.g. 100 TB on 1000 executors x 8 cores -> ~800k scan tasks of 128 MB and
+    819,200 initial shuffle partitions, coalesced by AQE after partial
+    aggregation has shrunk the data.
+    """
+    cores = executors * cores_per_executor
+    parts = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(target_partition_bytes // 8),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.default.parallelism": str(2 * cores),
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "curvelake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.

@@ -132,3 +132,5 @@ def test_error_documents_are_reported_as_rejects(spark, scratch):
     assert res["fred"] == (2, 1)
     rej = spark.read.parquet(wh.path("silver", "_rejects", "observations")).collect()
     assert [(r.series_id, r.reject_reason) for r in rej] == [("DGS2", "no observations")]
+    run_daily(spark, bronze, wh, DAY1)   # a re-run logs nothing twice
+    assert spark.read.parquet(wh.path("silver", "_rejects", "observations")).count() == 1

@@ -124,3 +124,11 @@ def test_views_resolve_in_sql(spark):
     assert "LessThan" not in plan(W.lag_change(T.observations(spark, SF_SMALL)))
     assert gold.daily_snapshot(T.observations(spark, SF_SMALL)).columns == \
         spark.table("gold_daily_snapshot").columns
+
+
+def test_scale_conf_sizes_by_input_and_cluster():
+    from curvelake.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=8)
+    assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+    small = scale_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120          # 3 waves of 40 cores
