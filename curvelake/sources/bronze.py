@@ -14,6 +14,8 @@ missing level (error documents, no ``filings``/``recent``) is simply NULL.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,20 +98,40 @@ def ticker_rows(directory: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+def _day_glob(ingest_dates: tuple) -> str:
+    lo, hi = ingest_dates
+    days = [(lo + dt.timedelta(days=i)).isoformat() for i in range((hi - lo).days + 1)]
+    return days[0] if len(days) == 1 else "{" + ",".join(days) + "}"
+
+
 def _read_json(spark: SparkSession, root: str, source: str, schema: T.StructType,
                ingest_dates: tuple | None = None) -> DataFrame:
+    """Documents of one source, from either layout:
+
+    * ``<root>/source=<s>/ingest_date=<d>/part-*`` (written by this engine):
+      partition columns, pruned by the ingest-date filter;
+    * ``<root>/<s>/<d>/<entity>.json`` (one file per fetched entity): the
+      entity is the file name and the day the folder; a day range reads only
+      the folders of that range (path glob).
+    """
     full = T.StructType(list(schema.fields) + [
         T.StructField(ENTITY, T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("ingest_date", T.DateType()),
     ])
+    base = root.rstrip("/")
     try:
-        df = (spark.read.schema(full).option("basePath", root)
-              .json(f"{root.rstrip('/')}/source={source}"))
-    except AnalysisException as e:  # nothing landed for this source yet
+        df = spark.read.schema(full).option("basePath", base).json(f"{base}/source={source}")
+    except AnalysisException as e:  # not the partitioned layout
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return literal_rows(spark, [], full)
+        days = _day_glob(ingest_dates) if ingest_dates is not None else "*"
+        try:
+            df = spark.read.schema(full).json(f"{base}/{source}/{days}/*.json")
+        except AnalysisException as e2:  # nothing landed for this source
+            if "PATH_NOT_FOUND" not in str(e2):
+                raise
+            return literal_rows(spark, [], full)
     path = F.col("_metadata.file_path")
     df = (df.withColumn(ENTITY, F.coalesce(F.col(ENTITY), _entity_from_path(path)))
           .withColumn("ingest_date", F.coalesce(F.col("ingest_date"), _date_from_path(path))))

@@ -134,3 +134,19 @@ def test_error_documents_are_reported_as_rejects(spark, scratch):
     assert [(r.series_id, r.reject_reason) for r in rej] == [("DGS2", "no observations")]
     run_daily(spark, bronze, wh, DAY1)   # a re-run logs nothing twice
     assert spark.read.parquet(wh.path("silver", "_rejects", "observations")).count() == 1
+
+
+def test_reads_one_file_per_entity_layout(spark, scratch):
+    """Documents landed as <root>/fred/<day>/<series>.json: id from the file name."""
+    import os
+
+    root = f"{scratch}/landed"
+    for day, sid, val in [("2026-01-27", "DGS10", "4.25"), ("2026-01-27", "DGS2", "3.60"),
+                          ("2026-01-28", "DGS10", "4.26")]:
+        os.makedirs(f"{root}/fred/{day}", exist_ok=True)
+        with open(f"{root}/fred/{day}/{sid}.json", "w") as fh:
+            fh.write('{"observations": [{"date": "%s", "value": "%s"}]}' % (day, val))
+    docs = B.read_observation_docs(spark, root, (DAY1, DAY1))
+    rows = sorted((r.series_id, r.ingest_date, r.value) for r in B.observation_rows(docs).collect())
+    assert rows == [("DGS10", DAY1, "4.25"), ("DGS2", DAY1, "3.60")]
+    assert B.read_observation_docs(spark, root).count() == 3
