@@ -34,6 +34,16 @@ def duck():
     return con
 
 
+def duck_type(dt) -> str:
+    """Spark type -> the DuckDB type name it must equal."""
+    from pyspark.sql import types as T
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.DoubleType: "DOUBLE",
+              T.StringType: "VARCHAR", T.DateType: "DATE", T.BooleanType: "BOOLEAN"}
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return simple.get(type(dt), dt.simpleString())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
@@ -43,6 +53,8 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.execute(ORACLE[name])
     drows, dcols = rel.fetchall(), [d[0] for d in rel.description]
     assert sorted(cols) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert {f.name: duck_type(f.dataType) for f in df.schema.fields} == dtypes
     assert len(rows) == len(drows)
     so = sorted(range(len(cols)), key=lambda i: cols[i])
     do = sorted(range(len(dcols)), key=lambda i: dcols[i])
