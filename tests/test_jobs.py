@@ -150,3 +150,14 @@ def test_reads_one_file_per_entity_layout(spark, scratch):
     rows = sorted((r.series_id, r.ingest_date, r.value) for r in B.observation_rows(docs).collect())
     assert rows == [("DGS10", DAY1, "4.25"), ("DGS2", DAY1, "3.60")]
     assert B.read_observation_docs(spark, root).count() == 3
+
+
+def test_command_line_daily_validate_gold(spark, scratch, landed):
+    from curvelake.__main__ import main
+
+    wh = warehouse(spark, f"{scratch}/wh-cli")
+    main(["daily", "--bronze", landed, "--warehouse", wh.root, "--date", str(DAY1)])
+    main(["validate", "--warehouse", wh.root, "--run-id", "cli"])
+    main(["gold", "--warehouse", wh.root, "--out", f"{scratch}/gold"])
+    snap = spark.read.parquet(f"{scratch}/gold/daily_snapshot")
+    assert snap.count() > 0 and "stress_level" in snap.columns
