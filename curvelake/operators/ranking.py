@@ -27,9 +27,12 @@ def global_rank(df: DataFrame, key: str, descending: bool = True,
                 rank_col: str = "rank", dense_col: str = "dense_rank",
                 partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = F.col(key).desc_nulls_first() if descending else F.col(key).asc_nulls_last()
-    ranged = df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id())
+    # without an explicit count AQE sizes the ranges from the measured input
+    # (coalescing merges adjacent ranges, so partition order stays key order);
+    # the offset table below has one row per resulting partition
+    ranged = (df.repartitionByRange(partitions, order) if partitions else df.repartitionByRange(order))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     local = Window.partitionBy("_pid").orderBy(order)
     shared_dir(spark)
     ranked = (ranged.withColumn("_r", F.rank().over(local))

@@ -224,3 +224,12 @@ def test_missing_column_fails_existence(spark):
     res = {(r.expectation, r.column): r.success for r in Q.run_suite(o, Q.observation_suite()).collect()}
     assert res[("expect_column_to_exist", "value")] is False
     assert res[("expect_column_to_exist", "series_id")] is True
+
+
+def test_global_rank_with_adaptive_ranges(spark):
+    from curvelake.operators.ranking import global_rank
+    df = spark.range(0, 50000).select(F.col("id"), (F.col("id") * 7919 % 1000).alias("k"))
+    got = global_rank(df, "k", descending=True).select("k", "rank", "dense_rank").distinct().collect()
+    assert len(got) == 1000
+    for r in got:   # every key occurs 50 times
+        assert (r.rank, r.dense_rank) == (1 + 50 * (999 - r.k), 1000 - r.k)
