@@ -54,10 +54,6 @@ def col_sum(c: str | Column) -> Column:
     return F.sum(col(c))
 
 
-def sum_as(c: str | Column, precision: int = 38, scale: int = 4) -> Column:
-    return F.sum(col(c)).cast(f"decimal({precision},{scale})")
-
-
 def direction(value: str | Column, prev: str | Column) -> Column:
     v, p = col(value), col(prev)
     return (F.when(p.isNull(), F.lit("N/A"))

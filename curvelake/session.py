@@ -8,7 +8,6 @@ zone, and no web UI.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -104,12 +103,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

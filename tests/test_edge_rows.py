@@ -233,3 +233,9 @@ def test_global_rank_with_adaptive_ranges(spark):
     assert len(got) == 1000
     for r in got:   # every key occurs 50 times
         assert (r.rank, r.dense_rank) == (1 + 50 * (999 - r.k), 1000 - r.k)
+
+
+def test_literal_date_range(spark):
+    from curvelake.operators.relational import date_series
+    days = [r.dt for r in date_series(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 7)).collect()]
+    assert days == [dt.date(2024, 1, i) for i in range(1, 8)]
