@@ -23,13 +23,19 @@ from curvelake.jobs import Warehouse, create_tables, load_observation_docs
 from curvelake.sources import bronze as B
 
 
-def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int | None = None) -> DataFrame:
+def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int | None = None,
+                           max_file_age: str = "7d") -> DataFrame:
+    """New bronze observation files as a stream.
+
+    ``max_file_age`` bounds the source's log of already-seen files (the first
+    batch still considers every file; age is the file's modification time, so
+    a document landed today for an old day is picked up)."""
     schema = T.StructType(list(S.OBSERVATION_DOC.fields) + [
         T.StructField(B.ENTITY, T.StringType()),
         T.StructField("source", T.StringType()),
         T.StructField("ingest_date", T.DateType()),
     ])
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     df = r.json(bronze_root).where(F.col("source") == "fred")
