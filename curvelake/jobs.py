@@ -4,8 +4,9 @@ A warehouse root holds::
 
     <wh>/reference/series/      versioned config (series_id, name, category, is_active)
     <wh>/reference/companies/   versioned config (cik, ticker, name, is_active)
-    <wh>/silver/treasury_yields/   append-only, key-sorted files
-    <wh>/silver/sec_filings/
+    <wh>/silver/treasury_yields/   append-only, bucketed by series_id (catalog table)
+    <wh>/silver/sec_filings/       append-only, bucketed by accession_number
+    <wh>/_layout                   the bucket counts, fixed at creation
     <wh>/silver/_rejects/{observations,filings}/
     <wh>/quality/results/
 
@@ -20,6 +21,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curvelake import schemas as S
@@ -28,6 +30,7 @@ from curvelake.operators import merge as M
 from curvelake.operators import quality as Q
 from curvelake.operators import silver as SV
 from curvelake.sinks import writers as W
+from curvelake.sinks.catalog import append_bucketed, layout, register_silver
 from curvelake.sources import bronze as B
 
 
@@ -59,20 +62,19 @@ SILVER_OBS = T.StructType(S.OBSERVATIONS.fields + [T.StructField("ingested_at",
 SILVER_FIL = T.StructType(S.FILINGS.fields + [T.StructField("ingested_at", T.TimestampType())])
 
 
-def create_tables(spark: SparkSession, wh: Warehouse) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` for the silver tables: an empty table
-    with the declared schema, written with save mode ``ignore`` (a no-op when
-    the table already exists)."""
-    for path, schema in ((wh.observations, SILVER_OBS), (wh.filings, SILVER_FIL)):
-        literal_rows(spark, [], schema).write.mode("ignore").parquet(path)
+def create_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None) -> tuple[str, str]:
+    """``CREATE TABLE IF NOT EXISTS`` for the silver tables: bucketed catalog
+    tables over the warehouse folders (see ``sinks.catalog``); returns their
+    catalog names."""
+    return register_silver(spark, wh.root, wh.observations, wh.filings, buckets)
 
 
 def silver_observations(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return W.read_or_empty(spark, wh.observations, SILVER_OBS)
+    return spark.table(create_tables(spark, wh)[0])
 
 
 def silver_filings(spark: SparkSession, wh: Warehouse) -> DataFrame:
-    return W.read_or_empty(spark, wh.filings, SILVER_FIL)
+    return spark.table(create_tables(spark, wh)[1])
 
 
 def append_rejects(spark: SparkSession, rejects: DataFrame, path: str, identity: list[str]) -> None:
@@ -87,8 +89,11 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
     """Parsed observation docs -> silver; returns (entities, inserted rows)."""
     active = W.read_versioned(spark, wh.series, S.SERIES).where("is_active").select("series_id")
     docs = docs.join(active, "series_id", "left_semi")
-    load = SV.load_observations(docs, silver_observations(spark, wh), materialize=True)
-    inserted = W.append_silver(load.new_rows, wh.observations, ["series_id", "observation_date"])
+    table = create_tables(spark, wh)[0]
+    load = SV.load_observations(docs, spark.table(table), materialize=True)
+    new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
+    inserted = append_bucketed(new, table, "series_id", layout(spark, wh.root).observation_buckets,
+                               ["series_id", "observation_date"])
     append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "observations"),
                    ["series_id", "ingest_date", "pos"])
     return load.typed.select("series_id").distinct().count(), inserted
@@ -97,8 +102,11 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
 def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tuple[int, int]:
     active = W.read_versioned(spark, wh.companies, S.COMPANIES).where("is_active").select("cik")
     docs = docs.join(active, strip_leading_zeros(docs["cik"]) == active["cik"], "left_semi")
-    load = SV.load_filings(docs, silver_filings(spark, wh), materialize=True)
-    inserted = W.append_silver(load.new_rows, wh.filings, ["cik", "accession_number"])
+    table = create_tables(spark, wh)[1]
+    load = SV.load_filings(docs, spark.table(table), materialize=True)
+    new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
+    inserted = append_bucketed(new, table, "accession_number", layout(spark, wh.root).filing_buckets,
+                               ["accession_number"])
     append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "filings"),
                    ["cik", "ingest_date", "pos", "accession_number"])
     return load.typed.select("cik").distinct().count(), inserted

@@ -29,6 +29,10 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # let a join on (observation_date, series_id) use silver's bucketing on
+    # series_id, so only the other side is shuffled (series are bounded by
+    # their dates, so partitioning on that subset of the key cannot skew)
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

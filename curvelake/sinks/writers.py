@@ -2,11 +2,10 @@
 
 * Bronze: ``partitionBy(source, ingest_date)`` with dynamic partition
   overwrite — writing a (source, day) again replaces exactly that day.
-* Silver: append-only.  A batch is hash-partitioned on its key and sorted by
-  ``(series_id, observation_date)`` within each file, so Parquet row-group
-  min/max statistics let filters on series and date skip row groups
-  (``layout_by_key``).  Re-running a load is harmless: rows are only appended
-  when their key is absent (``insert_if_absent``).
+* Silver tables are bucketed catalog tables (``sinks.catalog``); for plain
+  parquet outputs ``layout_by_key`` hash-partitions on the key and sorts each
+  file by it, so Parquet row-group min/max statistics skip data for filters on
+  the leading key columns.
 * Config tables (upserts rewrite them): a new version directory per write and
   a one-line pointer file; a path is never overwritten while it is read.
 """
@@ -17,7 +16,7 @@ import datetime as dt
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,16 +24,6 @@ from curvelake.functions.exprs import literal_rows
 from curvelake.sources import bronze as B
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A parquet table, or an empty one of ``schema`` when nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return literal_rows(spark, [], schema)
-        raise
-
-
 def write_bronze(docs: DataFrame, root: str, source: str) -> None:
     """(entity_id, ingest_date, doc JSON string) -> raw documents, one per line.
 
@@ -64,16 +53,6 @@ def layout_by_key(df: DataFrame, key: list[str]) -> DataFrame:
     return df.repartition(*[F.col(c) for c in key]).sortWithinPartitions(*key)
 
 
-def append_silver(new_rows: DataFrame, path: str, key: list[str], run_ts: dt.datetime | None = None) -> int:
-    """Append ``new_rows`` with ``ingested_at``; return the appended row count,
-    measured during the write itself (no second pass)."""
-    ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    obs = Observation(f"append-{uuid.uuid4().hex[:8]}")
-    out = layout_by_key(new_rows.withColumn("ingested_at", F.lit(ts).cast("timestamp")), key)
-    out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return int(obs.get.get("rows", 0) or 0)
-
-
 # --- versioned config tables ------------------------------------------------
 
 def _pointer(root: str) -> str:

@@ -132,3 +132,34 @@ def test_scale_conf_sizes_by_input_and_cluster():
     assert int(c["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (128 * 1024 ** 2)
     small = scale_conf(10 * 1024 ** 3, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 120          # 3 waves of 40 cores
+
+
+def test_bucketed_silver_avoids_shuffling_silver(spark, scratch):
+    """Windows and the key check read bucketed silver without an exchange; the
+    anti-join of a load shuffles only the batch."""
+    from curvelake.jobs import Warehouse, create_tables
+    from curvelake.operators import merge as M
+    from curvelake.operators import quality as Q
+    from curvelake.sinks.catalog import append_bucketed, layout
+
+    wh = Warehouse(f"{scratch}/wh-bucketed")
+    obs_table, _ = create_tables(spark, wh, buckets=8)
+    o = T.observations(spark, SF_SMALL)
+    append_bucketed(o.withColumn("ingested_at", F.current_timestamp()), obs_table, "series_id",
+                    layout(spark, wh.root).observation_buckets, ["series_id", "observation_date"])
+    silver = spark.table(obs_table).drop("ingested_at")
+    p = plan(W.lag_change(silver))
+    assert "Exchange" not in tree(p) and "Bucketed: true" in p
+    p = plan(Q.run_suite(silver, Q.observation_suite()))
+    assert tree(p).count("Exchange") == 1 and "SinglePartition" in p      # only the final global sum
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(M.insert_if_absent(o, spark.table(obs_table), ["observation_date", "series_id"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in p and "Bucketed: true" in p
+    assert "Arguments: hashpartitioning(series_id" in p                  # the batch, into the buckets
+    assert p.count("Arguments: hashpartitioning") == 2                   # + the binding's own aggregate
