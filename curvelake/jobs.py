@@ -92,10 +92,10 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -
     active = W.read_versioned(spark, wh.series, S.SERIES).where("is_active").select("series_id")
     docs = docs.join(active, "series_id", "left_semi")
     table = create_tables(spark, wh)[0]
-    load = SV.load_observations(docs, spark.table(table), materialize=True)
+    buckets = layout(spark, wh.root).observation_buckets
+    load = SV.load_observations(docs, spark.table(table), materialize=True, buckets=buckets)
     new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
-    inserted = append_bucketed(new, table, "series_id", layout(spark, wh.root).observation_buckets,
-                               ["series_id", "observation_date"])
+    inserted = append_bucketed(new, table, "series_id", buckets, ["series_id", "observation_date"])
     append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "observations"),
                    ["series_id", "ingest_date", "pos"])
     return load.typed.select("series_id").distinct().count(), inserted
@@ -105,10 +105,10 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tup
     active = W.read_versioned(spark, wh.companies, S.COMPANIES).where("is_active").select("cik")
     docs = docs.join(active, strip_leading_zeros(docs["cik"]) == active["cik"], "left_semi")
     table = create_tables(spark, wh)[1]
-    load = SV.load_filings(docs, spark.table(table), materialize=True)
+    buckets = layout(spark, wh.root).filing_buckets
+    load = SV.load_filings(docs, spark.table(table), materialize=True, buckets=buckets)
     new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
-    inserted = append_bucketed(new, table, "accession_number", layout(spark, wh.root).filing_buckets,
-                               ["accession_number"])
+    inserted = append_bucketed(new, table, "accession_number", buckets, ["accession_number"])
     append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "filings"),
                    ["cik", "ingest_date", "pos", "accession_number"])
     return load.typed.select("cik").distinct().count(), inserted

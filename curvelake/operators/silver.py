@@ -79,12 +79,16 @@ def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_typed_observations(typing_observations(rows))
 
 
-def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
+def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False,
+                      buckets: int | None = None) -> Load:
     """Parsed observation documents + current silver -> rows to insert.
 
     ``materialize`` (jobs that write several outputs) parses the documents
     once, keeps payload-less documents as ``no observations`` rejects, and
-    checkpoints the typed rows for the new rows, the rejects and the counts."""
+    checkpoints the typed rows for the new rows, the rejects and the counts.
+    ``buckets`` (silver bucketed by series_id into that many buckets) shuffles
+    the batch once, into the buckets: the first-wins de-duplication and the
+    anti-join against silver then need no further exchange."""
     t = typing_observations(B.observation_rows(parsed_docs, keep_empty=materialize))
     if materialize:
         t = _materialized(t)
@@ -94,6 +98,8 @@ def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bo
     ordkey = (F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32)
               + F.col("pos").cast("bigint")).alias("_ord")
     g = good.select("observation_date", "series_id", "value", ordkey)
+    if buckets:
+        g = g.repartition(buckets, F.col("series_id"))
     new = M.insert_if_absent(g, silver, S.OBSERVATIONS_KEY, order=["_ord"])
     return Load(new.select("observation_date", "series_id", "value"), bad, t)
 
@@ -122,12 +128,17 @@ def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_typed_filings(typing_filings(rows))
 
 
-def load_filings(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False) -> Load:
+def load_filings(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False,
+                 buckets: int | None = None) -> Load:
+    """Parsed filing documents + current silver -> rows to insert (see
+    ``load_observations``; silver is bucketed by ``accession_number``)."""
     t = typing_filings(B.filing_rows(parsed_docs, keep_empty=materialize))
     if materialize:
         t = _materialized(t)
     good, bad = split_typed_filings(t)
     good = good.withColumn("_doc", F.col("cik"))  # order: ingest day, document, position
+    if buckets:
+        good = good.repartition(buckets, F.col("accession_number"))
     new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "_doc", "pos"])
     return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad, t)
 
