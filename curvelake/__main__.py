@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> None:
         p = sub.add_parser(name)
         p.add_argument("--bronze", required=True)
         p.add_argument("--warehouse", required=True)
+        p.add_argument("--gate-before-append", action="store_true",
+                       help="run the quality suite on each batch and stop before appending")
     sub.choices["daily"].add_argument("--date", type=_date, default=dt.date.today())
     sub.choices["backfill"].add_argument("--start", type=_date, required=True)
     sub.choices["backfill"].add_argument("--end", type=_date, required=True)
@@ -48,16 +50,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark()
     wh = jobs.Warehouse(a.warehouse)
     if a.cmd == "daily":
-        jobs.run_daily(spark, a.bronze, wh, a.date).show(truncate=False)
+        jobs.run_daily(spark, a.bronze, wh, a.date, a.gate_before_append).show(truncate=False)
     elif a.cmd == "backfill":
-        jobs.backfill(spark, a.bronze, wh, a.start, a.end).show(truncate=False)
+        jobs.backfill(spark, a.bronze, wh, a.start, a.end, a.gate_before_append).show(truncate=False)
     elif a.cmd == "validate":
         jobs.validate(spark, wh, a.run_id or uuid.uuid4().hex).show(truncate=False)
     elif a.cmd == "stream":
         from curvelake.streaming.bronze_stream import stream_bronze_to_silver
 
-        stream_bronze_to_silver(spark, a.bronze, wh, a.checkpoint,
-                                available_now=not a.continuous).awaitTermination()
+        stream_bronze_to_silver(spark, a.bronze, wh, a.checkpoint, available_now=not a.continuous,
+                                gate_before_append=a.gate_before_append).awaitTermination()
     elif a.cmd == "gold":
         obs = jobs.silver_observations(spark, wh).drop("ingested_at")
         fil = jobs.silver_filings(spark, wh).drop("ingested_at")

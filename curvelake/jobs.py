@@ -87,13 +87,22 @@ def append_rejects(spark: SparkSession, rejects: DataFrame, path: str, identity:
     M.insert_if_absent(rejects, logged, identity, null_safe=True).write.mode("append").parquet(path)
 
 
-def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tuple[int, int]:
-    """Parsed observation docs -> silver; returns (entities, inserted rows)."""
+def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse,
+                          gate_before_append: bool = False) -> tuple[int, int]:
+    """Parsed observation docs -> silver; returns (entities, inserted rows).
+
+    ``gate_before_append`` runs the observation suite over the batch's typed
+    rows (already checkpointed, so cheap) and raises before anything is
+    appended; by default, as in the source flow, validation runs after the
+    load over the whole table (``validate``)."""
     active = W.read_versioned(spark, wh.series, S.SERIES).where("is_active").select("series_id")
     docs = docs.join(active, "series_id", "left_semi")
     table = create_tables(spark, wh)[0]
     buckets = layout(spark, wh.root).observation_buckets
     load = SV.load_observations(docs, spark.table(table), materialize=True, buckets=buckets)
+    if gate_before_append:
+        good = load.typed.where(F.col("reject_reason").isNull())
+        Q.gate(Q.run_suite(good.select("observation_date", "series_id", "value"), Q.observation_suite()))
     new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
     inserted = append_bucketed(new, table, "series_id", buckets, ["series_id", "observation_date"])
     append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "observations"),
@@ -114,12 +123,14 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> tup
     return load.typed.select("cik").distinct().count(), inserted
 
 
-def run_daily(spark: SparkSession, bronze_root: str, wh: Warehouse, ingest_date: dt.date) -> DataFrame:
+def run_daily(spark: SparkSession, bronze_root: str, wh: Warehouse, ingest_date: dt.date,
+              gate_before_append: bool = False) -> DataFrame:
     """Load one ingest day of both sources; one result row per source."""
-    return backfill(spark, bronze_root, wh, ingest_date, ingest_date)
+    return backfill(spark, bronze_root, wh, ingest_date, ingest_date, gate_before_append)
 
 
-def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.date, end: dt.date) -> DataFrame:
+def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.date, end: dt.date,
+             gate_before_append: bool = False) -> DataFrame:
     """Load every ingest day in [start, end] in one job per source.
 
     Same result as loading day by day: inserts are first-wins, and documents
@@ -129,7 +140,7 @@ def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.dat
     rng = (start, end)
     obs_docs = B.read_observation_docs(spark, bronze_root, rng)
     fil_docs = B.read_filing_docs(spark, bronze_root, rng)
-    n_series, n_obs = load_observation_docs(spark, obs_docs, wh)
+    n_series, n_obs = load_observation_docs(spark, obs_docs, wh, gate_before_append)
     n_comp, n_fil = load_filing_docs(spark, fil_docs, wh)
     label = str(start) if start == end else f"{start}..{end}"
     return literal_rows(spark, [(label, "fred", n_series, n_obs), (label, "sec", n_comp, n_fil)],

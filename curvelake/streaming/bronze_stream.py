@@ -43,13 +43,17 @@ def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int
 
 
 def stream_bronze_to_silver(spark: SparkSession, bronze_root: str, wh: Warehouse, checkpoint: str,
-                            available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
-    """Start the load; each micro-batch is one ``load_observation_docs`` job."""
+                            available_now: bool = True, max_files: int | None = None,
+                            gate_before_append: bool = False) -> StreamingQuery:
+    """Start the load; each micro-batch is one ``load_observation_docs`` job.
+    With ``gate_before_append`` a micro-batch that fails the suite stops the
+    stream before it appends (the batch is retried from the checkpoint after
+    the data is fixed)."""
     create_tables(spark, wh)
     docs = observation_doc_stream(spark, bronze_root, max_files)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        load_observation_docs(batch.sparkSession, batch, wh)
+        load_observation_docs(batch.sparkSession, batch, wh, gate_before_append)
 
     w = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

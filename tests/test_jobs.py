@@ -161,3 +161,21 @@ def test_command_line_daily_validate_gold(spark, scratch, landed):
     main(["gold", "--warehouse", wh.root, "--out", f"{scratch}/gold"])
     snap = spark.read.parquet(f"{scratch}/gold/daily_snapshot")
     assert snap.count() > 0 and "stress_level" in snap.columns
+
+
+def test_gate_before_append_blocks_a_bad_batch(spark, scratch):
+    bronze, wh = f"{scratch}/bronze-gate", warehouse(spark, f"{scratch}/wh-gate")
+    docs = spark.createDataFrame([
+        ("DGS10", DAY1, '{"observations": [{"date": "2026-01-26", "value": "4.23"}]}'),
+        ("dgs10", DAY1, '{"observations": [{"date": "2026-01-26", "value": "4.24"}]}'),
+    ], "entity_id string, ingest_date date, doc string")
+    WR.write_bronze(docs, bronze, "fred")
+    WR.write_versioned(spark.createDataFrame([("dgs10", "lower-case id", "treasury", True)], S.SERIES)
+                       .unionByName(T.series(spark)), wh.series)
+    with pytest.raises(Q.QualityGateError):
+        run_daily(spark, bronze, wh, DAY1, gate_before_append=True)
+    assert silver_observations(spark, wh).count() == 0          # nothing was appended
+    run_daily(spark, bronze, wh, DAY1)                          # default: load, validate after
+    assert silver_observations(spark, wh).count() == 2
+    with pytest.raises(Q.QualityGateError):
+        validate(spark, wh, "after")
