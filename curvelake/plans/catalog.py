@@ -268,7 +268,7 @@ def _q(spark, d):
     payload = F.col("observations")
     return parsed.agg(F.count(F.lit(1)).alias("documents"),
                       F.count_if(payload.isNull()).alias("error_documents"),
-                      F.coalesce(F.sum(F.size(payload)), F.lit(0)).cast("bigint").alias("observation_rows"))
+                      F.coalesce(F.sum(B.array_len(payload)), F.lit(0)).cast("bigint").alias("observation_rows"))
 
 
 @register("job_backfill")

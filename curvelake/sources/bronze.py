@@ -56,6 +56,12 @@ def observation_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
                     F.col("o.date").alias("date"), F.col("o.value").alias("value"))
 
 
+def array_len(arr: Column) -> Column:
+    """Length of an array column, 0 when the array is missing (``size(NULL)``
+    is NULL or -1 depending on ANSI mode)."""
+    return F.when(arr.isNotNull(), F.size(arr)).otherwise(F.lit(0))
+
+
 def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Parsed filing documents -> one row per accession number.
 
@@ -67,13 +73,16 @@ def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """
     explode = F.posexplode_outer if keep_empty else F.posexplode
     r = F.col("filings.recent")
-    n = F.size(r["accessionNumber"])
-    z = F.arrays_zip(r["accessionNumber"].alias("a"), r["form"].alias("f"), r["filingDate"].alias("d"))
+    n = array_len(r["accessionNumber"])
+    def arr(name: str) -> Column:  # a missing array zips as empty (arrays_zip(NULL, …) is NULL)
+        return F.coalesce(r[name], F.array().cast("array<string>"))
+
+    z = F.arrays_zip(arr("accessionNumber").alias("a"), arr("form").alias("f"), arr("filingDate").alias("d"))
     e = docs.select(
         F.coalesce(F.col("cik"), F.lit("")).alias("cik"),
         F.coalesce(F.col("name"), F.lit("")).alias("company_name"),
         "ingest_date",
-        n.alias("_n"), F.size(r["form"]).alias("_nf"), F.size(r["filingDate"]).alias("_nd"),
+        n.alias("_n"), array_len(r["form"]).alias("_nf"), array_len(r["filingDate"]).alias("_nd"),
         explode(z).alias("pos", "z"))
     return (e.where(F.col("pos").isNull() | (F.col("pos") < F.col("_n")))
             .select("cik", "company_name", "ingest_date", "pos",

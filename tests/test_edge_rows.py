@@ -239,3 +239,20 @@ def test_literal_date_range(spark):
     from curvelake.operators.relational import date_series
     days = [r.dt for r in date_series(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 7)).collect()]
     assert days == [dt.date(2024, 1, i) for i in range(1, 8)]
+
+
+def test_missing_form_array_is_rejected_in_both_ansi_modes(spark):
+    docs = spark.createDataFrame([(d("2026-01-27"), json.dumps(
+        {"cik": "0000000009", "name": "No forms",
+         "filings": {"recent": {"accessionNumber": ["C-1"], "filingDate": ["2026-01-02"]}}}))],
+        "ingest_date date, doc string")
+    empty = spark.createDataFrame([], S.FILINGS)
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            load = SV.load_filings(B.parse_filing_docs(docs), empty)
+            assert load.new_rows.count() == 0, ansi
+            assert [r.reject_reason for r in load.rejects.collect()] == ["unequal arrays"], ansi
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
