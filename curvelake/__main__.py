@@ -6,6 +6,9 @@
     validate  --warehouse W [--run-id ID]          (raises when the suite fails)
     stream    --bronze B --warehouse W --checkpoint C [--continuous]
     gold      --warehouse W --out O                (writes the five gold datasets)
+
+Global sizing: ``--input-tb 100 --executors 1000 --cores 8`` applies
+``session.scale_conf`` (scan split size, shuffle partitions, skew thresholds).
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import uuid
 from curvelake import jobs
 from curvelake import schemas as S
 from curvelake.operators import gold
-from curvelake.session import get_spark
+from curvelake.session import get_spark, scale_conf
 from curvelake.sinks.writers import read_versioned
 
 
@@ -27,6 +30,10 @@ def _date(s: str) -> dt.date:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="curvelake")
+    ap.add_argument("--input-tb", type=float, default=None,
+                    help="size the session for this input volume (with --executors/--cores)")
+    ap.add_argument("--executors", type=int, default=None)
+    ap.add_argument("--cores", type=int, default=None, help="cores per executor")
     sub = ap.add_subparsers(dest="cmd", required=True)
     for name in ("daily", "backfill", "stream"):
         p = sub.add_parser(name)
@@ -47,7 +54,10 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--out", required=True)
     a = ap.parse_args(argv)
 
-    spark = get_spark()
+    extra = None
+    if a.input_tb and a.executors and a.cores:
+        extra = scale_conf(int(a.input_tb * 1024 ** 4), a.executors, a.cores)
+    spark = get_spark(extra=extra)
     wh = jobs.Warehouse(a.warehouse)
     if a.cmd == "daily":
         jobs.run_daily(spark, a.bronze, wh, a.date, a.gate_before_append).show(truncate=False)
