@@ -256,3 +256,10 @@ def test_missing_form_array_is_rejected_in_both_ansi_modes(spark):
             assert [r.reject_reason for r in load.rejects.collect()] == ["unequal arrays"], ansi
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_global_rank_nulls_first_descending(spark):
+    from curvelake.operators.ranking import global_rank
+    df = spark.createDataFrame([("a", None), ("b", None), ("c", 3.0), ("d", 2.0), ("e", 3.0)], "id string, k double")
+    got = {r.id: (r.rank, r.dense_rank) for r in global_rank(df, "k", descending=True, partitions=3).collect()}
+    assert got == {"a": (1, 1), "b": (1, 1), "c": (3, 2), "e": (3, 2), "d": (5, 3)}
