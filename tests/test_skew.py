@@ -78,3 +78,25 @@ def test_hot_company_summary_is_exact(spark, force_shuffled_joins):
     n_hot = fil.where(F.col("cik") == HOT).count()
     assert s[HOT].total_filings == n_hot
     assert s[HOT].annual_reports + s[HOT].quarterly_reports + s[HOT].current_reports == n_hot
+
+
+def test_hot_key_in_upsert_source_last_wins(spark, force_shuffled_joins):
+    """A third of all directory entries carry the same cik: the last one wins."""
+    from curvelake.operators import silver as SV
+    from curvelake.sources import bronze as B
+
+    c = T.table(spark, SF_CHECK, "customer")
+    entries = c.select(F.col("c_custkey").alias("order"),
+                       F.when(F.col("c_custkey") % 3 == 0, F.lit(1)).otherwise(F.col("c_custkey")).alias("cik_str"),
+                       F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
+                       F.col("c_name").alias("title"))
+    rows = B.ticker_rows(B.parse_company_directory(B.render_company_directory(entries)))
+    target = T.companies(spark, SF_CHECK).where("cik = '1'")
+    out = {r.cik: r for r in SV.upsert_companies(target, rows).collect()}
+    con = duckdb.connect()
+    exp = dict(con.execute(f"""
+        SELECT CAST(k AS VARCHAR), 'T' || CAST(arg_max(c_custkey, c_custkey) AS VARCHAR)
+        FROM (SELECT CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE c_custkey END AS k, c_custkey
+              FROM read_parquet('{SF_CHECK}/customer.parquet')) GROUP BY k""").fetchall())
+    assert {k: r.ticker for k, r in out.items()} == exp
+    assert out["1"].is_active == target.collect()[0].is_active      # flag kept for the known company
