@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> None:
     sub.choices["backfill"].add_argument("--end", type=_date, required=True)
     sub.choices["stream"].add_argument("--checkpoint", required=True)
     sub.choices["stream"].add_argument("--continuous", action="store_true")
+    sub.choices["stream"].add_argument("--max-files", type=int, default=None,
+                                       help="bound each micro-batch to this many new files")
     v = sub.add_parser("validate")
     v.add_argument("--warehouse", required=True)
     v.add_argument("--run-id", default=None)
@@ -69,6 +71,7 @@ def main(argv: list[str] | None = None) -> None:
         from curvelake.streaming.bronze_stream import stream_bronze_to_silver
 
         stream_bronze_to_silver(spark, a.bronze, wh, a.checkpoint, available_now=not a.continuous,
+                                max_files=a.max_files,
                                 gate_before_append=a.gate_before_append).awaitTermination()
     elif a.cmd == "gold":
         obs = jobs.silver_observations(spark, wh).drop("ingested_at")

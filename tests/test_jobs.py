@@ -179,3 +179,14 @@ def test_gate_before_append_blocks_a_bad_batch(spark, scratch):
     assert silver_observations(spark, wh).count() == 2
     with pytest.raises(Q.QualityGateError):
         validate(spark, wh, "after")
+
+
+def test_stream_in_small_batches_equals_batch(spark, scratch, landed):
+    from curvelake.__main__ import main
+
+    wh_b = warehouse(spark, f"{scratch}/batch-mf")
+    backfill(spark, landed, wh_b, DAY1, DAY2)
+    wh_s = warehouse(spark, f"{scratch}/stream-mf")
+    main(["stream", "--bronze", landed, "--warehouse", wh_s.root, "--checkpoint", f"{scratch}/ckpt-mf",
+          "--max-files", "1"])
+    assert key_set(silver_observations(spark, wh_s)) == key_set(silver_observations(spark, wh_b))
