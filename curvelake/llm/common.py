@@ -11,8 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from curvelake.session import shared_dir
 
 
+#: Documents are long rows: small batches bound what a reader and an Arrow transfer hold at once.
+_LONG_ROWS = {"spark.sql.parquet.columnarReaderBatchSize": ("4096", "128"),
+              "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "256")}
+
+
+def long_rows(spark: SparkSession) -> SparkSession:
+    """Batch sizes for long rows, where the session has Spark's defaults (other values stay)."""
+    for key, (default, small) in _LONG_ROWS.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, small)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table, to be read in small batches."""
+    return long_rows(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def run_folder(spark: SparkSession, name: str) -> str:

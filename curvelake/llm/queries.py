@@ -21,12 +21,24 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curvelake.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.pii import extract, summary
+
+    return summary(extract(table(spark, sf_dir, "documents")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curvelake.llm.bpe import digests, encode
 
@@ -34,6 +46,31 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode(table(spark, sf_dir, "documents"), tokenizer), tokenizer)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.secrets import scan, summary
+
+    return summary(scan(table(spark, sf_dir, "documents")))
+
+
+def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.ann import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.licenses import scan, summary
+
+    return summary(scan(table(spark, sf_dir, "documents")))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from curvelake.llm.quality import judge
 
@@ -42,8 +79,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
     "op5_bpe": op5_bpe,
+    "op6_secrets": op6_secrets,
+    "op7_substring": op7_substring,
+    "op8_ann": op8_ann,
+    "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
 }
 

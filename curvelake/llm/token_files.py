@@ -13,8 +13,8 @@ under a name of its own attempt and then moves the files to their final names, s
 task replaces them by equal ones.
 
 Words between ASCII white space do not influence each other under the tokenizers that
-``word_safe`` accepts; for those every worker keeps the ids of words it has seen (at most
-CACHE_WORDS).  Other tokenizers encode whole texts.
+``word_safe`` accepts; for those every worker keeps the ids of the words it has seen last
+(about CACHE_WORDS, and as many from before).  Other tokenizers encode whole texts.
 
 Defined results: a null text counts as empty and holds the end id only; rows are ordered by
 (doc_id, hash of text), null doc_ids first (stored as -2**63); rows that repeat a doc_id are
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -39,7 +40,7 @@ from curvelake.llm.common import run_folder, worker_cache
 
 END_ID = 2
 NULL_ID = -(1 << 63)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 220_000
 #: Word-wise encoding is the same as encoding whole texts for these parts of a tokenizer.
 _SAFE_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 
@@ -71,24 +72,66 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
         spec = json.load(f)
     if not word_safe(spec):
         return lambda texts: [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    known = worker_cache(f"words:{path}")
+    kept = worker_cache(f"words:{path}")
+    direct = _direct(tok, spec)
 
     def run(texts: list[str]) -> list[np.ndarray]:
         out = []
         for i in range(0, len(texts), 64):
             split = [t.encode().split() for t in texts[i:i + 64]]
-            new = list({w for words in split for w in words if w not in known})
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list({w for words in split for w in words})
-            ids = tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, ids, strict=True))
+            known, before = kept.setdefault("now", {}), kept.get("before", {})
+            hard = []
+            for w in {w for words in split for w in words if w not in known}:
+                ids = before.get(w) or direct(w)
+                if ids is None:
+                    hard.append(w)
+                else:
+                    known[w] = ids
+            ids = tok.encode_batch_fast([w.decode() for w in hard], add_special_tokens=False)
+            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(hard, ids, strict=True))
             out += [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
+            if len(known) > CACHE_WORDS:  # what was not seen since the last time goes
+                kept["before"], kept["now"] = known, {}
         return out
 
     return run
 
 
+#: The pattern for which ``_direct`` knows what a word of letters, then symbols, is split into.
+_PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
+
+
+def _direct(tok, spec: dict) -> Callable[[bytes], bytes | None]:
+    """Ids of a word of Latin letters with symbols after them, by the tokenizer's model alone;
+    None for any other word, or if the tokenizer isn't of the kind this holds for."""
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    norm = (spec.get("normalizer") or {}).get("normalizers") or []
+    if not (spec["model"]["type"] == "BPE" and pre[0].get("pattern") == {"Regex": _PLAIN_SPLIT} and len(pre) == 2
+            and pre[1].get("type") == "ByteLevel" and not pre[1].get("use_regex") and not pre[1].get("add_prefix_space")
+            and [n["type"] for n in norm] == ["NFC", "Replace", "Lowercase"]):
+        return lambda word: None
+    # byte-level alphabet: printable characters stand for themselves, others come after 255
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    octets = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    tokenize, match = tok.model.tokenize, _LETTERS.fullmatch
+
+    def run(word: bytes) -> bytes | None:
+        text = word.decode()
+        m = match(text)
+        if m is None:
+            return None
+        ids = []
+        for part in m.groups():
+            if part:
+                part = part.lower()
+                ids += [t.id for t in tokenize(part if part.isascii() else "".join([octets[b] for b in part.encode()]))]
+        return np.array(ids, "<u4").tobytes()
+
+    return run
+
+
 def _store(uri: str):
     from pyarrow import fs
 
