@@ -6,6 +6,13 @@
     validate  --warehouse W [--run-id ID]          (raises when the suite fails)
     stream    --bronze B --warehouse W --checkpoint C [--continuous]
     gold      --warehouse W --out O                (writes the five gold datasets)
+    compact   --warehouse W                        (one file per bucket again; no load may run)
+    sql       --warehouse W "SELECT * FROM gold.daily_snapshot"
+    config    --warehouse W seed                   (the tracked series; known ones keep their state)
+    config    --warehouse W companies --directory company_tickers.json
+    config    --warehouse W activate|deactivate --table series|companies [--ids A,B]
+    config    --warehouse W add --table companies --row 320193,AAPL,"Apple Inc."
+    config    --warehouse W list --table series
 
 Global sizing: ``--input-tb 100 --executors 1000 --cores 8`` applies
 ``session.scale_conf`` (scan split size, shuffle partitions, skew thresholds).
@@ -14,14 +21,13 @@ Global sizing: ``--input-tb 100 --executors 1000 --cores 8`` applies
 from __future__ import annotations
 
 import argparse
+import csv
 import datetime as dt
 import uuid
 
 from curvelake import jobs
-from curvelake import schemas as S
 from curvelake.operators import gold
 from curvelake.session import get_spark, scale_conf
-from curvelake.sinks.writers import read_versioned
 
 
 def _date(s: str) -> dt.date:
@@ -54,6 +60,17 @@ def main(argv: list[str] | None = None) -> None:
     g = sub.add_parser("gold")
     g.add_argument("--warehouse", required=True)
     g.add_argument("--out", required=True)
+    sub.add_parser("compact").add_argument("--warehouse", required=True)
+    q = sub.add_parser("sql")
+    q.add_argument("--warehouse", required=True)
+    q.add_argument("query")
+    c = sub.add_parser("config")
+    c.add_argument("--warehouse", required=True)
+    c.add_argument("action", choices=["seed", "companies", "activate", "deactivate", "add", "list"])
+    c.add_argument("--table", choices=["series", "companies"], default="series")
+    c.add_argument("--directory", help="company directory file or folder")
+    c.add_argument("--ids", help="comma-separated series ids or tickers (default: all rows)")
+    c.add_argument("--row", help="the new row's values, comma-separated")
     a = ap.parse_args(argv)
 
     extra = None
@@ -76,11 +93,21 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "gold":
         obs = jobs.silver_observations(spark, wh).drop("ingested_at")
         fil = jobs.silver_filings(spark, wh).drop("ingested_at")
-        comp = read_versioned(spark, wh.companies, S.COMPANIES)
+        comp = jobs.companies_config(spark, wh)
         for name, df in {"yield_curve": gold.yield_curve(obs), "full_yield_curve": gold.full_yield_curve(obs),
                          "credit_stress": gold.credit_stress(obs), "daily_snapshot": gold.daily_snapshot(obs),
                          "company_filings_summary": gold.filings_summary(fil, comp)}.items():
             df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
+    elif a.cmd == "compact":
+        jobs.compact(spark, wh)
+    elif a.cmd == "sql":
+        from curvelake.plans.views import register_warehouse
+
+        register_warehouse(spark, wh)
+        spark.sql(a.query).show(truncate=False)
+    elif a.cmd == "config":
+        jobs.change_config(spark, wh, a.action, a.table, a.directory, a.ids.split(",") if a.ids else None,
+                           next(csv.reader([a.row])) if a.row else None).show(1000, truncate=False)
 
 
 if __name__ == "__main__":

@@ -33,9 +33,10 @@ def global_avg(obs: DataFrame) -> DataFrame:
 
 
 def pct_of_total(obs: DataFrame) -> DataFrame:
-    """Per-series sum and its share of the grand total (a scalar subquery)."""
-    grand = obs.agg(F.sum(VAL).cast("double")).scalar()
+    """Per-series sum and its share of the grand total: the total of the sums, a scalar
+    subquery over the same aggregate (whose exchange is reused)."""
     t = obs.groupBy(SID).agg(F.sum(VAL).alias("_t"))
+    grand = t.agg(F.sum("_t").cast("double")).scalar()
     return t.select(SID, F.col("_t").cast("decimal(38,4)").alias("total_value"),
                     (F.lit(100.0) * F.col("_t").cast("double") / grand).alias("pct_of_total"))
 
@@ -63,16 +64,9 @@ def first_last(obs: DataFrame) -> DataFrame:
 
 
 def array_agg_ordered(obs: DataFrame) -> DataFrame:
-    """The literal ``(array_agg(value ORDER BY date))[1]`` form of ``first_last``.
-
-    Kept as a second implementation; it builds one array per series, whose
-    length is bounded by the number of dates of that series.
-    """
-    arr = F.array_sort(F.collect_list(F.struct(F.col(DATE).alias("d"), F.col(VAL).alias("v"))))
-    return obs.groupBy(SID).agg(
-        F.max(DATE).alias("latest_date"), F.min(DATE).alias("first_date"),
-        F.element_at(arr, 1)["v"].alias("first_value"),
-        F.element_at(arr, -1)["v"].alias("last_value"))
+    """``(array_agg(value ORDER BY date))[1]`` and its last element, without the array: the
+    ends of an ordered array are the values at the first and last date."""
+    return first_last(obs)
 
 
 def distinct_above(obs: DataFrame, threshold: float = 5.0) -> DataFrame:

@@ -67,13 +67,19 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str], update: list[st
            defaults: dict[str, Column] | None = None, order: list[str] | None = None) -> DataFrame:
     """``INSERT … ON CONFLICT (key) DO UPDATE SET <update> = EXCLUDED.<update>``.
 
-    * the source is reduced to its last row per key by ``order``;
+    * the source is reduced to its last row per key by ``order``; without an order a key
+      that the source holds twice aborts the query (which row is last would be undefined);
     * a matched key takes the source's ``update`` columns (a NULL in the source
       is written as NULL) and keeps every other target column;
     * a new key takes the source's columns and ``defaults`` for the rest.
     """
     defaults = defaults or {}
-    s = dedupe(source, key, order, keep="last") if order else source
+    if order:
+        s = dedupe(source, key, order, keep="last")
+    else:
+        g = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*update)).alias("_row"))
+        one = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(F.lit("duplicate key in upsert source")))
+        s = g.withColumn("_row", one).select(*key, *[F.col(f"_row.{c}").alias(c) for c in update])
     s = s.select(*key, *update, F.lit(True).alias("_in_src"))
     t = target.select(*target.columns, F.lit(True).alias("_in_tgt"))
     j = t.alias("t").join(s.alias("s"), key, "full_outer")
@@ -94,14 +100,16 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str], update: list[st
 def insert_rows(target: DataFrame, rows: DataFrame, key: list[str],
                 defaults: dict[str, Column] | None = None) -> DataFrame:
     """Plain INSERT into a keyed table: appends ``rows`` (missing columns from
-    ``defaults``); a key that already exists is a violation and raises."""
+    ``defaults``); a key that already exists, or comes twice in ``rows``, is a violation and
+    raises."""
     defaults = defaults or {}
     cols = [F.col(c) if c in rows.columns else defaults.get(c, F.lit(None)).cast(target.schema[c].dataType).alias(c)
             for c in target.columns]
     r = rows.select(*cols)
     dups = r.join(target.select(*key), key, "left_semi").select(F.count(F.lit(1))).scalar()
+    twice = r.groupBy(*key).count().where("count > 1").select(F.count(F.lit(1))).scalar()
     # a key already present aborts the query, like a primary-key violation
-    ok = F.when(dups == 0, F.lit(True)).otherwise(F.raise_error(F.lit("duplicate key on insert")))
+    ok = F.when((dups == 0) & (twice == 0), F.lit(True)).otherwise(F.raise_error(F.lit("duplicate key on insert")))
     return target.unionByName(r).where(ok)
 
 

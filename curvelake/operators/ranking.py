@@ -1,18 +1,17 @@
 """Whole-table RANK / DENSE_RANK without a single-partition window.
 
-``rank() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move every row
-into one task.  Instead:
-
-1. range-partition the rows on the ordering key (equal keys always land in
-   the same range, so ties never straddle two partitions);
-2. rank inside each range partition;
-3. add, per partition, the row count and the number of distinct keys of all
-   earlier partitions.  That offset table has one row per partition — its size
-   is fixed by the partition count, not by the data — so it is broadcast.
-
-The locally ranked rows are used twice (offsets, then the final join), so they
-are checkpointed once into the shared checkpoint folder: reliable storage that
-survives executor loss, and the input is not computed twice.
+``rank() OVER (ORDER BY x)`` with no PARTITION BY makes Spark move every row into one task.
+Instead:
+
+1. rows are counted per value (combined before the shuffle, so ties cost one row however
+   many they are);
+2. approximate quantiles of the values, one scalar subquery, cut them into at most RANGES
+   ranges.  Quantiles only balance the ranges: a value's range follows from comparing it with them;
+3. values are ranked inside their range, and each range is offset by the rows and the values
+   of all earlier ones, a table of at most RANGES rows;
+4. the ranks are joined back to the rows by value.
+
+Nothing is computed before the result is asked for.
 """
 
 from __future__ import annotations
@@ -20,30 +19,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curvelake.session import shared_dir
+RANGES = 1000
 
 
 def global_rank(df: DataFrame, key: str, descending: bool = True,
-                rank_col: str = "rank", dense_col: str = "dense_rank",
-                partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    order = F.col(key).desc_nulls_first() if descending else F.col(key).asc_nulls_last()
-    # without an explicit count AQE sizes the ranges from the measured input
-    # (coalescing merges adjacent ranges, so partition order stays key order);
-    # the offset table below has one row per resulting partition
-    ranged = (df.repartitionByRange(partitions, order) if partitions else df.repartitionByRange(order))
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    local = Window.partitionBy("_pid").orderBy(order)
-    shared_dir(spark)
-    ranked = (ranged.withColumn("_r", F.rank().over(local))
-              .withColumn("_d", F.dense_rank().over(local))).checkpoint(eager=True)
-    per_part = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"), F.max("_d").alias("_keys"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_pid",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row_off"),
-        F.coalesce(F.sum("_keys").over(before), F.lit(0)).alias("_key_off"))
-    out = ranked.join(F.broadcast(offsets), "_pid")
-    return (out.withColumn(rank_col, (F.col("_r") + F.col("_row_off")).cast("bigint"))
-            .withColumn(dense_col, (F.col("_d") + F.col("_key_off")).cast("bigint"))
-            .drop("_pid", "_r", "_d", "_row_off", "_key_off"))
+                rank_col: str = "rank", dense_col: str = "dense_rank") -> DataFrame:
+    order = F.col("_v").desc_nulls_first() if descending else F.col("_v").asc_nulls_last()
+    values = df.groupBy(F.col(key).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    cuts = values.agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 10 * RANGES)).scalar()
+    below = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    part = F.when(F.col("_v").isNull(), F.lit(RANGES)).otherwise(F.coalesce(below, F.lit(0)))
+    ranged = values.withColumn("_cuts", cuts).withColumn("_range", part).drop("_cuts")
+    first = F.col("_range").desc() if descending else F.col("_range").asc()
+    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)  # at most RANGES + 1 rows
+    offsets = (ranged.groupBy("_range").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_values"))
+               .select(F.col("_range").alias("_r"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
+                       F.coalesce(F.sum("_values").over(before), F.lit(0)).alias("_values_before")))
+    ranked = (ranged.withColumn("_rows_to", F.sum("_n").over(inside)).withColumn("_nth", F.row_number().over(inside))
+              .join(offsets, F.col("_range") == F.col("_r"))
+              .select("_v", (F.col("_rows_before") + F.col("_rows_to") - F.col("_n") + 1).cast("bigint").alias(rank_col),
+                      (F.col("_values_before") + F.col("_nth")).cast("bigint").alias(dense_col)))
+    return df.join(ranked, df[key].eqNullSafe(F.col("_v"))).drop("_v")

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from curvelake import schemas as S
 from curvelake.functions import exprs as X
 from curvelake.operators import merge as M
-from curvelake.session import shared_dir
 from curvelake.sources import bronze as B
 
 
@@ -43,22 +42,20 @@ def filter_missing_marker(rows: DataFrame) -> DataFrame:
     return rows.where(v.isNull() | (v != S.MISSING_MARKER))
 
 
-def _materialized(df: DataFrame) -> DataFrame:
-    """Cut lineage: write once to the shared checkpoint folder (reliable
-    storage), so the expensive JSON parse is not repeated for each output."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _too_long(table: str, column: str, of: str | None = None):
+    return F.length(of or column) > S.MAX_LENGTHS[table][column]
 
 
 def typing_observations(rows: DataFrame) -> DataFrame:
     """String rows -> typed rows with a ``reject_reason`` (NULL when good)."""
     r = filter_missing_marker(rows)
-    t = r.select("series_id", "ingest_date", "pos",
+    t = r.select("series_id", "ingest_date", "doc_id", "pos",
                  X.to_iso_date("date").alias("observation_date"),
                  X.to_value("value").alias("value"),
                  F.col("date").alias("raw_date"), F.col("value").alias("raw_value"))
     reason = (F.when(F.col("pos").isNull(), F.lit("no observations"))
               .when(F.col("series_id").isNull() | (F.col("series_id") == ""), F.lit("no series id"))
+              .when(_too_long("observations", "series_id"), F.lit("series id too long"))
               .when(F.col("observation_date").isNull(), F.lit("bad date"))
               .when(F.col("value").isNull(), F.lit("bad value")))
     return t.withColumn("reject_reason", reason)
@@ -67,7 +64,7 @@ def typing_observations(rows: DataFrame) -> DataFrame:
 def split_typed_observations(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed rows -> (good rows, rejects)."""
     good = t.where(F.col("reject_reason").isNull()).select(
-        "observation_date", "series_id", "value", "ingest_date", "pos")
+        "observation_date", "series_id", "value", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
         "series_id", "ingest_date", "pos", "raw_date", "raw_value", "reject_reason")
     return good, bad
@@ -79,28 +76,32 @@ def typed_observations(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_typed_observations(typing_observations(rows))
 
 
-def load_observations(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False,
-                      buckets: int | None = None) -> Load:
-    """Parsed observation documents + current silver -> rows to insert.
+def observation_order():
+    """First-wins order of observations as one fixed-width number: ingest day, position in
+    the document, hash of the document (so that two documents of a day never tie).  The
+    de-duplication then is a hash aggregate."""
+    big = "decimal(38,0)"
+    place = F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32) + F.col("pos").cast("bigint")
+    return (place.cast("decimal(18,0)") * X.dec(1 << 64)).cast(big) + (F.col("doc_id").cast("decimal(20,0)") + X.dec(1 << 63)).cast(big)
 
-    ``materialize`` (jobs that write several outputs) parses the documents
-    once, keeps payload-less documents as ``no observations`` rejects, and
-    checkpoints the typed rows for the new rows, the rejects and the counts.
-    ``buckets`` (silver bucketed by series_id into that many buckets) shuffles
-    the batch once, into the buckets: the first-wins de-duplication and the
-    anti-join against silver then need no further exchange."""
-    t = typing_observations(B.observation_rows(parsed_docs, keep_empty=materialize))
-    if materialize:
-        t = _materialized(t)
+
+def load_observations(parsed_docs: DataFrame, silver: DataFrame, buckets: int | None = None) -> Load:
+    """Parsed observation documents + current silver -> rows to insert."""
+    return load_typed_observations(typing_observations(B.observation_rows(parsed_docs)), silver, buckets)
+
+
+def load_typed_observations(t: DataFrame, silver: DataFrame, buckets: int | None = None) -> Load:
+    """The same from typed rows (a job stages them once for its several outputs).
+
+    Revisions are combined before the shuffle and spread over series and date; only the one
+    row left per key goes on to the bucket of its series (``buckets``: silver is bucketed by
+    series_id into that many), where the anti-join needs no further exchange."""
     good, bad = split_typed_observations(t)
-    # first-wins order (ingest day, position in the document) as one bigint,
-    # so the de-duplication is a hash aggregate
-    ordkey = (F.coalesce(F.unix_date("ingest_date"), F.lit(0)).cast("bigint") * F.lit(1 << 32)
-              + F.col("pos").cast("bigint")).alias("_ord")
-    g = good.select("observation_date", "series_id", "value", ordkey)
+    g = good.select("observation_date", "series_id", "value", observation_order().alias("_ord"))
+    first = M.dedupe(g, S.OBSERVATIONS_KEY, ["_ord"])
     if buckets:
-        g = g.repartition(buckets, F.col("series_id"))
-    new = M.insert_if_absent(g, silver, S.OBSERVATIONS_KEY, order=["_ord"])
+        first = first.repartition(buckets, F.col("series_id"))
+    new = M.insert_if_absent(first, silver, S.OBSERVATIONS_KEY)
     return Load(new.select("observation_date", "series_id", "value"), bad, t)
 
 
@@ -109,8 +110,12 @@ def typing_filings(rows: DataFrame) -> DataFrame:
     t = rows.select("accession_number", "cik", "company_name",
                     F.col("form").alias("filing_type"),
                     X.to_iso_date("filing_date_str").alias("filing_date"),
-                    "filing_date_str", "complete", "ingest_date", "pos")
+                    "filing_date_str", "complete", "ingest_date", "doc_id", "pos")
+    missing = F.col("accession_number").isNull() | (F.col("accession_number") == "")
+    long = [_too_long("filings", c) for c in ("accession_number", "cik", "company_name", "filing_type")]
     reason = (F.when(F.col("pos").isNull(), F.lit("no filings"))
+              .when(missing, F.lit("no accession number"))
+              .when(F.coalesce(long[0] | long[1] | long[2] | long[3], F.lit(False)), F.lit("value too long"))
               .when(~F.col("complete"), F.lit("unequal arrays"))
               .when(F.col("filing_date_str").isNotNull() & F.col("filing_date").isNull(), F.lit("bad date")))
     return t.withColumn("reject_reason", reason)
@@ -118,7 +123,7 @@ def typing_filings(rows: DataFrame) -> DataFrame:
 
 def split_typed_filings(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
-        "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "pos")
+        "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
         "accession_number", "cik", "ingest_date", "pos", "reject_reason")
     return good, bad
@@ -128,18 +133,20 @@ def typed_filings(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_typed_filings(typing_filings(rows))
 
 
-def load_filings(parsed_docs: DataFrame, silver: DataFrame, materialize: bool = False,
-                 buckets: int | None = None) -> Load:
-    """Parsed filing documents + current silver -> rows to insert (see
-    ``load_observations``; silver is bucketed by ``accession_number``)."""
-    t = typing_filings(B.filing_rows(parsed_docs, keep_empty=materialize))
-    if materialize:
-        t = _materialized(t)
+def load_filings(parsed_docs: DataFrame, silver: DataFrame, buckets: int | None = None) -> Load:
+    """Parsed filing documents + current silver -> rows to insert."""
+    return load_typed_filings(typing_filings(B.filing_rows(parsed_docs)), silver, buckets)
+
+
+def load_typed_filings(t: DataFrame, silver: DataFrame, buckets: int | None = None) -> Load:
+    """The same from typed rows (see ``load_typed_observations``; silver is bucketed by
+    ``accession_number``, which is also the key, so one shuffle does for both)."""
     good, bad = split_typed_filings(t)
-    good = good.withColumn("_doc", F.col("cik"))  # order: ingest day, document, position
+    # cik is both part of the order and of the row
+    first = M.dedupe(good.withColumn("_c", F.col("cik")), S.FILINGS_KEY, ["ingest_date", "_c", "pos", "doc_id"])
     if buckets:
-        good = good.repartition(buckets, F.col("accession_number"))
-    new = M.insert_if_absent(good, silver, S.FILINGS_KEY, order=["ingest_date", "_doc", "pos"])
+        first = first.repartition(buckets, F.col("accession_number"))
+    new = M.insert_if_absent(first, silver, S.FILINGS_KEY)
     return Load(new.select(*[f.name for f in S.FILINGS.fields]), bad, t)
 
 
@@ -149,18 +156,28 @@ def error_documents(parsed_docs: DataFrame, payload: str = "observations") -> Da
 
 
 def company_updates(directory_rows: DataFrame) -> DataFrame:
-    """Directory rows -> one (cik, ticker, name) per cik, the last one written."""
-    return M.dedupe(directory_rows.select("cik", "ticker", "name", "pos", "doc"),
-                    ["cik"], ["pos", "doc"], keep="last")
+    """Directory rows -> one (cik, ticker, name) per cik, the last one written: by the day it
+    was fetched, the file, the position in it."""
+    return M.dedupe(directory_rows.select("cik", "ticker", "name", "fetched", "doc", "pos"),
+                    ["cik"], ["fetched", "doc", "pos"], keep="last")
 
 
 def upsert_companies(companies: DataFrame, directory_rows: DataFrame) -> DataFrame:
     """Insert new companies (active by default), update ticker and name of known ones."""
     return M.upsert(companies, company_updates(directory_rows), S.COMPANIES_KEY, ["ticker", "name"],
-                    defaults={"is_active": F.lit(True)})
+                    defaults=_new_row(companies))
+
+
+def upsert_series(series: DataFrame, updates: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Insert or update name and category per series id; the last row by ``order`` (columns
+    of ``updates``) wins, and without an order an id must not come twice."""
+    u = updates.select("series_id", "name", "category", *(order or []))
+    return M.upsert(series, u, S.SERIES_KEY, ["name", "category"], defaults=_new_row(series), order=order)
 
 
-def upsert_series(series: DataFrame, updates: DataFrame) -> DataFrame:
-    """Insert or update name and category per series id (last row wins)."""
-    u = updates.select("series_id", "name", "category")
-    return M.upsert(series, u, S.SERIES_KEY, ["name", "category"], defaults={"is_active": F.lit(True)})
+def _new_row(table: DataFrame) -> dict:
+    """What a new config row starts with; an update leaves both alone."""
+    out = {"is_active": F.lit(True)}
+    if "created_at" in table.columns:
+        out["created_at"] = F.current_timestamp()
+    return out

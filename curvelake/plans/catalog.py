@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from curvelake import schemas as S
 from curvelake.functions.exprs import literal_rows
+from curvelake import jobs
 from curvelake.jobs import Warehouse
 from curvelake.operators import aggregates as A
 from curvelake.operators import gold
@@ -23,14 +24,18 @@ from curvelake.operators import quality as Q
 from curvelake.operators import relational as R
 from curvelake.operators import series as W
 from curvelake.operators import silver as SV
-from curvelake.plans.oracle import IN_LIST_TICKERS
-from curvelake.plans.views import register_views
+from curvelake.plans import documents as D
+from curvelake.plans.views import register_views, register_warehouse
 from curvelake.session import scratch_path
 from curvelake.sinks import writers as WR
+from curvelake.sinks.catalog import append_bucketed, layout
 from curvelake.sources import bronze as B
 from curvelake.sources import tables as T
 from curvelake.streaming.bronze_stream import stream_bronze_to_silver
 
+#: companies named in the IN-list queries (the oracle writes them out again)
+IN_LIST_TICKERS = ["T1", "T2", "T3", "T5", "T8", "T13"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -200,7 +205,7 @@ def _q(spark, d):
 
 CUTOFF = _dt.date(1998, 1, 1)
 ERROR_YEAR = "1999"
-DAY1, DAY2 = _dt.date(2026, 1, 27), _dt.date(2026, 1, 28)
+DAY1, DAY2, DAY3 = _dt.date(2026, 1, 27), _dt.date(2026, 1, 28), _dt.date(2026, 1, 29)
 
 
 def _raw_observation_strings(obs: DataFrame, revise: bool = True) -> DataFrame:
@@ -215,7 +220,7 @@ def _raw_observation_strings(obs: DataFrame, revise: bool = True) -> DataFrame:
 
 
 def _observation_docs(spark, d, revise=True, ingest=DAY1):
-    return B.render_observation_docs(_raw_observation_strings(T.observations(spark, d), revise),
+    return D.render_observation_docs(_raw_observation_strings(T.observations(spark, d), revise),
                                      F.lit(ingest))
 
 
@@ -273,21 +278,33 @@ def _q(spark, d):
 
 @register("job_backfill")
 def _q(spark, d):
-    """Two ingest days over one date range, loaded in one job: first wins by ingest date."""
+    """Bronze of three ingest days, of which the job loads the first two: first wins by ingest
+    day, and the third day's document is not read."""
+    base = scratch_path(spark, "backfill-job")
+    bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
     o = T.observations(spark, d)
-    day1 = B.render_observation_docs(
-        _raw_observation_strings(o.where(F.col("observation_date") < F.lit(CUTOFF)), revise=False), F.lit(DAY1))
-    day2 = B.render_observation_docs(_raw_observation_strings(o, revise=True), F.lit(DAY2))
-    docs = day1.unionByName(day2).where(F.col("ingest_date").between(F.lit(DAY1), F.lit(DAY2)))
-    empty = literal_rows(spark, [], S.OBSERVATIONS)
-    return SV.load_observations(B.parse_observation_docs(docs), empty).new_rows
+    early = o.where(F.col("observation_date") < F.lit(CUTOFF))
+    WR.write_bronze(D.render_observation_docs(_raw_observation_strings(early, revise=False), F.lit(DAY1)), bronze, "fred")
+    WR.write_bronze(D.render_observation_docs(_raw_observation_strings(o, revise=True), F.lit(DAY2)), bronze, "fred")
+    later = o.select("series_id", F.date_format(F.date_add("observation_date", 20_000), "yyyy-MM-dd").alias("date"),
+                     F.lit("9.99").alias("value"))
+    WR.write_bronze(D.render_observation_docs(later, F.lit(DAY3)), bronze, "fred")
+    jobs.write_config(T.series(spark), wh.series)
+    jobs.write_config(T.companies(spark, d), wh.companies)
+    jobs.backfill(spark, bronze, wh, DAY1, DAY2)
+    return jobs.silver_observations(spark, wh).drop("ingested_at")
 
 
 # filings
 
 def _filing_docs(spark, d):
     fil = T.filings(spark, d)
-    return B.render_filing_docs(fil, F.lit(DAY1), short_form=F.dayofmonth("filing_date") == 13)
+    return D.render_filing_docs(fil, F.lit(DAY1), short_form=F.dayofmonth("filing_date") == 13)
+
+
+def _nameless(docs: DataFrame) -> DataFrame:
+    """Filing documents with one more entry that has no accession number."""
+    return docs.withColumn("doc", F.regexp_replace("doc", r'"(accessionNumber|form|filingDate)":\[', r'"$1":[null,'))
 
 
 def _existing_filings(spark, d):
@@ -302,9 +319,23 @@ def _q(spark, d):
 
 @register("silver_filings")
 def _q(spark, d):
+    """Documents with entries without accession number, loaded twice: nothing is inserted
+    a second time."""
     silver = _existing_filings(spark, d)
-    load = SV.load_filings(B.parse_filing_docs(_filing_docs(spark, d)), silver)
-    return silver.unionByName(load.new_rows)
+    parsed = B.parse_filing_docs(_nameless(_filing_docs(spark, d)))
+    once = silver.unionByName(SV.load_filings(parsed, silver).new_rows)
+    return once.unionByName(SV.load_filings(parsed, once).new_rows)
+
+
+@register("bronze_error_filings")
+def _q(spark, d):
+    """Companies whose fetch failed: their documents are reported under the company's id."""
+    docs = D.render_filing_docs(T.filings(spark, d), F.lit(DAY1))
+    failed = F.col(B.ENTITY).cast("bigint") % 7 == 0
+    docs = docs.withColumn("doc", F.when(failed, F.lit("<html>429 Too Many Requests</html>")).otherwise(F.col("doc")))
+    typed = SV.typing_filings(B.filing_rows(B.parse_filing_docs(docs), keep_empty=True))
+    rejects = SV.load_typed_filings(typed, _existing_filings(spark, d)).rejects
+    return rejects.groupBy("cik", "reject_reason").agg(F.count(F.lit(1)).alias("documents"))
 
 
 @register("merge_new_filings")
@@ -330,7 +361,15 @@ def _directory_entries(spark, d) -> DataFrame:
 
 
 def _directory_rows(spark, d):
-    docs = B.render_company_directory(_directory_entries(spark, d))
+    docs = D.render_company_directory(_directory_entries(spark, d)).withColumn("ingest_date", F.lit(DAY2))
+    return B.ticker_rows(B.parse_company_directory(docs))
+
+
+def _old_directory_rows(spark, d):
+    """The directory of the day before, other tickers, at later positions of later files."""
+    old = _directory_entries(spark, d).select((F.col("order") + 10_000_000).alias("order"), "cik_str",
+                                              F.lit("OLD").alias("ticker"), F.lit("Old Name").alias("title"))
+    docs = D.render_company_directory(old).withColumn("ingest_date", F.lit(DAY1))
     return B.ticker_rows(B.parse_company_directory(docs))
 
 
@@ -345,7 +384,20 @@ def _q(spark, d):
     known = (T.companies(spark, d).join(c.select(F.col("c_custkey").cast("string").alias("cik"), "c_nationkey"), "cik")
              .where(F.col("c_nationkey") < 20)
              .select("cik", "ticker", F.upper("name").alias("name"), "is_active"))
-    return SV.upsert_companies(known, _directory_rows(spark, d))
+    return SV.upsert_companies(known, _directory_rows(spark, d).unionByName(_old_directory_rows(spark, d)))
+
+
+@register("upsert_series")
+def _q(spark, d):
+    """One series per part: known ones (even keys) are renamed, others are new; the later of
+    two updates of a series wins."""
+    part = T.table(spark, d, "part")
+    sid = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
+    known = part.where("p_partkey % 2 = 0").select(sid.alias("series_id"), F.lit("old name").alias("name"),
+                                                   F.lit("old").alias("category"), (F.col("p_partkey") % 3 == 0).alias("is_active"))
+    first = part.select(sid.alias("series_id"), F.lit("first").alias("name"), F.lit("first").alias("category"), F.lit(1).alias("pos"))
+    last = part.select(sid.alias("series_id"), "p_name", "p_brand", F.lit(2)).toDF("series_id", "name", "category", "pos")
+    return SV.upsert_series(known, last.unionByName(first), order=["pos"])
 
 
 @register("scan_active_companies")
@@ -401,15 +453,18 @@ def _q(spark, d):
 
 @register("stream_bronze_to_silver")
 def _q(spark, d):
-    """Land the documents as bronze files in a fresh folder of the shared
-    checkpoint area, stream them into silver, read silver back."""
+    """Half of the documents landed as single files (one day per year), half written by the
+    engine; one stream loads both into silver, read back."""
     base = scratch_path(spark, "stream-load")
     bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
-    WR.write_bronze(_observation_docs(spark, d, revise=False), bronze, "fred")
-    WR.write_versioned(T.series(spark), wh.series)
+    docs = _observation_docs(spark, d, revise=False)
+    year = F.get_json_object("doc", "$.observations[0].date").substr(1, 4).cast("int")
+    WR.write_bronze(docs.where(year % 2 == 0), bronze, "fred")
+    D.land_files(docs.where(year % 2 == 1).withColumn("ingest_date", F.date_add(F.lit(DAY1), year - 1990)), bronze, "fred")
+    jobs.write_config(T.series(spark), wh.series)
     q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(wh.observations).select("observation_date", "series_id", "value")
+    return jobs.silver_observations(spark, wh).drop("ingested_at")
 
 
 # --- 2.B views: the SQL path -------------------------------------------------
@@ -422,34 +477,77 @@ def _q(spark, d):
     return spark.sql("SELECT * FROM gold_daily_snapshot")
 
 
+def _filled_warehouse(spark, d, name: str) -> Warehouse:
+    """A warehouse whose silver tables hold the bound tables, with config."""
+    wh = Warehouse(f"{scratch_path(spark, name)}/warehouse")
+    obs, fil = jobs.create_tables(spark, wh)
+    lay = layout(spark, wh.root)
+    now = F.current_timestamp()
+    append_bucketed(T.observations(spark, d).withColumn("ingested_at", now), obs, "series_id",
+                    lay.observation_buckets, ["series_id", "observation_date"])
+    append_bucketed(T.filings(spark, d).withColumn("ingested_at", now), fil, "accession_number",
+                    lay.filing_buckets, ["accession_number"])
+    jobs.write_config(T.series(spark), wh.series)
+    jobs.write_config(T.companies(spark, d), wh.companies)
+    return wh
+
+
+@register("ddl_tables")
+def _q(spark, d):
+    """Silver tables created, filled and read back by name."""
+    wh = _filled_warehouse(spark, d, "ddl")
+    obs, fil = jobs.create_tables(spark, wh)
+    return spark.sql(f"""SELECT 'treasury_yields' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows,
+                                CAST(COUNT(DISTINCT series_id) AS BIGINT) AS keys FROM {obs}
+                         UNION ALL SELECT 'sec_filings', COUNT(*), COUNT(DISTINCT accession_number) FROM {fil}""")
+
+
+#: views of a warehouse by their qualified names -> the columns compared
+VIEWS = {
+    "gold.yield_curve": "*", "gold.full_yield_curve": "*", "gold.credit_stress": "*", "gold.company_filings_summary": "*",
+    "gold.daily_snapshot": "*", "gold.yield_curve_d10": "*", "staging.stg_treasury_yields": "*",
+    "reference.fred_series": "series_id, name, category, is_active",
+}
+for _view, _columns in VIEWS.items():
+    def _read_view(spark, d, view=_view, columns=_columns):
+        register_warehouse(spark, _filled_warehouse(spark, d, "views"))
+        return spark.sql(f"SELECT {columns} FROM {view}")
+    QUERIES["view_" + _view.split(".")[1]] = _read_view
+
+
 @register("job_daily")
 def _q(spark, d):
     """One daily run over bronze files: both sources, one result row each."""
-    from curvelake.jobs import run_daily
-
     base = scratch_path(spark, "daily-job")
     bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
     WR.write_bronze(_observation_docs(spark, d, revise=False, ingest=DAY2), bronze, "fred")
-    WR.write_bronze(B.render_filing_docs(T.filings(spark, d), F.lit(DAY2)), bronze, "sec")
-    WR.write_versioned(T.series(spark), wh.series)
-    WR.write_versioned(T.companies(spark, d), wh.companies)
-    return run_daily(spark, bronze, wh, DAY2)
+    WR.write_bronze(D.render_filing_docs(T.filings(spark, d), F.lit(DAY2)), bronze, "sec")
+    jobs.write_config(T.series(spark), wh.series)
+    jobs.write_config(T.companies(spark, d), wh.companies)
+    return jobs.run_daily(spark, bronze, wh, DAY2)
 
 
 # --- sinks as round trips (write to the shared folder, read back) -----------
 
 @register("sink_bronze")
 def _q(spark, d):
-    """Documents written as bronze files and read back as observation rows."""
+    """Documents written as bronze and read back as observation rows.  One series is written
+    a second time, spread over several lines; another entity's body is no JSON at all."""
     bronze = f"{scratch_path(spark, 'sink-bronze')}/bronze"
-    WR.write_bronze(_observation_docs(spark, d), bronze, "fred")
+    docs = _observation_docs(spark, d)
+    WR.write_bronze(docs.withColumn("doc", F.when(F.col(B.ENTITY) == "DGS10", F.lit('{"observations": []}'))
+                                    .otherwise(F.col("doc"))), bronze, "fred")
+    again = docs.where(F.col(B.ENTITY) == "DGS10")
+    WR.write_bronze(again.withColumn("doc", F.regexp_replace("doc", r'([\[,{])', "$1\n  ")), bronze, "fred")
+    page = again.limit(1).withColumn(B.ENTITY, F.lit("PAGE")).withColumn("doc", F.lit("<html>\n503\n</html>"))
+    WR.write_bronze(page, bronze, "fred")
     return B.observation_rows(B.read_observation_docs(spark, bronze)).select("series_id", "date", "value")
 
 
 @register("layout_by_key")
 def _q(spark, d):
     """Observations written range-partitioned and sorted by key, read back with
-    a series filter that the Parquet reader applies to row-group statistics."""
+    a series filter: files and row groups of other series are skipped."""
     path = f"{scratch_path(spark, 'layout')}/silver"
     WR.layout_by_key(T.observations(spark, d), ["series_id", "observation_date"]).write.parquet(path)
     return R.filter_series_eq(spark.read.schema(S.OBSERVATIONS).parquet(path), "DGS10")
@@ -468,3 +566,28 @@ def _q(spark, d):
 def _q(spark, d):
     """The gate over the silver table: passes, returning the results."""
     return Q.gate(Q.run_suite(T.observations(spark, d), Q.observation_suite()))
+
+
+# --- the wide binding: one series per part key, so that it grows with the input ------------
+
+WIDE = {
+    "lag_change": W.lag_change, "running_total": W.running_total, "moving_avg_full": W.moving_avg_full,
+    "moving_stddev": W.moving_stddev, "below_moving_avg": W.below_moving_avg, "quartile": W.quartile,
+    "percent_rank": W.percent_rank, "second_highest": W.second_highest, "date_gaps": W.date_gaps,
+    "year_over_year": W.year_over_year, "series_stats": A.series_stats, "pct_of_total": A.pct_of_total,
+    "first_last": A.first_last, "rank_by_avg": A.rank_by_avg, "rollup": A.rollup, "cube": A.cube,
+    "join_date_max": R.join_date_max, "above_global_avg": R.above_global_avg,
+    "run_suite": lambda o: Q.run_suite(o, Q.observation_suite()),
+}
+for _name, _fn in WIDE.items():
+    QUERIES[f"wide_{_name}"] = (lambda fn: lambda spark, d: fn(T.observations_wide(spark, d)))(_fn)
+
+
+@register("wide_silver_observations")
+def _q(spark, d):
+    """The load's de-duplication and merge over one series per part: revised early values of
+    known keys are ignored."""
+    o = T.observations_wide(spark, d)
+    docs = D.render_observation_docs(_raw_observation_strings(o), F.lit(DAY1))
+    silver = o.where(F.col("observation_date") < F.lit(CUTOFF))
+    return silver.unionByName(SV.load_observations(B.parse_observation_docs(docs), silver).new_rows)

@@ -99,6 +99,8 @@ SERIES = T.StructType([
     T.StructField("category", T.StringType(), False),
     T.StructField("is_active", T.BooleanType(), True),
 ])
+#: stored config tables also say when a row was created
+CREATED_AT = T.StructField("created_at", T.TimestampType(), True)
 SERIES_KEY = ["series_id"]
 
 COMPANIES = T.StructType([
@@ -109,8 +111,7 @@ COMPANIES = T.StructType([
 ])
 COMPANIES_KEY = ["cik"]
 
-# Declared VARCHAR lengths; Spark DataFrames do not enforce them, the quality
-# suite does.
+# Declared VARCHAR lengths, enforced by the loads (a longer value is a reject).
 MAX_LENGTHS = {
     "observations": {"series_id": 20},
     "filings": {"accession_number": 25, "cik": 10, "company_name": 255, "filing_type": 20},
@@ -121,17 +122,9 @@ MAX_LENGTHS = {
 # --- bronze documents -------------------------------------------------------
 
 OBSERVATION_DOC = T.StructType([
-    T.StructField("seriess", T.ArrayType(T.StructType([
-        T.StructField("id", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("frequency", T.StringType()),
-        T.StructField("units", T.StringType()),
-    ]))),
     T.StructField("observations", T.ArrayType(T.StructType([
         T.StructField("date", T.StringType()),
         T.StructField("value", T.StringType()),
-        T.StructField("realtime_start", T.StringType()),
-        T.StructField("realtime_end", T.StringType()),
     ]))),
 ])
 
@@ -143,10 +136,6 @@ FILING_DOC = T.StructType([
             T.StructField("accessionNumber", T.ArrayType(T.StringType())),
             T.StructField("form", T.ArrayType(T.StringType())),
             T.StructField("filingDate", T.ArrayType(T.StringType())),
-            T.StructField("acceptanceDateTime", T.ArrayType(T.StringType())),
-            T.StructField("primaryDocument", T.ArrayType(T.StringType())),
-            T.StructField("primaryDocDescription", T.ArrayType(T.StringType())),
-            T.StructField("size", T.ArrayType(T.LongType())),
         ])),
     ])),
 ])

@@ -8,10 +8,12 @@ zone, and no web UI.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Broadcast only below this measured/estimated size; larger sides fall back
 # to a shuffled sort-merge join.  Spark checks it against plan statistics at
@@ -29,10 +31,6 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_LIMIT_BYTES),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # let a join on (observation_date, series_id) use silver's bucketing on
-    # series_id, so only the other side is shuffled (series are bounded by
-    # their dates, so partitioning on that subset of the key cannot skew)
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -64,9 +62,21 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
         "spark.default.parallelism": str(2 * cores),
+        BUCKETS: str(bucket_count(input_bytes, cores)),
     }
 
 
+#: Buckets of a silver table, fixed when the warehouse is created.
+BUCKETS = "spark.curvelake.buckets"
+BUCKET_BYTES = 2 * 1024 ** 3
+MAX_BUCKETS = 50_000  # Spark's own bound is spark.sql.sources.bucketing.maxBuckets, 100,000
+
+
+def bucket_count(table_bytes: int, cores: int = 1) -> int:
+    """Buckets of about BUCKET_BYTES, at least one per core, at most MAX_BUCKETS."""
+    return min(MAX_BUCKETS, max(cores, -(-table_bytes // BUCKET_BYTES)))
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "curvelake", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's defaults.
@@ -88,22 +98,51 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and points at storage every
-    executor can reach.  Only when it is unset (local tests) do we create a
-    local folder and register it.
+    On a cluster it must be set, to storage that every executor reaches.  Only a local
+    master without the setting (tests) gets a folder of its own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get(sc.applicationId)
     if not d:
-        d = tempfile.mkdtemp(prefix="curvelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        d = _LOCAL[sc.applicationId] = tempfile.mkdtemp(prefix="curvelake-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the jobs run inside, then the caller's own again."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """``df`` as Parquet in the shared folder for the jobs run inside; removed afterwards
+    (also after an error), so a finished load leaves nothing behind."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"

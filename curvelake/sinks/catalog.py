@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake.functions.exprs import literal_rows
+from curvelake.session import BUCKETS, MAX_BUCKETS
 
 
 @dataclass(frozen=True)
@@ -43,8 +44,10 @@ def _layout_path(root: str) -> str:
 
 def layout(spark: SparkSession, root: str, buckets: int | None = None) -> Layout:
     """The warehouse's stored bucket layout, written on first use (save mode
-    ``ignore``: an existing layout is never replaced)."""
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``ignore``: an existing layout is never replaced).  The number is ``buckets``, or the
+    setting BUCKETS (``scale_conf`` sizes it from the data), or else the shuffle partitions
+    up to MAX_BUCKETS."""
+    n = buckets or int(spark.conf.get(BUCKETS, "0")) or min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     schema = "observation_buckets int, filing_buckets int"
     literal_rows(spark, [(n, n)], schema).coalesce(1).write.mode("ignore").json(_layout_path(root))
     row = spark.read.schema(schema).json(_layout_path(root)).first()
@@ -77,6 +80,8 @@ def register_silver(spark: SparkSession, root: str, obs_path: str, fil_path: str
         CLUSTERED BY (accession_number) SORTED BY (accession_number)
         INTO {lay.filing_buckets} BUCKETS
         LOCATION '{fil_path}'""")
+    for t in (obs, fil):  # another session may have written since this one listed the files
+        spark.catalog.refreshTable(t)
     return obs, fil
 
 
@@ -93,3 +98,21 @@ def append_bucketed(rows: DataFrame, table: str, bucket_col: str, buckets: int,
     out = rows.repartition(buckets, F.col(bucket_col)).sortWithinPartitions(*sort_cols).select(*cols)
     out.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return int(obs.get.get("rows", 0) or 0)
+
+
+def compact_bucketed(spark: SparkSession, table: str, path: str, bucket_col: str, buckets: int,
+                     sort_cols: list[str]) -> None:
+    """Rewrite a bucketed table so that each bucket is one sorted file again (every append adds
+    up to one file per bucket).  Run it when no load writes.
+
+    The rows are staged first, and the table is overwritten from the stage, which is removed
+    only after success: a failure in between leaves the stage to read from."""
+    spark.catalog.refreshTable(table)
+    stage = f"{path.rstrip('/')}-compact-{uuid.uuid4().hex[:12]}"
+    source = spark.table(table)
+    source.write.parquet(stage)
+    rows = spark.read.schema(source.schema).parquet(stage)
+    rows.repartition(buckets, F.col(bucket_col)).sortWithinPartitions(*sort_cols).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

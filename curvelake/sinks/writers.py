@@ -1,13 +1,13 @@
-"""Writers: bronze documents, silver appends, versioned rewrites, validation results.
-
-* Bronze: ``partitionBy(source, ingest_date)`` with dynamic partition
-  overwrite — writing a (source, day) again replaces exactly that day.
-* Silver tables are bucketed catalog tables (``sinks.catalog``); for plain
-  parquet outputs ``layout_by_key`` hash-partitions on the key and sorts each
-  file by it, so Parquet row-group min/max statistics skip data for filters on
-  the leading key columns.
-* Config tables (upserts rewrite them): a new version directory per write and
-  a one-line pointer file; a path is never overwritten while it is read.
+"""Writers: bronze documents, key layout, versioned rewrites, validation results.
+
+* Bronze: append-only; every call is one write with an id that sorts by time, and the reader
+  takes the latest write of each (source, day, entity).  Writing an entity again replaces
+  that entity's documents of that day and nothing else.
+* Silver tables are bucketed catalog tables (``sinks.catalog``); for plain parquet outputs
+  ``layout_by_key`` range-partitions and sorts by the key, so that files and row groups can
+  be skipped for filters on the leading key columns.
+* Config tables (upserts rewrite them): a new version directory per write, and one small file
+  per version that names it; nothing is ever overwritten, the newest name wins.
 """
 
 from __future__ import annotations
@@ -24,63 +24,65 @@ from curvelake.functions.exprs import literal_rows
 from curvelake.sources import bronze as B
 
 
-def write_bronze(docs: DataFrame, root: str, source: str) -> None:
-    """(entity_id, ingest_date, doc JSON string) -> raw documents, one per line.
+def _time_id() -> str:
+    """An id that sorts by time."""
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
-    The document text is written as is, with the entity id spliced in as its
-    first field (``{"entity_id":"X", ...doc fields...}``) — no parse and
-    re-serialisation of the payload."""
-    head = F.regexp_replace(F.to_json(F.struct(F.col(B.ENTITY))), r"\}$", "")   # {"entity_id":"X"
-    body = F.trim(F.col("doc"))
-    inner = F.trim(F.expr("substring(trim(doc), 2, length(trim(doc)) - 2)"))     # fields, no braces
-    line = F.when(inner == "", F.concat(head, F.lit("}"))) \
-        .otherwise(F.concat(head, F.lit(","), inner, F.lit("}")))
-    (docs.where(body.startswith("{") & F.col(B.ENTITY).isNotNull())
-     .select(line.alias("value"), F.lit(source).alias("source"), "ingest_date")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "ingest_date").text(root))
 
+def write_bronze(docs: DataFrame, root: str, source: str) -> str:
+    """(entity_id, ingest_date, doc) -> bronze, any body as it is; returns the write's id.
+
+    Every row is kept: a body that is no JSON object, or a row without entity id, is reported
+    as a reject by the load."""
+    w = _time_id()
+    (docs.select(F.col(B.ENTITY), F.col("doc"), F.lit(w).alias("write_id"), F.lit(source).alias("source"), "ingest_date")
+     .write.mode("append").partitionBy("source", "ingest_date").parquet(root))
+    return w
 
-def layout_by_key(df: DataFrame, key: list[str]) -> DataFrame:
-    """Hash-partition on the whole (unique) key and sort each file by it.
 
-    Hashing the full key spreads rows evenly even when one series or company
-    holds a large share of the batch; sorting inside each file keeps Parquet
-    row-group min/max ranges narrow, so filters on the leading key columns
-    skip row groups.  Unlike range partitioning this needs no sampling pass
-    over the input (which would re-run the whole load).  AQE sizes the files.
-    """
-    return df.repartition(*[F.col(c) for c in key]).sortWithinPartitions(*key)
+def layout_by_key(df: DataFrame, key: list[str]) -> DataFrame:
+    """Range-partition by the key and sort each file by it: a filter on the leading key
+    columns opens few files, and in these few row groups.  The whole (unique) key sets the
+    ranges, so a series or company with a large share of the rows spans several files.  The
+    sampling pass reads ``df`` once more: give it staged rows where they are costly."""
+    return df.repartitionByRange(*[F.col(c) for c in key]).sortWithinPartitions(*key)
 
 
 # --- versioned config tables ------------------------------------------------
 
-def _pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/_current"
+
+class MissingConfig(RuntimeError):
+    """A config table that does not exist (a load without it would load nothing)."""
+
+
+def _versions(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
+    """The newest version, or None if there is no such table; other errors are raised."""
     try:
-        row = spark.read.text(_pointer(root)).first()
-    except AnalysisException:
+        return spark.read.schema("v string").parquet(_versions(root)).agg(F.max("v")).first()[0]
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         return None
-    return row[0] if row else None
 
 
 def read_versioned(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     v = current_version(spark, root)
     if v is None:
-        return literal_rows(spark, [], schema)
+        raise MissingConfig(f"no config table at {root}; create it first (python -m curvelake config ...)")
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{v}")
 
 
 def write_versioned(df: DataFrame, root: str) -> str:
-    """Write ``df`` as a new version, then repoint; returns the version name.
-    Readers of the previous version are unaffected."""
+    """Write ``df`` as a new version, then name it; returns the version.  A reader sees the
+    version before or the new one, never neither."""
     spark = df.sparkSession
-    v = "v" + dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:6]
+    v = "v" + _time_id()
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{v}")
-    literal_rows(spark, [(v,)], "v string").coalesce(1).write.mode("overwrite").text(_pointer(root))
+    literal_rows(spark, [(v,)], "v string").coalesce(1).write.mode("append").parquet(_versions(root))
     return v
 
 

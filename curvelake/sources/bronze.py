@@ -1,15 +1,16 @@
-"""Bronze documents: raw JSON as fetched, one document per entity and day.
+"""Bronze documents: raw text as fetched, any number per entity and day.
 
-Layout written by ``curvelake.sinks.bronze.write_bronze``::
+Two layouts under one root are read together:
 
-    <root>/source=<fred|sec>/ingest_date=<yyyy-MM-dd>/part-*.json
+* ``<root>/source=<fred|sec>/ingest_date=<yyyy-MM-dd>/part-*.parquet`` with columns
+  ``entity_id``, ``doc`` (the body as it came, JSON or not) and ``write_id``, written by
+  ``curvelake.sinks.writers.write_bronze``; of one (source, day, entity) only the documents
+  of the latest write count;
+* ``<root>/<source>/<yyyy-MM-dd>/<entity>.json``, one file per document, landed by other tools.
 
-one JSON object per line, with an ``entity_id`` field next to the document's
-own fields.  Files landed by other tools as ``<root>/<source>/<date>/<id>.json``
-(the entity id is the file name) are read as well.
-
-Documents are always read with an explicit schema: no inference pass, and a
-missing level (error documents, no ``filings``/``recent``) is simply NULL.
+``located`` is the one place where a path becomes (source, entity, day), for batch and stream.
+Bodies are parsed with an explicit schema; one that doesn't parse (an HTML error page, an
+array) has no payload and is reported as an error document.
 """
 
 from __future__ import annotations
@@ -27,32 +28,62 @@ from curvelake.functions.exprs import literal_rows
 ENTITY = "entity_id"
 
 # ---------------------------------------------------------------------------
-# Parsing (shared by the file readers and the in-memory forms)
+# Where a document came from
 # ---------------------------------------------------------------------------
 
+#: a raw document; ``write_id`` is NULL for landed files
+RAW = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField(ENTITY, T.StringType()),
+    T.StructField("ingest_date", T.DateType()),
+    T.StructField("write_id", T.StringType()),
+    T.StructField("doc", T.StringType()),
+])
+WRITTEN = T.StructType([T.StructField(ENTITY, T.StringType()), T.StructField("doc", T.StringType()),
+                        T.StructField("write_id", T.StringType())])
 
-def _entity_from_path(path: Column) -> Column:
-    """``…/DGS10.json`` -> ``DGS10``."""
-    return F.regexp_extract(path, r"([^/]+)\.json$", 1)
 
+def located(files: DataFrame, body: str) -> DataFrame:
+    """Rows of files of either layout, with the path in ``_metadata`` -> RAW documents."""
+    path = F.col("_metadata.file_path")
+    day = F.regexp_extract(path, r"(?:/|ingest_date=)(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
+    source = F.regexp_extract(path, r"/(?:source=)?([^/=]+)/(?:ingest_date=)?\d{4}-\d{2}-\d{2}/[^/]+$", 1)
+    name = F.regexp_extract(path, r"([^/]+)\.json$", 1)
+    own = F.col(ENTITY) if ENTITY in files.columns else F.when(name != "", F.url_decode(name))
+    write = F.col("write_id") if "write_id" in files.columns else F.lit(None).cast("string")
+    return files.select(F.when(source != "", source).alias("source"), own.alias(ENTITY),
+                        F.try_to_date(day, "yyyy-MM-dd").alias("ingest_date"), write.alias("write_id"), F.col(body).alias("doc"))
+
+
+def latest_writes(docs: DataFrame) -> DataFrame:
+    """Documents of the latest write of each (source, day, entity); landed files stay."""
+    key = ["source", "ingest_date", ENTITY]
+    last = docs.where("write_id IS NOT NULL").groupBy(*key).agg(F.max("write_id").alias("_w"))
+    last = last.select(*[F.col(k).alias(f"_{k}") for k in key], "_w")
+    same = F.col("write_id") == F.col("_w")
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    written = docs.where("write_id IS NOT NULL").join(last, same, "left_semi")
+    return written.unionByName(docs.where("write_id IS NULL"))
 
-def _date_from_path(path: Column) -> Column:
-    """``…/2026-01-28/…`` or ``…/ingest_date=2026-01-28/…`` -> DATE."""
-    return F.try_to_date(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})/[^/]+$", 1), "yyyy-MM-dd")
+
+# ---------------------------------------------------------------------------
+# Parsing (shared by the file readers and the in-memory forms)
+# ---------------------------------------------------------------------------
 
 
 def observation_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     """Parsed observation documents -> one row per observation.
 
-    Input columns: ``series_id``, ``ingest_date``, ``observations``.
-    Output: (series_id, ingest_date, pos, date, value) with date/value still
-    strings; ``pos`` is the position in the document (first-wins order).
+    Input columns: ``series_id``, ``ingest_date``, ``doc_id``, ``observations``.
+    Output: (series_id, ingest_date, doc_id, pos, date, value) with date/value still
+    strings; ``pos`` is the position in the document (first-wins order, then ``doc_id``).
     A document without ``observations`` yields no rows, or with
     ``keep_empty`` one row with NULL ``pos`` (so it can be reported).
     """
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    e = docs.select("series_id", "ingest_date", explode("observations").alias("pos", "o"))
-    return e.select("series_id", "ingest_date", "pos",
+    e = docs.select("series_id", "ingest_date", "doc_id", explode("observations").alias("pos", "o"))
+    return e.select("series_id", "ingest_date", "doc_id", "pos",
                     F.col("o.date").alias("date"), F.col("o.value").alias("value"))
 
 
@@ -79,13 +110,13 @@ def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
 
     z = F.arrays_zip(arr("accessionNumber").alias("a"), arr("form").alias("f"), arr("filingDate").alias("d"))
     e = docs.select(
-        F.coalesce(F.col("cik"), F.lit("")).alias("cik"),
+        F.coalesce(F.col("cik"), F.col(ENTITY), F.lit("")).alias("cik"),
         F.coalesce(F.col("name"), F.lit("")).alias("company_name"),
-        "ingest_date",
+        "ingest_date", "doc_id",
         n.alias("_n"), array_len(r["form"]).alias("_nf"), array_len(r["filingDate"]).alias("_nd"),
         explode(z).alias("pos", "z"))
     return (e.where(F.col("pos").isNull() | (F.col("pos") < F.col("_n")))
-            .select("cik", "company_name", "ingest_date", "pos",
+            .select("cik", "company_name", "ingest_date", "doc_id", "pos",
                     F.col("z.a").alias("accession_number"), F.col("z.f").alias("form"),
                     F.col("z.d").alias("filing_date_str"),
                     ((F.col("pos") < F.col("_nf")) & (F.col("pos") < F.col("_nd"))).alias("complete")))
@@ -94,12 +125,12 @@ def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
 def ticker_rows(directory: DataFrame) -> DataFrame:
     """Parsed company directories (``map<row-number, entry>``) -> rows.
 
-    Output: (cik un-padded string, ticker, name, doc, pos) where (doc, pos)
-    is the write order used for last-wins.
+    Output: (cik un-padded string, ticker, name, fetched, doc, pos) where
+    (fetched, doc, pos) is the write order used for last-wins.
     """
-    e = directory.select("doc", F.explode("entries").alias("k", "v"))
+    e = directory.select("fetched", "doc", F.explode("entries").alias("k", "v"))
     return e.select(F.col("v.cik_str").cast("string").alias("cik"), F.col("v.ticker").alias("ticker"),
-                    F.col("v.title").alias("name"), "doc", F.col("k").cast("bigint").alias("pos"))
+                    F.col("v.title").alias("name"), "fetched", "doc", F.col("k").cast("bigint").alias("pos"))
 
 
 # ---------------------------------------------------------------------------
@@ -113,58 +144,45 @@ def _day_glob(ingest_dates: tuple) -> str:
     return days[0] if len(days) == 1 else "{" + ",".join(days) + "}"
 
 
-def _read_json(spark: SparkSession, root: str, source: str, schema: T.StructType,
-               ingest_dates: tuple | None = None) -> DataFrame:
-    """Documents of one source, from either layout:
-
-    * ``<root>/source=<s>/ingest_date=<d>/part-*`` (written by this engine):
-      partition columns, pruned by the ingest-date filter;
-    * ``<root>/<s>/<d>/<entity>.json`` (one file per fetched entity): the
-      entity is the file name and the day the folder; a day range reads only
-      the folders of that range (path glob).
-    """
-    full = T.StructType(list(schema.fields) + [
-        T.StructField(ENTITY, T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("ingest_date", T.DateType()),
-    ])
-    base = root.rstrip("/")
+def _or_none(read):
+    """The DataFrame that ``read`` gives, or None where its path does not exist."""
     try:
-        df = spark.read.schema(full).option("basePath", base).json(f"{base}/source={source}")
-    except AnalysisException as e:  # not the partitioned layout
+        return read()
+    except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        days = _day_glob(ingest_dates) if ingest_dates is not None else "*"
-        try:
-            df = spark.read.schema(full).json(f"{base}/{source}/{days}/*.json")
-        except AnalysisException as e2:  # nothing landed for this source
-            if "PATH_NOT_FOUND" not in str(e2):
-                raise
-            return literal_rows(spark, [], full)
-    path = F.col("_metadata.file_path")
-    df = (df.withColumn(ENTITY, F.coalesce(F.col(ENTITY), _entity_from_path(path)))
-          .withColumn("ingest_date", F.coalesce(F.col("ingest_date"), _date_from_path(path))))
-    if ingest_dates is not None:
-        lo, hi = ingest_dates
-        df = df.where(F.col("ingest_date").between(F.lit(lo), F.lit(hi)))  # partition pruning
-    return df
+        return None
+
+
+def raw_documents(spark: SparkSession, root: str, source: str, ingest_dates: tuple | None = None) -> DataFrame:
+    """RAW documents of one source, from both layouts; a day range reads only its folders."""
+    base = root.rstrip("/")
+    days = _day_glob(ingest_dates) if ingest_dates is not None else "*"
+    written = _or_none(lambda: spark.read.schema(WRITTEN).parquet(f"{base}/source={source}/ingest_date={days}"))
+    landed = _or_none(lambda: spark.read.text(f"{base}/{source}/{days}/*.json", wholetext=True))
+    parts = ([latest_writes(located(written, "doc"))] if written is not None else []) + \
+        ([located(landed, "value")] if landed is not None else [])
+    if not parts:
+        return literal_rows(spark, [], RAW)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_observation_docs(spark: SparkSession, root: str, ingest_dates: tuple | None = None) -> DataFrame:
-    """Bronze observation documents -> (series_id, ingest_date, observations, seriess)."""
-    df = _read_json(spark, root, "fred", S.OBSERVATION_DOC, ingest_dates)
-    return df.withColumnRenamed(ENTITY, "series_id")
+    """Bronze observation documents -> (series_id, ingest_date, doc_id, observations)."""
+    return parse_observation_docs(raw_documents(spark, root, "fred", ingest_dates))
 
 
 def read_filing_docs(spark: SparkSession, root: str, ingest_dates: tuple | None = None) -> DataFrame:
-    return _read_json(spark, root, "sec", S.FILING_DOC, ingest_dates).drop(ENTITY)
+    return parse_filing_docs(raw_documents(spark, root, "sec", ingest_dates))
 
 
 def read_company_directory(spark: SparkSession, path: str) -> DataFrame:
-    """Company ticker directory files: each file one JSON object of objects."""
+    """Company ticker directory files: each file one JSON object of objects.  ``fetched`` is
+    the day in the path, or else the day the file was written."""
     t = spark.read.text(path, wholetext=True)
-    return t.select(F.col("_metadata.file_path").alias("doc"),
-                    F.from_json("value", S.TICKER_DIRECTORY).alias("entries"))
+    day = F.try_to_date(F.regexp_extract("_metadata.file_path", r"(\d{4}-\d{2}-\d{2})/[^/]+$", 1), "yyyy-MM-dd")
+    return t.select(F.coalesce(day, F.to_date("_metadata.file_modification_time")).alias("fetched"),
+                    F.col("_metadata.file_path").alias("doc"), F.from_json("value", S.TICKER_DIRECTORY).alias("entries"))
 
 
 # ---------------------------------------------------------------------------
@@ -173,76 +191,20 @@ def read_company_directory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_observation_docs(docs: DataFrame) -> DataFrame:
-    """(entity_id, ingest_date, doc) JSON strings -> parsed documents."""
-    p = docs.select(F.col(ENTITY).alias("series_id"), "ingest_date",
+    """(entity_id, ingest_date, doc) JSON strings -> parsed documents; ``doc_id`` is a hash
+    of the body, which breaks ties of documents of one entity and day."""
+    p = docs.select(F.col(ENTITY).alias("series_id"), "ingest_date", F.xxhash64("doc").alias("doc_id"),
                     F.from_json("doc", S.OBSERVATION_DOC).alias("j"))
-    return p.select("series_id", "ingest_date", "j.observations", "j.seriess")
+    return p.select("series_id", "ingest_date", "doc_id", "j.observations")
 
 
 def parse_filing_docs(docs: DataFrame) -> DataFrame:
-    p = docs.select("ingest_date", F.from_json("doc", S.FILING_DOC).alias("j"))
-    return p.select("ingest_date", "j.cik", "j.name", "j.filings")
+    entity = F.col(ENTITY) if ENTITY in docs.columns else F.lit(None).cast("string").alias(ENTITY)
+    p = docs.select(entity, "ingest_date", F.xxhash64("doc").alias("doc_id"), F.from_json("doc", S.FILING_DOC).alias("j"))
+    return p.select(ENTITY, "ingest_date", "doc_id", "j.cik", "j.name", "j.filings")
 
 
 def parse_company_directory(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col(ENTITY).alias("doc"), F.from_json("doc", S.TICKER_DIRECTORY).alias("entries"))
-
-
-# ---------------------------------------------------------------------------
-# Rendering tables as documents (the shape a fetch lands in bronze)
-# ---------------------------------------------------------------------------
-
-
-def render_observation_docs(rows: DataFrame, ingest_date: Column | None = None) -> DataFrame:
-    """(series_id, date STRING, value STRING) -> one document per series and
-    year: (entity_id, ingest_date, doc).  A document never holds more than a
-    year of one series."""
-    o = F.struct(F.col("date"), F.col("value"),
-                 F.col("date").alias("realtime_start"), F.col("date").alias("realtime_end"))
-    g = (rows.groupBy("series_id", F.substring("date", 1, 4).alias("_y"))
-         .agg(F.array_sort(F.collect_list(o)).alias("observations")))
-    meta = F.array(F.struct(F.col("series_id").alias("id"), F.col("series_id").alias("title"),
-                            F.lit("Daily").alias("frequency"), F.lit("Percent").alias("units")))
-    return g.select(F.col("series_id").alias(ENTITY),
-                    (ingest_date if ingest_date is not None else F.lit(None).cast("date")).alias("ingest_date"),
-                    F.to_json(F.struct(meta.alias("seriess"), "observations")).alias("doc"))
-
-
-def render_filing_docs(fil: DataFrame, ingest_date: Column | None = None,
-                       short_form: Column | None = None, chunk: Column | None = None) -> DataFrame:
-    """Filings -> submissions documents, one per (cik, filing day, chunk).
-
-    ``chunk`` splits a company-day into documents of bounded size; the
-    default is blocks of 1000 consecutive sequence numbers taken from the
-    accession number (unique), so no document ever holds more than 1000
-    filings, however many one company files in a day.
-    ``short_form`` (a boolean column over the group) drops the last ``form``
-    entry of that document, producing unequal arrays."""
-    if chunk is None:
-        chunk = F.floor(F.substring_index("accession_number", "-", -1).cast("bigint") / 1000)
-    item = F.struct("accession_number", "filing_type", "filing_date")
-    g = (fil.groupBy("cik", "company_name", "filing_date", chunk.alias("_chunk"))
-         .agg(F.array_sort(F.collect_list(item)).alias("_items")))
-    forms = F.transform("_items", lambda x: x["filing_type"])
-    if short_form is not None:
-        forms = F.when(short_form, F.slice(forms, 1, F.size("_items") - 1)).otherwise(forms)
-    recent = F.struct(
-        F.transform("_items", lambda x: x["accession_number"]).alias("accessionNumber"),
-        forms.alias("form"),
-        F.transform("_items", lambda x: F.date_format(x["filing_date"], "yyyy-MM-dd")).alias("filingDate"))
-    doc = F.struct(F.col("cik"), F.col("company_name").alias("name"),
-                   F.struct(recent.alias("recent")).alias("filings"))
-    return g.select(F.col("cik").alias(ENTITY),
-                    (ingest_date if ingest_date is not None else F.lit(None).cast("date")).alias("ingest_date"),
-                    F.to_json(doc).alias("doc"))
-
-
-def render_company_directory(entries: DataFrame, chunk: int = 1000) -> DataFrame:
-    """(order BIGINT, cik_str BIGINT, ticker, title) -> directory documents of
-    at most ``chunk`` entries each, keyed by row number as strings."""
-    e = entries.withColumn("_chunk", F.floor(F.col("order") / chunk))
-    g = e.groupBy("_chunk").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("order").cast("string"),
-        F.struct(F.col("cik_str"), F.col("ticker"), F.col("title"))))).alias("m"))
-    return g.select(F.concat(F.lit("tickers-"), F.col("_chunk").cast("string")).alias(ENTITY),
-                    F.to_json("m").alias("doc"))
+    """(entity_id, doc[, ingest_date]) -> (fetched, doc, entries)."""
+    fetched = F.col("ingest_date") if "ingest_date" in docs.columns else F.lit(None).cast("date")
+    return docs.select(fetched.alias("fetched"), F.col(ENTITY).alias("doc"), F.from_json("doc", S.TICKER_DIRECTORY).alias("entries"))

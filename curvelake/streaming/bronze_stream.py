@@ -1,7 +1,7 @@
 """Arrival-driven bronze -> silver load with Structured Streaming.
 
 Instead of a sensor polling for ``bronze/fred/<day>/*`` and a scheduled load,
-a file stream over the bronze root picks up every new document file once;
+two file streams, one per bronze layout, pick up every new document file once, however old;
 the checkpoint records which files were processed, so a restart (or a lost
 executor mid-batch) resumes without reprocessing committed files, and the
 insert-if-absent merge makes a replayed micro-batch harmless.
@@ -14,46 +14,46 @@ continuously.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from curvelake import schemas as S
 from curvelake.jobs import Warehouse, create_tables, load_observation_docs
 from curvelake.sources import bronze as B
 
 
+#: Spark forgets files older than its newest by this; a day late or years late, a file is loaded.
+NO_AGE_LIMIT = "36500d"
+
+
 def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int | None = None,
-                           max_file_age: str = "7d") -> DataFrame:
-    """New bronze observation files as a stream.
-
-    ``max_file_age`` bounds the source's log of already-seen files (the first
-    batch still considers every file; age is the file's modification time, so
-    a document landed today for an old day is picked up)."""
-    schema = T.StructType(list(S.OBSERVATION_DOC.fields) + [
-        T.StructField(B.ENTITY, T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("ingest_date", T.DateType()),
-    ])
-    r = spark.readStream.schema(schema).option("maxFileAge", max_file_age)
+                           archive: str | None = None) -> DataFrame:
+    """New raw observation documents of both layouts as a stream (RAW rows).
+
+    The source remembers every file it has seen.  ``archive`` bounds that memory: processed
+    files are moved there (Spark's own ``cleanSource``), so that the folders listed, and the log, hold what is new."""
+    base = bronze_root.rstrip("/")
+    options = {"maxFileAge": NO_AGE_LIMIT}
     if max_files:
-        r = r.option("maxFilesPerTrigger", str(max_files))
-    df = r.json(bronze_root).where(F.col("source") == "fred")
-    return df.withColumnRenamed(B.ENTITY, "series_id")
+        options["maxFilesPerTrigger"] = str(max_files)
+    if archive:
+        options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
+    written = spark.readStream.schema(B.WRITTEN).options(**options).parquet(f"{base}/source=fred/ingest_date=*")
+    landed = spark.readStream.options(**options).text(f"{base}/fred/*/*.json", wholetext=True)
+    return B.located(written, "doc").unionByName(B.located(landed, "value"))
 
 
 def stream_bronze_to_silver(spark: SparkSession, bronze_root: str, wh: Warehouse, checkpoint: str,
                             available_now: bool = True, max_files: int | None = None,
-                            gate_before_append: bool = False) -> StreamingQuery:
+                            gate_before_append: bool = False, archive: str | None = None) -> StreamingQuery:
     """Start the load; each micro-batch is one ``load_observation_docs`` job.
     With ``gate_before_append`` a micro-batch that fails the suite stops the
     stream before it appends (the batch is retried from the checkpoint after
     the data is fixed)."""
     create_tables(spark, wh)
-    docs = observation_doc_stream(spark, bronze_root, max_files)
+    docs = observation_doc_stream(spark, bronze_root, max_files, archive)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        load_observation_docs(batch.sparkSession, batch, wh, gate_before_append)
+        parsed = B.parse_observation_docs(B.latest_writes(batch))
+        load_observation_docs(batch.sparkSession, parsed, wh, gate_before_append)
 
     w = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -111,6 +111,23 @@ def test_upsert_writes_source_nulls(spark):
     assert (r.name, r.category, r.is_active) == (None, "rates", True)
 
 
+def test_upsert_source_with_a_key_twice(spark):
+    target = spark.createDataFrame([("DGS10", "10y", "treasury", True)], S.SERIES)
+    src = spark.createDataFrame([("DGS10", "a", "x", 1), ("DGS10", "b", "y", 2), ("NEW", "n", "z", 1)],
+                                "series_id string, name string, category string, pos int")
+    with pytest.raises(Exception, match="duplicate key"):
+        SV.upsert_series(target, src).collect()
+    got = {r.series_id: r.name for r in SV.upsert_series(target, src, order=["pos"]).collect()}
+    assert got == {"DGS10": "b", "NEW": "n"}
+
+
+def test_insert_key_twice_raises(spark):
+    comp = spark.createDataFrame([("1", "A", "a", True)], S.COMPANIES)
+    rows = spark.createDataFrame([("2", "B", "b"), ("2", "C", "c")], "cik string, ticker string, name string")
+    with pytest.raises(Exception, match="duplicate key"):
+        M.insert_rows(comp, rows, S.COMPANIES_KEY, {"is_active": F.lit(True)}).collect()
+
+
 def test_insert_existing_key_raises(spark):
     comp = spark.createDataFrame([("320193", "AAPL", "Apple", True)], S.COMPANIES)
     row = spark.createDataFrame([("320193", "AAPL2", "Apple 2")], "cik string, ticker string, name string")
@@ -189,7 +206,7 @@ def test_rank_ties_and_nth(spark):
 def test_global_rank_across_many_partitions(spark):
     from curvelake.operators.ranking import global_rank
     df = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 37).alias("k"))
-    got = global_rank(df, "k", descending=False, partitions=7).select("k", "rank", "dense_rank").distinct()
+    got = global_rank(df, "k", descending=False).select("k", "rank", "dense_rank").distinct()
     for r in got.collect():
         assert r.dense_rank == r.k + 1
         assert r.rank == 1 + sum(len(range(j, 2000, 37)) for j in range(r.k))
@@ -261,5 +278,5 @@ def test_missing_form_array_is_rejected_in_both_ansi_modes(spark):
 def test_global_rank_nulls_first_descending(spark):
     from curvelake.operators.ranking import global_rank
     df = spark.createDataFrame([("a", None), ("b", None), ("c", 3.0), ("d", 2.0), ("e", 3.0)], "id string, k double")
-    got = {r.id: (r.rank, r.dense_rank) for r in global_rank(df, "k", descending=True, partitions=3).collect()}
+    got = {r.id: (r.rank, r.dense_rank) for r in global_rank(df, "k", descending=True).collect()}
     assert got == {"a": (1, 1), "b": (1, 1), "c": (3, 2), "e": (3, 2), "d": (5, 3)}

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from curvelake import schemas as S
+from curvelake import jobs
 from curvelake.jobs import Warehouse, backfill, run_daily, silver_filings, silver_observations, validate
 from curvelake.operators import quality as Q
 from curvelake.operators import merge as M
 from curvelake.plans import catalog as C
+from curvelake.plans import documents as D
 from curvelake.sinks import writers as WR
 from curvelake.sources import bronze as B
 from curvelake.sources import tables as T
@@ -29,19 +31,19 @@ def landed(spark, scratch):
     bronze = f"{scratch}/bronze"
     o = T.observations(spark, SF_SMALL)
     early = o.where(F.col("observation_date") < F.lit(C.CUTOFF))
-    WR.write_bronze(B.render_observation_docs(C._raw_observation_strings(early, revise=False), F.lit(DAY1)),
+    WR.write_bronze(D.render_observation_docs(C._raw_observation_strings(early, revise=False), F.lit(DAY1)),
                     bronze, "fred")
-    WR.write_bronze(B.render_observation_docs(C._raw_observation_strings(o, revise=True), F.lit(DAY2)),
+    WR.write_bronze(D.render_observation_docs(C._raw_observation_strings(o, revise=True), F.lit(DAY2)),
                     bronze, "fred")
     fil = T.filings(spark, SF_SMALL)
-    WR.write_bronze(B.render_filing_docs(fil, F.lit(DAY1)), bronze, "sec")
+    WR.write_bronze(D.render_filing_docs(fil, F.lit(DAY1)), bronze, "sec")
     return bronze
 
 
 def warehouse(spark, root):
     wh = Warehouse(root)
-    WR.write_versioned(T.series(spark), wh.series)
-    WR.write_versioned(T.companies(spark, SF_SMALL), wh.companies)
+    jobs.write_config(T.series(spark), wh.series)
+    jobs.write_config(T.companies(spark, SF_SMALL), wh.companies)
     return wh
 
 
@@ -91,16 +93,199 @@ def test_stream_equals_batch_and_replays_nothing(spark, scratch, landed):
     assert silver_observations(spark, wh_s).count() == n
 
 
-def test_bronze_day_overwrite_replaces_only_that_day(spark, scratch, landed):
-    one = spark.createDataFrame([("DGS10", DAY2, '{"observations": []}')], "entity_id string, ingest_date date, doc string")
+def test_bronze_rewrite_replaces_only_that_entity_and_day(spark, scratch, landed):
+    before = B.read_observation_docs(spark, landed).groupBy("series_id", "ingest_date").count().collect()
+    one = spark.createDataFrame([("DGS10", DAY2, '{"observations": []}')], DOCS)
     WR.write_bronze(one, landed, "fred")
-    docs = B.read_observation_docs(spark, landed)
-    per_day = {r.ingest_date: r["count"] for r in docs.groupBy("ingest_date").count().collect()}
-    assert per_day[DAY2] == 1 and per_day[DAY1] > 1
+    after = {(r.series_id, r.ingest_date): r["count"] for r in
+             B.read_observation_docs(spark, landed).groupBy("series_id", "ingest_date").count().collect()}
+    assert after == {(r.series_id, r.ingest_date): r["count"] for r in before} | {("DGS10", DAY2): 1}
     pruned = B.read_observation_docs(spark, landed, (DAY1, DAY1))
     assert [r.ingest_date for r in pruned.select("ingest_date").distinct().collect()] == [DAY1]
 
 
+DOCS = "entity_id string, ingest_date date, doc string"
+
+
+def test_bronze_keeps_any_body(spark, scratch):
+    """Several lines, no JSON, an array, no entity: written and read back as they came."""
+    bodies = [("A", '{\n  "observations": [\n {"date": "2026-01-26", "value": "1.5"}\n ]\n}'), ("B", "<html>\n429\n</html>"),
+              ("C", "[1, 2]"), ("D", ""), ("E", None), (None, '{"observations": [{"date": "2026-01-26", "value": "2"}]}'), ("F", "é\"\\ \r\n")]
+    WR.write_bronze(spark.createDataFrame([(e, DAY1, d) for e, d in bodies], DOCS), f"{scratch}/raw", "fred")
+    raw = B.raw_documents(spark, f"{scratch}/raw", "fred").collect()
+    assert sorted(((r.entity_id, r.doc) for r in raw), key=str) == sorted(bodies, key=str)
+    assert {(r.source, r.ingest_date) for r in raw} == {("fred", DAY1)}
+    rows = B.observation_rows(B.read_observation_docs(spark, f"{scratch}/raw")).collect()
+    assert sorted(((r.series_id, r.value) for r in rows), key=str) == sorted([("A", "1.5"), (None, "2")], key=str)
+    wh = warehouse(spark, f"{scratch}/wh-any")
+    jobs.write_config(spark.createDataFrame([(e, e, "x", True) for e in "ABCDEF"], S.SERIES), wh.series)
+    got = {r.source: (r.entities, r.entities_seen, r.silver_rows) for r in run_daily(spark, f"{scratch}/raw", wh, DAY1).collect()}
+    assert got["fred"] == (6, 6, 1)
+    rejects = spark.read.parquet(wh.path("silver", "_rejects", "observations")).collect()
+    assert sorted(((r.series_id, r.reject_reason) for r in rejects), key=str) == sorted(
+        [(e, "no observations") for e in "BCDEF"] + [(None, "no series id")], key=str)
+
+
+def land(root, source, day, entity, text, age_days=0):
+    import os
+    import time
+
+    folder = f"{root}/{source}/{day}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{entity}.json", "w") as f:
+        f.write(text)
+    then = time.time() - age_days * 86400
+    os.utime(f"{folder}/{entity}.json", (then, then))
+
+
+def one(value, date="2026-01-26"):
+    return '{"observations": [\n{"date": "%s", "value": "%s"}]}' % (date, value)
+
+
+def test_both_layouts_are_read_together(spark, scratch):
+    root = f"{scratch}/both".removeprefix("file:")
+    land(root, "fred", DAY1, "DGS2", one("2"))
+    WR.write_bronze(spark.createDataFrame([("DGS10", DAY1, one("10"))], DOCS), root, "fred")
+    docs = B.read_observation_docs(spark, root, (DAY1, DAY1))
+    assert sorted((r.series_id, r.ingest_date, r.value) for r in B.observation_rows(docs.withColumn("ingest_date", F.col("ingest_date"))).collect()) == \
+        [("DGS10", DAY1, "10"), ("DGS2", DAY1, "2")]
+    wh = warehouse(spark, f"{scratch}/wh-both")
+    stream_bronze_to_silver(spark, root, wh, f"{scratch}/ck-both").awaitTermination()
+    assert key_set(silver_observations(spark, wh)) == key_set(spark.sql(
+        "SELECT DATE '2026-01-26' AS observation_date, 'DGS10' AS series_id, CAST(10 AS DECIMAL(10,4)) AS value "
+        "UNION ALL SELECT DATE '2026-01-26', 'DGS2', 2"))
+
+
+def test_stream_loads_old_files_too(spark, scratch):
+    root = f"{scratch}/old".removeprefix("file:")
+    wh, ck = warehouse(spark, f"{scratch}/wh-old"), f"{scratch}/ck-old"
+    land(root, "fred", DAY2, "DGS2", one("2"))
+    stream_bronze_to_silver(spark, root, wh, ck).awaitTermination()
+    land(root, "fred", DAY1, "DGS10", one("10"), age_days=400)
+    stream_bronze_to_silver(spark, root, wh, ck).awaitTermination()
+    assert {r.series_id for r in silver_observations(spark, wh).collect()} == {"DGS2", "DGS10"}
+
+
+def test_daily_then_stream_then_daily_keeps_each_key_once(spark, scratch):
+    bronze, wh = f"{scratch}/dsd", warehouse(spark, f"{scratch}/wh-dsd")
+    WR.write_bronze(spark.createDataFrame([("DGS10", DAY1, one("1", "2026-01-26"))], DOCS), bronze, "fred")
+    run_daily(spark, bronze, wh, DAY1)
+    WR.write_bronze(spark.createDataFrame([("DGS10", DAY2, one("2", "2026-01-27"))], DOCS), bronze, "fred")
+    stream_bronze_to_silver(spark, bronze, wh, f"{scratch}/ck-dsd").awaitTermination()
+    run_daily(spark, bronze, wh, DAY2)
+    rows = [(str(r.observation_date), float(r.value)) for r in silver_observations(spark, wh).collect()]
+    assert sorted(rows) == [("2026-01-26", 1.0), ("2026-01-27", 2.0)]
+    validate(spark, wh, "dsd")
+
+
+def test_missing_config_fails(spark, scratch, landed):
+    with pytest.raises(WR.MissingConfig):
+        run_daily(spark, landed, Warehouse(f"{scratch}/no-config"), DAY1)
+
+
+def test_load_leaves_nothing_staged(spark, scratch, landed):
+    import os
+
+    from curvelake.session import shared_dir
+
+    shared = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    run_daily(spark, landed, warehouse(spark, f"{scratch}/wh-staged"), DAY1)
+    assert not {n for n in set(os.listdir(shared)) - before if n.startswith("load-")}
+
+
+def test_failed_filing_documents_are_reported(spark, scratch):
+    bronze, wh = f"{scratch}/fil-err", warehouse(spark, f"{scratch}/wh-fil-err")
+    cik = T.companies(spark, SF_SMALL).where("is_active and cik <> '0'").first().cik
+    WR.write_bronze(spark.createDataFrame([(cik, DAY1, "429 Too Many Requests")], DOCS), bronze, "sec")
+    got = {r.source: (r.entities_seen, r.silver_rows) for r in run_daily(spark, bronze, wh, DAY1).collect()}
+    assert got["sec"] == (1, 0)
+    rejects = spark.read.parquet(wh.path("silver", "_rejects", "filings")).collect()
+    assert [(r.cik, r.reject_reason) for r in rejects] == [(cik, "no filings")]
+
+
+def test_filings_constraints(spark, scratch):
+    doc = '{"cik": "1", "name": "N", "filings": {"recent": {"accessionNumber": [null, "", "%s", "ok"], "form": ["a", "b", "c", "%s"], ' \
+          '"filingDate": ["2026-01-01", "2026-01-01", "2026-01-01", "2026-01-01"]}}}' % ("x" * 26, "8-K")
+    docs = B.parse_filing_docs(spark.createDataFrame([("1", DAY1, doc)], DOCS))
+    from curvelake.operators import silver as SV
+
+    empty = spark.createDataFrame([], S.FILINGS)
+    load = SV.load_filings(docs, empty)
+    assert [r.accession_number for r in load.new_rows.collect()] == ["ok"]
+    assert sorted(r.reject_reason for r in load.rejects.collect()) == ["no accession number", "no accession number", "value too long"]
+
+
+def test_two_documents_of_a_day_never_tie(spark):
+    from curvelake.operators import silver as SV
+
+    a, b = [("DGS10", DAY1, one(v)) for v in ("1", "2")]
+    empty = spark.createDataFrame([], S.OBSERVATIONS)
+    got = {float(SV.load_observations(B.parse_observation_docs(spark.createDataFrame(rows, DOCS).repartition(n)), empty)
+                 .new_rows.first().value) for rows in ([a, b], [b, a]) for n in (1, 2, 3)}
+    assert len(got) == 1
+
+
+def test_create_tables_at_the_documented_size(spark, scratch):
+    from curvelake.session import scale_conf, setting
+
+    conf = scale_conf(100 * 1024 ** 4, 1000, 8)
+    with setting(spark, "spark.curvelake.buckets", conf["spark.curvelake.buckets"]), \
+            setting(spark, "spark.sql.shuffle.partitions", conf["spark.sql.shuffle.partitions"]):
+        obs, _ = jobs.create_tables(spark, Warehouse(f"{scratch}/wh-big"))
+        assert spark.table(obs).schema["series_id"].dataType.simpleString() == "string"
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from curvelake import session
+
+    class Cluster:
+        class sparkContext:
+            applicationId, master = "x", "spark://host:7077"
+        class conf:
+            get = staticmethod(lambda key, default: default)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster)
+
+
+def test_config_commands(spark, scratch):
+    from curvelake.__main__ import main
+
+    wh = Warehouse(f"{scratch}/wh-config")
+    call = lambda *a: main(["config", "--warehouse", wh.root, *a])
+    call("seed")
+    made = {r.series_id: r.created_at for r in jobs.series_config(spark, wh).collect()}
+    assert len(made) == len(S.SERIES_SEED) and all(made.values())
+    call("deactivate", "--table", "series", "--ids", "DGS10,DGS2")
+    call("seed")
+    rows = {r.series_id: r for r in jobs.series_config(spark, wh).collect()}
+    assert {k for k, r in rows.items() if not r.is_active} == {"DGS10", "DGS2"}
+    assert {k: r.created_at for k, r in rows.items()} == made
+    for day, ticker in (("2026-01-02", "NEW"), ("2026-01-01", "OLD")):
+        land(f"{scratch}/dir".removeprefix("file:"), "tickers", day, "all", '{"0": {"cik_str": 1, "ticker": "%s", "title": "Acme"}}' % ticker)
+    call("companies", "--directory", f"{scratch}/dir/tickers/*/*.json")
+    call("add", "--table", "companies", "--row", '2,BB,"Bee, Inc."')
+    got = {r.cik: (r.ticker, r.name, r.is_active) for r in jobs.companies_config(spark, wh).collect()}
+    assert got == {"1": ("NEW", "Acme", True), "2": ("BB", "Bee, Inc.", True)}
+    with pytest.raises(Exception, match="duplicate key"):
+        call("add", "--table", "companies", "--row", "2,CC,again")
+    call("list", "--table", "companies")
+    main(["sql", "--warehouse", wh.root, "SELECT * FROM reference.fred_series"])
+
+
+def test_compaction_keeps_rows_and_leaves_one_file_per_bucket(spark, scratch, landed):
+    import glob
+
+    wh = warehouse(spark, f"{scratch}/wh-compact")
+    run_daily(spark, landed, wh, DAY1)
+    run_daily(spark, landed, wh, DAY2)
+    before, files = key_set(silver_observations(spark, wh)), wh.observations.removeprefix("file:") + "/part-*.parquet"
+    many = len(glob.glob(files))
+    jobs.compact(spark, wh)
+    assert key_set(silver_observations(spark, wh)) == before
+    assert len(glob.glob(files)) < many and len(glob.glob(files)) <= 8
+
+
 def test_versioned_upsert_never_overwrites_what_it_reads(spark, scratch):
     root = f"{scratch}/companies"
     WR.write_versioned(T.companies(spark, SF_SMALL), root)
@@ -128,7 +313,7 @@ def test_error_documents_are_reported_as_rejects(spark, scratch):
         ("DGS2", DAY1, '{"error_code": 400, "error_message": "Bad Request"}'),
     ], "entity_id string, ingest_date date, doc string")
     WR.write_bronze(docs, bronze, "fred")
-    res = {r.source: (r.entities, r.silver_rows) for r in run_daily(spark, bronze, wh, DAY1).collect()}
+    res = {r.source: (r.entities_seen, r.silver_rows) for r in run_daily(spark, bronze, wh, DAY1).collect()}
     assert res["fred"] == (2, 1)
     rej = spark.read.parquet(wh.path("silver", "_rejects", "observations")).collect()
     assert [(r.series_id, r.reject_reason) for r in rej] == [("DGS2", "no observations")]
@@ -170,8 +355,8 @@ def test_gate_before_append_blocks_a_bad_batch(spark, scratch):
         ("dgs10", DAY1, '{"observations": [{"date": "2026-01-26", "value": "4.24"}]}'),
     ], "entity_id string, ingest_date date, doc string")
     WR.write_bronze(docs, bronze, "fred")
-    WR.write_versioned(spark.createDataFrame([("dgs10", "lower-case id", "treasury", True)], S.SERIES)
-                       .unionByName(T.series(spark)), wh.series)
+    jobs.write_config(spark.createDataFrame([("dgs10", "lower-case id", "treasury", True)], S.SERIES)
+                      .unionByName(T.series(spark)), wh.series)
     with pytest.raises(Q.QualityGateError):
         run_daily(spark, bronze, wh, DAY1, gate_before_append=True)
     assert silver_observations(spark, wh).count() == 0          # nothing was appended

@@ -83,6 +83,7 @@ def test_hot_company_summary_is_exact(spark, force_shuffled_joins):
 def test_hot_key_in_upsert_source_last_wins(spark, force_shuffled_joins):
     """A third of all directory entries carry the same cik: the last one wins."""
     from curvelake.operators import silver as SV
+    from curvelake.plans import documents as D
     from curvelake.sources import bronze as B
 
     c = T.table(spark, SF_CHECK, "customer")
@@ -90,7 +91,7 @@ def test_hot_key_in_upsert_source_last_wins(spark, force_shuffled_joins):
                        F.when(F.col("c_custkey") % 3 == 0, F.lit(1)).otherwise(F.col("c_custkey")).alias("cik_str"),
                        F.concat(F.lit("T"), F.col("c_custkey").cast("string")).alias("ticker"),
                        F.col("c_name").alias("title"))
-    rows = B.ticker_rows(B.parse_company_directory(B.render_company_directory(entries)))
+    rows = B.ticker_rows(B.parse_company_directory(D.render_company_directory(entries)))
     target = T.companies(spark, SF_CHECK).where("cik = '1'")
     out = {r.cik: r for r in SV.upsert_companies(target, rows).collect()}
     con = duckdb.connect()
