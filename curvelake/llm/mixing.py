@@ -116,9 +116,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = B
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budget: float = BUDGET,
-                    max_epochs: float = MAX_EPOCHS, bucket_rows: int = BUCKET_ROWS, seed: int = SEED) -> DataFrame:
+                    max_epochs: float = MAX_EPOCHS, bucket_rows: int = BUCKET_ROWS, seed: int = SEED,
+                    length: str | None = None) -> DataFrame:
     """The mix itself: rows of ``docs`` repeated as often as it takes them, with all columns;
-    a cut repetition has the first words of the text.  Documents without words are not in a mix."""
+    a cut repetition has the first words of the text.  Documents without words are not in a mix.
+    ``length`` names a column to set to the number of code points of a cut text."""
     columns, sizes = docs.columns, sized(docs)
     plan = taken_words(sizes, targets(sizes, weights, budget, max_epochs), bucket_rows, seed)
     # rows that agree in doc_id, source and text share what was planned for them
@@ -135,5 +137,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, budge
     rows = joined.withColumn(cut, F.explode(p_whole))
     words = F.concat(F.lit(r"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), F.col(cut).cast("string"), F.lit("}+"))
     first = F.regexp_substr(F.col("text"), words)
-    text = F.when(F.col(cut) < 0, F.col("text")).otherwise(first)
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns])
+    rows = rows.withColumn("text", F.when(F.col(cut) < 0, F.col("text")).otherwise(first))
+    if length:
+        kind = docs.schema[length].dataType
+        rows = rows.withColumn(length, F.when(F.col(cut) < 0, F.col(length)).otherwise(F.length("text").cast(kind)))
+    return rows.select(*columns)

@@ -177,9 +177,10 @@ def summary(scanned: DataFrame) -> DataFrame:
                           joined(F.concat("base", "added"), KINDS).alias("spans"), F.size("added").cast("long").alias("n_added"))
 
 
-def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[SECRET]", length: str | None = None) -> DataFrame:
     """``docs`` with every span found replaced by ``mark``; all rows and columns stay, and
-    texts without a span stay as they are."""
+    texts without a span stay as they are.  ``length`` names a column to set to the number of
+    code points where the text changes."""
     columns = docs.columns
     names = [free_name(docs, f"_secret_{c}") for c in ("id", "key", "spans", "text_key")]
     spans = (scan(docs).select("doc_id", "text_key", F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
@@ -197,5 +198,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.when(new, kept).otherwise(acc["out"]).alias("out"))
 
     clean = F.aggregate(names[2], start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    return both.select(*[F.when(F.col(names[2]).isNull(), text).otherwise(clean).alias(c) if c == "text" else F.col(c)
-                         for c in columns])
+    new = F.when(F.col(names[2]).isNull(), text).otherwise(clean)
+    out = both.withColumn("text", new)
+    if length:
+        kind = docs.schema[length].dataType
+        out = out.withColumn(length, F.when(F.col(names[2]).isNull(), F.col(length)).otherwise(F.length("text").cast(kind)))
+    return out.select(*columns)
