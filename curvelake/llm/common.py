@@ -29,6 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return long_rows(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+LEAST_FILES, PARTITIONS_PER_FILE = 32, 6
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder (not yet made) under ``spark.checkpoint.dir``, as a URI."""
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
@@ -38,11 +41,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     It cuts the lineage: a lost executor costs the tasks that ran there, not the work
-    before.  Files of one call are never overwritten.
+    before.  Files of one call are never overwritten.  Tables staged are small beside their
+    input, so a file holds some shuffle partitions (PARTITIONS_PER_FILE) where there are many.
     """
-    path = run_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, run_folder(df.sparkSession, name)
+    files = max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+    df.coalesce(files).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def worker_cache(name: str) -> dict:

@@ -203,16 +203,18 @@ def _repeated(found: DataFrame, *key: str) -> DataFrame:
 def repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """(doc_id, text_key, lo, hi): ranges of starts whose windows a smaller doc_id has too."""
     found = stage(all_blocks(docs, size), "blocks")
-    grams = _repeated(found.select("gram", "doc_id"), "gram").select("gram")
+    # aggregates are staged before they are joined back: then both sides of a join are plain
+    # exchanges, and a gram or block that many documents share is split among tasks (skew join)
+    grams = stage(_repeated(found.select("gram", "doc_id"), "gram").select("gram"), "grams")
     again = stage(found.join(grams, "gram", "left_semi"), "again")
-    by_block = again.groupBy("gram", "block").agg(F.min("doc_id").alias("first"))
-    several = by_block.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    by_block = stage(again.groupBy("gram", "block").agg(F.min("doc_id").alias("first")), "firsts")
+    several = stage(by_block.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "several")
     placed = again.join(by_block, ["gram", "block"])
     whole = placed.where("doc_id > first").select("doc_id", "text_key", "lo", "hi")
     firsts = (placed.where("doc_id = first").select("doc_id", "text_key", "gram", "lo", "hi")
               .join(several, "gram", "left_semi").select("doc_id", "text_key", "gram", "lo", "hi"))
     windows = stage(windows_of(docs, firsts, size), "windows")
-    single = (windows.join(_repeated(windows, "gram", "hash"), ["gram", "hash"]).where("doc_id > first")
+    single = (windows.join(stage(_repeated(windows, "gram", "hash"), "doubled"), ["gram", "hash"]).where("doc_id > first")
               .select("doc_id", "text_key", F.col("start").alias("lo"), F.col("start").alias("hi")))
     return whole.unionByName(single)
 
@@ -228,7 +230,7 @@ def cover(n: int, lo: np.ndarray, hi: np.ndarray, size: int) -> np.ndarray:
 def remove_repeats(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_words, n_removed, kept (the kept
     words joined by one space) and kept_sha256."""
-    found = stage(repeats(docs, size), "repeats").groupBy("doc_id", "text_key").agg(
+    found = repeats(docs, size).groupBy("doc_id", "text_key").agg(
         F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
     found = found.withColumnsRenamed({"doc_id": "d", "text_key": "k"})
     joined = _keyed(docs).join(found, (F.col("doc_id") == F.col("d")) & (F.col("text_key") == F.col("k")), "left")
