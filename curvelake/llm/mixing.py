@@ -91,14 +91,15 @@ def taken_words(sizes: DataFrame, per_source: DataFrame, bucket_rows: int = BUCK
     and part (words of a further, cut one)."""
     s = per_source.select(F.col("source").alias("s"), "source_size", "documents", "target")
     rows = sizes.join(s, sizes["source"].eqNullSafe(s["s"])).drop("s")
-    draw = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text_key"))
-    buckets = F.ceil(F.col("documents") / F.lit(bucket_rows))
-    rows = rows.withColumn("bucket", F.pmod(draw, buckets)).withColumn("draw", F.xxhash64(F.lit(seed + 1), draw))
+    # MD5 of seed and doc_id: its first half deals into buckets, the whole orders a bucket
+    rows = rows.withColumn("draw", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))))
+    first = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
+    rows = rows.withColumn("bucket", first % F.ceil(F.col("documents") / F.lit(bucket_rows)))
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     bucket = Window.partitionBy("source", "bucket")
     before = F.sum("size").over(bucket.orderBy("draw", "doc_id", "text_key")
                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
-    share = F.round((epochs - F.floor(epochs)) * F.sum("size").over(bucket)).cast("long")
+    share = F.floor((epochs - F.floor(epochs)) * F.sum("size").over(bucket) + 0.5)
     rows = rows.withColumn("before", before).withColumn("share", share).withColumn("epochs", F.floor(epochs))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("share") - F.col("before")))
     return (rows.withColumn("extra", extra).withColumn("taken", F.col("epochs") * F.col("size") + F.col("extra"))

@@ -19,6 +19,7 @@ are ignored by ``judge`` and kept by ``keep_good``.  An empty table gives no row
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,7 @@ from curvelake.llm.common import stage
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 _NORMAL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", b"abcdefghijklmnopqrstuvwxyz000000000")
-ALONE = 0  # surroundings of a line without other lines
+ALONE = -1  # surroundings of a line without other lines
 
 
 @dataclass(frozen=True)
@@ -76,11 +77,14 @@ def repeated_words(words: list[bytes], size: int = WINDOW) -> int:
     return int((np.cumsum(steps[:-1]) > 0).sum())
 
 
+def line_hash(line: bytes) -> int:
+    """The first 63 bits of the line's MD5."""
+    return int.from_bytes(hashlib.md5(line, usedforsecurity=False).digest()[:8], "big") >> 1
+
+
 def measures(text: bytes) -> tuple:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, line hashes, their
     words (all occurrences), their surroundings."""
-    from xxhash import xxh64_intdigest
-
     words = text.split()
     seen: set[bytes] = set()
     repeats, lines = 0, {}
@@ -90,8 +94,7 @@ def measures(text: bytes) -> tuple:
             continue
         repeats += line in seen
         seen.add(line)
-        h = xxh64_intdigest(b" ".join(own).translate(_NORMAL))
-        h -= (h >> 63) << 64
+        h = line_hash(b" ".join(own).translate(_NORMAL))
         lines[h] = lines.get(h, 0) + len(own)
     order = sorted(lines)[:2]
     around = [ALONE if len(order) < 2 else order[h == order[0]] for h in lines]

@@ -90,4 +90,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
+ORACLE: dict[str, str] = {
+    "op2_mixing": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(""" + _WORDS + r""") AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size, COUNT(*) AS n,
+             [3.0, 1.0, 2.0][(ROW_NUMBER() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w
+      FROM d GROUP BY source),
+-- sources in the order in which they reach their cap; with the first k of them at it, the others
+-- get `level` words for each unit of weight
+o AS (SELECT *, 2.0::DOUBLE * source_size AS cap,
+             SUM(2.0::DOUBLE * source_size) OVER before AS capped, SUM(w) OVER rest AS weights,
+             2.0::DOUBLE * source_size / w AS reach, ROW_NUMBER() OVER before AS k
+      FROM s WINDOW before AS (ORDER BY 2.0::DOUBLE * source_size / w, source IS NULL, source),
+                    rest AS (ORDER BY 2.0::DOUBLE * source_size / w, source IS NULL, source
+                             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+l AS (SELECT arg_min((1.5::DOUBLE * (SELECT SUM(source_size) FROM s) - (capped - cap)) / weights, k) AS level FROM o
+      WHERE (1.5::DOUBLE * (SELECT SUM(source_size) FROM s) - (capped - cap)) / weights < reach),
+t AS (SELECT source, source_size, n, least(cap, w * (SELECT level FROM l)) AS target FROM o),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target, d.source, t.n, md5('20:' || d.doc_id) AS draw,
+             CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END AS epochs
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+b AS (SELECT *, ('0x' || left(draw, 8))::BIGINT % CAST(ceil(n / 4096.0) AS BIGINT) AS bucket FROM r),
+x AS (SELECT *, SUM(size) OVER (PARTITION BY source, bucket ORDER BY draw, doc_id) - size AS ahead,
+             floor((epochs - floor(epochs)) * SUM(size) OVER (PARTITION BY source, bucket) + 0.5) AS share FROM b)
+SELECT doc_id, size, source_size, target, source,
+       CAST(floor(epochs) * size + greatest(0, least(size, share - ahead)) AS BIGINT) AS taken FROM x""",
+    "op7_substring": r"""
+WITH d AS (SELECT doc_id, """ + _WORDS + r""" AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50) s),
+earliest AS (SELECT h, MIN(doc_id) AS m FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN earliest USING (h) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, COUNT(*) AS n
+         FROM word WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = word.doc_id AND gone.p = word.p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+    "op10_quality": r"""
+WITH d AS (SELECT doc_id, source AS host, text, """ + _WORDS + r""" AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5) s),
+again AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (
+            SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (
+              SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, k) AS c FROM g) s WHERE c > 1) s GROUP BY doc_id),
+raw AS (SELECT doc_id, host, line, regexp_extract_all(line, '[^ 	-]+') AS lw
+        FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL) s),
+dup AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT line) AS n FROM raw WHERE len(lw) > 0 GROUP BY doc_id),
+line AS (SELECT doc_id, host, SUM(len(lw)) AS words,
+                md5(translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')) AS h
+         FROM raw WHERE len(lw) > 0 GROUP BY ALL),
+near AS (SELECT *, CASE WHEN h = MIN(h) OVER own THEN nth_value(h, 2) OVER own ELSE MIN(h) OVER own END AS around
+         FROM line WINDOW own AS (PARTITION BY doc_id ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+often AS (SELECT host, h FROM near GROUP BY host, h
+          HAVING COUNT(DISTINCT coalesce(around, '')) > greatest(20.0, 0.02::DOUBLE * (
+            SELECT COUNT(DISTINCT coalesce(text, chr(0))) FROM d WHERE d.host IS NOT DISTINCT FROM near.host))),
+lost AS (SELECT doc_id, SUM(words) AS n FROM line WHERE EXISTS (
+           SELECT 1 FROM often WHERE often.h = line.h AND often.host IS NOT DISTINCT FROM line.host) GROUP BY doc_id),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(coalesce(length(text) - length(translate(text, '#*$%&|<>', '')), 0) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(again.n, 0) AS BIGINT) AS n_repeat_words,
+             CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed
+      FROM d LEFT JOIN again USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+       AND NOT (n_removed > 0 AND n_words - n_removed < 50 AND n_words - n_removed < n_words * 0.3::DOUBLE) AS kept
+FROM m""",
+}

@@ -1,5 +1,6 @@
 """Quality rules, SimHash and the pipeline against brute force."""
 
+import hashlib
 import random
 from collections import defaultdict
 
@@ -139,7 +140,7 @@ def test_empty(spark):
 def brute_quality(rows, rules=quality.Rules()):
     normal = lambda line: " ".join(line.split()).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"))
     split = lambda t: [x.decode() for x in (t or "").encode().split()]
-    hashed = lambda s: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64(s.encode()).intdigest())
+    hashed = lambda s: hashlib.md5(s.encode()).hexdigest()
     seen, texts, measured = defaultdict(set), defaultdict(set), []
     for d, t, host in rows:
         words, lines = split(t), defaultdict(int)
@@ -147,7 +148,7 @@ def brute_quality(rows, rules=quality.Rules()):
         for x in raw:
             lines[hashed(normal(" ".join(split(x))))] += len(split(x))
         for x in lines:
-            seen[host, x].add(min((y for y in lines if y != x), default=0))
+            seen[host, x].add(min((y for y in lines if y != x), default=""))
         texts[host].add(t)
         windows = defaultdict(list)
         for i in range(len(words) - 4):
