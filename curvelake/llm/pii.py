@@ -9,7 +9,8 @@ scored in rounds:
 * a pattern's confidence is the share of its instances, by count and score, that are known;
   it is kept with at least MIN_SUPPORT different known instances;
 * an instance that is no seed scores 1 - prod(1 - confidence) over its kept patterns, and
-  counts as known from MIN_SCORE on, as the kind of its most confident pattern.
+  counts as known from MIN_SCORE on, as the kind of its most confident pattern, if it looks like
+  the seeds of that kind: their share of digits, up to SLACK, and their length, up to a factor of 2.
 
 What is known after ROUNDS rounds, and stands in a kept pattern, is an added span.
 
@@ -33,6 +34,7 @@ ROUNDS = 3
 MIN_CONFIDENCE = 0.9
 MIN_SUPPORT = 5
 MIN_SCORE = 0.9
+SLACK = 0.1
 CONTEXT_CHARS = 64
 
 # A run is entered at its start, or where the last match ended inside it (\G).
@@ -129,17 +131,32 @@ def score_patterns(edges: DataFrame, known: DataFrame, min_confidence: float, mi
     return whole.where((F.col("confidence") >= min_confidence) & (F.col("support") >= min_support)).drop("support")
 
 
+def digit_share(name: Column) -> Column:
+    return F.length(digits(name)) / F.greatest(F.length(name), F.lit(1))
+
+
+def looks(seeds: DataFrame) -> DataFrame:
+    """kind, and the least and most share of digits and length of its seeds: a row per kind."""
+    share, size = digit_share(F.col("name")), F.length("name")
+    return seeds.groupBy(F.col("kind").alias("of")).agg(
+        F.min(share).alias("low"), F.max(share).alias("high"), F.min(size).alias("short"), F.max(size).alias("long"))
+
+
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS, min_confidence: float = MIN_CONFIDENCE,
               min_support: int = MIN_SUPPORT, min_score: float = MIN_SCORE) -> tuple[DataFrame, DataFrame]:
     """(instances known and not seeds: name, kind, score; patterns kept) after some rounds."""
     seeds = edges.where("kind IS NOT NULL").groupBy("name").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
+    profile = stage(looks(seeds), "looks")
+    share, size = digit_share(F.col("name")), F.length("name")
+    alike = ((F.col("kind") == F.col("of")) & share.between(F.col("low") - SLACK, F.col("high") + SLACK)
+             & size.between(F.col("short") / 2, F.col("long") * 2))
     known, unseen = seeds, edges.join(seeds.select("name"), "name", "left_anti").drop("kind")
     for _ in range(rounds):
         kept = stage(score_patterns(edges, known, min_confidence, min_support), "patterns")
         miss = F.sum(F.log(1 - F.least("confidence", F.lit(0.999))))
         found = stage(unseen.join(kept, "pattern").groupBy("name")
                       .agg((1 - F.exp(miss)).alias("score"), F.max(F.struct("confidence", "kind"))["kind"].alias("kind"))
-                      .where(F.col("score") >= min_score).select("name", "kind", "score"), "found")
+                      .where(F.col("score") >= min_score).join(profile, alike).select("name", "kind", "score"), "found")
         known = seeds.unionByName(found)
     return found, kept
 

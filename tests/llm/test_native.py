@@ -179,12 +179,12 @@ def test_pii_whole_table(spark):
 
 def test_pii_bootstrap(spark):
     rng = random.Random(5)
-    rows = [(i, f"text about it. Contact mail: u{i}@host{i}.org now {rng.choice('abc')}") for i in range(12)]
-    rows += [(100, "text. Contact mail: u77_at_host77 now a"), (101, "chapter 12345 of the book"), (102, "Room 12345 is closed")]
+    rows = [(i, f"text about it. Contact mail: u{i}@host{i}.org now {rng.choice('abc')}") for i in range(40)]
+    rows += [(100, "text. Contact mail: u77_at_host77 now a"), (103, "text. Contact mail: password=0123456789 now a"), (101, "chapter 12345 of the book"), (102, "Room 12345 is closed")]
     got = {r.doc_id: r.spans for r in pii.summary(pii.extract(frame(spark, rows))).collect()}
-    at = rows[12][1].index("u77")
+    at = rows[40][1].index("u77")
     assert got[100] == f"email:{at}:{at + len('u77_at_host77')}"
-    assert got[101] == got[102] == ""
+    assert got[101] == got[102] == got[103] == ""
 
 
 def test_secrets_base(spark):
@@ -266,3 +266,7 @@ def test_licenses_odd_rows(spark):
     assert by[6].labels == "mit-text" and by[6].score == 1.0
     assert by[7].labels == "mit-text" and 0.9 < by[7].score < 1
     assert by[10].labels == "" and by[10].score == 0
+    near = licenses.summary(licenses.scan(frame(spark, [(1, "Licensed under CC BY-NC 4.0. Licensed under CC BY-SA 4.0.")]))).first()
+    assert near.labels == "cc-by,cc-by-nc-4.0-line,cc-by-sa-4.0-line"
+    one = licenses.summary(licenses.scan(frame(spark, [(1, "x Licensed under CC BY-NC 4.0. y")]))).first()
+    assert (one.labels, one.score) == ("cc-by,cc-by-nc-4.0-line", 1.0)
