@@ -75,10 +75,12 @@ def distinct_above(obs: DataFrame, threshold: float = 5.0) -> DataFrame:
 
 
 def grouping_sets(obs: DataFrame, series: list[str] | None = None) -> DataFrame:
-    """Average per (series, year, month), per (series, year) and per series in
-    one pass (one Expand + one aggregate)."""
+    """Average per (series, year, month), per (series, year), per series and over all rows
+    (the empty set) in one pass (one Expand + one aggregate).  For a single series the last two
+    are the same, and only the empty set is asked for."""
     d = pick(obs, series).select(SID, X.year().alias("year"), X.month().alias("month"), VAL)
-    return (d.groupingSets([[SID, "year", "month"], [SID, "year"], [SID]], SID, "year", "month")
+    per_series = [] if series and len(series) == 1 else [[SID]]
+    return (d.groupingSets([[SID, "year", "month"], [SID, "year"], *per_series, []], SID, "year", "month")
             .agg(X.exact_avg(VAL).alias("avg_yield")))
 
 

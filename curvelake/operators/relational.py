@@ -66,6 +66,25 @@ def join_scalar_avg(obs: DataFrame, series: list[str] | None = None) -> DataFram
     return pick(obs, series).select(DATE, SID, VAL, avg.alias("overall_avg"))
 
 
+def join_grand_total(obs: DataFrame) -> DataFrame:
+    """Per-series totals next to the grand total: a join with a one-row aggregate of the
+    totals on a constant key (``pct_of_total`` has the scalar-subquery form)."""
+    t = obs.groupBy(SID).agg(F.sum(VAL).alias("_t")).withColumn("_k", F.lit(1))
+    grand = t.groupBy("_k").agg(F.sum("_t").alias("_g"))
+    return t.join(grand, "_k").select(SID, F.col("_t").cast("decimal(38,4)").alias("total_value"),
+                                      F.col("_g").cast("decimal(38,4)").alias("grand_total"))
+
+
+def join_rownum_series(obs: DataFrame) -> DataFrame:
+    """Numbered rows joined with the numbers 1..N of their series, which come from its row
+    count alone: a number without a row would show as NULL."""
+    w = Window.partitionBy(SID).orderBy(DATE)
+    rows = obs.select(SID, DATE, VAL, F.row_number().over(w).cast("bigint").alias("row_num"))
+    numbers = (obs.groupBy(SID).agg(F.count(F.lit(1)).alias("_n"))
+               .select(SID, F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")).alias("row_num")))
+    return numbers.join(rows, [SID, "row_num"], "left").select(SID, "row_num", DATE, VAL)
+
+
 def join_date_max(obs: DataFrame, series: list[str] | None = None) -> DataFrame:
     """Dates on which a series had the highest value of all series (ties kept).
 

@@ -95,7 +95,7 @@ for _name, _fn in {
     "repeated_values": W.repeated_values,
     "percent_rank": W.percent_rank,
     "number_rows": W.number_rows,
-    "join_rownum_series": W.number_rows,
+    "join_rownum_series": R.join_rownum_series,
 }.items():
     QUERIES[_name] = (lambda fn: lambda spark, d: fn(T.observations(spark, d)))(_fn)
 
@@ -113,7 +113,7 @@ for _name, _fn in {
     "count_per_series": A.count_per_series,
     "global_avg": A.global_avg,
     "pct_of_total": A.pct_of_total,
-    "join_grand_total": A.pct_of_total,
+    "join_grand_total": R.join_grand_total,
     "avg_by_year": A.avg_by_month,
     "best_month": A.best_month,
     "first_last": A.first_last,
