@@ -2,8 +2,9 @@
 
 A text is cut where the pre-tokenizer cuts it in any context: before a space that stands
 between two characters that are not white space.  Pieces of up to LEAF_CHARS go to the
-tokenizers library as they are (a worker keeps the ids of pieces it has seen, at most
-CACHE_PIECES).  A longer piece is long unsplit text.  It is pre-tokenized by the library;
+tokenizers library as they are (a worker keeps the ids of the pieces it has seen last, about
+CACHE_PIECES and as many from before; a piece of letters and symbols needs the library's model
+only).  A longer piece is long unsplit text.  It is pre-tokenized by the library;
 a pre-token above LEAF_BYTES is encoded as a tree:
 
 * it is halved until each leaf has at most LEAF_BYTES, and the leaves, as rows of their own,
@@ -41,12 +42,14 @@ from curvelake.llm.common import schema_of, stage, worker_cache
 
 LEAF_CHARS = 4096
 LEAF_BYTES = 4096
-CACHE_PIECES = 300_000
+CACHE_PIECES = 250_000
 CACHE_CHARS = 64
 WINDOW = 16
 STEP = 128                # rows encoded or decoded at once
 #: before a space between two characters that are not white space
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+#: letters, then symbols: after a space the pre-tokenizer makes these one or two pre-tokens
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
 
 
 class Codec:
@@ -69,9 +72,16 @@ class Codec:
                       and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
                                                          "end_of_word_suffix", "byte_fallback", "ignore_merges"))
                       and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or " " in t["content"] for t in added))
-        self.pieces: dict[str, bytes] = {}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte-level alphabet
+        rest = [b for b in range(256) if b not in shown]
+        self.letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.now: dict[str, bytes | None] = {}
+        self.before: dict[str, bytes | None] = {}
         self.decimal = [str(i) for i in range(self.tok.get_vocab_size())]
         self.string = {i: t for t, i in model["vocab"].items()}
+        octet = {c: b for b, c in self.letter.items()}
+        self.octets = {i: bytes(octet[c] for c in t) for i, t in self.string.items() if all(c in octet for c in t)}
+        self.octets |= {t["id"]: t["content"].encode() for t in added}
         self._own: bool | None = None
 
     @property
@@ -89,20 +99,59 @@ class Codec:
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def cached(self, pieces: list[str]) -> bytes:
-        known = self.pieces
-        new = list({p for p in pieces if p not in known})
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = list(set(pieces))
-            known.update(zip(new, (np.array(i, "<u4").tobytes() for i in self.library(new)), strict=True))
-        out = b"".join([known[p] for p in pieces])
-        if new and max(map(len, new)) > CACHE_CHARS:
-            for p in new:
+    def _direct(self, piece: str) -> bytes | None:
+        """Ids of a space and ``piece``, if that is letters and then symbols."""
+        m = _LETTERS.fullmatch(piece)
+        if m is None:
+            return None
+        word, symbols = m.groups()
+        ids = (self.now.get(word) or self.before.get(word)) if symbols else None
+        if ids is None:
+            string = word if word.isascii() else "".join([self.letter[b] for b in word.encode()])
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(self.letter[32] + string)])
+            if symbols:
+                self.now[word] = ids
+        return ids + b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(symbols)]) if symbols else ids
+
+    def spaced(self, parts: list[str]) -> bytes | None:
+        """Ids of the parts, each with a space before it; None if one is no piece (empty, long,
+        or with white space at an end, where the pre-tokenizer may not cut)."""
+        known = self.now
+        hard = []
+        for p in {p for p in parts if p not in known}:
+            if p in self.before:
+                known[p] = self.before[p]
+            elif not p or len(p) > LEAF_CHARS or p[0].isspace() or p[-1].isspace():
+                known[p[:LEAF_CHARS + 1]] = None
+                if len(p) > LEAF_CHARS:
+                    return None
+            elif (ids := self._direct(p)) is not None:
+                known[p] = ids
+            else:
+                hard.append(p)
+        known.update(zip(hard, (_bytes(i) for i in self.library([" " + p for p in hard])), strict=True))
+        out = [known[p] for p in parts]
+        if len(known) > CACHE_PIECES:
+            self.before, self.now = known, {}
+        elif hard and max(map(len, hard)) > CACHE_CHARS:
+            for p in hard:
                 if len(p) > CACHE_CHARS:
                     del known[p]
-        return out
+        return None if None in out else b"".join(out)
+
+    def cached(self, pieces: list[str]) -> bytes:
+        return b"".join([_bytes(i) for i in self.library(pieces)])
+
+    def decode(self, ids: list[int]) -> bytes:
+        """The decoded text in UTF-8, as the library's decode() with special tokens."""
+        if self.plain:
+            out = b"".join([self.octets.get(i, b"") for i in ids])
+            try:
+                out.decode()
+                return out
+            except UnicodeDecodeError:
+                pass  # the library says how broken sequences are shown
+        return self.tok.decode(ids, skip_special_tokens=False).encode()
 
 
 def codec(path: str) -> Codec:
@@ -154,6 +203,11 @@ def concatenate(c: Codec, parts: list[list[int]]) -> list[int]:
 
 def encode_text(c: Codec, text: str) -> np.ndarray:
     """Ids of a whole text, the tree included, in this process."""
+    if c.plain:
+        parts = text.split(" ")
+        first = parts[0]
+        if first and len(first) <= LEAF_CHARS and not first[-1].isspace() and (rest := c.spaced(parts[1:])) is not None:
+            return np.frombuffer(c.cached([first]) + rest, "<i4")
     out, pieces = [], []
     for s in cut(c, text):
         if isinstance(s, str):
@@ -255,16 +309,22 @@ def _part(row: int, pre: int, leaf, strings: list, ids: list[np.ndarray]) -> pa.
          pa.array(strings, pa.string()), _lists(ids)], ["row", "pre", "leaf", "string", "ids"])
 
 
+def _ints(column: pa.Array) -> Iterator[list[int]]:
+    """The lists of a list<int> column, null as empty."""
+    flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        yield flat[a:b].tolist()
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", column: str = "text") -> DataFrame:
     """All columns of ``encoded`` and the decoded text (special tokens kept)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tok = codec(tokenizer).tok
+            c = codec(tokenizer)
             for i in range(0, b.num_rows, STEP):
                 some = b.slice(i, STEP)
-                lists = some.column(some.schema.get_field_index(ids)).to_pylist()
-                out = tok.decode_batch([x or [] for x in lists], skip_special_tokens=False)
+                out = [c.decode(x).decode() for x in _ints(some.column(some.schema.get_field_index(ids)))]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(out, pa.string())],
                                                  [*some.schema.names, column])
 
@@ -277,15 +337,15 @@ def digests(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             c = codec(tokenizer)
-            n, sums = [], []
-            for x in b.column(1):
-                ids = x.values.to_numpy().tolist()
+            n, sums, texts = [], [], []
+            for ids in _ints(b.column(1)):
                 n.append(len(ids))
                 sums.append(hashlib.sha256(",".join([c.decimal[i] for i in ids]).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.string()), b.column(2)],
-                                             ["doc_id", "n_tokens", "ids_sha256", "text"])
+                texts.append(hashlib.sha256(c.decode(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    decoded = decode(encoded.select("doc_id", "ids"), tokenizer)
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    summed = decoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, text string")
-    return summed.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", "ids").mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -98,3 +98,31 @@ def test_tree_equals_library(letters):
     for n in (4097, 9000, 40_000):
         text = "".join(rng.choice(list(letters), n))
         assert bpe.encode_text(c, text).tolist() == library(BYTES, [text])[0]
+
+
+def test_decode_equals_library():
+    c, tok = bpe.codec(BYTES), Tokenizer.from_file(BYTES)
+    rng = np.random.default_rng(7)
+    for n in (0, 1, 2, 5, 50, 400):
+        for _ in range(60):
+            ids = rng.integers(0, 50257, n).tolist()  # broken UTF-8 and special tokens among them
+            assert c.decode(ids).decode() == tok.decode(ids, skip_special_tokens=False)
+
+
+def test_pieces_equal_library():
+    """Every way that spaces, letters and symbols can meet."""
+    rng = np.random.default_rng(8)
+    bits = ["a", "Word", "éa", "ß", "'s", "'", ",", ".\n", "\n", " ", "  ", "\t", "\u00a0", "\u3000", "x1", "12", "--", "(a)", "日", "<|endoftext|>", "!?", "ÿ×", "\x1c", "\x85"]
+    texts = ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(4000)]
+    c = bpe.codec(BYTES)
+    assert [bpe.encode_text(c, t).tolist() for t in texts] == library(BYTES, texts)
+    assert [bpe.encode_text(c, t).tolist() for t in texts] == library(BYTES, texts)  # from the cache
+
+
+def test_words_equal_library():
+    rng = np.random.default_rng(9)
+    bits = ["a", "Word", "Éa", "ß", "'s", "'", ",", ".\n", "\n", " ", "\t", "\u00a0", "x1", "12", "--", "(a)", "日", "<|endoftext|>", "!?", "ÿ×", "e\u0301", "İ", "Σ", "ſ"]
+    texts = ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(4000)]
+    run = token_files.encoder(WORDS)
+    assert [x.tolist() for x in run(texts)] == library(WORDS, texts)
+    assert [x.tolist() for x in run(texts)] == library(WORDS, texts)
