@@ -33,6 +33,7 @@ MAX_BITS = 2
 SEED = 42
 SHARD_ROWS = 50_000        # fingerprints that a shard is meant to be home to
 SAMPLE_ROWS = 1 << 16      # most fingerprints that the driver grows the top of the tree on
+QUERIES_PER_ROW = 8        # queries in a block for each row of its shard
 LEAF_ROWS = 64             # below this an index leaf is compared directly
 BLOCK_CELLS = 1 << 22      # most cells of one direct comparison
 HASH_BLOCK = 1 << 15       # shingles whose bits are counted at once
@@ -173,21 +174,29 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, shard_rows: int = SHARD_ROWS
     depth = min(max(0, int(np.ceil(np.log2(max(1, n / shard_rows))))), int(np.log2(SAMPLE_ROWS)) - 4)
     picked = [] if depth == 0 else fps.orderBy(F.xxhash64("fp"), "fp").limit(min(SAMPLE_ROWS, 256 << depth)).collect()
     tree = grow(np.array([r.fp for r in picked], np.int64).view(np.uint64), depth)
+    # a ball reaches about 1.5 children of a node, so queries outnumber a shard's own rows as
+    # the tree grows; they come in blocks, and the shard's rows go to each block
+    blocks = int(np.ceil(1.5 ** depth / QUERIES_PER_ROW))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             rows, shard, home = route(tree, values.view(np.uint64), max_bits)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(values[rows]), pa.array(home)],
-                                             ["shard", "fp", "home"])
+            fp, own = values[rows], np.flatnonzero(home)
+            block = (fp.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.int64) % blocks
+            at = np.concatenate((np.arange(len(rows)), np.repeat(own, blocks)))
+            to = np.concatenate((block, np.tile(np.arange(blocks), len(own)))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[at]), pa.array(to), pa.array(fp[at]), pa.array(np.arange(len(at)) >= len(rows))],
+                ["shard", "block", "fp", "index"])
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-        u, v = star_edges(near_pairs(fp[pdf["home"].to_numpy(bool)], fp, max_bits))
+        fp, index = pdf["fp"].to_numpy(np.int64).view(np.uint64), pdf["index"].to_numpy(bool)
+        u, v = star_edges(near_pairs(fp[index], fp[~index], max_bits))
         return pd.DataFrame({"u": np.array(u, np.uint64).view(np.int64), "v": np.array(v, np.uint64).view(np.int64)})
 
-    dealt = fps.select("fp").mapInArrow(deal, "shard int, fp long, home boolean")
-    return dealt.groupBy("shard").applyInPandas(search, "u long, v long").distinct()
+    dealt = fps.select("fp").mapInArrow(deal, "shard int, block int, fp long, index boolean")
+    return dealt.groupBy("shard", "block").applyInPandas(search, "u long, v long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -197,7 +206,8 @@ def components(edges: DataFrame) -> DataFrame:
     when a round changes nothing (a star per component).
     """
     def least(e: DataFrame) -> DataFrame:
-        return e.groupBy("u").agg(F.min("v").alias("m"))
+        # staged: both sides of the join back are then plain exchanges, and a hub is split
+        return stage(e.groupBy("u").agg(F.min("v").alias("m")), "least")
 
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
