@@ -2,9 +2,9 @@
 
 A text is cut where the pre-tokenizer cuts it in any context: before a space that stands
 between two characters that are not white space.  Pieces of up to LEAF_CHARS go to the
-tokenizers library as they are (a worker keeps the ids of the pieces it has seen last, about
-CACHE_PIECES and as many from before; a piece of letters and symbols needs the library's model
-only).  A longer piece is long unsplit text.  It is pre-tokenized by the library;
+tokenizers library as they are (where a text is only pieces, a worker keeps the ids of those it has
+seen last, about CACHE_PIECES and as many from before; a piece of letters and symbols needs the
+library's model only).  A longer piece is long unsplit text.  It is pre-tokenized by the library;
 a pre-token above LEAF_BYTES is encoded as a tree:
 
 * it is halved until each leaf has at most LEAF_BYTES, and the leaves, as rows of their own,
@@ -111,7 +111,7 @@ class Codec:
             ids = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(self.letter[32] + string)])
             if symbols:
                 self.now[word] = ids
-        return ids + b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(symbols)]) if symbols else ids
+        return ids + _bytes(self.model(symbols)) if symbols else ids
 
     def spaced(self, parts: list[str]) -> bytes | None:
         """Ids of the parts, each with a space before it; None if one is no piece (empty, long,
@@ -121,10 +121,10 @@ class Codec:
         for p in {p for p in parts if p not in known}:
             if p in self.before:
                 known[p] = self.before[p]
-            elif not p or len(p) > LEAF_CHARS or p[0].isspace() or p[-1].isspace():
-                known[p[:LEAF_CHARS + 1]] = None
-                if len(p) > LEAF_CHARS:
-                    return None
+            elif len(p) > LEAF_CHARS:
+                return None
+            elif not p or p[0].isspace() or p[-1].isspace():
+                known[p] = None
             elif (ids := self._direct(p)) is not None:
                 known[p] = ids
             else:
@@ -139,7 +139,7 @@ class Codec:
                     del known[p]
         return None if None in out else b"".join(out)
 
-    def cached(self, pieces: list[str]) -> bytes:
+    def pieces(self, pieces: list[str]) -> bytes:
         return b"".join([_bytes(i) for i in self.library(pieces)])
 
     def decode(self, ids: list[int]) -> bytes:
@@ -207,15 +207,15 @@ def encode_text(c: Codec, text: str) -> np.ndarray:
         parts = text.split(" ")
         first = parts[0]
         if first and len(first) <= LEAF_CHARS and not first[-1].isspace() and (rest := c.spaced(parts[1:])) is not None:
-            return np.frombuffer(c.cached([first]) + rest, "<i4")
+            return np.frombuffer(c.pieces([first]) + rest, "<i4")
     out, pieces = [], []
     for s in cut(c, text):
         if isinstance(s, str):
             pieces.append(s)
         else:
-            out += [c.cached(pieces), np.array(concatenate(c, [c.model(x) for x in s]), "<u4").tobytes()]
+            out += [c.pieces(pieces), np.array(concatenate(c, [c.model(x) for x in s]), "<u4").tobytes()]
             pieces = []
-    return np.frombuffer(b"".join([*out, c.cached(pieces)]), "<i4")
+    return np.frombuffer(b"".join([*out, c.pieces(pieces)]), "<i4")
 
 
 def _lists(ids: list[np.ndarray]) -> pa.Array:
@@ -260,14 +260,14 @@ def _encode_long(long: DataFrame, tokenizer: str, column: str) -> DataFrame:
                     if isinstance(s, str):
                         pieces.append(s)
                     elif s is None or len(s) > 1:
-                        yield _part(row, pre, [0], [None], [np.frombuffer(c.cached(pieces), "<i4")])
+                        yield _part(row, pre, [0], [None], [np.frombuffer(c.pieces(pieces), "<i4")])
                         pieces = []
                         for i in range(0, len(s or []), STEP):
                             some = s[i:i + STEP]
                             yield _part(row, pre + 1, range(i, i + len(some)), some, [np.empty(0, "<i4")] * len(some))
                         pre += 2
                     else:
-                        yield _part(row, pre, [0], [None], [np.frombuffer(c.cached(pieces) + _bytes(c.model(s[0])), "<i4")])
+                        yield _part(row, pre, [0], [None], [np.frombuffer(c.pieces(pieces) + _bytes(c.model(s[0])), "<i4")])
                         pieces, pre = [], pre + 1
 
     def leaf_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
