@@ -40,7 +40,7 @@ from curvelake.llm.common import run_folder, worker_cache
 
 END_ID = 2
 NULL_ID = -(1 << 63)
-CACHE_WORDS = 220_000
+CACHE_WORDS = 300_000
 #: Word-wise encoding is the same as encoding whole texts for these parts of a tokenizer.
 _SAFE_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 
@@ -61,7 +61,14 @@ def word_safe(spec: dict) -> bool:
 
 
 def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """texts -> ids, by the tokenizers library without special tokens added."""
+    """texts -> ids, by the tokenizers library without special tokens added; a worker keeps it."""
+    kept = worker_cache("encoders")
+    if path not in kept:
+        kept[path] = _encoder(path)
+    return kept[path]
+
+
+def _encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,7 +79,7 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
         spec = json.load(f)
     if not word_safe(spec):
         return lambda texts: [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    kept = worker_cache(f"words:{path}")
+    kept: dict[str, dict] = {}
     direct = _direct(tok, spec)
 
     def run(texts: list[str]) -> list[np.ndarray]:
@@ -82,7 +89,7 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
             known, before = kept.setdefault("now", {}), kept.get("before", {})
             hard = []
             for w in {w for words in split for w in words if w not in known}:
-                ids = before.get(w) or direct(w)
+                ids = before.get(w) or direct(w, known, before)
                 if ids is None:
                     hard.append(w)
                 else:
@@ -102,32 +109,37 @@ _PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
 
 
-def _direct(tok, spec: dict) -> Callable[[bytes], bytes | None]:
-    """Ids of a word of Latin letters with symbols after them, by the tokenizer's model alone;
-    None for any other word, or if the tokenizer isn't of the kind this holds for."""
+def _direct(tok, spec: dict) -> Callable[[bytes, dict, dict], bytes | None]:
+    """Ids of a word of Latin letters with symbols after them, by the tokenizer's model alone,
+    each part once (``known`` and ``before`` are looked up, ``known`` is added to); None for any
+    other word, or if the tokenizer isn't of the kind this holds for."""
     pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     norm = (spec.get("normalizer") or {}).get("normalizers") or []
     if not (spec["model"]["type"] == "BPE" and pre[0].get("pattern") == {"Regex": _PLAIN_SPLIT} and len(pre) == 2
             and pre[1].get("type") == "ByteLevel" and not pre[1].get("use_regex") and not pre[1].get("add_prefix_space")
             and [n["type"] for n in norm] == ["NFC", "Replace", "Lowercase"]):
-        return lambda word: None
+        return lambda word, known, before: None
     # byte-level alphabet: printable characters stand for themselves, others come after 255
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in shown]
     octets = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
     tokenize, match = tok.model.tokenize, _LETTERS.fullmatch
 
-    def run(word: bytes) -> bytes | None:
-        text = word.decode()
-        m = match(text)
+    def run(word: bytes, known: dict, before: dict) -> bytes | None:
+        m = match(word.decode())
         if m is None:
             return None
-        ids = []
+        out = []
         for part in m.groups():
             if part:
                 part = part.lower()
-                ids += [t.id for t in tokenize(part if part.isascii() else "".join([octets[b] for b in part.encode()]))]
-        return np.array(ids, "<u4").tobytes()
+                key = part.encode()
+                ids = known.get(key) or before.get(key)
+                if ids is None:
+                    string = part if len(key) == len(part) else "".join([octets[b] for b in key])
+                    ids = known[key] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(string)])
+                out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     return run
 
