@@ -5,8 +5,8 @@ counted where their words stand in a row.  For the method, all rolling ``GRAM``-
 all documents are joined to the positions of license templates.  A match votes for its
 diagonal (word position less template position).  Votes are added up per diagonal, neighbouring
 diagonals (up to MAX_SHIFT words apart: insertions and deletions) are merged, and each merged
-group is verified on the words themselves: the share of the template whose words stand on one
-of the group's diagonals.  From MIN_COVER on the template's label is found.
+group is verified on the words themselves: the share of the template whose words stand on one of the group's
+diagonals.  From MIN_COVER on the template's label is found.
 
 The template side is a fixed list of TEMPLATES texts, which bounds the broadcast.
 
@@ -69,9 +69,14 @@ TEMPLATES = (
 )
 
 
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what separates words, before lower-casing
+
+
 def words_of(text: Column) -> Column:
-    low = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    """The words of a text.  lower() also changes letters beyond ASCII, which stay letters
+    beyond ASCII; the one that would become ASCII (the Kelvin sign) is put aside first."""
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
+    return F.array_remove(F.split(low, _BETWEEN + "+", -1), "")
 
 
 def gram_hashes(words: Column) -> Column:
@@ -147,15 +152,21 @@ def verified(docs: DataFrame, groups: DataFrame) -> DataFrame:
             .agg(F.collect_list(F.struct("label", "diagonals")).alias("g")))
     text = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").dropDuplicates(["doc_id", "text_key"])
     both = text.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    words = both.select("doc_id", "text_key", words_of(F.col("text")).alias("w"), "g")
+    # staged: else the optimizer would put the splitting into the lambda that looks at each word
+    words = stage(both.select("doc_id", "text_key", words_of(F.col("text")).alias("w"), "g"), "words")
     t = F.create_map(*[c for label, own in template_words().items() for c in (F.lit(label), F.array(*map(F.lit, own)))])
     held_in = lambda d, i, v: (d + i >= 0) & (F.get("w", F.greatest(d + i, F.lit(0))) == v)
     each = F.transform("g", lambda g: F.struct(
         g["label"].alias("label"), g["diagonals"].alias("diagonals"), F.size(t[g["label"]]).alias("of"),
         F.size(F.filter(t[g["label"]], lambda v, i: F.exists(g["diagonals"], lambda d: held_in(d, i, v)))).alias("n")))
-    one = words.select("doc_id", "text_key", F.explode(each).alias("e"))
-    return one.select("doc_id", "text_key", "e.label", F.array_min("e.diagonals").alias("start"),
-                      (F.col("e.n") / F.col("e.of")).alias("cover")).where(F.col("cover") >= MIN_COVER)
+    covered = F.filter(F.transform(each, lambda e: F.struct(
+        e["label"].alias("label"), F.array_min(e["diagonals"]).alias("start"),
+        (F.array_max(e["diagonals"]) + e["of"]).alias("end"), (e["n"] / e["of"]).alias("cover"))),
+        lambda e: e["cover"] >= MIN_COVER)
+    words = words.select("doc_id", "text_key", covered.alias("c"))
+    better = lambda e, o: (o["cover"] > e["cover"]) & (o["start"] < e["end"]) & (e["start"] < o["end"])
+    best = F.filter("c", lambda e: ~F.exists("c", lambda o: better(e, o)))
+    return words.select("doc_id", "text_key", F.explode(best).alias("e")).select("doc_id", "text_key", "e.label", "e.start", "e.cover")
 
 
 def scan(docs: DataFrame) -> DataFrame:
