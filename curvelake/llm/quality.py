@@ -6,11 +6,13 @@ digits made 0, white space collapsed), hashed, and counted by the distinct docum
 host (``source``) that have them.  Lines above the host's limit are removed; a document with
 too few words left is depleted and rejected.
 
-Copies of one page are not evidence of boilerplate.  So what is counted for a line is not
-rows but distinct surroundings: two documents count once for a line if the smallest hash
-among their other lines is the same.  Exact copies, and almost all near copies, thus count
-once, while a line that is set into unrelated pages counts for each.  Documents whose only line
-is that line have the same (empty) surroundings.
+Copies of one page are not evidence of boilerplate, so lines are counted twice.  First by
+distinct documents (texts); lines above the limit are common.  Then, for common lines, by what is
+a document's own: documents count once if their lines that are not common are the same lines.  A
+page with a line of its own thus counts however many lines it shares.  A document whose lines are
+all common (a copy, but for digits) has nothing of its own to tell it from others; such documents
+count once for a line if the smallest hash among their other lines is the same.  Lines above the
+limit in both counts are removed.
 
 Defined results: a null text counts as empty; a null host is a host of its own; rows that
 repeat a doc_id are judged each; a document without words fails the base rule.  Extra columns
@@ -124,23 +126,37 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(found: DataFrame, rules: Rules) -> DataFrame:
-    """(host, line): lines above their host's limit."""
-    one = found.select("host", F.explode(F.arrays_zip("lines", "around")).alias("l"))
-    apart = one.select("host", "l.lines", "l.around").distinct()
-    per_line = apart.groupBy("host", F.col("lines").alias("line")).agg(F.count("*").alias("documents"))
+    """(f_host, f_line): lines above their host's limit."""
     hosts = found.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("all"))
     limit = F.greatest(F.lit(rules.min_documents).cast("double"), F.col("all") * F.lit(rules.max_share))
-    return (per_line.where(F.col("documents") > rules.min_documents)
-            .join(hosts.select(F.col("host").alias("h"), "all"), F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("documents") > limit).select(F.col("host").alias("f_host"), F.col("line").alias("f_line")))
+    hosts = hosts.select(F.col("host").alias("f_host"), limit.alias("limit"))
+
+    def above(seen: DataFrame) -> DataFrame:
+        """(f_host, f_line) of the lines with more rows than the limit in ``seen`` (host, line, ...)."""
+        per_line = seen.groupBy("host", "line").agg(F.count("*").alias("documents"))
+        return (per_line.where(F.col("documents") > rules.min_documents).join(hosts, F.col("host").eqNullSafe(F.col("f_host")))
+                .where(F.col("documents") > F.col("limit")).select("f_host", F.col("line").alias("f_line")))
+
+    common = stage(above(found.select("host", "text_key", F.explode("lines").alias("line")).distinct()), "common")
+    whole = F.aggregate("lines", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(h))
+    one = found.select("row", "host", F.size("lines").alias("n"), whole.alias("whole"), F.explode(F.arrays_zip("lines", "around")).alias("l"))
+    hits = one.join(common, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("l.lines") == F.col("f_line")))
+    # the hashes of a document's lines are distinct: without the common ones their XOR is that of its own
+    per_row = hits.groupBy("row", "host", "n", "whole").agg(
+        F.count("*").alias("c"), F.bit_xor("l.lines").alias("x"), F.collect_list("l").alias("ls"))
+    own = F.col("n") > F.col("c")
+    seen = per_row.select("host", own.alias("own"), F.col("whole").bitwiseXOR(F.col("x")).alias("key"), F.explode("ls").alias("l"))
+    return above(seen.select("host", F.col("l.lines").alias("line"), "own", F.when(F.col("own"), F.col("key"))
+                             .otherwise(F.col("l.around")).alias("key")).distinct())
 
 
 def judged(found: DataFrame, rules: Rules) -> DataFrame:
-    """``found`` with base_failed, n_removed (words in removed lines) and kept."""
+    """``found`` with base_failed, n_removed (words in removed lines), their hashes (null without) and kept."""
     lines = found.select("row", "host", F.explode(F.arrays_zip("lines", "line_words")).alias("l"))
     often = frequent_lines(found, rules)
     removed = (lines.join(often, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("l.lines") == F.col("f_line")))
-               .groupBy(F.col("row").alias("r")).agg(F.sum("l.line_words").alias("n_removed")))
+               .groupBy(F.col("row").alias("r")).agg(
+                   F.sum("l.line_words").alias("n_removed"), F.collect_list("l.lines").alias("removed")))
     base = ((F.col("n_words") < rules.min_words)
             | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words")))
     gone = F.coalesce("n_removed", F.lit(0)).cast("long")
@@ -148,7 +164,7 @@ def judged(found: DataFrame, rules: Rules) -> DataFrame:
     depleted = (gone > 0) & (left < rules.enough_words) & (left < F.col("n_words") * F.lit(rules.min_left))
     return (found.join(removed, F.col("row") == F.col("r"), "left")
             .select("row", "doc_id", "host", "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    base.alias("base_failed"), gone.alias("n_removed"), (~base & ~depleted).alias("kept")))
+                    base.alias("base_failed"), gone.alias("n_removed"), "removed", (~base & ~depleted).alias("kept")))
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -195,6 +195,23 @@ def test_quality_boilerplate(spark):
     assert sorted((r.doc_id for r in good.collect()), key=str) == sorted((r[0] for r in got if r[7]), key=str)
 
 
+@pytest.mark.parametrize("shared, own, n", [(20, 1, 100), (40, 1, 200), (30, 3, 100), (20, 1, 500)])
+def test_quality_shared_lines_do_not_hide(spark, shared, own, n):
+    rng = random.Random(shared + own + n)
+    text = lambda n: " ".join(f"w{''.join(rng.choices('abcdefgh', k=5))}" for _ in range(n))
+    menu = [[text(6) for _ in range(shared)] for _ in range(6)]
+    section = [[text(3) for _ in range(20)] for _ in range(n // 20)]   # lines of 20 pages each: below the limit
+    rows = [(1000 * h + i, "\n".join([*menu[h], *(section[i // 20] if h % 2 else []), *[text(4) for _ in range(own)]]), f"h{h}")
+            for h in range(6) for i in range(n)]
+    documents = defaultdict(set)  # brute force: distinct texts of a host that have the line
+    for _, t, h in rows:
+        for x in t.split("\n"):
+            documents[h, x].add(t)
+    want = {d: sum(len(x.split()) for x in t.split("\n") if len(documents[h, x]) > max(20, 0.02 * n)) for d, t, h in rows}
+    assert set(want.values()) == {6 * shared}
+    assert {r.doc_id: r.n_removed for r in quality.judge(frame(spark, rows)).collect()} == want
+
+
 def test_repeated_words_is_exact():
     rng = random.Random(5)
     for size, letters in ((300, 3), (400, 12), (6000, 5000)):
