@@ -21,11 +21,11 @@ def _length(docs: DataFrame) -> str | None:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; the others stay as they are."""
+    """Documents that the rules reject go, and lines that are frequent on their host; the rest stays as it is."""
     from curvelake.llm.quality import keep_good
 
     long_rows(spark)
-    return keep_good(docs)
+    return keep_good(docs, length=_length(docs))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

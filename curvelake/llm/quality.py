@@ -4,7 +4,8 @@ Per document: word and symbol counts, lines that repeat an earlier one, and word
 windows that occur twice or more.  Across documents: lines are normalised (A-Z lower-cased,
 digits made 0, white space collapsed), hashed, and counted by the distinct documents of their
 host (``source``) that have them.  Lines above the host's limit are removed; a document with
-too few words left is depleted and rejected.
+too few words left is depleted and rejected; ``judge`` only counts the words of removed lines,
+``keep_good`` gives the texts without them.
 
 Copies of one page are not evidence of boilerplate, so lines are counted twice.  First by
 distinct documents (texts); lines above the limit are common.  Then, for common lines, by what is
@@ -27,10 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import stage
+from curvelake.llm.common import free_name, stage
 
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
@@ -104,6 +105,14 @@ def measures(text: bytes) -> tuple:
             repeats, repeated_words(words), list(lines), list(lines.values()), around)
 
 
+def hash_of(line: Column) -> Column:
+    """``line_hash`` of the normalised ``line``, as a column."""
+    words = F.array_join(F.array_remove(F.split(line, r"[\x20\x09-\x0D]+", -1), ""), " ")
+    digest = F.md5(F.translate(words, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000").cast("binary"))
+    high, low = [F.conv(F.substring(digest, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    return F.shiftleft(high, 31).bitwiseOR(F.shiftright(low, 1))
+
+
 _MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
              "lines array<long>, line_words array<long>, around array<long>")
 
@@ -173,13 +182,24 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed")
 
 
-def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns and whole texts.
+def keep_good(docs: DataFrame, rules: Rules = Rules(), length: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns, texts without the removed lines.
 
-    Rows are matched by doc_id, host and a hash of the text; the rules judge rows that agree
-    in these alike, so repeated rows stay or go together.
+    Texts without such a line stay as they are.  ``length`` names a column to set to the number of
+    code points where the text changes.  Rows are matched by doc_id, host and a hash of the text; the
+    rules judge rows that agree in these alike, so repeated rows stay or go together.
     """
-    good = judged(measured(docs), rules).where("kept").select("doc_id", "host", "text_key").distinct()
-    same = (docs["doc_id"].eqNullSafe(good["doc_id"]) & docs["source"].cast("string").eqNullSafe(good["host"])
-            & (F.xxhash64(docs["text"]) == good["text_key"]))
-    return docs.join(good, same, "left_semi")
+    columns = docs.columns
+    names = [free_name(docs, f"_good_{c}") for c in ("id", "host", "text", "lines", "key")]
+    good = (judged(measured(docs), rules).where("kept").groupBy("doc_id", "host", "text_key").agg(F.first("removed").alias("removed"))
+            .select(*[F.col(c).alias(n) for c, n in zip(("doc_id", "host", "text_key", "removed"), names, strict=False)]))
+    keyed = docs.withColumn(names[4], F.xxhash64("text"))
+    both = keyed.join(good, keyed["doc_id"].eqNullSafe(good[names[0]]) & keyed["source"].cast("string").eqNullSafe(good[names[1]])
+                      & (keyed[names[4]] == good[names[2]]))
+    changes, gone = F.col(names[3]).isNotNull(), F.col(names[3])
+    left = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(gone, hash_of(x)))
+    out = both.withColumn("text", F.when(changes, F.array_join(left, "\n")).otherwise(F.col("text")))
+    if length:
+        kind = docs.schema[length].dataType
+        out = out.withColumn(length, F.when(changes, F.length("text").cast(kind)).otherwise(F.col(length)))
+    return out.select(*columns)

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -212,6 +213,26 @@ def test_quality_shared_lines_do_not_hide(spark, shared, own, n):
     assert {r.doc_id: r.n_removed for r in quality.judge(frame(spark, rows)).collect()} == want
 
 
+def test_frequent_lines_leave_texts(spark):
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}é" for _ in range(n))
+    menu = lambda i: f"Home |  About\u00a0us\t| Contact {i % 7} \r"
+    foot = "ALL rights reserved by the Host"
+    own = [(text(30), text(30)) for _ in range(40)]
+    rows = [(i, f"{menu(i)}\n{a}\n\n{foot}\n{b}\n{foot.lower()}", "a") for i, (a, b) in enumerate(own)]
+    rows += [(100, f"{foot}\n{text(20)}\n", "b"), (101, f"{menu(0)}\n" * 30 + text(60), "a"), rows[0], (None, rows[1][1], "a"), (102, rows[2][1], None)]
+    want = [(d, t if h != "a" else "\n".join(x for x in t.split("\n") if "|" not in x and "rights" not in x.lower()), h) for d, t, h in rows]
+    want = [w for w in want if w[0] != 101]  # the menu 30 times over: fails the base rule
+    docs = frame(spark, rows).withColumn("n_chars", F.length("text"))
+    got = quality.keep_good(docs, length="n_chars")
+    assert got.dtypes == docs.dtypes
+    got = got.collect()
+    assert sorted(((r.doc_id, r.text, r.source) for r in got), key=str) == sorted(want, key=str)
+    assert all(r.n_chars == len(r.text) for r in got)
+    stage = corpus_pipeline.quality_rules(spark, docs, SF).collect()
+    assert sorted((r.text for r in stage)) == sorted(w[1] for w in want)
+
+
 def test_repeated_words_is_exact():
     rng = random.Random(5)
     for size, letters in ((300, 3), (400, 12), (6000, 5000)):
