@@ -11,10 +11,15 @@ alphabet that holds all its characters; its symbols are tested against a uniform
 The three p-values are combined (Bonferroni), and a candidate looks random if the result is
 at least MIN_UNIFORM.  Short texts can look random by chance, so a second test asks how likely
 ordinary writing of that length would come so near to uniform: the null distribution of the
-chi-squared statistic has mean and variance from the letter counts of the whole corpus and the
-length of the token.  Over all candidates of the corpus the false-discovery rate of that test
-is held at MAX_FALSE (Benjamini-Hochberg, on counts of p-values in fixed bins).  A candidate that passes both, and has letters and digits, is an added span
-of kind ``random``.
+chi-squared statistic has mean and variance from the letter counts of the whole corpus (for tokens of
+digits from its digit counts) and the length of the token.  The false-discovery rate of that test
+is held at MAX_FALSE (Benjamini-Hochberg, on counts of p-values in fixed bins) over all candidates of the
+corpus from LONG characters on, and over all shorter ones apart, so that the many long words among these
+don't count against long tokens.  A candidate that passes both is an added span of kind ``random``.
+
+For English letter counts a token of 16 characters without any repeated symbol has p = 0.011, and one of
+12 has 0.036: below 17 characters nothing reaches MAX_FALSE.  MIN_TOKEN is below that for corpora
+whose letters are dealt less evenly.
 
 Defined results: a null text counts as empty; rows that repeat a doc_id are rows of their
 own; a null doc_id stays.  Extra columns are ignored by ``scan`` and kept by ``redact``.  An
@@ -32,7 +37,8 @@ from curvelake.llm.common import free_name, stage
 from curvelake.llm.spans import bare, count_kind, joined, matches, of_kind, places
 
 KINDS = ("assign", "access", "hex", "random")
-MIN_TOKEN = 20
+MIN_TOKEN = 12
+LONG = 20                  # candidates below are a family of tests of their own
 MIN_UNIFORM = 0.001
 MAX_FALSE = 0.01
 BINS_PER_UNIT = 100        # p-values are binned by -log10(p) in hundredths
@@ -45,8 +51,10 @@ TOKEN = rf"(?:(?<![A-Za-z0-9+/_-])|\G)[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}+"
 
 #: alphabets, smallest first; a token's encoding is the first that holds it
 ALPHABETS = {
-    "hex": string.digits + "abcdef", "HEX": string.digits + "ABCDEF", "base32": string.ascii_uppercase + "234567",
+    "digits": string.digits, "hex": string.digits + "abcdef", "HEX": string.digits + "ABCDEF", "base32": string.ascii_uppercase + "234567",
+    "letters": string.ascii_lowercase, "LETTERS": string.ascii_uppercase,
     "lower": string.digits + string.ascii_lowercase, "upper": string.digits + string.ascii_uppercase,
+    "Letters": string.ascii_uppercase + string.ascii_lowercase,
     "base62": string.digits + string.ascii_uppercase + string.ascii_lowercase,
     "base64": string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/",
     "base64url": string.ascii_uppercase + string.ascii_lowercase + string.digits + "-_",
@@ -71,7 +79,6 @@ def base_spans(docs: DataFrame) -> DataFrame:
 def with_candidates(based: DataFrame) -> DataFrame:
     """``based`` with ``tokens``: array of (start, end, match) outside base spans."""
     text = F.col("text")
-    # only a token with a letter and a digit can be an added span, but all are tested
     found = based.withColumn("_m", matches(text, TOKEN, text.rlike(rf"[A-Za-z0-9+/_-]{{{MIN_TOKEN}}}")))
     found = found.withColumn("_at", places(text, TOKEN, F.col("_m")))
     free = F.filter("_at", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
@@ -116,39 +123,45 @@ def tested(tokens: DataFrame) -> DataFrame:
     return t.withColumn("p_uniform", F.least(F.lit(1.0), 3 * least)).drop("x", "squares", "alphabet")
 
 
-def writing(docs: DataFrame) -> tuple[float, float]:
-    """Sums of squares and of cubes of letter shares, over all texts (a-z, case aside)."""
+def writing(docs: DataFrame) -> dict[str, tuple[float, float]]:
+    """Sums of squares and of cubes of shares, over all texts: of letters (a-z, case aside) and of digits."""
+    kinds = {"letters": string.ascii_lowercase, "digits": string.digits}
     low = docs.select(F.lower("text").alias("t"))
-    counts = low.agg(*[F.sum(F.length("t") - F.length(F.replace(F.col("t"), F.lit(c), F.lit("")))).alias(c)
-                       for c in string.ascii_lowercase]).first()
-    all_ = [v or 0 for v in counts]
-    total = sum(all_) or 1
-    shares = [v / total for v in all_] if sum(all_) else [1 / 26] * 26
-    return sum(s ** 2 for s in shares), sum(s ** 3 for s in shares)
+    row = low.agg(*[F.sum(F.length("t") - F.length(F.replace(F.col("t"), F.lit(c), F.lit("")))).alias(c)
+                    for c in "".join(kinds.values())]).first()
+    out = {}
+    for kind, symbols in kinds.items():
+        all_ = [row[c] or 0 for c in symbols]
+        shares = [v / sum(all_) for v in all_] if sum(all_) else [1 / len(symbols)] * len(symbols)
+        out[kind] = sum(s ** 2 for s in shares), sum(s ** 3 for s in shares)
+    return out
 
 
-def discovered(tests: DataFrame, squares: float, cubes: float, max_false: float = MAX_FALSE,
+def discovered(tests: DataFrame, written: dict[str, tuple[float, float]], max_false: float = MAX_FALSE,
                min_uniform: float = MIN_UNIFORM) -> DataFrame:
     """Rows of ``tests`` that are no writing, by false-discovery control, and look random."""
     n, k = F.col("n"), F.col("k")
+    squares, cubes = [F.when(k == len(ALPHABETS["digits"]), F.lit(d)).otherwise(F.lit(w))
+                      for d, w in zip(written["digits"], written["letters"], strict=True)]
     mean = k + k * squares * (n - 1) - n
-    var = (k / n) * (k / n) * 2 * n * (n - 1) * (squares + 2 * (n - 2) * cubes - (2 * n - 3) * squares ** 2)
+    var = (k / n) * (k / n) * 2 * n * (n - 1) * (squares + 2 * (n - 2) * cubes - (2 * n - 3) * squares * squares)
     z = (mean - F.col("chi2")) / F.sqrt(F.greatest(var, F.lit(1e-9)))
     # -log10(p) by its expansion beyond 5 deviations, where the p-value has no digits left
     far = (z * z / 2 + F.log(z * F.lit((2 * 3.141592653589793) ** 0.5))) / F.log(F.lit(10.0))
     score = F.when(z > 5, far).otherwise(-F.log10(F.greatest(upper_tail(z), F.lit(1e-12))))
     scored = tests.withColumn("bin", F.floor(F.least(score, F.lit(1e6)) * BINS_PER_UNIT).cast("long"))
-    bins = scored.groupBy("bin").agg(F.count("*").alias("c")).where("bin IS NOT NULL")
+    scored = scored.withColumn("long", n >= LONG)
+    bins = scored.groupBy("long", "bin").agg(F.count("*").alias("c")).where("bin IS NOT NULL")
     # distinct bins are few: p-values from 1 down to the smallest, in hundredths
-    above = F.sum("c").over(Window.orderBy(F.desc("bin")))
-    whole = F.sum("c").over(Window.partitionBy(F.lit(0)))
-    level = (bins.withColumn("above", above).withColumn("m", whole)
-             .where(F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_UNIT) <= max_false * F.col("above") / F.col("m"))
-             .agg(F.min("bin")).first()[0])
-    if level is None:
-        return scored.limit(0)
-    both = F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")
-    return scored.where((F.col("bin") >= level) & (F.col("p_uniform") >= min_uniform) & both)
+    above = F.sum("c").over(Window.partitionBy("long").orderBy(F.desc("bin")))
+    whole = F.sum("c").over(Window.partitionBy("long"))
+    levels = (bins.withColumn("above", above).withColumn("m", whole)
+              .where(F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_UNIT) <= max_false * F.col("above") / F.col("m"))
+              .groupBy("long").agg(F.min("bin").alias("level")).collect())
+    found = F.lit(False)
+    for of in levels:  # one for long tokens, one for short ones, or none
+        found = found | ((F.col("long") == F.lit(of.long)) & (F.col("bin") >= F.lit(of.level)))
+    return scored.where(found & (F.col("p_uniform") >= min_uniform))
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -163,7 +176,7 @@ def scan(docs: DataFrame, max_false: float = MAX_FALSE, min_uniform: float = MIN
     one = rows.select("row", F.explode("tokens").alias("t")).select("row", "t.start", "t.end", F.col("t.match").alias("token"))
     # a token is tested once, however many documents have it
     tests = stage(tested(one.select("token").distinct()), "tests")
-    found = discovered(tests, *writing(docs), max_false, min_uniform).select("token")
+    found = discovered(tests, writing(docs), max_false, min_uniform).select("token")
     added = (one.join(found, "token", "left_semi").groupBy("row")
              .agg(F.collect_list(F.struct(F.lit("random").alias("kind"), "start", "end")).alias("added")))
     none = F.array().cast("array<struct<kind:string,start:long,end:long>>")

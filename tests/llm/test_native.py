@@ -211,6 +211,24 @@ def test_random_tokens_are_found(spark):
     assert not {i: (got[i].spans, dict(rows)[i]) for i in got if i >= 100 and got[i].spans}
 
 
+def test_letters_digits_and_short_tokens(spark):
+    rng = random.Random(12)
+    words = ["the", "of", "and", "nation", "tion", "there", "blend", "erha", "on", "is", "was", "at"]
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    keys = ["".join(rng.choices(upper + lower, k=48)) for _ in range(12)] + ["".join(rng.choices(lower, k=90)) for _ in range(12)]
+    keys += ["".join(rng.choices(digits, k=31)) for _ in range(6)]
+    keys += ["".join(rng.sample(upper + lower + digits, 18)) for _ in range(12)]
+    number = lambda: f"{rng.choice([10, 20, 100, 1000, 12, 11])}"
+    rows = [(i, " ".join(w for _ in range(200) for w in (rng.choice(words), number())) + f" {k} end") for i, k in enumerate(keys)]
+    rows += [(100 + i, " ".join(rng.choices(words, k=100)) + " " + "".join(rng.choices(words, k=4 + i % 9))) for i in range(60)]
+    rows += [(300, "10" * 15), (301, "internationalizations telecommunications/electrical-engineering"), (302, "thethethethethethethethe")]
+    got = {r.doc_id: r for r in secrets.summary(secrets.scan(frame(spark, rows))).collect()}
+    hits = [i for i, k in enumerate(keys) if f"random:{rows[i][1].index(k)}:{rows[i][1].index(k) + len(k)}" in got[i].spans]
+    of = [sum(low <= i < high for i in hits) for low, high in ((0, 12), (12, 24), (24, 30), (30, 42))]
+    assert of[0] >= 11 and of[1] >= 11 and of[2] >= 5 and of[3] >= 11, of
+    assert not {i: (got[i].spans, dict(rows)[i]) for i in got if i >= 100 and got[i].spans}
+
+
 def test_redact(spark):
     rows = [(1, "é token=12345678 x AKIA1234567890AB, password=0123456789abcdef0123456789abcdef."), (2, None), (3, "clean"), (3, "clean"), (None, "token=12345678")]
     docs = frame(spark, rows)
