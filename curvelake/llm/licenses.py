@@ -4,9 +4,12 @@ Words are runs of letters, digits and characters beyond ASCII, lower-cased.  Bas
 counted where their words stand in a row.  For the method, all rolling ``GRAM``-word hashes of
 all documents are joined to the positions of license templates.  A match votes for its
 diagonal (word position less template position).  Votes are added up per diagonal, neighbouring
-diagonals (up to MAX_SHIFT words apart: insertions and deletions) are merged, and each merged
+diagonals (up to MAX_SHIFT words apart: insertions and deletions) are merged, and so are the diagonals that
+follow the first of such a group by no more words than the template has (a page header, say).  Each
 group is verified on the words themselves: the share of the template whose words stand on one of the group's
-diagonals.  From MIN_COVER on the template's label is found.
+diagonals.  From MIN_COVER on the template's label is found, if the words that tell licenses of a family apart agree: the
+template's first version number and its words of FAMILIES stand there (each run of them on one diagonal, all
+within MAX_SHIFT), and no other word of its family does.
 
 The template side is a fixed list of TEMPLATES texts, which bounds the broadcast.
 
@@ -69,6 +72,25 @@ TEMPLATES = (
 )
 
 
+# Lines of the other members of the families, by label.
+TEMPLATES += tuple((label, line) for label, line in (
+    ("gpl-2.0-line", "This work is licensed under the GNU General Public License, version 2."),
+    *((f"{k}gpl-{v}-line", f"This work is licensed under the GNU {name} General Public License, version {v.removesuffix('.0')}.")
+      for k, name, v in (("l", "Lesser", "2.1"), ("l", "Lesser", "3.0"), ("a", "Affero", "3.0"))),
+    *((f"gpl-{v}.0-notice", dict(TEMPLATES)["gpl-3.0-notice"].replace("version 3", f"version {v}")) for v in (2,)),
+    *((f"apache-{v}-line", f"Licensed under the Apache License, Version {v}.") for v in ("1.0", "1.1")),
+    ("cc-by-4.0-short-line", "Licensed under CC BY 4.0."),
+    *((f"cc-by-{k.lower()}-4.0-line", f"Licensed under CC BY-{k} 4.0.") for k in ("ND", "NC-SA", "NC-ND")),
+    *((f"cc-by-{k}-4.0-long-line", f"This work is licensed under a Creative Commons Attribution-{name} 4.0 International License.")
+      for k, name in (("nc", "NonCommercial"), ("sa", "ShareAlike"), ("nd", "NoDerivatives"),
+                      ("nc-sa", "NonCommercial-ShareAlike"), ("nc-nd", "NonCommercial-NoDerivatives"))),
+))
+
+# Words that tell the members of a family apart, by how its labels begin.
+_GNU = ("lesser", "affero")
+FAMILIES = {"gpl": _GNU, "lgpl": _GNU, "agpl": _GNU,
+            "cc-by": ("nc", "sa", "nd", "noncommercial", "sharealike", "noderivatives", "noderivs")}
+
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what separates words, before lower-casing
 
 
@@ -93,6 +115,21 @@ def template_words() -> dict[str, list[str]]:
     return {label: re.findall(WORD, text.translate(lower)) for label, text in TEMPLATES}
 
 
+def deciding(label: str, words: list[str]) -> tuple[list[list[int]], list[str]]:
+    """Runs of positions of the template that have to be covered, and words that must not stand in its place."""
+    own = next((w for start, w in FAMILIES.items() if label.startswith(start)), ())
+    first = next((i for i, w in enumerate(words) if w.isdigit()), len(words))
+    last = next((i for i in range(first, len(words)) if not words[i].isdigit()), len(words))
+    runs: list[list[int]] = []
+    for i, w in enumerate(words):
+        if w in own or first <= i < last:
+            if runs and runs[-1][-1] == i - 1:
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+    return runs, [w for w in own if w not in words]
+
+
 def template_grams(spark: SparkSession) -> DataFrame:
     """label, t_at, gram: every gram position of the fixed templates."""
     rows = [F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, words)).alias("t_words"))
@@ -138,33 +175,61 @@ def votes(docs: DataFrame) -> DataFrame:
 
 
 def merged(voted: DataFrame) -> DataFrame:
-    """Neighbouring diagonals as one group: doc_id, text_key, label, diagonals (array)."""
+    """Groups of diagonals: doc_id, text_key, label, diagonals (array), wide.  Neighbouring ones are a
+    group; where more follow within the template's length they are a wide group with it."""
     own = Window.partitionBy("doc_id", "text_key", "label").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(own) > MAX_SHIFT, F.lit(True)).cast("int")
-    return (voted.withColumn("apart", apart).withColumn("group", F.sum("apart").over(own))
-            .groupBy("doc_id", "text_key", "label", "group").agg(F.sort_array(F.collect_list("diagonal")).alias("diagonals")))
+    of = F.create_map(*[F.lit(c) for label, words in template_words().items() for c in (label, len(words))])
+    longest = max(map(len, template_words().values()))
+    following = F.collect_list("diagonal").over(own.rangeBetween(0, longest))
+    near = F.filter(following, lambda d: d <= F.col("diagonal") + of[F.col("label")])
+    groups = (voted.withColumn("apart", apart).withColumn("group", F.sum("apart").over(own)).withColumn("near", near)
+              .groupBy("doc_id", "text_key", "label", "group").agg(
+                  F.sort_array(F.collect_list("diagonal")).alias("diagonals"), F.min_by("near", "diagonal").alias("near")))
+    more = F.array_max("near") > F.array_max("diagonals")
+    both = F.when(more, F.array(F.struct("diagonals", F.lit(False).alias("wide")),
+                                F.struct(F.sort_array(F.array_union("diagonals", "near")).alias("diagonals"), F.lit(True).alias("wide"))))
+    both = both.otherwise(F.array(F.struct("diagonals", F.lit(False).alias("wide"))))
+    return groups.select("doc_id", "text_key", "label", F.inline(both))
 
 
 def verified(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """doc_id, text_key, label, start, cover: the share of the template's words that stand in
     the text on a diagonal of the group."""
     held = (groups.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
-            .agg(F.collect_list(F.struct("label", "diagonals")).alias("g")))
-    text = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").dropDuplicates(["doc_id", "text_key"])
-    both = text.join(held, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+            .agg(F.collect_list(F.struct("label", "diagonals", "wide")).alias("g")))
+    text = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    # repeated rows are dropped after the join: most texts have no group; the groups grow with the texts: no broadcast
+    both = (text.join(held.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+            .dropDuplicates(["doc_id", "text_key"]))
     # staged: else the optimizer would put the splitting into the lambda that looks at each word
     words = stage(both.select("doc_id", "text_key", words_of(F.col("text")).alias("w"), "g"), "words")
-    t = F.create_map(*[c for label, own in template_words().items() for c in (F.lit(label), F.array(*map(F.lit, own)))])
-    held_in = lambda d, i, v: (d + i >= 0) & (F.get("w", F.greatest(d + i, F.lit(0))) == v)
-    each = F.transform("g", lambda g: F.struct(
-        g["label"].alias("label"), g["diagonals"].alias("diagonals"), F.size(t[g["label"]]).alias("of"),
-        F.size(F.filter(t[g["label"]], lambda v, i: F.exists(g["diagonals"], lambda d: held_in(d, i, v)))).alias("n")))
-    covered = F.filter(F.transform(each, lambda e: F.struct(
-        e["label"].alias("label"), F.array_min(e["diagonals"]).alias("start"),
-        (F.array_max(e["diagonals"]) + e["of"]).alias("end"), (e["n"] / e["of"]).alias("cover"))),
+    of_label = lambda value: F.create_map(*[c for label, own in template_words().items() for c in (F.lit(label), value(label, own))])
+    listed = lambda values, kind: F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+    t = of_label(lambda label, own: listed(own, "string"))
+    need = of_label(lambda label, own: F.array(*[listed(run, "int") for run in deciding(label, own)[0]]).cast("array<array<int>>"))
+    other = of_label(lambda label, own: listed(deciding(label, own)[1], "string"))
+    at = F.transform("g", lambda g: F.struct(
+        g["label"].alias("label"), g["diagonals"].alias("diagonals"), g["wide"].alias("wide"), F.size(t[g["label"]]).alias("of"),
+        # for each word of the template, its first place on a diagonal of the group
+        F.transform(t[g["label"]], lambda v, i: F.array_min(F.filter(F.transform(g["diagonals"], lambda d: d + i), lambda p:
+                    (p >= 0) & F.coalesce(F.get("w", F.greatest(p, F.lit(0)).cast("int")) == v, F.lit(False))))).alias("at")))
+    each = words.select("doc_id", "text_key", "w", at.alias("e"))
+    found = F.filter(F.transform("e", lambda e: F.struct(
+        e["label"].alias("label"), e["diagonals"].alias("diagonals"), F.array_min(e["diagonals"]).alias("start"), e["wide"].alias("wide"),
+        (F.array_max(e["diagonals"]) + e["of"]).alias("end"), F.array_min(e["at"]).alias("low"), F.array_max(e["at"]).alias("high"),
+        (F.size(F.filter(e["at"], lambda p: p.isNotNull())) / e["of"]).alias("cover"))),
         lambda e: e["cover"] >= MIN_COVER)
-    words = words.select("doc_id", "text_key", covered.alias("c"))
-    better = lambda e, o: (o["cover"] > e["cover"]) & (o["start"] < e["end"]) & (e["start"] < o["end"])
+    stands = lambda e, d, i: (d + i >= 0) & F.coalesce(
+        F.get("w", F.greatest(d + i, F.lit(0)).cast("int")) == F.get(t[e["label"]], i), F.lit(False))
+    run_on = lambda e, d, run: F.forall(run, lambda i: stands(e, d, i))
+    decided = lambda e: F.exists(e["diagonals"], lambda d: F.forall(need[e["label"]], lambda run: F.exists(
+        e["diagonals"], lambda o: o.between(d, d + MAX_SHIFT) & run_on(e, o, run))))
+    place = lambda e: F.slice("w", (e["low"] + 1).cast("int"), (e["high"] - e["low"] + 1).cast("int"))
+    covered = F.filter(found, lambda e: ~F.arrays_overlap(place(e), other[e["label"]]) & decided(e))
+    words = each.select("doc_id", "text_key", covered.alias("c"))
+    better = lambda e, o: ((o["cover"] > e["cover"]) & (o["start"] < e["end"]) & (e["start"] < o["end"])
+                           & (~o["wide"] | (o["label"] == e["label"])))
     best = F.filter("c", lambda e: ~F.exists("c", lambda o: better(e, o)))
     return words.select("doc_id", "text_key", F.explode(best).alias("e")).select("doc_id", "text_key", "e.label", "e.start", "e.cover")
 

@@ -288,3 +288,19 @@ def test_licenses_odd_rows(spark):
     assert near.labels == "cc-by,cc-by-nc-4.0-line,cc-by-sa-4.0-line"
     one = licenses.summary(licenses.scan(frame(spark, [(1, "x Licensed under CC BY-NC 4.0. y")]))).first()
     assert (one.labels, one.score) == ("cc-by,cc-by-nc-4.0-line", 1.0)
+
+
+def test_licenses_of_a_family(spark):
+    mit = dict(licenses.TEMPLATES)["mit-text"].split()
+    texts = {"This work is licensed under the GNU General Public License, version 2": {"gpl-2.0-line"},
+             "licensed under the GNU Lesser General Public License version 3": {"lgpl-3.0-line"},
+             "This work is licensed under the GNU General Public License, version 3.": {"gpl-3.0-line"},
+             "Licensed under the Apache License, Version 1.1": {"apache-1.1-line"}, "Licensed under the Apache License, Version 2.0": {"apache-2.0-line"},
+             "Licensed under the Apache License, Version 9.7": set(), "Licensed under CC BY-ND 4.0": {"cc-by-nd-4.0-line"},
+             "Licensed under CC BY-NC-SA 4.0": {"cc-by-nc-sa-4.0-line"}, "Licensed under CC BY-SA 4.0.": {"cc-by-sa-4.0-line"},
+             "Licensed under CC BY-NC 3.0.": set(),
+             " ".join([*mit[:len(mit) // 2], "Page", "4", "of", "12,", "printed", *mit[len(mit) // 2:]]): {"mit-text"}}
+    rows = [(i, f"some words here {t} and others there") for i, t in enumerate(texts)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows)).collect()}
+    assert {i: set(got[i].labels) - set(got[i].base_labels) for i, _ in rows} == dict(enumerate(texts.values()))
+    assert got[len(texts) - 1].score == 1.0
