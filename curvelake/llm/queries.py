@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curvelake.llm.common import table
 
@@ -77,6 +78,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.pieces import digests, encode
+
+    path = tokenizer_file("piece_bpe_32k.model")
+    return digests(encode(table(spark, sf_dir, "documents"), path), path)
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from curvelake.llm.negatives import hard_negatives
+
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=changed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_mixing": op2_mixing,
@@ -88,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_phrases": op11_phrases,
+    "op12_pieces": op12_pieces,
+    "op13_negatives": op13_negatives,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -137,7 +161,8 @@ g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k
 again AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (
             SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (
               SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, k) AS c FROM g) s WHERE c > 1) s GROUP BY doc_id),
-raw AS (SELECT doc_id, host, line, regexp_extract_all(line, '[^ 	-]+') AS lw
+raw AS (SELECT doc_id, host, line, regexp_extract_all(line, '[^ 	-
+]+') AS lw
         FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL) s),
 dup AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT line) AS n FROM raw WHERE len(lw) > 0 GROUP BY doc_id),
 line AS (SELECT doc_id, host, SUM(len(lw)) AS words,
@@ -159,4 +184,34 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
        AND NOT (n_removed > 0 AND n_words - n_removed < 50 AND n_words - n_removed < n_words * 0.3::DOUBLE) AS kept
 FROM m""",
+    "op11_phrases": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, w[i:i + k - 1] AS g, k, COUNT(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) r(k)) s GROUP BY ALL),
+t AS (SELECT lang, SUM(f) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE k > 1 AND f >= 30),
+part AS (SELECT lang, g[i:i + m - 1] AS g, MAX(f) AS around
+         FROM (SELECT lang, g, f, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 4) r(m) WHERE m < k) s GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN part USING (lang, g) WHERE around IS NULL OR 100 * around < 80 * f),
+cut AS (SELECT kept.lang, kept.g, kept.f AS a, x.k AS cut, x.f AS l, y.f AS r, 2000000::HUGEINT * kept.f // (x.f + y.f) AS score
+        FROM kept JOIN g x ON x.lang = kept.lang AND x.k < kept.k AND x.g = kept.g[1:x.k]
+                  JOIN g y ON y.lang = kept.lang AND y.k = kept.k - x.k AND y.g = kept.g[x.k + 1:]),
+low AS (SELECT * FROM cut QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+best AS (SELECT *, array_to_string(g, ' ') AS phrase FROM low)
+SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+       CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best JOIN t USING (lang) QUALIFY rank <= 2000""",
+    "op13_negatives": r"""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+           WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS other,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, p.other AS positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       CAST(ROW_NUMBER() OVER (PARTITION BY anchor_id, p.other ORDER BY s.score DESC, s.other) AS INTEGER) AS rank
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score QUALIFY rank <= 3""",
 }
