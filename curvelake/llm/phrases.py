@@ -4,7 +4,7 @@ Texts are lower-cased (A-Z), split at punctuation and line ends into pieces and
 The graph of a language has the longest grams (``longest`` words) as edges, each between the two
 grams of one word less that overlap in it.
 
-1. Rare pairs.  Pairs of neighbouring words are counted by a 64-bit hash.  A gram around a pair below
+1. Rare pairs.  Pairs of neighbouring words are counted by a hash of PAIR_BITS.  A gram around a pair below
    ``min_count`` can't be a phrase, so texts are cut there as at a piece's end; this is told by a
    bitmap of FILTER_BITS, whose size does not grow: where it fills up fewer cuts are made, which
    costs work and changes no count.
@@ -12,7 +12,8 @@ grams of one word less that overlap in it.
    before a cut.  Map tasks add up equal rows of SLICE_BYTES of text, then Spark does.
 3. Node flow.  The count of a shorter gram is what flows out of it: the edges that begin with it
    plus the cuts right after it, which are the short rows.  So it is the sum over the distinct rows that
-   it begins, again combined before the shuffle: a hot word or pair is a sum like any other.
+   it begins, again combined before the shuffle: a hot word or pair is a sum like any other.  The
+   flow of single words, which most rows begin and end with, is added up in the map tasks.
 4. Unary paths.  A node whose flow comes in by one edge and leaves by one edge, with no piece end
    on it, is inside a path.  Paths are compacted by pointer doubling on the frequent edges; such
    a node is always inside a longer phrase of the same count, so only the others are candidates.
@@ -46,6 +47,7 @@ SCALE = 2_000_000
 COVERED = 80               # a longer candidate with this per cent of the count explains a phrase
 SLICE_BYTES = 8 << 20      # text that a map task combines at once
 ROWS_OUT = 50_000          # rows that a map task hands over at once
+PAIR_BITS = 40             # pairs that share a hash are counted together: fewer cuts, same counts
 FILTER_BITS = 1 << 26
 
 _FILTER_LOG = FILTER_BITS.bit_length() - 1
@@ -89,11 +91,11 @@ def numbered(text: bytes, room: int) -> tuple[list[bytes], np.ndarray]:
 
 
 def pair_hashes(lang: str, words: list[bytes], at: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each place's word and the next one, and of the language."""
+    """A hash of PAIR_BITS of each place's word and the next one, and of the language."""
     own = word_hashes(b" ".join([b"-", *words[1:]]))
     pair = own[at[:-1]] * _ODD + (own[at[1:]] ^ np.uint64(zlib.crc32(lang.encode())))
     pair ^= pair >> np.uint64(29)
-    return pair * _ODD
+    return (pair * _ODD) >> np.uint64(64 - PAIR_BITS)
 
 
 def rows_of(at: np.ndarray, joined: np.ndarray, longest: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -154,7 +156,7 @@ def count_pairs(docs: DataFrame, **columns: str) -> DataFrame:
 def frequent_pairs(docs: DataFrame, min_count: int, **columns: str) -> np.ndarray:
     """The bitmap of the pairs with ``min_count`` occurrences."""
     pairs = count_pairs(docs, **columns).where(F.col("c") >= min_count)
-    bit = F.shiftrightunsigned("pair", 64 - _FILTER_LOG) + 1     # SQL's bitmaps count from 1
+    bit = F.shiftright("pair", PAIR_BITS - _FILTER_LOG) + 1     # SQL's bitmaps count from 1
     words = pairs.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -165,14 +167,20 @@ def frequent_pairs(docs: DataFrame, min_count: int, **columns: str) -> np.ndarra
 
 
 def word_rows(docs: DataFrame, bitmap: np.ndarray, longest: int, **columns: str) -> DataFrame:
-    """lang, gram, c: the longest gram of every word position, equal ones of a slice added up."""
+    """lang, gram, c: the longest gram of every word position if it has two words or more, equal ones of
+    a slice added up; and the flow of every single word."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def make(lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         words, at = numbered(text, longest)
-        bit = pair_hashes(lang, words, at) >> np.uint64(64 - _FILTER_LOG)
+        bit = pair_hashes(lang, words, at) >> np.uint64(PAIR_BITS - _FILTER_LOG)
         joined = (shared.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         places, counts = rows_of(at, joined, longest)
+        flow = np.bincount(places[0], counts, len(words)).astype(np.int64)
+        long = places[1] > 0
+        single = np.flatnonzero(flow)
+        places = [np.concatenate((p[long], single if k == 0 else np.zeros_like(single))) for k, p in enumerate(places)]
+        counts = np.concatenate((counts[long], flow[single]))
         # the end mark is no text; its number only stands for null
         strings = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
         for i in range(0, len(counts), ROWS_OUT):
@@ -190,7 +198,7 @@ def count_grams(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_CO
     rows = word_rows(docs, frequent_pairs(docs, min_count, **columns), longest, **columns)
     edges = rows.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
     size = F.size(F.split("gram", " "))
-    flow = edges.select("lang", "gram", "c", F.explode(F.sequence(F.lit(1), size)).alias("n"))
+    flow = edges.select("lang", "gram", "c", F.explode(F.sequence(F.least(F.lit(2), size), size)).alias("n"))
     flow = flow.select("lang", "n", F.expr("substring_index(gram, ' ', n)").alias("gram"), "c")
     return flow.groupBy("lang", "n", "gram").agg(F.sum("c").alias("f")).where((F.col("n") == 1) | (F.col("f") >= min_count))
 
