@@ -4,10 +4,10 @@ Texts are lower-cased (A-Z), split at punctuation and line ends into pieces and
 The graph of a language has the longest grams (``longest`` words) as edges, each between the two
 grams of one word less that overlap in it.
 
-1. Rare pairs.  Pairs of neighbouring words are counted by a hash of PAIR_BITS.  A gram around a pair below
-   ``min_count`` can't be a phrase, so texts are cut there as at a piece's end; this is told by a
-   bitmap of FILTER_BITS, whose size does not grow: where it fills up fewer cuts are made, which
-   costs work and changes no count.
+1. Rare grams.  Grams of two and three words are counted by a hash of HASH_BITS.  A longer gram around
+   one that occurs less than ``min_count`` times can't be a phrase, so texts are cut there as at a piece's
+   end; this is told by a bitmap of FILTER_BITS, whose size does not grow: where it fills up fewer cuts
+   are made, which costs work and changes no count.
 2. Edges.  Every word position gives one row: the longest gram that starts there, shorter only
    before a cut.  Map tasks add up equal rows of SLICE_BYTES of text, then Spark does.
 3. Node flow.  The count of a shorter gram is what flows out of it: the edges that begin with it
@@ -47,7 +47,7 @@ SCALE = 2_000_000
 COVERED = 80               # a longer candidate with this per cent of the count explains a phrase
 SLICE_BYTES = 8 << 20      # text that a map task combines at once
 ROWS_OUT = 50_000          # rows that a map task hands over at once
-PAIR_BITS = 40             # pairs that share a hash are counted together: fewer cuts, same counts
+HASH_BITS = 40             # grams that share a hash are counted together: fewer cuts, same counts
 FILTER_BITS = 1 << 26
 
 _FILTER_LOG = FILTER_BITS.bit_length() - 1
@@ -90,21 +90,27 @@ def numbered(text: bytes, room: int) -> tuple[list[bytes], np.ndarray]:
     return list(numbers), np.array(at, np.int64)
 
 
-def pair_hashes(lang: str, words: list[bytes], at: np.ndarray) -> np.ndarray:
-    """A hash of PAIR_BITS of each place's word and the next one, and of the language."""
-    own = word_hashes(b" ".join([b"-", *words[1:]]))
-    pair = own[at[:-1]] * _ODD + (own[at[1:]] ^ np.uint64(zlib.crc32(lang.encode())))
-    pair ^= pair >> np.uint64(29)
-    return (pair * _ODD) >> np.uint64(64 - PAIR_BITS)
+def gram_hashes(lang: str, words: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of HASH_BITS of the two and of the three words from each place on, and of the language."""
+    own = word_hashes(b" ".join([b"-", *words[1:]])) ^ np.uint64(zlib.crc32(lang.encode()))
+    two = _mixed(own[at[:-2]], own[at[1:-1]])
+    down = np.uint64(64 - HASH_BITS)
+    return two >> down, _mixed(two, own[at[2:]]) >> down
 
 
-def rows_of(at: np.ndarray, joined: np.ndarray, longest: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct rows (word numbers at ``longest`` places, 0: none) and their counts; ``joined``
-    says at which places a word goes on to the next."""
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = a * _ODD + b
+    return (x ^ x >> np.uint64(29)) * _ODD
+
+
+def rows_of(at: np.ndarray, two: np.ndarray, three: np.ndarray, longest: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows (word numbers at ``longest`` places, 0: none) and their counts; ``two`` and
+    ``three`` say at which places grams of that length may be frequent."""
     n = len(at) - longest
     places = [at[:n]]
     for k in range(1, longest):
-        places.append(np.where(joined[k - 1:n + k - 1] & (places[-1] > 0), at[k:n + k], 0))
+        goes_on = two[:n] if k == 1 else three[k - 2:n + k - 2]
+        places.append(np.where(goes_on & (places[-1] > 0), at[k:n + k], 0))
     start = np.flatnonzero(at[:n])
     places = [p[start] for p in places]
     keys = [p << 32 | q for p, q in zip(places[::2], [*places[1::2], np.zeros_like(start)], strict=False)]
@@ -141,23 +147,24 @@ def _by_slice(docs: DataFrame, make: Callable[[str, bytes], Iterator[pa.RecordBa
     return narrow.mapInArrow(run, schema)
 
 
-def count_pairs(docs: DataFrame, **columns: str) -> DataFrame:
-    """pair (hash), c: occurrences of each pair of neighbouring words."""
+def count_hashes(docs: DataFrame, **columns: str) -> DataFrame:
+    """gram (hash), c: occurrences of each two and three neighbouring words."""
 
     def make(lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
-        words, at = numbered(text, 1)
-        both = (at[:-1] > 0) & (at[1:] > 0)
-        pair, c = np.unique(pair_hashes(lang, words, at)[both], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(c, pa.int64())], ["pair", "c"])
+        words, at = numbered(text, 2)
+        two, three = gram_hashes(lang, words, at)
+        inside = (at[:-2] > 0) & (at[1:-1] > 0)
+        gram, c = np.unique(np.concatenate((two[inside], three[inside & (at[2:] > 0)])), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(c, pa.int64())], ["gram", "c"])
 
-    return _by_slice(docs, make, "pair long, c long", **columns).groupBy("pair").agg(F.sum("c").alias("c"))
+    return _by_slice(docs, make, "gram long, c long", **columns).groupBy("gram").agg(F.sum("c").alias("c"))
 
 
-def frequent_pairs(docs: DataFrame, min_count: int, **columns: str) -> np.ndarray:
-    """The bitmap of the pairs with ``min_count`` occurrences."""
-    pairs = count_pairs(docs, **columns).where(F.col("c") >= min_count)
-    bit = F.shiftright("pair", PAIR_BITS - _FILTER_LOG) + 1     # SQL's bitmaps count from 1
-    words = pairs.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
+def frequent_hashes(docs: DataFrame, min_count: int, **columns: str) -> np.ndarray:
+    """The bitmap of the grams of two and three words with ``min_count`` occurrences."""
+    grams = count_hashes(docs, **columns).where(F.col("c") >= min_count)
+    bit = F.shiftright("gram", HASH_BITS - _FILTER_LOG) + 1     # SQL's bitmaps count from 1
+    words = grams.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
     bitmap = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in words.toLocalIterator():   # at most FILTER_BITS / 32768 rows of 4096 bytes
@@ -166,6 +173,11 @@ def frequent_pairs(docs: DataFrame, min_count: int, **columns: str) -> np.ndarra
     return bitmap
 
 
+def _told(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes >> np.uint64(HASH_BITS - _FILTER_LOG)
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def word_rows(docs: DataFrame, bitmap: np.ndarray, longest: int, **columns: str) -> DataFrame:
     """lang, gram, c: the longest gram of every word position if it has two words or more, equal ones of
     a slice added up; and the flow of every single word."""
@@ -173,9 +185,8 @@ def word_rows(docs: DataFrame, bitmap: np.ndarray, longest: int, **columns: str)
 
     def make(lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         words, at = numbered(text, longest)
-        bit = pair_hashes(lang, words, at) >> np.uint64(PAIR_BITS - _FILTER_LOG)
-        joined = (shared.value[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-        places, counts = rows_of(at, joined, longest)
+        two, three = (_told(shared.value, h) for h in gram_hashes(lang, words, at))
+        places, counts = rows_of(at, two, three, longest)
         flow = np.bincount(places[0], counts, len(words)).astype(np.int64)
         long = places[1] > 0
         single = np.flatnonzero(flow)
@@ -195,10 +206,12 @@ def word_rows(docs: DataFrame, bitmap: np.ndarray, longest: int, **columns: str)
 def count_grams(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT, **columns: str) -> DataFrame:
     """lang, n, gram (words joined by a space), f: every word and every gram of 2 to ``longest``
     words with at least ``min_count`` occurrences."""
-    rows = word_rows(docs, frequent_pairs(docs, min_count, **columns), longest, **columns)
+    rows = word_rows(docs, frequent_hashes(docs, min_count, **columns), longest, **columns)
     edges = rows.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
     size = F.size(F.split("gram", " "))
-    flow = edges.select("lang", "gram", "c", F.explode(F.sequence(F.least(F.lit(2), size), size)).alias("n"))
+    # an edge is complete: below min_count only its shorter grams go on
+    last = F.when((size == longest) & (F.col("c") < min_count), size - 1).otherwise(size)
+    flow = edges.select("lang", "gram", "c", F.explode(F.sequence(F.least(F.lit(2), size), last)).alias("n"))
     flow = flow.select("lang", "n", F.expr("substring_index(gram, ' ', n)").alias("gram"), "c")
     return flow.groupBy("lang", "n", "gram").agg(F.sum("c").alias("f")).where((F.col("n") == 1) | (F.col("f") >= min_count))
 
