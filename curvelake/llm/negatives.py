@@ -10,7 +10,8 @@ For an anchor ``q`` with inner product ``g`` with a row's code, the row's score
 ``s * g ± r * sqrt(|q|² - g²)`` by Cauchy-Schwarz, as what is left of both is orthogonal to the code.
 ``g`` itself is estimated by popcounts: the rotated anchor is rounded to PLANES bits, each plane is
 combined with the codes, and the rounding error widens the interval.  So every interval holds the
-score; rows whose interval can't reach the answer are left out, and the rest are scored in integers.
+score.  The PROBES rows with the best intervals are scored first; rows whose interval can't reach the
+answer that these give are left out, and the surviving ones are scored in integers.
 
 Two passes over the index, the second with what the first found:
 
@@ -49,6 +50,7 @@ LEAST, MOST = 50, 95       # a negative's score in per cent of the positive's
 CHUNK_ROWS = 16_384
 ANCHOR_ROWS = 512          # anchors of a block
 PLANES = 8
+PROBES = 32                # rows scored first, whose k-th score the others must reach
 SLACK = 1e-9               # of the product of both lengths: rounding in floating point
 
 
@@ -110,12 +112,18 @@ def best(chunk: Chunk, at: np.ndarray, low: np.ndarray, high: np.ndarray, anchor
          least: int | None = None, most: int | None = None) -> list[tuple[int, int]]:
     """(vec_id, score) of the best ``k`` of the rows ``at``, with scores from ``least`` to ``most``;
     ``low`` and ``high`` bound their scores."""
-    sure = low
+    if len(at) == 0:
+        return []
+    alive = np.ones(len(at), bool) if most is None else (high >= least) & (low <= most)
+    # the rows that look best are scored first: what can't reach the k-th of them is out
+    middle = low + high
     if most is not None:
-        sure = low[(low >= least) & (high <= most)]
-    alive = high >= _kth(sure, k)
+        middle = np.where(middle <= 2 * most, middle, -np.inf)
+    probe = np.argpartition(middle, len(at) - min(PROBES, len(at)))[-PROBES:]
+    score = chunk.vectors[at[probe]] @ anchor
     if most is not None:
-        alive &= (high >= least) & (low <= most)
+        score = score[(score >= least) & (score <= most)]
+    alive &= high >= _kth(score, k)
     at = at[alive]
     score = chunk.vectors[at] @ anchor          # 64-bit integers: exact
     if most is not None:

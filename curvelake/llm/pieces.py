@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curvelake.llm.common import schema_of, worker_cache
+from curvelake.llm.common import free_name, schema_of, worker_cache
 
 CACHE_WORDS = 250_000
 CACHE_CHARS = 64
@@ -216,7 +216,7 @@ def model(path: str) -> Model:
 
 def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str = "text", column: str = "ids") -> DataFrame:
     """The columns ``keep`` (default: doc_id) of every row and its ids as array<int>."""
-    narrow = docs.select(*(keep or ["doc_id"]), F.coalesce(text, F.lit("")).alias("_pieces_text"))
+    narrow = docs.select(*(keep or ["doc_id"]), F.coalesce(text, F.lit("")).alias(inner := free_name(docs, "_text")))
     n = len(narrow.columns) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +230,7 @@ def encode(docs: DataFrame, path: str, keep: list[str] | None = None, text: str
                 yield pa.RecordBatch.from_arrays([*some.columns[:n], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                                                  [*some.schema.names[:n], column])
 
-    return narrow.mapInArrow(run, f"{schema_of(narrow.drop('_pieces_text'))}, `{column}` array<int>")
+    return narrow.mapInArrow(run, f"{schema_of(narrow.drop(inner))}, `{column}` array<int>")
 
 
 def _lists(column: pa.Array) -> Iterator[list[int]]:
