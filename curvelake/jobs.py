@@ -7,7 +7,9 @@ A warehouse root holds::
     <wh>/silver/treasury_yields/   append-only, bucketed by series_id (catalog table)
     <wh>/silver/sec_filings/       append-only, bucketed by accession_number
     <wh>/_layout                   the bucket counts, fixed at creation
-    <wh>/silver/_rejects/{observations,filings}/
+    <wh>/silver/_rejects/{observations,filings}/   rejects by content, each once (``sinks.ledger``)
+    <wh>/silver/_ledger/observations/   documents that the stream has loaded
+    <wh>/silver/_runs/          one row per run and source
     <wh>/quality/results/
 
 The source system fetched one entity at a time on a thread pool and inserted
@@ -33,6 +35,7 @@ from curvelake.operators import merge as M
 from curvelake.operators import quality as Q
 from curvelake.operators import silver as SV
 from curvelake.session import setting, staged
+from curvelake.sinks import ledger as LG
 from curvelake.sinks import writers as W
 from curvelake.sinks.catalog import append_bucketed, compact_bucketed, layout, register_silver
 from curvelake.sources import bronze as B
@@ -72,6 +75,10 @@ COMPANIES_CONFIG = T.StructType([*S.COMPANIES.fields, S.CREATED_AT])
 _CO_PARTITION = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
+def _run_id() -> str:
+    return W.time_id()
+
+
 def series_config(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return W.read_versioned(spark, wh.series, SERIES_CONFIG)
 
@@ -101,25 +108,32 @@ def silver_filings(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.table(create_tables(spark, wh)[1])
 
 
-def append_rejects(spark: SparkSession, rejects: DataFrame, path: str, identity: list[str]) -> None:
-    """Append rejects not already logged (a re-run or a replayed micro-batch
-    logs nothing twice)."""
-    literal_rows(spark, [], rejects.schema).write.mode("ignore").parquet(path)   # create if absent
-    logged = spark.read.schema(rejects.schema).parquet(path)
-    M.insert_if_absent(rejects, logged, identity, null_safe=True).write.mode("append").parquet(path)
-
-
 @dataclass(frozen=True)
 class Counts:
-    """Of one source: active config rows, entities with a document, rows inserted."""
+    """Of one source: active config rows, entities with a document, rows inserted, rejects and
+    those of them that were not logged before."""
 
     active: int
     seen: int
     inserted: int
+    rejects: int = 0
+    new_rejects: int = 0
+
+
+def _finish(spark: SparkSession, wh: Warehouse, source: str, run_id: str, counts: Counts) -> Counts:
+    """Log the run."""
+    LG.append_run(spark, wh.path("silver", "_runs"), run_id, source, counts.active, counts.seen, counts.inserted,
+                  counts.rejects, counts.new_rejects)
+    return counts
+
+
+def runs(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    """The warehouse's loads so far."""
+    return LG.read_log(spark, wh.path("silver", "_runs"), LG.RUNS)
 
 
 def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse,
-                          gate_before_append: bool = False) -> Counts:
+                          gate_before_append: bool = False, run_id: str | None = None) -> Counts:
     """Parsed observation docs -> silver.
 
     ``gate_before_append`` runs the observation suite over the batch's typed
@@ -139,12 +153,13 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse,
             Q.gate(Q.run_suite(good.select("observation_date", "series_id", "value"), Q.observation_suite()))
         new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
         inserted = append_bucketed(new, table, "series_id", buckets, ["series_id", "observation_date"])
-        append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "observations"),
-                       ["series_id", "ingest_date", "pos"])
-        return Counts(active.count(), t.select("series_id").where("series_id IS NOT NULL").distinct().count(), inserted)
+        run_id = run_id or _run_id()
+        logged = LG.append_rejects(load.rejects, wh.path("silver", "_rejects", "observations"), "series_id", run_id)
+        seen = t.select("series_id").where("series_id IS NOT NULL").distinct().count()
+        return _finish(spark, wh, "fred", run_id, Counts(active.count(), seen, inserted, load.rejects.count(), logged))
 
 
-def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> Counts:
+def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse, run_id: str | None = None) -> Counts:
     active = companies_config(spark, wh).where("is_active").select(F.col("cik").alias("_cik"))
     own = strip_leading_zeros(F.coalesce("cik", B.ENTITY))
     known = docs.join(active, own == F.col("_cik"), "left_semi")
@@ -156,9 +171,10 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse) -> Cou
         load = SV.load_typed_filings(t, spark.table(table), buckets)
         new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
         inserted = append_bucketed(new, table, "accession_number", buckets, ["accession_number"])
-        append_rejects(spark, load.rejects, wh.path("silver", "_rejects", "filings"),
-                       ["cik", "ingest_date", "pos", "accession_number"])
-        return Counts(active.count(), t.select("cik").where("cik <> ''").distinct().count(), inserted)
+        run_id = run_id or _run_id()
+        logged = LG.append_rejects(load.rejects, wh.path("silver", "_rejects", "filings"), "cik", run_id)
+        seen = t.select("cik").where("cik <> ''").distinct().count()
+        return _finish(spark, wh, "sec", run_id, Counts(active.count(), seen, inserted, load.rejects.count(), logged))
 
 
 def run_daily(spark: SparkSession, bronze_root: str, wh: Warehouse, ingest_date: dt.date,
@@ -179,8 +195,9 @@ def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.dat
     rng = (start, end)
     obs_docs = B.read_observation_docs(spark, bronze_root, rng)
     fil_docs = B.read_filing_docs(spark, bronze_root, rng)
-    obs = load_observation_docs(spark, obs_docs, wh, gate_before_append)
-    fil = load_filing_docs(spark, fil_docs, wh)
+    run_id = _run_id()
+    obs = load_observation_docs(spark, obs_docs, wh, gate_before_append, run_id)
+    fil = load_filing_docs(spark, fil_docs, wh, run_id)
     label = str(start) if start == end else f"{start}..{end}"
     return literal_rows(spark, [(label, "fred", obs.active, obs.seen, obs.inserted), (label, "sec", fil.active, fil.seen, fil.inserted)],
                         "date string, source string, entities bigint, entities_seen bigint, silver_rows bigint")

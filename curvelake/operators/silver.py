@@ -66,7 +66,7 @@ def split_typed_observations(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
         "observation_date", "series_id", "value", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
-        "series_id", "ingest_date", "pos", "raw_date", "raw_value", "reject_reason")
+        "series_id", "ingest_date", "doc_id", "pos", "raw_date", "raw_value", "reject_reason")
     return good, bad
 
 
@@ -125,7 +125,7 @@ def split_typed_filings(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
         "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
-        "accession_number", "cik", "ingest_date", "pos", "reject_reason")
+        "accession_number", "cik", "ingest_date", "doc_id", "pos", "reject_reason")
     return good, bad
 
 

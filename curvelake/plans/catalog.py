@@ -10,7 +10,7 @@ import datetime as _dt
 from collections.abc import Callable
 from decimal import Decimal as _D
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curvelake import schemas as S
@@ -276,6 +276,26 @@ def _q(spark, d):
                       F.coalesce(F.sum(B.array_len(payload)), F.lit(0)).cast("bigint").alias("observation_rows"))
 
 
+@register("job_rejects")
+def _q(spark, d):
+    """The reject log after three loads of one day: documents with a bad value, the same again, and a
+    rewrite whose values are bad in another way at the same places; with the run that logged each."""
+    base = scratch_path(spark, "reject-log")
+    bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
+    o = T.observations(spark, d)
+    jobs.write_config(T.series(spark), wh.series)
+    jobs.write_config(T.companies(spark, d), wh.companies)
+    for load, bad in enumerate(("n/a", None, "1e99")):
+        if bad:
+            odd = F.when(F.dayofmonth("observation_date") == 3, F.lit(bad)).otherwise(F.col("value").cast("string"))
+            rows = o.select("series_id", F.date_format("observation_date", "yyyy-MM-dd").alias("date"), odd.alias("value"))
+            WR.write_bronze(D.render_observation_docs(rows, F.lit(DAY1)), bronze, "fred")
+        jobs.run_daily(spark, bronze, wh, DAY1)
+    runs = jobs.runs(spark, wh).where("source = 'fred'").select("run_id", F.row_number().over(Window.orderBy("run_id")).alias("load"))
+    log = spark.read.parquet(wh.path("silver", "_rejects", "observations"))
+    return log.join(runs, "run_id").select("load", "series_id", "raw_date", "raw_value", "reject_reason")
+
+
 @register("job_backfill")
 def _q(spark, d):
     """Bronze of three ingest days, of which the job loads the first two: first wins by ingest
@@ -454,15 +474,18 @@ def _q(spark, d):
 @register("stream_bronze_to_silver")
 def _q(spark, d):
     """Half of the documents landed as single files (one day per year), half written by the
-    engine; one stream loads both into silver, read back."""
+    engine, twice: the second write replaces the values of the first.  One stream loads both in
+    several micro-batches into silver, read back."""
     base = scratch_path(spark, "stream-load")
     bronze, wh = f"{base}/bronze", Warehouse(f"{base}/warehouse")
     docs = _observation_docs(spark, d, revise=False)
     year = F.get_json_object("doc", "$.observations[0].date").substr(1, 4).cast("int")
+    replaced = F.regexp_replace("doc", r'"value":"', '"value":"7')
+    WR.write_bronze(docs.where(year % 2 == 0).withColumn("doc", replaced), bronze, "fred")
     WR.write_bronze(docs.where(year % 2 == 0), bronze, "fred")
     D.land_files(docs.where(year % 2 == 1).withColumn("ingest_date", F.date_add(F.lit(DAY1), year - 1990)), bronze, "fred")
     jobs.write_config(T.series(spark), wh.series)
-    q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint")
+    q = stream_bronze_to_silver(spark, bronze, wh, f"{base}/checkpoint", max_files=24)
     q.awaitTermination()
     return jobs.silver_observations(spark, wh).drop("ingested_at")
 

@@ -24,7 +24,7 @@ from curvelake.functions.exprs import literal_rows
 from curvelake.sources import bronze as B
 
 
-def _time_id() -> str:
+def time_id() -> str:
     """An id that sorts by time."""
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
@@ -34,7 +34,7 @@ def write_bronze(docs: DataFrame, root: str, source: str) -> str:
 
     Every row is kept: a body that is no JSON object, or a row without entity id, is reported
     as a reject by the load."""
-    w = _time_id()
+    w = time_id()
     (docs.select(F.col(B.ENTITY), F.col("doc"), F.lit(w).alias("write_id"), F.lit(source).alias("source"), "ingest_date")
      .write.mode("append").partitionBy("source", "ingest_date").parquet(root))
     return w
@@ -80,7 +80,7 @@ def write_versioned(df: DataFrame, root: str) -> str:
     """Write ``df`` as a new version, then name it; returns the version.  A reader sees the
     version before or the new one, never neither."""
     spark = df.sparkSession
-    v = "v" + _time_id()
+    v = "v" + time_id()
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{v}")
     literal_rows(spark, [(v,)], "v string").coalesce(1).write.mode("append").parquet(_versions(root))
     return v

@@ -49,7 +49,7 @@ def located(files: DataFrame, body: str) -> DataFrame:
     day = F.regexp_extract(path, r"(?:/|ingest_date=)(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
     source = F.regexp_extract(path, r"/(?:source=)?([^/=]+)/(?:ingest_date=)?\d{4}-\d{2}-\d{2}/[^/]+$", 1)
     name = F.regexp_extract(path, r"([^/]+)\.json$", 1)
-    own = F.col(ENTITY) if ENTITY in files.columns else F.when(name != "", F.url_decode(name))
+    own = F.col(ENTITY) if ENTITY in files.columns else F.when(name != "", F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))))
     write = F.col("write_id") if "write_id" in files.columns else F.lit(None).cast("string")
     return files.select(F.when(source != "", source).alias("source"), own.alias(ENTITY),
                         F.try_to_date(day, "yyyy-MM-dd").alias("ingest_date"), write.alias("write_id"), F.col(body).alias("doc"))
@@ -138,10 +138,13 @@ def ticker_rows(directory: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def _day_glob(ingest_dates: tuple) -> str:
-    lo, hi = ingest_dates
-    days = [(lo + dt.timedelta(days=i)).isoformat() for i in range((hi - lo).days + 1)]
-    return days[0] if len(days) == 1 else "{" + ",".join(days) + "}"
+def _day_glob(days: tuple | list) -> str:
+    """A (first, last) tuple, or a list of days, as a path pattern."""
+    if isinstance(days, tuple):
+        lo, hi = days
+        days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+    names = sorted(d.isoformat() for d in days)
+    return names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
 
 
 def _or_none(read):
@@ -154,8 +157,21 @@ def _or_none(read):
         return None
 
 
-def raw_documents(spark: SparkSession, root: str, source: str, ingest_dates: tuple | None = None) -> DataFrame:
-    """RAW documents of one source, from both layouts; a day range reads only its folders."""
+def document_index(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """(source, entity_id, ingest_date, write_id) of every document of one source, in both layouts.
+    Bodies are not read: of written files two narrow columns, of landed ones the names."""
+    base = root.rstrip("/")
+    written = _or_none(lambda: spark.read.schema(WRITTEN).parquet(f"{base}/source={source}/ingest_date=*"))
+    landed = _or_none(lambda: spark.read.format("binaryFile").load(f"{base}/{source}/*/*.json"))
+    parts = [located(files, body).drop("doc") for files, body in ((written, "doc"), (landed, "path")) if files is not None]
+    if not parts:
+        return literal_rows(spark, [], RAW).drop("doc")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def raw_documents(spark: SparkSession, root: str, source: str, ingest_dates: tuple | list | None = None) -> DataFrame:
+    """RAW documents of one source, from both layouts; a (first, last) range of days, or a list of days,
+    reads only their folders."""
     base = root.rstrip("/")
     days = _day_glob(ingest_dates) if ingest_dates is not None else "*"
     written = _or_none(lambda: spark.read.schema(WRITTEN).parquet(f"{base}/source={source}/ingest_date={days}"))

@@ -6,6 +6,11 @@ the checkpoint records which files were processed, so a restart (or a lost
 executor mid-batch) resumes without reprocessing committed files, and the
 insert-if-absent merge makes a replayed micro-batch harmless.
 
+How files are dealt to micro-batches (``max_files``) changes no row.  A micro-batch says which entities
+have news; loaded are the documents of these entities that are due (``sinks.ledger``): a write that
+bronze already replaces is skipped, and a document of an earlier day that still waits for its micro-batch
+is loaded now, in order.  The ledger of loaded documents lets its own micro-batch pass it over.
+
 ``trigger(availableNow=True)`` processes everything that has arrived and
 stops — the batch-scheduled form.  Without it the same query runs
 continuously.
@@ -17,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from curvelake.jobs import Warehouse, create_tables, load_observation_docs
+from curvelake.session import staged
+from curvelake.sinks import ledger as LG
 from curvelake.sources import bronze as B
 
 
@@ -41,6 +48,21 @@ def observation_doc_stream(spark: SparkSession, bronze_root: str, max_files: int
     return B.located(written, "doc").unionByName(B.located(landed, "value"))
 
 
+def load_due(batch: DataFrame, bronze_root: str, wh: Warehouse, gate_before_append: bool = False) -> None:
+    """Load what is due when the RAW documents of ``batch`` arrive, and enter it into the ledger."""
+    spark, path = batch.sparkSession, wh.path("silver", "_ledger", "observations")
+    with staged(batch.select(*LG.DOCUMENT), "arrived") as arrived:
+        due = LG.due_documents(arrived, B.document_index(spark, bronze_root, "fred"), LG.read_log(spark, path, LG.DOCUMENTS))
+        with staged(due, "due") as due:
+            docs = LG.semi(batch, due, LG.DOCUMENT)
+            waiting = LG.semi(due, arrived, LG.DOCUMENT, "left_anti")
+            days = [r.ingest_date for r in waiting.select("ingest_date").distinct().collect()]   # one row per day
+            if days:
+                docs = docs.unionByName(LG.semi(B.raw_documents(spark, bronze_root, "fred", days), waiting, LG.DOCUMENT))
+            load_observation_docs(spark, B.parse_observation_docs(docs), wh, gate_before_append)
+            due.write.mode("append").parquet(path)
+
+
 def stream_bronze_to_silver(spark: SparkSession, bronze_root: str, wh: Warehouse, checkpoint: str,
                             available_now: bool = True, max_files: int | None = None,
                             gate_before_append: bool = False, archive: str | None = None) -> StreamingQuery:
@@ -52,8 +74,7 @@ def stream_bronze_to_silver(spark: SparkSession, bronze_root: str, wh: Warehouse
     docs = observation_doc_stream(spark, bronze_root, max_files, archive)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        parsed = B.parse_observation_docs(B.latest_writes(batch))
-        load_observation_docs(batch.sparkSession, parsed, wh, gate_before_append)
+        load_due(batch, bronze_root, wh, gate_before_append)
 
     w = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
