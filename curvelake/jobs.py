@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 
 from curvelake import schemas as S
 from curvelake.functions.exprs import literal_rows, strip_leading_zeros
+from curvelake.operators import constraints as C
 from curvelake.operators import merge as M
 from curvelake.operators import quality as Q
 from curvelake.operators import silver as SV
@@ -88,10 +89,12 @@ def companies_config(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 
 def write_config(df: DataFrame, root: str) -> str:
-    """Store a config table as its next version; rows without ``created_at`` get this moment."""
+    """Store a config table as its next version; rows without ``created_at`` get this moment.
+    A version that breaks a declared constraint is never named, so no reader sees it."""
     now = F.current_timestamp()
     made = F.coalesce("created_at", now) if "created_at" in df.columns else now
-    return W.write_versioned(df.withColumn("created_at", made), root)
+    table = root.rstrip("/").rsplit("/", 1)[-1]
+    return W.write_versioned(df.withColumn("created_at", made), root, check=lambda written: C.enforce(written, table))
 
 
 def create_tables(spark: SparkSession, wh: Warehouse, buckets: int | None = None) -> tuple[str, str]:
@@ -203,13 +206,17 @@ def backfill(spark: SparkSession, bronze_root: str, wh: Warehouse, start: dt.dat
                         "date string, source string, entities bigint, entities_seen bigint, silver_rows bigint")
 
 
-def validate(spark: SparkSession, wh: Warehouse, run_id: str) -> DataFrame:
-    """Run the observation suite over the whole silver table, store the
+def validate(spark: SparkSession, wh: Warehouse, run_id: str, table: str = "observations") -> DataFrame:
+    """Run the suite of ``observations`` or ``filings`` over the whole silver table, store the
     results, then gate (raises on failure: downstream stops).  The suite runs once: its few
     result rows are held and reused."""
-    res = Q.run_suite(silver_observations(spark, wh).drop("ingested_at"), Q.observation_suite())
+    if table == "observations":
+        rows, suite, name = silver_observations(spark, wh), Q.observation_suite(), "fred_data_suite"
+    else:
+        rows, suite, name = silver_filings(spark, wh), C.suite(table), "sec_data_suite"
+    res = Q.run_suite(rows.drop("ingested_at"), suite)
     held = literal_rows(spark, [tuple(r) for r in res.collect()], res.schema)
-    W.write_validation_results(held, wh.path("quality", "results"), "fred_data_suite", run_id)
+    W.write_validation_results(held, wh.path("quality", "results"), name, run_id)
     return Q.gate(held)
 
 
@@ -219,6 +226,7 @@ def compact(spark: SparkSession, wh: Warehouse) -> None:
     lay = layout(spark, wh.root)
     compact_bucketed(spark, obs, wh.observations, "series_id", lay.observation_buckets, ["series_id", "observation_date"])
     compact_bucketed(spark, fil, wh.filings, "accession_number", lay.filing_buckets, ["accession_number"])
+    create_tables(spark, wh)
 
 
 def change_config(spark: SparkSession, wh: Warehouse, action: str, table: str = "series", directory: str | None = None,
@@ -243,8 +251,7 @@ def change_config(spark: SparkSession, wh: Warehouse, action: str, table: str =
         new = M.set_flag(now, "is_active", flag) if ids is None else M.set_flag_where_in(now, "is_active", flag, column, ids)
     elif action == "add":
         names = [f.name for f in schema.fields][:3]
-        new = M.insert_rows(now, literal_rows(spark, [tuple(row)], ", ".join(f"{n} string" for n in names)), names[:1],
-                            {"is_active": F.lit(True)})
+        new = SV.insert_config_rows(now, literal_rows(spark, [tuple(row)], ", ".join(f"{n} string" for n in names)), table)
     else:
         return now
     write_config(new, root)

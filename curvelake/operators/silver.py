@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from curvelake import schemas as S
 from curvelake.functions import exprs as X
+from curvelake.operators import constraints as C
 from curvelake.operators import merge as M
 from curvelake.sources import bronze as B
 
@@ -42,10 +43,6 @@ def filter_missing_marker(rows: DataFrame) -> DataFrame:
     return rows.where(v.isNull() | (v != S.MISSING_MARKER))
 
 
-def _too_long(table: str, column: str, of: str | None = None):
-    return F.length(of or column) > S.MAX_LENGTHS[table][column]
-
-
 def typing_observations(rows: DataFrame) -> DataFrame:
     """String rows -> typed rows with a ``reject_reason`` (NULL when good)."""
     r = filter_missing_marker(rows)
@@ -55,9 +52,10 @@ def typing_observations(rows: DataFrame) -> DataFrame:
                  F.col("date").alias("raw_date"), F.col("value").alias("raw_value"))
     reason = (F.when(F.col("pos").isNull(), F.lit("no observations"))
               .when(F.col("series_id").isNull() | (F.col("series_id") == ""), F.lit("no series id"))
-              .when(_too_long("observations", "series_id"), F.lit("series id too long"))
+              .when(C.broken_row("observations", ("VARCHAR",)).isNotNull(), F.lit("series id too long"))
               .when(F.col("observation_date").isNull(), F.lit("bad date"))
-              .when(F.col("value").isNull(), F.lit("bad value")))
+              .when(F.col("value").isNull(), F.lit("bad value"))
+              .otherwise(C.broken_row("observations")))
     return t.withColumn("reject_reason", reason)
 
 
@@ -112,12 +110,12 @@ def typing_filings(rows: DataFrame) -> DataFrame:
                     X.to_iso_date("filing_date_str").alias("filing_date"),
                     "filing_date_str", "complete", "ingest_date", "doc_id", "pos")
     missing = F.col("accession_number").isNull() | (F.col("accession_number") == "")
-    long = [_too_long("filings", c) for c in ("accession_number", "cik", "company_name", "filing_type")]
     reason = (F.when(F.col("pos").isNull(), F.lit("no filings"))
               .when(missing, F.lit("no accession number"))
-              .when(F.coalesce(long[0] | long[1] | long[2] | long[3], F.lit(False)), F.lit("value too long"))
+              .when(C.broken_row("filings", ("VARCHAR",)).isNotNull(), F.lit("value too long"))
               .when(~F.col("complete"), F.lit("unequal arrays"))
-              .when(F.col("filing_date_str").isNotNull() & F.col("filing_date").isNull(), F.lit("bad date")))
+              .when(F.col("filing_date_str").isNotNull() & F.col("filing_date").isNull(), F.lit("bad date"))
+              .otherwise(C.broken_row("filings")))
     return t.withColumn("reject_reason", reason)
 
 
@@ -163,16 +161,24 @@ def company_updates(directory_rows: DataFrame) -> DataFrame:
 
 
 def upsert_companies(companies: DataFrame, directory_rows: DataFrame) -> DataFrame:
-    """Insert new companies (active by default), update ticker and name of known ones."""
-    return M.upsert(companies, company_updates(directory_rows), S.COMPANIES_KEY, ["ticker", "name"],
-                    defaults=_new_row(companies))
+    """Insert new companies (active by default), update ticker and name of known ones; a row that
+    breaks a declared constraint is an error."""
+    return C.guarded(M.upsert(companies, company_updates(directory_rows), S.COMPANIES_KEY, ["ticker", "name"],
+                              defaults=_new_row(companies)), "companies")
 
 
 def upsert_series(series: DataFrame, updates: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Insert or update name and category per series id; the last row by ``order`` (columns
-    of ``updates``) wins, and without an order an id must not come twice."""
+    of ``updates``) wins, and without an order an id must not come twice; a row that breaks a
+    declared constraint is an error."""
     u = updates.select("series_id", "name", "category", *(order or []))
-    return M.upsert(series, u, S.SERIES_KEY, ["name", "category"], defaults=_new_row(series), order=order)
+    return C.guarded(M.upsert(series, u, S.SERIES_KEY, ["name", "category"], defaults=_new_row(series), order=order), "series")
+
+
+def insert_config_rows(config: DataFrame, rows: DataFrame, table: str) -> DataFrame:
+    """Plain INSERT into a config table (active by default); a key that is there, or a row that breaks a
+    declared constraint, is an error."""
+    return C.guarded(M.insert_rows(config, rows, S.TABLES[table][1], _new_row(config)), table)
 
 
 def _new_row(table: DataFrame) -> dict:

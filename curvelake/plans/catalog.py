@@ -18,6 +18,7 @@ from curvelake.functions.exprs import literal_rows
 from curvelake import jobs
 from curvelake.jobs import Warehouse
 from curvelake.operators import aggregates as A
+from curvelake.operators import constraints as C
 from curvelake.operators import gold
 from curvelake.operators import merge as M
 from curvelake.operators import quality as Q
@@ -448,7 +449,44 @@ NEW_COMPANY = ("9999999999", "NEWCO", "New Company Inc.")
 @register("insert_config_row")
 def _q(spark, d):
     row = literal_rows(spark, [NEW_COMPANY], "cik string, ticker string, name string")
-    return M.insert_rows(T.companies(spark, d), row, S.COMPANIES_KEY, {"is_active": F.lit(True)})
+    return SV.insert_config_rows(T.companies(spark, d), row, "companies")
+
+
+def _with_violations(spark, d) -> dict[str, DataFrame]:
+    """The four tables with a violation of each kind, at dates and keys that the data has."""
+    o, f, c = T.observations(spark, d), T.filings(spark, d), T.companies(spark, d)
+    day, order, n = F.dayofmonth("observation_date"), F.dayofmonth("filing_date"), F.col("cik").cast("bigint")
+    series = T.table(spark, d, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("series_id"),
+                                              F.col("p_name").alias("name"), F.col("p_brand").alias("category"), F.lit(True).alias("is_active"))
+    p = F.substring("series_id", 2, 20).cast("bigint")
+    wide = lambda column, length: F.lpad(column, length, "0")
+    return {
+        "observations": o.withColumn("series_id", F.when(day == 1, F.lit(None)).when(day == 2, wide("series_id", 21)).otherwise(F.col("series_id")))
+        .unionByName(o.where(day == 4)).withColumn("observation_date", F.when(day == 3, F.lit(None)).otherwise(F.col("observation_date"))),
+        "filings": f.withColumns({
+            "cik": F.when(order == 1, F.lit(None)).when(order == 2, wide("cik", 11)).otherwise(F.col("cik")),
+            "filing_type": F.when(order == 3, wide("filing_type", 21)).otherwise(F.col("filing_type")),
+            "company_name": F.when(order == 5, wide("company_name", 256)).otherwise(F.col("company_name")),
+            "accession_number": F.when(order == 6, wide("accession_number", 26)).when(order == 7, F.lit(None)).otherwise(F.col("accession_number"))})
+        .unionByName(f.where(order == 4)),
+        "series": series.withColumns({
+            "name": F.when(p % 7 == 1, F.lit(None)).when(p % 7 == 2, wide("name", 101)).otherwise(F.col("name")),
+            "category": F.when(p % 7 == 3, F.lit(None)).when(p % 7 == 4, wide("category", 51)).otherwise(F.col("category")),
+            "series_id": F.when(p % 7 == 5, F.lit(None)).when(p % 7 == 6, wide("series_id", 21)).otherwise(F.col("series_id"))})
+        .unionByName(series.where(p % 7 == 0)),
+        "companies": c.withColumns({
+            "ticker": F.when(n % 7 == 1, F.lit(None)).when(n % 7 == 2, wide("ticker", 11)).otherwise(F.col("ticker")),
+            "name": F.when(n % 7 == 3, F.lit(None)).when(n % 7 == 4, wide("name", 256)).otherwise(F.col("name")),
+            "cik": F.when(n % 7 == 5, F.lit(None)).when(n % 7 == 6, wide("cik", 11)).otherwise(F.col("cik"))})
+        .unionByName(c.where(n % 7 == 0)),
+    }
+
+
+@register("ddl_constraints")
+def _q(spark, d):
+    """Violations of every declared constraint of the four tables, one pass over each."""
+    parts = [C.check(df, table).select(F.lit(table).alias("table_name"), "*") for table, df in _with_violations(spark, d).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 # --- 2.K data quality -------------------------------------------------------

@@ -111,7 +111,7 @@ COMPANIES = T.StructType([
 ])
 COMPANIES_KEY = ["cik"]
 
-# Declared VARCHAR lengths, enforced by the loads (a longer value is a reject).
+# Declared VARCHAR lengths; see operators.constraints for how they are kept.
 MAX_LENGTHS = {
     "observations": {"series_id": 20},
     "filings": {"accession_number": 25, "cik": 10, "company_name": 255, "filing_type": 20},
@@ -119,6 +119,14 @@ MAX_LENGTHS = {
     "companies": {"cik": 10, "ticker": 10, "name": 255},
 }
 
+#: table -> (columns, key): what operators.constraints compiles
+TABLES = {
+    "observations": (OBSERVATIONS, OBSERVATIONS_KEY),
+    "filings": (FILINGS, FILINGS_KEY),
+    "series": (SERIES, SERIES_KEY),
+    "companies": (COMPANIES, COMPANIES_KEY),
+}
+
 # --- bronze documents -------------------------------------------------------
 
 OBSERVATION_DOC = T.StructType([

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake.functions.exprs import literal_rows
-from curvelake.session import BUCKETS, MAX_BUCKETS
+from curvelake.session import BUCKETS, MAX_BUCKETS, setting
+from curvelake.sinks.writers import time_id
 
 
 @dataclass(frozen=True)
@@ -60,29 +61,61 @@ def table_names(root: str) -> tuple[str, str]:
     return f"silver_treasury_yields_{h}", f"silver_sec_filings_{h}"
 
 
+def _fs(spark: SparkSession, path: str):
+    """A path of the Hadoop file system, and that file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    path, fs = _fs(spark, folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+
+def _split(path: str) -> tuple[str, str]:
+    return tuple(path.rstrip("/").rsplit("/", 1))
+
+
+def generations(spark: SparkSession, path: str) -> list[str]:
+    """Folders that hold, or held, the table of the folder ``path``: that folder first, the current last."""
+    parent, table = _split(path)
+    marks = [n for n in _names(spark, f"{parent}/_generations") if n.startswith(f"{table}-g")]
+    return [path.rstrip("/"), *[f"{parent}/{n}" for n in marks]]
+
+
+def name_generation(spark: SparkSession, folder: str) -> None:
+    """Make ``folder`` the current generation of its table."""
+    parent, name = _split(folder)
+    path, fs = _fs(spark, f"{parent}/_generations/{name}")
+    fs.create(path, False).close()
+
+
+def _declare(spark: SparkSession, name: str, columns: str, cluster: str, sort: str, buckets: int, location: str) -> None:
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet
+                  CLUSTERED BY ({cluster}) SORTED BY ({sort}) INTO {buckets} BUCKETS LOCATION '{location}'""")
+
+
+_OBSERVATIONS = ("observation_date DATE, series_id STRING, value DECIMAL(10,4), ingested_at TIMESTAMP",
+                 "series_id", "series_id, observation_date")
+_FILINGS = ("accession_number STRING, cik STRING, company_name STRING, filing_type STRING, filing_date DATE, ingested_at TIMESTAMP",
+            "accession_number", "accession_number")
+
+
 def register_silver(spark: SparkSession, root: str, obs_path: str, fil_path: str,
                     buckets: int | None = None) -> tuple[str, str]:
-    """``CREATE TABLE IF NOT EXISTS`` for both silver tables; returns their names."""
+    """``CREATE TABLE IF NOT EXISTS`` for both silver tables over their current generations; returns
+    their names."""
     lay = layout(spark, root, buckets)
-    obs, fil = table_names(root)
-    spark.sql(f"""
-        CREATE TABLE IF NOT EXISTS {obs} (
-            observation_date DATE, series_id STRING, value DECIMAL(10,4), ingested_at TIMESTAMP)
-        USING parquet
-        CLUSTERED BY (series_id) SORTED BY (series_id, observation_date)
-        INTO {lay.observation_buckets} BUCKETS
-        LOCATION '{obs_path}'""")
-    spark.sql(f"""
-        CREATE TABLE IF NOT EXISTS {fil} (
-            accession_number STRING, cik STRING, company_name STRING, filing_type STRING,
-            filing_date DATE, ingested_at TIMESTAMP)
-        USING parquet
-        CLUSTERED BY (accession_number) SORTED BY (accession_number)
-        INTO {lay.filing_buckets} BUCKETS
-        LOCATION '{fil_path}'""")
-    for t in (obs, fil):  # another session may have written since this one listed the files
-        spark.catalog.refreshTable(t)
-    return obs, fil
+    names = table_names(root)
+    for name, spec, n, path in zip(names, (_OBSERVATIONS, _FILINGS), (lay.observation_buckets, lay.filing_buckets),
+                                   (obs_path, fil_path), strict=True):
+        known = generations(spark, path)
+        _declare(spark, name, *spec, n, known[-1])
+        if len(known) > 1:  # compacted, perhaps since the table was declared
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{known[-1]}'")
+        spark.catalog.refreshTable(name)  # another session may have written since this one listed the files
+    return names
 
 
 def append_bucketed(rows: DataFrame, table: str, bucket_col: str, buckets: int,
@@ -102,17 +135,40 @@ def append_bucketed(rows: DataFrame, table: str, bucket_col: str, buckets: int,
 
 def compact_bucketed(spark: SparkSession, table: str, path: str, bucket_col: str, buckets: int,
                      sort_cols: list[str]) -> None:
-    """Rewrite a bucketed table so that each bucket is one sorted file again (every append adds
+    """Write a bucketed table once more so that each bucket is one sorted file again (every append adds
     up to one file per bucket).  Run it when no load writes.
 
-    The rows are staged first, and the table is overwritten from the stage, which is removed
-    only after success: a failure in between leaves the stage to read from."""
+    The new generation is a table of its own until its rows are counted; naming it is one file.  The
+    generation before stays for readers that still hold it; older ones, and what failed compactions
+    left, are removed."""
     spark.catalog.refreshTable(table)
-    stage = f"{path.rstrip('/')}-compact-{uuid.uuid4().hex[:12]}"
+    known = generations(spark, path)
+    parent, name = _split(path)
+    folder = f"{parent}/{name}-g{time_id()}"
+    build = f"{table}_{uuid.uuid4().hex[:12]}"
     source = spark.table(table)
-    source.write.parquet(stage)
-    rows = spark.read.schema(source.schema).parquet(stage)
-    rows.repartition(buckets, F.col(bucket_col)).sortWithinPartitions(*sort_cols).write.insertInto(table, overwrite=True)
+    _declare(spark, build, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields),
+             bucket_col, ", ".join(sort_cols), buckets, folder)
+    try:
+        # the scan reads bucket by bucket, so rows need no shuffle to their bucket
+        with setting(spark, "spark.sql.sources.bucketing.autoBucketedScan.enabled", "false"):
+            written = append_bucketed(source, build, bucket_col, buckets, sort_cols)
+    finally:
+        spark.sql(f"DROP TABLE {build}")  # the files stay: its location was given
+    if written != source.count() or written != spark.read.schema(source.schema).parquet(folder).count():
+        raise RuntimeError(f"{folder} does not hold the rows of {table}; it stays unused")
+    name_generation(spark, folder)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
     spark.catalog.refreshTable(table)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    keep = {known[-1], folder}
+    old = [g for g in known if g not in keep]
+    left = [f"{parent}/{n}" for n in _names(spark, parent) if n.startswith(f"{name}-g")]
+    for g in dict.fromkeys([*old, *left]):
+        if g not in keep:
+            _delete(spark, g)
+            _delete(spark, f"{parent}/_generations/{_split(g)[1]}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -76,12 +77,15 @@ def read_versioned(spark: SparkSession, root: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{v}")
 
 
-def write_versioned(df: DataFrame, root: str) -> str:
+def write_versioned(df: DataFrame, root: str, check: Callable[[DataFrame], None] | None = None) -> str:
     """Write ``df`` as a new version, then name it; returns the version.  A reader sees the
-    version before or the new one, never neither."""
+    version before or the new one, never neither.  ``check`` gets the rows as written; if it raises,
+    the version stays without a name."""
     spark = df.sparkSession
     v = "v" + time_id()
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{v}")
+    if check is not None:
+        check(spark.read.schema(df.schema).parquet(f"{root.rstrip('/')}/{v}"))
     literal_rows(spark, [(v,)], "v string").coalesce(1).write.mode("append").parquet(_versions(root))
     return v
 

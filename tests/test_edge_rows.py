@@ -107,8 +107,10 @@ def test_two_tickers_one_cik_last_wins_flag_untouched(spark):
 def test_upsert_writes_source_nulls(spark):
     target = spark.createDataFrame([("DGS10", "10y", "treasury", True)], S.SERIES)
     src = spark.createDataFrame([("DGS10", None, "rates")], "series_id string, name string, category string")
-    r = SV.upsert_series(target, src).collect()[0]
+    r = M.upsert(target, src, S.SERIES_KEY, ["name", "category"]).collect()[0]
     assert (r.name, r.category, r.is_active) == (None, "rates", True)
+    with pytest.raises(Exception, match="NOT NULL"):    # the config table declares its name NOT NULL
+        SV.upsert_series(target, src).collect()
 
 
 def test_upsert_source_with_a_key_twice(spark):
