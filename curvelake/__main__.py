@@ -6,6 +6,7 @@
     validate  --warehouse W [--run-id ID]          (raises when the suite fails)
     stream    --bronze B --warehouse W --checkpoint C [--continuous]
     gold      --warehouse W --out O                (writes the five gold datasets)
+    refresh   --warehouse W [--out O]              (brings stored gold up to what silver gained; writes the datasets)
     compact   --warehouse W                        (one file per bucket again; no load may run)
     sql       --warehouse W "SELECT * FROM gold.daily_snapshot"
     config    --warehouse W seed                   (the tracked series; known ones keep their state)
@@ -60,6 +61,9 @@ def main(argv: list[str] | None = None) -> None:
     g = sub.add_parser("gold")
     g.add_argument("--warehouse", required=True)
     g.add_argument("--out", required=True)
+    r = sub.add_parser("refresh")
+    r.add_argument("--warehouse", required=True)
+    r.add_argument("--out", default=None)
     sub.add_parser("compact").add_argument("--warehouse", required=True)
     q = sub.add_parser("sql")
     q.add_argument("--warehouse", required=True)
@@ -98,6 +102,12 @@ def main(argv: list[str] | None = None) -> None:
                          "credit_stress": gold.credit_stress(obs), "daily_snapshot": gold.daily_snapshot(obs),
                          "company_filings_summary": gold.filings_summary(fil, comp)}.items():
             df.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
+    elif a.cmd == "refresh":
+        from curvelake.sinks import gold_store
+
+        gold_store.refresh(spark, wh)
+        for name in gold_store.DATASETS if a.out else ():
+            gold_store.dataset(spark, wh, name).write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
     elif a.cmd == "compact":
         jobs.compact(spark, wh)
     elif a.cmd == "sql":

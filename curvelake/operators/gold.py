@@ -29,7 +29,11 @@ def pivot_series(obs: DataFrame, mapping: dict[str, str], key: str = "observatio
 
 def yield_curve(obs: DataFrame) -> DataFrame:
     """2y / 10y / 30y yields and the 2s10s spread for every date in ``obs``."""
-    p = pivot_series(obs, S.YIELD_CURVE_TENORS)
+    return finish_yield_curve(pivot_series(obs, S.YIELD_CURVE_TENORS))
+
+
+def finish_yield_curve(p: DataFrame) -> DataFrame:
+    """The dataset from its pivoted columns (as for the other ``finish`` functions)."""
     return p.select("observation_date", "yield_2y", "yield_10y", "yield_30y",
                     (F.col("yield_10y") - F.col("yield_2y")).alias("spread_2s10s"))
 
@@ -37,7 +41,10 @@ def yield_curve(obs: DataFrame) -> DataFrame:
 def full_yield_curve(obs: DataFrame) -> DataFrame:
     """Ten treasury tenors plus 2s10s and 3m10y spreads; treasury rows only."""
     t = obs.where(F.col("series_id").startswith(S.TREASURY_PREFIX))
-    p = pivot_series(t, S.FULL_CURVE_TENORS)
+    return finish_full_curve(pivot_series(t, S.FULL_CURVE_TENORS))
+
+
+def finish_full_curve(p: DataFrame) -> DataFrame:
     return p.select("observation_date", *S.FULL_CURVE_TENORS.keys(),
                     (F.col("yield_10y") - F.col("yield_2y")).alias("spread_2s10s"),
                     (F.col("yield_10y") - F.col("yield_3m")).alias("spread_3m10y"))
@@ -45,7 +52,10 @@ def full_yield_curve(obs: DataFrame) -> DataFrame:
 
 def credit_stress(obs: DataFrame) -> DataFrame:
     """Four stress legs and the combined score, for every date in ``obs``."""
-    p = pivot_series(obs, S.STRESS_LEGS)
+    return finish_stress(pivot_series(obs, S.STRESS_LEGS))
+
+
+def finish_stress(p: DataFrame) -> DataFrame:
     return p.select("observation_date", *S.STRESS_LEGS.keys(),
                     X.stress_score("hy_spread", "vix").alias("stress_score"))
 
@@ -58,12 +68,16 @@ def daily_snapshot(obs: DataFrame) -> DataFrame:
     for every date, so the left join never misses and the legs can be taken
     from the same grouped pass.  One scan, one shuffle.
     """
-    cols = {"yield_2y": "DGS2", "yield_10y": "DGS10",
-            "hy_spread": S.STRESS_LEGS["hy_spread"], "vix": S.STRESS_LEGS["vix"]}
-    p = (obs.groupBy("observation_date")
-         .agg(*pivot_columns(cols),
-              F.bool_or(F.col("series_id").startswith(S.TREASURY_PREFIX)).alias("_treasury"))
-         .where(F.col("_treasury")))
+    return finish_snapshot(obs.groupBy("observation_date").agg(
+        *pivot_columns(SNAPSHOT_COLUMNS), F.bool_or(F.col("series_id").startswith(S.TREASURY_PREFIX)).alias("_treasury"))
+        .where(F.col("_treasury")))
+
+
+SNAPSHOT_COLUMNS = {"yield_2y": S.FULL_CURVE_TENORS["yield_2y"], "yield_10y": S.FULL_CURVE_TENORS["yield_10y"],
+                    "hy_spread": S.STRESS_LEGS["hy_spread"], "vix": S.STRESS_LEGS["vix"]}
+
+
+def finish_snapshot(p: DataFrame) -> DataFrame:
     spread = F.col("yield_10y") - F.col("yield_2y")
     score = X.stress_score("hy_spread", "vix")
     return p.select(
@@ -94,7 +108,11 @@ def filings_summary(fil: DataFrame, comp: DataFrame) -> DataFrame:
     cik.  Grouping by the padded cik after the join gives the same groups,
     because a cik matches at most one company (cik is the company key).
     """
-    per_cik = fil.groupBy("cik").agg(
+    return finish_filings(filings_per_cik(fil), comp)
+
+
+def filings_per_cik(fil: DataFrame) -> DataFrame:
+    return fil.groupBy("cik").agg(
         F.count(F.lit(1)).alias("total_filings"),
         F.count_if(F.col("filing_type") == S.FORM_ANNUAL).alias("annual_reports"),
         F.count_if(F.col("filing_type") == S.FORM_QUARTERLY).alias("quarterly_reports"),
@@ -102,6 +120,9 @@ def filings_summary(fil: DataFrame, comp: DataFrame) -> DataFrame:
         F.min("filing_date").alias("earliest_filing"),
         F.max("filing_date").alias("latest_filing"),
     )
+
+
+def finish_filings(per_cik: DataFrame, comp: DataFrame) -> DataFrame:
     c = comp.select(F.col("cik").alias("_c_cik"), "ticker", F.col("name").alias("company_name"))
     j = per_cik.join(c, X.strip_leading_zeros(per_cik["cik"]) == c["_c_cik"], "inner")
     return j.select("ticker", "company_name", "cik", "total_filings", "annual_reports",

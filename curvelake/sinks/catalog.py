@@ -129,7 +129,9 @@ def append_bucketed(rows: DataFrame, table: str, bucket_col: str, buckets: int,
     cols = [f.name for f in spark.table(table).schema.fields]
     obs = Observation(f"append-{uuid.uuid4().hex[:12]}")
     out = rows.repartition(buckets, F.col(bucket_col)).sortWithinPartitions(*sort_cols).select(*cols)
-    out.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
+    # with statistics in the files, unlike Spark's default, a filter on ingested_at skips older loads
+    with setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
+        out.observe(obs, F.count(F.lit(1)).alias("rows")).write.insertInto(table)
     return int(obs.get.get("rows", 0) or 0)
 
 
