@@ -40,7 +40,7 @@ from curvelake.llm.common import run_folder, worker_cache
 
 END_ID = 2
 NULL_ID = -(1 << 63)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 750_000
 #: Word-wise encoding is the same as encoding whole texts for these parts of a tokenizer.
 _SAFE_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 
@@ -60,15 +60,16 @@ def word_safe(spec: dict) -> bool:
                         for t in spec.get("added_tokens", [])))
 
 
-def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """texts -> ids, by the tokenizers library without special tokens added; a worker keeps it."""
+def encoder(path: str, dtype: str = "<u4") -> Callable[[list[str]], list[bytes]]:
+    """texts -> their ids as ``dtype``, by the tokenizers library without special tokens added; a worker
+    keeps it."""
     kept = worker_cache("encoders")
-    if path not in kept:
-        kept[path] = _encoder(path)
-    return kept[path]
+    if (path, dtype) not in kept:
+        kept[path, dtype] = _encoder(path, dtype)
+    return kept[path, dtype]
 
 
-def _encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
+def _encoder(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -77,30 +78,38 @@ def _encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     tok.no_padding()
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    if not word_safe(spec):
-        return lambda texts: [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-    kept: dict[str, dict] = {}
-    direct = _direct(tok, spec)
 
-    def run(texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for i in range(0, len(texts), 64):
-            split = [t.encode().split() for t in texts[i:i + 64]]
-            known, before = kept.setdefault("now", {}), kept.get("before", {})
-            hard = []
-            for w in {w for words in split for w in words if w not in known}:
-                ids = before.get(w) or direct(w, known, before)
-                if ids is None:
-                    hard.append(w)
-                else:
-                    known[w] = ids
-            ids = tok.encode_batch_fast([w.decode() for w in hard], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(hard, ids, strict=True))
-            out += [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
-            if len(known) > CACHE_WORDS:  # what was not seen since the last time goes
-                kept["before"], kept["now"] = known, {}
+    def library(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype).tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    if not word_safe(spec):
+        return library
+    direct = _direct(tok, spec, np.dtype(dtype).itemsize)
+
+    def run(texts: list[str]) -> list[bytes]:
+        nonlocal known
+        out = [b"".join(map(known.__getitem__, t.encode().split())) for t in texts]
+        if len(known) > CACHE_WORDS:  # what was not seen since the last time goes
+            known.before = {}
+            known = _Words(known)
         return out
 
+    class _Words(dict):
+        """Ids of words, found when first asked for; ``before`` are those of the time before."""
+
+        def __init__(self, before: dict | None = None):
+            self.before = before or {}
+
+        def __missing__(self, word: bytes) -> bytes:
+            ids = self.before.get(word)
+            if ids is None:
+                ids = direct(word, self, self.before)
+            if ids is None:
+                ids = library([word.decode()])[0]
+            self[word] = ids
+            return ids
+
+    known = _Words()
     return run
 
 
@@ -109,8 +118,8 @@ _PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
 
 
-def _direct(tok, spec: dict) -> Callable[[bytes, dict, dict], bytes | None]:
-    """Ids of a word of Latin letters with symbols after them, by the tokenizer's model alone,
+def _direct(tok, spec: dict, size: int) -> Callable[[bytes, dict, dict], bytes | None]:
+    """Ids (of ``size`` bytes) of a word of Latin letters with symbols after them, by the tokenizer's model alone,
     each part once (``known`` and ``before`` are looked up, ``known`` is added to); None for any
     other word, or if the tokenizer isn't of the kind this holds for."""
     pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -137,7 +146,7 @@ def _direct(tok, spec: dict) -> Callable[[bytes, dict, dict], bytes | None]:
                 ids = known.get(key) or before.get(key)
                 if ids is None:
                     string = part if len(key) == len(part) else "".join([octets[b] for b in key])
-                    ids = known[key] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(string)])
+                    ids = known[key] = b"".join([t.id.to_bytes(size, "little") for t in tokenize(string)])
                 out.append(ids)
         return out[0] if len(out) == 1 else b"".join(out)
 
@@ -185,11 +194,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END
         outs = [store.open_output_stream(n + mine) for n in names]
         end = np.array([end_id], dtype).tobytes()
         for b in batches:
-            encode = encode or encoder(tokenizer)
-            texts, lengths = b.column(1).to_pylist(), []
-            for ids in encode(texts):
-                outs[0].write(ids.astype(dtype).tobytes() + end)
-                lengths.append(len(ids) + 1)
+            encode = encode or encoder(tokenizer, dtype)
+            texts = b.column(1).to_pylist()
+            ids = encode(texts)
+            outs[0].write(b"".join([x for one in ids for x in (one, end)]))
+            lengths = [len(one) // len(end) + 1 for one in ids]
             outs[1].write(np.array([NULL_ID if d is None else d for d in b.column(0).to_pylist()], "<i8").tobytes())
             outs[2].write(np.array(lengths, "<i8").tobytes())
             n_docs, n_tokens = n_docs + len(texts), n_tokens + sum(lengths)
