@@ -161,18 +161,26 @@ g AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS k
 again AS (SELECT doc_id, COUNT(DISTINCT p) AS n FROM (
             SELECT doc_id, unnest(range(i, i + 5)) AS p FROM (
               SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, k) AS c FROM g) s WHERE c > 1) s GROUP BY doc_id),
-raw AS (SELECT doc_id, host, line, regexp_extract_all(line, '[^ 	-
+raw AS (SELECT doc_id, host, tkey, line, regexp_extract_all(line, '[^ 	-
 ]+') AS lw
-        FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL) s),
+        FROM (SELECT doc_id, host, md5(text) AS tkey, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL) s),
 dup AS (SELECT doc_id, COUNT(*) - COUNT(DISTINCT line) AS n FROM raw WHERE len(lw) > 0 GROUP BY doc_id),
-line AS (SELECT doc_id, host, SUM(len(lw)) AS words,
+line AS (SELECT doc_id, host, tkey, SUM(len(lw)) AS words,
                 md5(translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000')) AS h
          FROM raw WHERE len(lw) > 0 GROUP BY ALL),
-near AS (SELECT *, CASE WHEN h = MIN(h) OVER own THEN nth_value(h, 2) OVER own ELSE MIN(h) OVER own END AS around
+-- first count: distinct texts of the host that have the line
+hosts AS (SELECT host, greatest(20.0, 0.02::DOUBLE * COUNT(DISTINCT coalesce(md5(text), ''))) AS most FROM d GROUP BY host),
+common AS (SELECT line.host, h FROM line JOIN hosts ON hosts.host IS NOT DISTINCT FROM line.host
+           GROUP BY line.host, h, most HAVING COUNT(DISTINCT tkey) > most),
+near AS (SELECT *, CASE WHEN h = MIN(h) OVER own THEN nth_value(h, 2) OVER own ELSE MIN(h) OVER own END AS around,
+                EXISTS (SELECT 1 FROM common WHERE common.h = line.h AND common.host IS NOT DISTINCT FROM line.host) AS shared
          FROM line WINDOW own AS (PARTITION BY doc_id ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-often AS (SELECT host, h FROM near GROUP BY host, h
-          HAVING COUNT(DISTINCT coalesce(around, '')) > greatest(20.0, 0.02::DOUBLE * (
-            SELECT COUNT(DISTINCT coalesce(text, chr(0))) FROM d WHERE d.host IS NOT DISTINCT FROM near.host))),
+-- second count: documents with the same lines of their own count once; without any, by the smallest other line
+own AS (SELECT doc_id, string_agg(h, ' ' ORDER BY h) AS lines FROM near WHERE NOT shared GROUP BY doc_id),
+seen AS (SELECT DISTINCT host, h, lines IS NOT NULL AS has_own, coalesce(lines, around, '') AS key
+         FROM near LEFT JOIN own USING (doc_id) WHERE shared),
+often AS (SELECT seen.host, h FROM seen JOIN hosts ON hosts.host IS NOT DISTINCT FROM seen.host
+          GROUP BY seen.host, h, most HAVING COUNT(*) > most),
 lost AS (SELECT doc_id, SUM(words) AS n FROM line WHERE EXISTS (
            SELECT 1 FROM often WHERE often.h = line.h AND often.host IS NOT DISTINCT FROM line.host) GROUP BY doc_id),
 m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
