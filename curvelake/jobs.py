@@ -71,6 +71,9 @@ SILVER_FIL = T.StructType(S.FILINGS.fields + [T.StructField("ingested_at", T.Tim
 SERIES_CONFIG = T.StructType([*S.SERIES.fields, S.CREATED_AT])
 COMPANIES_CONFIG = T.StructType([*S.COMPANIES.fields, S.CREATED_AT])
 
+#: unexpected values that a stored validation result keeps of each rule
+EXAMPLES = 20
+
 #: With a join on (date, series) this lets silver's bucketing by series alone serve as its
 #: partitioning; a series is bounded by its dates.  Held only while a load runs.
 _CO_PARTITION = ("spark.sql.requireAllClusterKeysForCoPartition", "false")
@@ -214,7 +217,7 @@ def validate(spark: SparkSession, wh: Warehouse, run_id: str, table: str = "obse
         rows, suite, name = silver_observations(spark, wh), Q.observation_suite(), "fred_data_suite"
     else:
         rows, suite, name = silver_filings(spark, wh), C.suite(table), "sec_data_suite"
-    res = Q.run_suite(rows.drop("ingested_at"), suite)
+    res = Q.run_suite(rows.drop("ingested_at"), suite, samples=EXAMPLES)
     held = literal_rows(spark, [tuple(r) for r in res.collect()], res.schema)
     W.write_validation_results(held, wh.path("quality", "results"), name, run_id)
     return Q.gate(held)

@@ -9,6 +9,11 @@ rules (not-null, regex, max length) are counted inside the grouped aggregate
 that key uniqueness needs anyway (partial + final, so a hot key is combined
 map-side), then summed.  Column existence is read from the schema (no job).
 The gate collects only the result rows (one per rule) and raises.
+
+With ``samples`` every row also carries that many unexpected values, from the same pass and from
+buffers of fixed size: a top-k sketch of at most TRACKED values per rule, and, for when too many values
+are equally rare, the least value of each of SLOTS hash slots.  A bad value that a third of all rows
+hold, or a million different ones, take no more room.
 """
 
 from __future__ import annotations
@@ -21,6 +26,11 @@ from pyspark.sql import functions as F
 from curvelake import schemas as S
 
 
+#: unexpected values that the sketch of a rule tracks, and those that it hands on
+TRACKED, HANDED = 10_000, 1_000
+SLOTS = 20
+
+
 @dataclass(frozen=True)
 class Expectation:
     kind: str                     # column_exists | not_null | match_regex | max_length | unique_key
@@ -63,24 +73,42 @@ def observation_suite() -> list[Expectation]:
     ]
 
 
-def _row(e: Expectation, total: Column, unexpected: Column, denom: Column) -> Column:
+def _row(e: Expectation, total: Column, unexpected: Column, denom: Column, values: Column | None = None) -> Column:
     pct = F.try_divide(unexpected.cast("double") * F.lit(100.0), denom.cast("double"))
     return F.struct(F.lit(e.kind).alias("expectation"), F.lit(e.column).alias("column"),
                     total.cast("bigint").alias("element_count"),
                     unexpected.cast("bigint").alias("unexpected_count"),
                     F.coalesce(pct, F.lit(0.0)).alias("unexpected_percent"),
-                    (F.coalesce(unexpected, F.lit(0)) == 0).alias("success"))
+                    (F.coalesce(unexpected, F.lit(0)) == 0).alias("success"),
+                    *([values.alias("unexpected_values")] if values is not None else []))
+
+
+def _kept_values(i: int) -> list[Column]:
+    """Buffers for the values in column ``_v<i>`` of the rows where ``_b<i>`` holds."""
+    slots = [F.min(F.when(F.col(f"_s{i}") == n, F.col(f"_v{i}"))) for n in range(SLOTS)]
+    return [F.expr(f"approx_top_k(_v{i}, {HANDED}, {TRACKED}) FILTER (WHERE _b{i})").alias(f"_t{i}"), F.array(*slots).alias(f"_m{i}")]
 
 
-def run_suite(df: DataFrame, rules: list[Expectation]) -> DataFrame:
+def _shown(i: int, value: Column, bad: Column) -> list[Column]:
+    """The columns that ``_kept_values`` reads."""
+    text = value.cast("string")
+    return [text.alias(f"_v{i}"), bad.alias(f"_b{i}"), F.when(bad, F.pmod(F.xxhash64(text), F.lit(SLOTS))).alias(f"_s{i}")]
+
+
+def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> DataFrame:
     """Evaluate ``rules`` over the whole of ``df``; one row per rule, in rule order.
 
+    ``samples`` > 0 adds ``unexpected_values``: up to that many different ones as strings, the first in
+    order while there are at most HANDED; of more, frequent ones and one of each hash slot;
+    empty for rules whose unexpected values are NULL or that are about no value.
+
     One scan: with a key-uniqueness rule, the row rules are counted per key
     in the same grouped aggregate that counts key occurrences (partial
     aggregation map-side), then summed; without one, a single global aggregate.
     """
     cols = set(df.columns)
     row_aggs: dict[str, Column] = {}
+    bad: dict[int, Column] = {}          # row rules with values to show
     for i, e in enumerate(rules):
         c = F.col(e.column) if e.column in cols else None
         if c is None:
@@ -88,28 +116,51 @@ def run_suite(df: DataFrame, rules: list[Expectation]) -> DataFrame:
         if e.kind == "expect_column_values_to_not_be_null":
             row_aggs[f"_u{i}"] = F.count_if(c.isNull())
         elif e.kind == "expect_column_values_to_match_regex":
-            row_aggs[f"_u{i}"] = F.count_if(c.isNotNull() & ~c.rlike(e.params["regex"]))
+            bad[i] = F.coalesce(~c.rlike(e.params["regex"]), F.lit(False))
+            row_aggs[f"_u{i}"] = F.count_if(bad[i])
             row_aggs[f"_d{i}"] = F.count(c)
         elif e.kind == "expect_column_value_lengths_to_be_at_most":
-            row_aggs[f"_u{i}"] = F.count_if(F.length(c) > e.params["max"])
+            bad[i] = F.coalesce(F.length(c) > e.params["max"], F.lit(False))
+            row_aggs[f"_u{i}"] = F.count_if(bad[i])
             row_aggs[f"_d{i}"] = F.count(c)
     key_rules = [(i, e) for i, e in enumerate(rules) if e.kind == "expect_compound_columns_to_be_unique"
                  and set(e.params["key"]) <= cols]
 
     if key_rules:
         i0, e0 = key_rules[0]
-        per_key = df.groupBy(*e0.params["key"]).agg(
-            F.count(F.lit(1)).alias("_c"), *[v.alias(k) for k, v in row_aggs.items()])
+        key = e0.params["key"]
+        # of a column outside the key, one unexpected value of each key goes on
+        inner = {i: F.max(F.when(b, F.col(rules[i].column))) for i, b in bad.items() if samples and rules[i].column not in key}
+        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_c"), *[v.alias(k) for k, v in row_aggs.items()],
+                                       *[v.alias(f"_x{i}") for i, v in inner.items()])
+        if samples:
+            shown = {i: F.col(f"_x{i}") if i in inner else F.col(rules[i].column) for i in bad}
+            per_key = per_key.select("*", *[c for i, v in shown.items() for c in _shown(i, v, F.col(f"_u{i}") > 0)],
+                                     *_shown(i0, F.to_json(F.struct(*key)), F.col("_c") > 1))
         one = per_key.agg(
             F.coalesce(F.sum("_c"), F.lit(0)).alias("_n"),
             F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias(f"_u{i0}"),
-            *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in row_aggs])
+            *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in row_aggs],
+            *[c for i in ([*bad, i0] if samples else []) for c in _kept_values(i)])
         for i, e in key_rules[1:]:  # further keys: one grouped scalar subquery each
             k = df.groupBy(*e.params["key"]).agg(F.count(F.lit(1)).alias("_c"))
             one = one.withColumn(f"_u{i}", k.agg(
                 F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0))).scalar())
     else:
-        one = df.agg(F.count(F.lit(1)).alias("_n"), *[v.alias(k) for k, v in row_aggs.items()])
+        if samples:
+            df = df.select("*", *[c for i, b in bad.items() for c in _shown(i, F.col(rules[i].column), b)])
+        one = df.agg(F.count(F.lit(1)).alias("_n"), *[v.alias(k) for k, v in row_aggs.items()],
+                     *[c for i in (bad if samples else ()) for c in _kept_values(i)])
+
+    none = F.array().cast("array<string>")
+
+    def values(i: int) -> Column | None:
+        if not samples:
+            return None
+        if f"_t{i}" not in one.columns:
+            return none
+        found = F.concat(F.coalesce(F.transform(f"_t{i}", lambda t: t["item"]), none), F.array_compact(f"_m{i}"))
+        return F.slice(F.array_sort(F.array_distinct(found)), 1, samples)
 
     n = F.col("_n")
     rows = []
@@ -117,12 +168,12 @@ def run_suite(df: DataFrame, rules: list[Expectation]) -> DataFrame:
         present = e.column in cols or (e.kind == "expect_compound_columns_to_be_unique"
                                        and set(e.params["key"]) <= cols)
         if e.kind == "expect_column_to_exist":
-            rows.append(_row(e, n, F.lit(0 if present else 1), F.lit(1)))
+            rows.append(_row(e, n, F.lit(0 if present else 1), F.lit(1), values(i)))
         elif not present:
-            rows.append(_row(e, n, F.lit(None).cast("bigint"), n).withField("success", F.lit(False)))
+            rows.append(_row(e, n, F.lit(None).cast("bigint"), n, values(i)).withField("success", F.lit(False)))
         else:
             denom = F.col(f"_d{i}") if f"_d{i}" in row_aggs else n
-            rows.append(_row(e, n, F.col(f"_u{i}"), denom))
+            rows.append(_row(e, n, F.col(f"_u{i}"), denom, values(i)))
     return one.select(F.inline(F.array(*rows)))
 
 

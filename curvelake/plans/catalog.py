@@ -499,6 +499,17 @@ def _q(spark, d):
     return Q.run_suite(T.observations(spark, d), Q.observation_suite())
 
 
+@register("run_suite_samples")
+def _q(spark, d):
+    """The observation suite over rows with unexpected ids and keys that occur twice, with examples."""
+    o = T.observations(spark, d)
+    n, day = F.year("observation_date"), F.dayofmonth("observation_date")
+    odd = F.when(day == 1, F.concat(F.lower("series_id"), F.lit("-"), n)).when(day == 2, F.lpad("series_id", 21, "X")).otherwise(F.col("series_id"))
+    rows = o.withColumn("series_id", odd).unionByName(o.where((day == 3) & (F.col("series_id") == "DGS10")))
+    found = Q.run_suite(rows, Q.observation_suite(), samples=20)
+    return found.withColumn("unexpected_values", F.array_join("unexpected_values", " "))
+
+
 @register("run_suite_bronze")
 def _q(spark, d):
     """The same suite over the parsed bronze rows of the load (ids as delivered)."""
