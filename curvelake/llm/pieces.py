@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from curvelake.llm.common import free_name, schema_of, worker_cache
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 CACHE_CHARS = 64
 CACHE_PAIRS = 500_000
 STEP = 128                # rows encoded or decoded at once
@@ -53,6 +53,31 @@ _MARKS, _LETTER = ".,;:!?)\"]}", "[A-Za-zÀ-ÖØ-öø-ÿ]"
 _NEVER = float("inf")
 
 
+class _Words(dict):
+    """Ids of words, found when first asked for; ``before`` are those of the time before."""
+
+    def __init__(self, model: Model, before: dict | None = None):
+        self.model, self.before = model, before or {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word) or self.model.word(word).tobytes()
+        if len(word) <= CACHE_CHARS:
+            self[word] = ids
+        return ids
+
+
+class _Followers(dict):
+    """Whether tokens follow one token, found when first asked for."""
+
+    def __init__(self, model: Model, token: int):
+        self.model, self.token = model, token
+
+    def __missing__(self, token: int) -> bool:
+        self[token] = fits = self.model.follows(self.token, token)
+        self.model.pairs += 1
+        return fits
+
+
 class Model:
     """A model file with what the table needs; one per Python worker (``model``)."""
 
@@ -65,12 +90,13 @@ class Model:
         kind = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) for i in range(n)]
         self.piece = {i: sp.id_to_piece(i) for i in range(n) if not kind[i]}
         self.id = {p: i for i, p in self.piece.items()}
+        self.size = {i: len(p) for i, p in self.piece.items()}
         # equal scores share a rank; single characters are there before any merge
         at = {s: k for k, s in enumerate(sorted({-sp.get_score(i) for i in self.piece}))}
         self.rank = {i: at[-sp.get_score(i)] if len(p) > 1 else -1 for i, p in self.piece.items()}
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        self.pairs: dict[int, bool] = {}
+        self.now = _Words(self)
+        self.followers: dict[int, _Followers] = {}
+        self.pairs = 0
         octet = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.octet = [octet.get(b, -1) for b in range(256)]
         self.plain = (len(octet) == 256 and not any(sp.is_unused(i) for i in range(n)) and all(
@@ -158,52 +184,46 @@ class Model:
             else:
                 return True
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> array:
         """Ids of a normalized word, through the table."""
-        n, seen = len(word), self.pairs
-        if len(seen) > CACHE_PAIRS:
-            seen.clear()
-        last = array("i", [-1]) * (n + 1)
+        n, followers = len(word), self.followers
+        if self.pairs > CACHE_PAIRS:
+            followers.clear()
+            self.pairs = 0
+        last = [-1] * (n + 1) if n <= CACHE_CHARS else array("i", [-1]) * (n + 1)
         for end, (token, size) in self.tokens.iter(word):
-            if last[end + 1] < 0:
-                before = last[end + 1 - size]
+            end += 1
+            if last[end] < 0:
+                before = last[end - size]
                 # -1: the text's begin, or a character that no token has
-                if before >= 0:
-                    fits = seen.get(pair := before << 32 | token)
-                    if fits is None:
-                        fits = seen[pair] = self.follows(before, token)
-                    if not fits:
-                        continue
-                last[end + 1] = token
-        out, at = [], n
+                if before < 0:
+                    last[end] = token
+                else:
+                    if before not in followers:
+                        followers[before] = _Followers(self, before)
+                    if followers[before][token]:
+                        last[end] = token
+        out, at = array("i"), n
         while at:
             token = last[at]
             if token < 0:
-                out += [self.octet[b] for b in reversed(word[at - 1].encode())]
+                out.extend([self.octet[b] for b in reversed(word[at - 1].encode())])
                 at -= 1
             else:
                 out.append(token)
-                at -= len(self.piece[token])
-        return out[::-1]
+                at -= self.size[token]
+        out.reverse()
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
         if not self.plain:
             return np.array(self.sp.encode(text), "<i4")
-        now = self.now
         words = self.words.findall(self.sp.normalize(text)) if text else []
-        try:
-            return np.frombuffer(b"".join([now[w] for w in words]), "<i4")
-        except KeyError:
-            pass
-        long = {}
-        for w in set(words):
-            if w not in now:
-                ids = self.before.get(w) or np.array(self.word(w), "<i4").tobytes()
-                (now if len(w) <= CACHE_CHARS else long)[w] = ids
-        out = np.frombuffer(b"".join([now.get(w) or long[w] for w in words]), "<i4")
-        if len(now) > CACHE_WORDS:  # what was not seen since the last time goes
-            self.before, self.now = now, {}
+        out = np.frombuffer(b"".join(map(self.now.__getitem__, words)), "<i4")
+        if len(self.now) > CACHE_WORDS:  # what was not seen since the last time goes
+            self.now.before = {}
+            self.now = _Words(self, self.now)
         return out
 
 
