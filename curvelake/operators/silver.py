@@ -49,7 +49,7 @@ def typing_observations(rows: DataFrame) -> DataFrame:
     t = r.select("series_id", "ingest_date", "doc_id", "pos",
                  X.to_iso_date("date").alias("observation_date"),
                  X.to_value("value").alias("value"),
-                 F.col("date").alias("raw_date"), F.col("value").alias("raw_value"))
+                 F.col("date").alias("raw_date"), F.col("value").alias("raw_value"), "doc_error")
     reason = (F.when(F.col("pos").isNull(), F.lit("no observations"))
               .when(F.col("series_id").isNull() | (F.col("series_id") == ""), F.lit("no series id"))
               .when(C.broken_row("observations", ("VARCHAR",)).isNotNull(), F.lit("series id too long"))
@@ -64,7 +64,7 @@ def split_typed_observations(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
         "observation_date", "series_id", "value", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
-        "series_id", "ingest_date", "doc_id", "pos", "raw_date", "raw_value", "reject_reason")
+        "series_id", "ingest_date", "doc_id", "pos", "raw_date", "raw_value", "reject_reason", "doc_error")
     return good, bad
 
 
@@ -108,7 +108,7 @@ def typing_filings(rows: DataFrame) -> DataFrame:
     t = rows.select("accession_number", "cik", "company_name",
                     F.col("form").alias("filing_type"),
                     X.to_iso_date("filing_date_str").alias("filing_date"),
-                    "filing_date_str", "complete", "ingest_date", "doc_id", "pos")
+                    "filing_date_str", "complete", "ingest_date", "doc_id", "pos", "doc_error")
     missing = F.col("accession_number").isNull() | (F.col("accession_number") == "")
     reason = (F.when(F.col("pos").isNull(), F.lit("no filings"))
               .when(missing, F.lit("no accession number"))
@@ -123,7 +123,7 @@ def split_typed_filings(t: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = t.where(F.col("reject_reason").isNull()).select(
         "accession_number", "cik", "company_name", "filing_type", "filing_date", "ingest_date", "doc_id", "pos")
     bad = t.where(F.col("reject_reason").isNotNull()).select(
-        "accession_number", "cik", "ingest_date", "doc_id", "pos", "reject_reason")
+        "accession_number", "cik", "ingest_date", "doc_id", "pos", "reject_reason", "doc_error")
     return good, bad
 
 

@@ -278,6 +278,30 @@ def _q(spark, d):
                       F.coalesce(F.sum(B.array_len(payload)), F.lit(0)).cast("bigint").alias("observation_rows"))
 
 
+#: bodies of failed fetches, and the kind of error each is
+BAD_BODIES = ("<html>503</html>", '{"error_code": 400, "error_message": "Bad Request"}', '{"observations": "none", "error_message": "odd"}')
+
+
+@register("bronze_error_reasons")
+def _q(spark, d):
+    """Documents of both sources without their payload: not JSON, JSON without it, or with something
+    else in its place; entries by source and reason, with the message that some carry."""
+    bodies = F.array(*[F.lit(b) for b in BAD_BODIES])
+    docs = {"fred": _observation_docs(spark, d), "sec": D.render_filing_docs(T.filings(spark, d), F.lit(DAY1))}
+    out = []
+    for source, df in docs.items():
+        n = F.length(B.ENTITY) + F.ascii(F.substring(B.ENTITY, -1, 1))
+        bad = df.withColumn("doc", F.when(n % 4 < 3, F.get(bodies, n % 4)).otherwise(F.col("doc")))
+        if source == "sec":
+            bad = bad.withColumn("doc", F.replace("doc", F.lit('"observations"'), F.lit('"filings"')))
+        payload = (F.from_json("doc", S.OBSERVATION_DOC)["observations"], "observations") if source == "fred" else (
+            F.from_json("doc", S.FILING_DOC)["filings"], "filings")
+        out.append(bad.select(F.lit(source).alias("source"), F.coalesce(B.document_error(*payload), F.lit("good")).alias("error"),
+                              B.document_message().alias("message"))
+                   .groupBy("source", "error", "message").agg(F.count(F.lit(1)).alias("documents")))
+    return out[0].unionByName(out[1])
+
+
 @register("job_rejects")
 def _q(spark, d):
     """The reject log after three loads of one day: documents with a bad value, the same again, and a

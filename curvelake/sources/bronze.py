@@ -82,9 +82,13 @@ def observation_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     ``keep_empty`` one row with NULL ``pos`` (so it can be reported).
     """
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    e = docs.select("series_id", "ingest_date", "doc_id", explode("observations").alias("pos", "o"))
+    e = docs.select("series_id", "ingest_date", "doc_id", _error_of(docs), explode("observations").alias("pos", "o"))
     return e.select("series_id", "ingest_date", "doc_id", "pos",
-                    F.col("o.date").alias("date"), F.col("o.value").alias("value"))
+                    F.col("o.date").alias("date"), F.col("o.value").alias("value"), "doc_error")
+
+
+def _error_of(docs: DataFrame) -> Column:
+    return F.col("doc_error") if "doc_error" in docs.columns else F.lit(None).cast("string").alias("doc_error")
 
 
 def array_len(arr: Column) -> Column:
@@ -112,14 +116,14 @@ def filing_rows(docs: DataFrame, keep_empty: bool = False) -> DataFrame:
     e = docs.select(
         F.coalesce(F.col("cik"), F.col(ENTITY), F.lit("")).alias("cik"),
         F.coalesce(F.col("name"), F.lit("")).alias("company_name"),
-        "ingest_date", "doc_id",
+        "ingest_date", "doc_id", _error_of(docs),
         n.alias("_n"), array_len(r["form"]).alias("_nf"), array_len(r["filingDate"]).alias("_nd"),
         explode(z).alias("pos", "z"))
     return (e.where(F.col("pos").isNull() | (F.col("pos") < F.col("_n")))
             .select("cik", "company_name", "ingest_date", "doc_id", "pos",
                     F.col("z.a").alias("accession_number"), F.col("z.f").alias("form"),
                     F.col("z.d").alias("filing_date_str"),
-                    ((F.col("pos") < F.col("_nf")) & (F.col("pos") < F.col("_nd"))).alias("complete")))
+                    ((F.col("pos") < F.col("_nf")) & (F.col("pos") < F.col("_nd"))).alias("complete"), "doc_error"))
 
 
 def ticker_rows(directory: DataFrame) -> DataFrame:
@@ -206,18 +210,38 @@ def read_company_directory(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
+NOT_JSON, NO_PAYLOAD, OTHER_PAYLOAD = "not JSON", "JSON without payload", "payload of another type"
+
+
+def document_error(payload: Column, name: str) -> Column:
+    """Why a document has no ``payload`` (its field ``name``); NULL if it has one.  Only documents
+    without are parsed a second time, as a variant, which takes any JSON."""
+    body = F.try_parse_json("doc")
+    found = F.try_variant_get(body, f"$.{name}", "variant")
+    return (F.when(payload.isNotNull(), F.lit(None)).when(body.isNull(), F.lit(NOT_JSON))
+            .when(found.isNull() | F.is_variant_null(found), F.lit(NO_PAYLOAD)).otherwise(F.lit(OTHER_PAYLOAD)))
+
+
+def document_message(path: str = "$.error_message", default: str = "") -> Column:
+    """A field of a document by its path, whatever else the document holds; ``default`` without it."""
+    return F.coalesce(F.try_variant_get(F.try_parse_json("doc"), path, "string"), F.lit(default))
+
+
 def parse_observation_docs(docs: DataFrame) -> DataFrame:
     """(entity_id, ingest_date, doc) JSON strings -> parsed documents; ``doc_id`` is a hash
-    of the body, which breaks ties of documents of one entity and day."""
+    of the body, which breaks ties of documents of one entity and day; ``doc_error`` says why a
+    document has no observations."""
     p = docs.select(F.col(ENTITY).alias("series_id"), "ingest_date", F.xxhash64("doc").alias("doc_id"),
-                    F.from_json("doc", S.OBSERVATION_DOC).alias("j"))
-    return p.select("series_id", "ingest_date", "doc_id", "j.observations")
+                    F.from_json("doc", S.OBSERVATION_DOC).alias("j"), "doc")
+    return p.select("series_id", "ingest_date", "doc_id", "j.observations",
+                    document_error(F.col("j.observations"), "observations").alias("doc_error"))
 
 
 def parse_filing_docs(docs: DataFrame) -> DataFrame:
     entity = F.col(ENTITY) if ENTITY in docs.columns else F.lit(None).cast("string").alias(ENTITY)
-    p = docs.select(entity, "ingest_date", F.xxhash64("doc").alias("doc_id"), F.from_json("doc", S.FILING_DOC).alias("j"))
-    return p.select(ENTITY, "ingest_date", "doc_id", "j.cik", "j.name", "j.filings")
+    p = docs.select(entity, "ingest_date", F.xxhash64("doc").alias("doc_id"), F.from_json("doc", S.FILING_DOC).alias("j"), "doc")
+    return p.select(ENTITY, "ingest_date", "doc_id", "j.cik", "j.name", "j.filings",
+                    document_error(F.col("j.filings"), "filings").alias("doc_error"))
 
 
 def parse_company_directory(docs: DataFrame) -> DataFrame:

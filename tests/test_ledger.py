@@ -103,3 +103,18 @@ def test_plus_in_a_landed_name(spark, scratch):
 
     D.land_files(spark.createDataFrame([("A+B%20C", DAY[0], "{}")], DOCS), f"{scratch}/b", "fred")
     assert [r.entity_id for r in B.raw_documents(spark, f"{scratch}/b", "fred").collect()] == ["A+B%20C"]
+
+
+def test_why_a_document_has_no_payload(spark):
+    from curvelake.operators import silver as SV
+    from curvelake.sources import bronze as B
+
+    bodies = {"<html>": B.NOT_JSON, "": B.NOT_JSON, None: B.NOT_JSON, "[1, 2]": B.NO_PAYLOAD, "{}": B.NO_PAYLOAD, "7": B.NO_PAYLOAD,
+              '{"observations": null}': B.NO_PAYLOAD, '{"observations": 3}': B.OTHER_PAYLOAD, '{"observations": {"a": 1}}': B.OTHER_PAYLOAD,
+              '{"observations": []}': None, '{"observations": [], "else": [1, {"x": null}]}': None}
+    docs = spark.createDataFrame([("DGS10", DAY[0], b) for b in bodies], DOCS)
+    typed = SV.typing_observations(B.observation_rows(B.parse_observation_docs(docs), keep_empty=True))
+    got = sorted((str(r.doc_error) for r in typed.collect()))
+    assert got == sorted(str(e) for e in bodies.values()) and typed.where("reject_reason <> 'no observations'").count() == 0
+    messages = docs.select("doc", B.document_message("$.else[1].x", "none").alias("m")).collect()
+    assert {r.m for r in messages} == {"none"}
