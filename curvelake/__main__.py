@@ -3,7 +3,8 @@
 
     daily     --bronze B --warehouse W --date 2026-01-28
     backfill  --bronze B --warehouse W --start 2026-01-01 --end 2026-01-28
-    validate  --warehouse W [--run-id ID]          (raises when the suite fails)
+    validate  --warehouse W [--run-id ID] [--table filings] [--new]   (raises when the suite fails; --new
+                                                   reads only the buckets that gained rows)
     stream    --bronze B --warehouse W --checkpoint C [--continuous]
     gold      --warehouse W --out O                (writes the five gold datasets)
     refresh   --warehouse W [--out O]              (brings stored gold up to what silver gained; writes the datasets)
@@ -58,6 +59,8 @@ def main(argv: list[str] | None = None) -> None:
     v = sub.add_parser("validate")
     v.add_argument("--warehouse", required=True)
     v.add_argument("--run-id", default=None)
+    v.add_argument("--table", choices=["observations", "filings"], default="observations")
+    v.add_argument("--new", action="store_true")
     g = sub.add_parser("gold")
     g.add_argument("--warehouse", required=True)
     g.add_argument("--out", required=True)
@@ -87,7 +90,11 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "backfill":
         jobs.backfill(spark, a.bronze, wh, a.start, a.end, a.gate_before_append).show(truncate=False)
     elif a.cmd == "validate":
-        jobs.validate(spark, wh, a.run_id or uuid.uuid4().hex).show(truncate=False)
+        from curvelake.sinks import validation_store
+
+        res = (validation_store.validate_new(spark, wh, a.table) if a.new
+               else jobs.validate(spark, wh, a.run_id or uuid.uuid4().hex, a.table))
+        res.show(truncate=False)
     elif a.cmd == "stream":
         from curvelake.streaming.bronze_stream import stream_bronze_to_silver
 

@@ -9,7 +9,7 @@ PARTITION BY over raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curvelake.functions import exprs as X
@@ -63,10 +63,32 @@ def first_last(obs: DataFrame) -> DataFrame:
         F.min_by(VAL, DATE).alias("first_value"), F.max_by(VAL, DATE).alias("last_value"))
 
 
+def ordered_ends(obs: DataFrame, n: int) -> DataFrame:
+    """Per series its first and its last ``n`` rows as arrays of (date, value), ``first_n`` from the
+    first row on, ``last_n`` from the last one back.
+
+    ``array_agg(... ORDER BY date)`` holds a series whole to look at a few places of it; here only rows
+    that are among ``n`` at either end leave the window, so an array has at most ``n`` elements."""
+    w = Window.partitionBy(SID).orderBy(DATE)
+    from_end = F.count(F.lit(1)).over(Window.partitionBy(SID)) - F.row_number().over(w) + 1
+    placed = obs.select(SID, DATE, VAL, F.row_number().over(w).alias("_first"), from_end.alias("_last"))
+    kept = placed.where((F.col("_first") <= n) | (F.col("_last") <= n))
+
+    def end(place: str):
+        rows = F.array_sort(F.collect_list(F.when(F.col(place) <= n, F.struct(place, DATE, VAL))))
+        return F.transform(rows, lambda r: F.struct(r[DATE].alias(DATE), r[VAL].alias(VAL)))
+
+    return kept.groupBy(SID).agg(end("_first").alias("first_n"), end("_last").alias("last_n"))
+
+
 def array_agg_ordered(obs: DataFrame) -> DataFrame:
-    """``(array_agg(value ORDER BY date))[1]`` and its last element, without the array: the
-    ends of an ordered array are the values at the first and last date."""
-    return first_last(obs)
+    """``(array_agg(value ORDER BY date))[1]``, its second, last but one and last element: places of
+    the bounded arrays of both ends (NULL where a series is shorter)."""
+    first, last = F.col("first_n"), F.col("last_n")
+    return ordered_ends(obs, 2).select(
+        SID, F.get(last, 0)[DATE].alias("latest_date"), F.get(first, 0)[DATE].alias("first_date"),
+        F.get(first, 0)[VAL].alias("first_value"), F.get(last, 0)[VAL].alias("last_value"),
+        F.get(first, 1)[VAL].alias("second_value"), F.get(last, 1)[VAL].alias("last_but_one_value"))
 
 
 def distinct_above(obs: DataFrame, threshold: float = 5.0) -> DataFrame:

@@ -18,6 +18,7 @@ hold, or a million different ones, take no more room.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -95,18 +96,8 @@ def _shown(i: int, value: Column, bad: Column) -> list[Column]:
     return [text.alias(f"_v{i}"), bad.alias(f"_b{i}"), F.when(bad, F.pmod(F.xxhash64(text), F.lit(SLOTS))).alias(f"_s{i}")]
 
 
-def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> DataFrame:
-    """Evaluate ``rules`` over the whole of ``df``; one row per rule, in rule order.
-
-    ``samples`` > 0 adds ``unexpected_values``: up to that many different ones as strings, the first in
-    order while there are at most HANDED; of more, frequent ones and one of each hash slot;
-    empty for rules whose unexpected values are NULL or that are about no value.
-
-    One scan: with a key-uniqueness rule, the row rules are counted per key
-    in the same grouped aggregate that counts key occurrences (partial
-    aggregation map-side), then summed; without one, a single global aggregate.
-    """
-    cols = set(df.columns)
+def _row_counts(rules: list[Expectation], cols: set[str]) -> tuple[dict[str, Column], dict[int, Column]]:
+    """The counts of the rules about one row, and which rows are unexpected where there is a value to show."""
     row_aggs: dict[str, Column] = {}
     bad: dict[int, Column] = {}          # row rules with values to show
     for i, e in enumerate(rules):
@@ -123,6 +114,22 @@ def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> Data
             bad[i] = F.coalesce(F.length(c) > e.params["max"], F.lit(False))
             row_aggs[f"_u{i}"] = F.count_if(bad[i])
             row_aggs[f"_d{i}"] = F.count(c)
+    return row_aggs, bad
+
+
+def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> DataFrame:
+    """Evaluate ``rules`` over the whole of ``df``; one row per rule, in rule order.
+
+    ``samples`` > 0 adds ``unexpected_values``: up to that many different ones as strings, the first in
+    order while there are at most HANDED; of more, frequent ones and one of each hash slot;
+    empty for rules whose unexpected values are NULL or that are about no value.
+
+    One scan: with a key-uniqueness rule, the row rules are counted per key
+    in the same grouped aggregate that counts key occurrences (partial
+    aggregation map-side), then summed; without one, a single global aggregate.
+    """
+    cols = set(df.columns)
+    row_aggs, bad = _row_counts(rules, cols)
     key_rules = [(i, e) for i, e in enumerate(rules) if e.kind == "expect_compound_columns_to_be_unique"
                  and set(e.params["key"]) <= cols]
 
@@ -162,6 +169,12 @@ def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> Data
         found = F.concat(F.coalesce(F.transform(f"_t{i}", lambda t: t["item"]), none), F.array_compact(f"_m{i}"))
         return F.slice(F.array_sort(F.array_distinct(found)), 1, samples)
 
+    return _results(one, rules, cols, {k for k in row_aggs if k.startswith("_d")}, values)
+
+
+def _results(one: DataFrame, rules: list[Expectation], cols: set[str], denominators: set[str],
+             values: Callable[[int], Column | None] = lambda i: None) -> DataFrame:
+    """One row per rule from one row of counts (``_n`` rows, ``_u<i>`` unexpected, ``_d<i>`` not null)."""
     n = F.col("_n")
     rows = []
     for i, e in enumerate(rules):
@@ -172,11 +185,28 @@ def run_suite(df: DataFrame, rules: list[Expectation], samples: int = 0) -> Data
         elif not present:
             rows.append(_row(e, n, F.lit(None).cast("bigint"), n, values(i)).withField("success", F.lit(False)))
         else:
-            denom = F.col(f"_d{i}") if f"_d{i}" in row_aggs else n
+            denom = F.col(f"_d{i}") if f"_d{i}" in denominators else n
             rows.append(_row(e, n, F.col(f"_u{i}"), denom, values(i)))
     return one.select(F.inline(F.array(*rows)))
 
 
+def counts_by(df: DataFrame, rules: list[Expectation], by: str) -> DataFrame:
+    """The counts behind a suite's results for each group of ``by``: they add up over groups as long as
+    no key is in two of them.  The suite's rules must have one key; ``by`` is a column of ``df``."""
+    row_aggs, _ = _row_counts(rules, set(df.columns))
+    i, key = next((i, e.params["key"]) for i, e in enumerate(rules) if e.kind == "expect_compound_columns_to_be_unique")
+    per_key = df.groupBy(by, *key).agg(F.count(F.lit(1)).alias("_c"), *[v.alias(k) for k, v in row_aggs.items()])
+    return per_key.groupBy(by).agg(F.sum("_c").alias("_n"), F.coalesce(F.sum(F.when(F.col("_c") > 1, F.col("_c"))), F.lit(0)).alias(f"_u{i}"),
+                                   *[F.sum(k).alias(k) for k in row_aggs])
+
+
+def add_up(counts: DataFrame, rules: list[Expectation], cols: list[str]) -> DataFrame:
+    """A suite's results from ``counts_by`` rows."""
+    names = [c for c in counts.columns if c[:2] in ("_u", "_d") or c == "_n"]
+    one = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    return _results(one, rules, set(cols), {c for c in names if c.startswith("_d")})
+
+
 class QualityGateError(RuntimeError):
     pass
 

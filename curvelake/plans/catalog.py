@@ -29,6 +29,7 @@ from curvelake.plans import documents as D
 from curvelake.plans.views import register_views, register_warehouse
 from curvelake.session import scratch_path
 from curvelake.sinks import gold_store as GS
+from curvelake.sinks import validation_store as VS
 from curvelake.sinks import writers as WR
 from curvelake.sinks.catalog import append_bucketed, layout
 from curvelake.sources import bronze as B
@@ -133,7 +134,6 @@ for _name, _fn in {
 
 
 for _name, _fn in {
-    "scan_silver": lambda o: o,
     "project_staging": R.project_staging,
     "filter_series_eq": R.filter_series_eq,
     "filter_like_prefix": R.filter_like_prefix,
@@ -589,6 +589,12 @@ def _filled_warehouse(spark, d, name: str) -> Warehouse:
     return wh
 
 
+@register("scan_silver")
+def _q(spark, d):
+    """The bucketed silver table, scanned whole."""
+    return jobs.silver_observations(spark, _filled_warehouse(spark, d, "scan")).drop("ingested_at")
+
+
 @register("ddl_tables")
 def _q(spark, d):
     """Silver tables created, filled and read back by name."""
@@ -599,8 +605,8 @@ def _q(spark, d):
                          UNION ALL SELECT 'sec_filings', COUNT(*), COUNT(DISTINCT accession_number) FROM {fil}""")
 
 
-def _refreshed_warehouse(spark, d) -> Warehouse:
-    """Silver filled by two loads that touch the same dates and companies, gold refreshed after each."""
+def _refreshed_warehouse(spark, d, refresh=GS.refresh) -> Warehouse:
+    """Silver filled by two loads that touch the same dates and companies, and refreshed after each."""
     wh = Warehouse(f"{scratch_path(spark, 'gold-store')}/warehouse")
     jobs.write_config(T.companies(spark, d), wh.companies)
     lay = layout(spark, wh.root)
@@ -611,10 +617,16 @@ def _refreshed_warehouse(spark, d) -> Warehouse:
         f = T.filings(spark, d).where(F.pmod(F.crc32("accession_number"), F.lit(2)) == half)
         append_bucketed(o.withColumn("ingested_at", now), obs, "series_id", lay.observation_buckets, ["series_id", "observation_date"])
         append_bucketed(f.withColumn("ingested_at", now), fil, "accession_number", lay.filing_buckets, ["accession_number"])
-        GS.refresh(spark, wh)
+        refresh(spark, wh)
     return wh
 
 
+@register("refresh_validation")
+def _q(spark, d):
+    """The suite's results from the stored counts of the buckets, after two loads."""
+    return VS.results(spark, _refreshed_warehouse(spark, d, VS.refresh))
+
+
 for _dataset in GS.DATASETS:
     QUERIES["refresh_" + _dataset] = (lambda name: lambda spark, d: GS.dataset(spark, _refreshed_warehouse(spark, d), name))(_dataset)
 
@@ -625,9 +637,20 @@ VIEWS = {
     "gold.daily_snapshot": "*", "gold.yield_curve_d10": "*", "staging.stg_treasury_yields": "*",
     "reference.fred_series": "series_id, name, category, is_active",
 }
+_VIEW_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+
+
+def _view_warehouse(spark, d) -> Warehouse:
+    """One warehouse for all view entries of an application and data folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _VIEW_WAREHOUSES:
+        _VIEW_WAREHOUSES[key] = _filled_warehouse(spark, d, "views")
+    return _VIEW_WAREHOUSES[key]
+
+
 for _view, _columns in VIEWS.items():
     def _read_view(spark, d, view=_view, columns=_columns):
-        register_warehouse(spark, _filled_warehouse(spark, d, "views"))
+        register_warehouse(spark, _view_warehouse(spark, d))
         return spark.sql(f"SELECT {columns} FROM {view}")
     QUERIES["view_" + _view.split(".")[1]] = _read_view
 

@@ -137,6 +137,17 @@ def test_insert_existing_key_raises(spark):
         M.insert_rows(comp, row, S.COMPANIES_KEY, {"is_active": F.lit(True)}).collect()
 
 
+def test_ends_of_short_and_long_series(spark):
+    from curvelake.operators.aggregates import array_agg_ordered, ordered_ends
+
+    rows = [(dt.date(2026, 1, d), s, D(d)) for s, days in (("A", [5]), ("B", [3, 1]), ("C", range(1, 29))) for d in days]
+    obs = spark.createDataFrame(rows, S.OBSERVATIONS)
+    ends = {r.series_id: ([x.value for x in r.first_n], [x.value for x in r.last_n]) for r in ordered_ends(obs, 3).collect()}
+    assert ends == {"A": ([5], [5]), "B": ([1, 3], [3, 1]), "C": ([1, 2, 3], [28, 27, 26])}
+    got = {r.series_id: (r.first_value, r.second_value, r.last_but_one_value, r.last_value) for r in array_agg_ordered(obs).collect()}
+    assert got == {"A": (5, None, None, 5), "B": (1, 3, 1, 3), "C": (1, 2, 27, 28)}
+
+
 # --- gold ----------------------------------------------------------------------
 
 def test_documented_curve_sample(spark):
