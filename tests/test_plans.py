@@ -222,8 +222,8 @@ def test_validate_computes_the_suite_once(spark, scratch, monkeypatch):
     jobs.create_tables(spark, wh)
     calls, run = [], jobs.Q.run_suite
 
-    def counted(df, rules):
-        out = run(df, rules)
+    def counted(df, rules, **options):
+        out = run(df, rules, **options)
         real = out.collect
         object.__setattr__(out, "collect", lambda: calls.append(1) or real())
         return out
