@@ -91,6 +91,11 @@ _GNU = ("lesser", "affero")
 FAMILIES = {"gpl": _GNU, "lgpl": _GNU, "agpl": _GNU,
             "cc-by": ("nc", "sa", "nd", "noncommercial", "sharealike", "noderivatives", "noderivs")}
 
+# A license's own name, by how its labels begin; texts without a name in them have none.
+NAMES = {"apache": "apache license", "mit-line": "mit license", "gpl": "gnu general public license",
+         "lgpl": "gnu lesser general public license", "agpl": "gnu affero general public license",
+         "mpl": "mozilla public license", "cc-by": ("cc by", "creative commons attribution")}
+
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"  # what separates words, before lower-casing
 
 
@@ -116,13 +121,19 @@ def template_words() -> dict[str, list[str]]:
 
 
 def deciding(label: str, words: list[str]) -> tuple[list[list[int]], list[str]]:
-    """Runs of positions of the template that have to be covered, and words that must not stand in its place."""
+    """Runs of positions of the template that have to be covered (the license's own name, its version, the
+    words that tell its family's members apart), and words that must not stand in its place."""
     own = next((w for start, w in FAMILIES.items() if label.startswith(start)), ())
     first = next((i for i, w in enumerate(words) if w.isdigit()), len(words))
     last = next((i for i in range(first, len(words)) if not words[i].isdigit()), len(words))
+    names = next((n for start, n in NAMES.items() if label.startswith(start)), ())
+    name: range = range(0)
+    for parts in ((names,) if isinstance(names, str) else names):
+        size = len(parts.split())
+        name = next((range(i, i + size) for i in range(len(words)) if words[i:i + size] == parts.split()), name)
     runs: list[list[int]] = []
     for i, w in enumerate(words):
-        if w in own or first <= i < last:
+        if w in own or first <= i < last or i in name:
             if runs and runs[-1][-1] == i - 1:
                 runs[-1].append(i)
             else:

@@ -290,6 +290,33 @@ def test_licenses_odd_rows(spark):
     assert (one.labels, one.score) == ("cc-by,cc-by-nc-4.0-line", 1.0)
 
 
+def test_every_named_template_needs_its_name():
+    unnamed = {label for label, words in licenses.template_words().items()
+               if not any(" ".join(n) in " ".join(words) for n in [v.split() for names in licenses.NAMES.values()
+                                                                   for v in ([names] if isinstance(names, str) else names)])}
+    assert unnamed == {"mit-text", "bsd-text"}
+    for label, words in licenses.template_words().items():
+        need = {i for run in licenses.deciding(label, words)[0] for i in run}
+        assert label in unnamed or need, label
+
+
+def test_other_licenses_are_not_taken_for_known_ones(spark):
+    texts = ["The album was released under the Apple label.", "Students work under the MIT banner.",
+             "Licensed under the Eclipse Public License, Version 2.0", "Licensed under the Mozilla Public License, Version 2.0.",
+             "Licensed under the European Union Public License, Version 1.1", "This work is licensed under the Open Software License, version 3.",
+             "This work is licensed under a Creative Works Attribution 4.0 International License.", "Released under the ISC License.",
+             "Licensed under the Academic Free License, Version 2.0.", "Licensed under CD BY 4.0."]
+    got = licenses.scan(frame(spark, list(enumerate(texts)))).collect()
+    assert {texts[r.doc_id]: r.labels for r in got if r.labels} == {}
+    known = {"Licensed under the Apache License, Version 2.0": "apache-2.0-line", "released under the MIT license!": "mit-line",
+             "This work is licensed under the GNU General Public License, version 3": "gpl-3.0-line",
+             "Licensed under CC BY 4.0": "cc-by-4.0-short-line",
+             "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by-4.0-line",
+             "Intro. " + dict(licenses.TEMPLATES)["mpl-2.0-notice"] + " More.": "mpl-2.0-notice"}
+    got = {r.doc_id: r.labels for r in licenses.scan(frame(spark, list(enumerate(known)))).collect()}
+    assert all(label in got[i] for i, label in enumerate(known.values()))
+
+
 def test_licenses_of_a_family(spark):
     mit = dict(licenses.TEMPLATES)["mit-text"].split()
     texts = {"This work is licensed under the GNU General Public License, version 2": {"gpl-2.0-line"},
