@@ -38,7 +38,7 @@ from curvelake.operators import silver as SV
 from curvelake.session import setting, staged
 from curvelake.sinks import ledger as LG
 from curvelake.sinks import writers as W
-from curvelake.sinks.catalog import append_bucketed, compact_bucketed, layout, register_silver
+from curvelake.sinks.catalog import append_bucketed, compact_bucketed, layout, register_silver, rows_near
 from curvelake.sources import bronze as B
 
 
@@ -153,7 +153,7 @@ def load_observation_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse,
     buckets = layout(spark, wh.root).observation_buckets
     typed = SV.typing_observations(B.observation_rows(docs, keep_empty=True))
     with setting(spark, *_CO_PARTITION), staged(typed, "load-observations") as t:
-        load = SV.load_typed_observations(t, spark.table(table), buckets)
+        load = SV.load_typed_observations(t, rows_near(t, table, "series_id", buckets), buckets)
         if gate_before_append:
             good = t.where(F.col("reject_reason").isNull())
             Q.gate(Q.run_suite(good.select("observation_date", "series_id", "value"), Q.observation_suite()))
@@ -174,7 +174,7 @@ def load_filing_docs(spark: SparkSession, docs: DataFrame, wh: Warehouse, run_id
     buckets = layout(spark, wh.root).filing_buckets
     typed = SV.typing_filings(B.filing_rows(docs, keep_empty=True))
     with setting(spark, *_CO_PARTITION), staged(typed, "load-filings") as t:
-        load = SV.load_typed_filings(t, spark.table(table), buckets)
+        load = SV.load_typed_filings(t, rows_near(t, table, "accession_number", buckets), buckets)
         new = load.new_rows.withColumn("ingested_at", F.current_timestamp())
         inserted = append_bucketed(new, table, "accession_number", buckets, ["accession_number"])
         run_id = run_id or _run_id()

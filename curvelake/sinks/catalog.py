@@ -6,8 +6,8 @@
 for free:
 
 * per-series windows and the key-uniqueness check read it with no exchange;
-* the insert-if-absent anti-join shuffles only the incoming batch, into the
-  table's buckets — the silver keys never move.
+* the insert-if-absent anti-join reads only the buckets that keys of the batch fall into; a batch
+  that touches most of them is shuffled into the table's buckets, and the silver keys don't move.
 
 Bucketing observations by series alone is safe from skew because a series
 holds at most one row per calendar day; filings are bucketed by their unique
@@ -22,10 +22,11 @@ existing files would misread them.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from curvelake.functions.exprs import literal_rows
@@ -118,6 +119,32 @@ def register_silver(spark: SparkSession, root: str, obs_path: str, fil_path: str
     return names
 
 
+_FILE_BUCKET = re.compile(r"_(\d{5})(?:\.c\d+)?\.[^/]*$")
+
+
+def bucket_of(column: str, buckets: int) -> Column:
+    """The bucket that Spark puts a row in."""
+    return F.pmod(F.hash(column), F.lit(buckets))
+
+
+def touched_files(rows: DataFrame, buckets: set[int]) -> list[str]:
+    """The files of a bucketed table that belong to ``buckets``, by the bucket number in their names."""
+    return [f for f in rows.inputFiles() if (m := _FILE_BUCKET.search(f)) and int(m.group(1)) in buckets]
+
+
+def rows_near(batch: DataFrame, table: str, column: str, buckets: int) -> DataFrame:
+    """The rows of a bucketed table that can hold a key of ``batch``: those of the buckets its keys fall
+    into (at most one number per bucket comes to the driver).  A batch that touches most buckets gets the
+    table itself, whose buckets need no shuffle."""
+    spark = batch.sparkSession
+    rows = spark.table(table)
+    touched = {r.b for r in batch.where(F.col(column).isNotNull()).select(bucket_of(column, buckets).alias("b")).distinct().collect()}
+    if 2 * len(touched) > buckets:
+        return rows
+    files = touched_files(rows, touched)
+    return spark.read.schema(rows.schema).parquet(*files) if files else literal_rows(spark, [], rows.schema)
+
+
 def append_bucketed(rows: DataFrame, table: str, bucket_col: str, buckets: int,
                     sort_cols: list[str]) -> int:
     """Append to a bucketed table, one file per bucket and write; returns the

@@ -12,8 +12,6 @@ Counts of the rows that were checked stay as they were: rows of silver are only
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +23,6 @@ from curvelake.sinks import catalog as CT
 from curvelake.sinks.writers import time_id
 
 BUCKET = "_bucket"
-_FILE_BUCKET = re.compile(r"_(\d{5})(?:\.c\d+)?\.[^/]*$")
 #: table -> (its silver rows, its folder, its bucket column, its suite)
 _TABLES = {"observations": (jobs.silver_observations, "observations", "series_id", Q.observation_suite),
            "filings": (jobs.silver_filings, "filings", "accession_number", lambda: C.suite("filings"))}
@@ -41,16 +38,6 @@ def parts(spark: SparkSession, wh: jobs.Warehouse, table: str) -> list[tuple[str
     return [(f"{_root(wh, table)}/p-{part}", int(upto)) for part, upto in named]
 
 
-def touched_files(rows: DataFrame, buckets: set[int]) -> list[str]:
-    """The files of a bucketed table that belong to ``buckets``, by the bucket number in their names."""
-    return [f for f in rows.inputFiles() if (m := _FILE_BUCKET.search(f)) and int(m.group(1)) in buckets]
-
-
-def _bucket_of(column: str, buckets: int):
-    """The bucket that Spark puts a row in."""
-    return F.pmod(F.hash(column), F.lit(buckets))
-
-
 def refresh(spark: SparkSession, wh: jobs.Warehouse, table: str = "observations") -> int:
     """Count the buckets that gained rows since the last call again; returns how many."""
     rows_of, _, column, suite = _TABLES[table]
@@ -58,11 +45,11 @@ def refresh(spark: SparkSession, wh: jobs.Warehouse, table: str = "observations"
     layout = CT.layout(spark, wh.root)
     n = layout.observation_buckets if table == "observations" else layout.filing_buckets
     new = rows.where(F.col("ingested_at") > F.timestamp_micros(F.lit(have[-1][1]))) if have else rows
-    found = new.groupBy(_bucket_of(column, n).alias("b")).agg(F.max(F.unix_micros("ingested_at")).alias("upto")).collect()  # one row per bucket
+    found = new.groupBy(CT.bucket_of(column, n).alias("b")).agg(F.max(F.unix_micros("ingested_at")).alias("upto")).collect()  # one row per bucket
     if not found:
         return 0
-    files = touched_files(rows, {r.b for r in found})
-    read = spark.read.schema(rows.schema).parquet(*files).drop("ingested_at").withColumn(BUCKET, _bucket_of(column, n))
+    files = CT.touched_files(rows, {r.b for r in found})
+    read = spark.read.schema(rows.schema).parquet(*files).drop("ingested_at").withColumn(BUCKET, CT.bucket_of(column, n))
     part = time_id()
     Q.counts_by(read, suite(), BUCKET).write.parquet(f"{_root(wh, table)}/p-{part}")
     name, fs = CT._fs(spark, f"{_root(wh, table)}/_parts/{part}~{max(r.upto for r in found)}")

@@ -158,3 +158,43 @@ def test_loads_go_on_after_compaction(spark, scratch):
     assert spark.table("held").count() == len(before) + 2
     plan = jobs.silver_observations(spark, wh).groupBy("series_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan     # still bucketed
+
+
+# --- loads read the buckets they touch --------------------------------------------
+
+
+def test_load_reads_only_touched_buckets(spark, scratch):
+    wh = Warehouse(f"{scratch}/wh-near")
+    table, _ = jobs.create_tables(spark, wh, buckets=8)
+    day = lambda n: D + dt.timedelta(days=n)
+    catalog.append_bucketed(spark.createDataFrame([(day(n), f"S{i}", None) for i in range(60) for n in range(3)], S.OBSERVATIONS)
+                            .withColumn("ingested_at", F.current_timestamp()), table, "series_id", 8, ["series_id", "observation_date"])
+    all_files = set(spark.table(table).inputFiles())
+    batch = spark.createDataFrame([("S7",), ("S7",), (None,)], "series_id string")
+    near = catalog.rows_near(batch, table, "series_id", 8)
+    assert len(all_files) == 8 and len(near.inputFiles()) == 1 and set(near.inputFiles()) < all_files
+    assert near.where("series_id = 'S7'").count() == 3
+    everything = spark.table(table).select("series_id")
+    assert set(catalog.rows_near(everything, table, "series_id", 8).inputFiles()) == all_files
+    new = spark.createDataFrame([(None,)], "series_id string")
+    assert catalog.rows_near(new, table, "series_id", 8).count() == 0
+
+
+def test_small_load_after_a_large_one(spark, scratch):
+    from curvelake.sinks import writers as WR
+
+    bronze, wh = f"{scratch}/bronze", Warehouse(f"{scratch}/wh-small")
+    jobs.create_tables(spark, wh, buckets=8)
+    ids = [f"S{i}" for i in range(60)]
+    jobs.write_config(spark.createDataFrame([(s, s, "x", True) for s in ids], S.SERIES), wh.series)
+    jobs.write_config(spark.createDataFrame([], S.COMPANIES), wh.companies)
+    doc = lambda *values: '{"observations": [%s]}' % ", ".join(f'{{"date": "2026-01-0{d}", "value": "{v}"}}' for d, v in values)
+    write = lambda day, rows: WR.write_bronze(spark.createDataFrame(rows, "entity_id string, ingest_date date, doc string"), bronze, "fred")
+    write(D, [(s, D, doc((1, 1.5), (2, 2.5))) for s in ids])
+    assert {r.source: r.silver_rows for r in jobs.run_daily(spark, bronze, wh, D).collect()}["fred"] == 120
+    later = D + dt.timedelta(days=1)
+    write(later, [("S7", later, doc((1, 9), (2, 9), (3, 3.5)))])
+    for want in (1, 0):
+        assert {r.source: r.silver_rows for r in jobs.run_daily(spark, bronze, wh, later).collect()}["fred"] == want
+    got = {r.observation_date.day: str(r.value) for r in jobs.silver_observations(spark, wh).where("series_id = 'S7'").collect()}
+    assert got == {1: "1.5000", 2: "2.5000", 3: "3.5000"}

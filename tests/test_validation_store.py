@@ -56,11 +56,11 @@ def test_only_touched_buckets_are_read(spark, scratch):
     VS.refresh(spark, wh)
     load(spark, wh, obs=obs("S7", [9], "1"))
     rows = jobs.silver_observations(spark, wh)
-    b = rows.where("series_id = 'S7'").select(VS._bucket_of("series_id", 8).alias("b")).first().b
-    files = VS.touched_files(rows, {b})
+    b = rows.where("series_id = 'S7'").select(VS.CT.bucket_of("series_id", 8).alias("b")).first().b
+    files = VS.CT.touched_files(rows, {b})
     assert len(rows.inputFiles()) >= 8 and len(files) == 2     # of the first load and of the second
     held = {r.series_id for r in spark.read.parquet(*files).select("series_id").distinct().collect()}
-    assert "S7" in held and held == {r.series_id for r in rows.where(VS._bucket_of("series_id", 8) == b).select("series_id").distinct().collect()}
+    assert "S7" in held and held == {r.series_id for r in rows.where(VS.CT.bucket_of("series_id", 8) == b).select("series_id").distinct().collect()}
 
 
 def test_a_run_that_fails_is_done_again(spark, scratch, monkeypatch):
