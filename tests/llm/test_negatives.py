@@ -100,3 +100,71 @@ def test_large_components_are_exact(spark):
 
 def test_empty(spark):
     assert mine(spark, []) == []
+
+
+def chunk_of(x, labels):
+    return negatives.Chunk(np.arange(len(x)), labels, x, *negatives.codes(x))
+
+
+def searched(x, labels, at):
+    """Both searches of one chunk for the rows ``at``: positives, and negatives of all of them."""
+    chunk, at = chunk_of(x, labels), sorted(at, key=lambda i: labels[i])
+    asked, qs = [{"key": int(i), "vec_id": int(i), "label": int(labels[i])} for i in at], [negatives.Anchor(x[i]) for i in at]
+    near = list(negatives.same_label(chunk, asked, qs, 5))
+    for a in asked:
+        mine = sorted((-s, p) for _, i, p, s in near if i == a["vec_id"] and s >= 0)
+        a["positives"] = [{"nth": n, "positive_id": p, "positive_score": -s} for n, (s, p) in enumerate(mine, 1)]
+    some = [n for n, a in enumerate(asked) if a["positives"]]
+    found = negatives.other_labels(chunk, [asked[n] for n in some], [qs[n] for n in some], 3, 50, 95)
+    return [(i, p, n, s, t) for _, i, _, p, s, n, t in found]
+
+
+def plain(x, labels, at):
+    rows = [(int(i), tuple((v / 256 for v in x[i].tolist())), int(labels[i])) for i in range(len(x))]
+    return [(i, p, n, s, t) for i, p, _, n, s, t in brute(rows, 1) if i in at]
+
+
+def test_an_anchor_is_searched_once_for_all_its_positives(monkeypatch):
+    """Time is for pairs of anchor and row, not of positive and row: no anchor's rows are bounded or scored again."""
+    rng = np.random.default_rng(6)
+    x, labels, calls = rng.integers(-200, 200, (900, 64)), rng.integers(0, 3, 900), {"narrow": 0, "pick": 0}
+    for name in calls:
+        def counted(*args, name=name, real=getattr(negatives, name)):
+            calls[name] += 1
+            return real(*args)
+
+        monkeypatch.setattr(negatives, name, counted)
+    at = range(0, 900, 9)
+    found = searched(x, labels, at)
+    assert len({r[:2] for r in found}) > 300
+    assert calls == {"narrow": 200, "pick": 200}
+    assert sorted(found) == sorted(plain(x, labels, at))
+
+
+@pytest.mark.parametrize(("size", "kind"), [(100, np.float32), (1 << 14, np.float64), (1 << 28, np.int64)])
+@pytest.mark.parametrize("dense", [0, 10 ** 9])
+def test_scores_are_exact_in_each_type(monkeypatch, size, kind, dense):
+    monkeypatch.setattr(negatives, "GROUP", 7)
+    monkeypatch.setattr(negatives, "DENSE", dense)       # each survivor alone, or all rows
+    rng = np.random.default_rng(7)
+    x = rng.integers(size // 2, size, (300, 4)) + np.where(rng.integers(0, 2, (300, 1)), 0, -size)
+    x[150:] = x[:150] + rng.integers(-1, 2, (150, 4))    # scores that differ by little
+    labels, at = rng.integers(0, 4, 300), range(0, 300, 5)
+    assert chunk_of(x, labels).part(slice(None), float(np.sqrt((x.astype(float) ** 2).sum(axis=1).max()))).vectors.dtype == kind
+    rows = [(i, [int(v) for v in x[i]], int(labels[i])) for i in range(300)]
+    out = []
+    for i, v, label in rows[::5]:
+        score = [(-sum(a * b for a, b in zip(v, w)), j, other) for j, w, other in rows if j != i]
+        for p, j, _ in sorted(s for s in score if s[2] == label)[:5]:
+            near = sorted(s for s in score if s[2] != label and 50 * -p <= 100 * -s[0] <= 95 * -p)[:3]
+            out += [(i, j, n, -p, -s) for s, n, _ in near]
+    assert out and sorted(searched(x, labels, at)) == sorted(out)
+
+
+def test_few_rows_and_own_rows():
+    """An anchor's own row is no probe where a label has fewer rows than are probed."""
+    x = np.array([[9, 9], [1, 0], [2, 0], [3, 1], [-1, -1], [5, 2], [4, 4]])
+    labels = np.array([1, 1, 1, 1, 1, 2, 2])
+    chunk, asked = chunk_of(x, labels), [{"key": 0, "vec_id": 0, "label": 1}, {"key": 7, "vec_id": 7, "label": 3}]
+    near = list(negatives.same_label(chunk, asked, [negatives.Anchor(x[0]), negatives.Anchor(x[1])], 4))
+    assert near == [(0, 0, 3, 36), (0, 0, 2, 18), (0, 0, 1, 9), (0, 0, 4, -18)]
